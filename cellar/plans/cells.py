@@ -101,10 +101,16 @@ def typed_array(cells: Column, date1904=False, error_pattern: str | None = ERROR
     return F.transform(a, lambda e: typed(e, date1904, error_pattern, blank_to_missing))
 
 
+def _one(cell: Column, date1904, error_pattern, blank_to_missing) -> Column:
+    """Typed form of a single raw cell behind lambda boundaries (keeps generated code small)."""
+    a = F.transform(F.array(cell), lambda c: enrich(c, date1904))
+    return F.transform(a, lambda e: typed(e, date1904, error_pattern, blank_to_missing))
+
+
 def cell_bit(cell: Column, date1904=False, error_pattern: str | None = ERROR_PATTERN,
              blank_to_missing: bool = True) -> Column:
     """Lattice bit of one raw cell; 0 = missing."""
-    return _bit_of(enrich(cell, date1904), date1904, error_pattern, blank_to_missing)
+    return F.element_at(_one(cell, date1904, error_pattern, blank_to_missing), 1)["b"]
 
 
 def mask_of_array(cells: Column, date1904=False, error_pattern: str | None = ERROR_PATTERN,
@@ -189,7 +195,8 @@ def render_typed(e: Column, error_pattern: str | None = ERROR_PATTERN) -> Column
 
 def render_cell(cell: Column, date1904=False, error_pattern: str | None = ERROR_PATTERN) -> Column:
     """C18 for a raw cell."""
-    return render_typed(typed(enrich(cell, date1904), date1904, error_pattern), error_pattern)
+    t = _one(cell, date1904, error_pattern, True)
+    return F.element_at(F.transform(t, lambda e: render_typed(e, error_pattern)), 1)
 
 
 def value_typed(e: Column, type_name: str, error_pattern: str | None = ERROR_PATTERN, on_misfit: str = "failfast",
@@ -231,8 +238,8 @@ def value_typed(e: Column, type_name: str, error_pattern: str | None = ERROR_PAT
 def cell_value(cell: Column, type_name: str, date1904=False, error_pattern: str | None = ERROR_PATTERN,
                blank_to_missing: bool = True, on_misfit: str = "failfast", where: Column | None = None) -> Column:
     """Value of a raw cell in a column of ``type_name``."""
-    e = typed(enrich(cell, date1904), date1904, error_pattern, blank_to_missing)
-    return value_typed(e, type_name, error_pattern, on_misfit, where)
+    t = _one(cell, date1904, error_pattern, blank_to_missing)
+    return F.element_at(F.transform(t, lambda e: value_typed(e, type_name, error_pattern, on_misfit, where)), 1)
 
 
 def struct_cell(kind: str, num: Column | None = None, txt: Column | None = None) -> Column:
