@@ -2,59 +2,111 @@
 
 A global ``row_number()`` pulls every row into one task. Instead:
 
-1. (optional) range-partition and sort by the caller's ordering key -- a hot group spans
-   several range partitions, so no task holds it whole;
-2. cut lineage with a reliable checkpoint in ``spark.checkpoint.dir`` so that partition
-   contents cannot change if executors are lost and tasks are re-run;
-3. count rows per partition (and per group within a partition) -- a tiny aggregate;
-4. ordinal = offset of (group, partition) + position within the partition, where the
-   position comes from ``monotonically_increasing_id`` (partition id << 33 | position).
+1. split the key space into ``n`` ranges whose bounds come from a *fixed-seed* sample of
+   the ordering key (a bounded number of rows reaches the driver). Spark's own range
+   partitioner seeds its sample with the RDD id, so two jobs over the same data may cut
+   different ranges; fixed bounds make every job and every re-run task agree;
+2. give each row its bucket id (a balanced CASE tree over the bounds, O(log n) per row),
+   hash-partition by bucket id and sort within partitions by (bucket, key) -- a hot key
+   value spans several buckets when the sample says it is hot;
+3. count rows per bucket (a tiny aggregate), turn the counts into offsets on the driver;
+4. ordinal = offset[bucket] + position in the partition - first position of the bucket,
+   where the position comes from ``monotonically_increasing_id`` (partition id << 33 | position).
+
+When no ordering key is given, the input order is all there is: the input is cut off with a
+reliable checkpoint in ``spark.checkpoint.dir`` so that partition contents cannot change.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
-# broadcast the (group, partition) offsets only below this many rows; else shuffle-join
+# broadcast small per-group tables only below this many rows; else shuffle-join
 BROADCAST_OFFSETS_MAX = 2_000_000
+SAMPLE_PER_BUCKET = 64
+SAMPLE_SEED = 20240611
+
+
+def _lit_key(v, dtype) -> Column:
+    lit = F.struct(*[F.lit(x) for x in v]) if isinstance(v, tuple) else F.lit(v)
+    return lit.cast(dtype)
+
+
+def _bucket_expr(key: Column, dtype, bounds: list, lo: int, hi: int) -> Column:
+    """Balanced CASE tree over sorted bounds: bucket b holds keys in (bounds[b-1], bounds[b]]."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(key <= _lit_key(bounds[mid], dtype), _bucket_expr(key, dtype, bounds, lo, mid)).otherwise(
+        _bucket_expr(key, dtype, bounds, mid + 1, hi))
+
+
+def _key_col(keys: list[str]) -> Column:
+    return F.col(keys[0]) if len(keys) == 1 else F.struct(*[F.col(k) for k in keys])
 
 
 def stable_partitions(df: DataFrame, order_by: list[str] | None = None, group: str | None = None,
                       partitions: int | None = None) -> DataFrame:
-    """Partition (by range of group + order when given), sort within partitions, checkpoint."""
+    """Partitions whose contents do not change between jobs or task re-runs.
+
+    Adds ``__b`` (bucket id); rows are hash-partitioned by bucket and sorted by (bucket, key).
+    """
     spark = df.sparkSession
-    checkpoint_root(spark)
     keys = ([group] if group else []) + list(order_by or [])
-    if keys:
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    return df.checkpoint(eager=True)
+    if not keys:
+        checkpoint_root(spark)
+        return df.checkpoint(eager=True).withColumn("__b", F.lit(0))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = df.count()
+    want = n * SAMPLE_PER_BUCKET
+    frac = 1.0 if total <= want else min(1.0, 2.0 * want / total)
+    sample = df.select(*keys).sample(withReplacement=False, fraction=frac, seed=SAMPLE_SEED).collect()
+    vals = [tuple(r) if len(keys) > 1 else r[0] for r in sample]
+    vals = [v for v in vals if v is not None and not (isinstance(v, tuple) and any(x is None for x in v))]
+    vals.sort()
+    bounds: list = []
+    if vals and n > 1:
+        for i in range(1, n):
+            b = vals[min(len(vals) - 1, (i * len(vals)) // n)]
+            if not bounds or b > bounds[-1]:
+                bounds.append(b)
+    key = _key_col(keys)
+    dtype = df.select(key.alias("k")).schema[0].dataType
+    bucket = _bucket_expr(key, dtype, bounds, 0, len(bounds)) if bounds else F.lit(0)
+    out = df.withColumn("__b", bucket.cast("int"))
+    return out.repartition(len(bounds) + 1, "__b").sortWithinPartitions("__b", *keys)
 
 
 def with_ordinals(staged: DataFrame, out: str = "__n", group: str | None = None) -> DataFrame:
-    """Add a 0-based ordinal (per ``group`` when given) following partition order then position."""
+    """Add a 0-based ordinal (per ``group`` when given) in (bucket, key) order."""
     pid, mono = "__pid", "__mono"
     df = staged.withColumn(pid, F.spark_partition_id()).withColumn(mono, F.monotonically_increasing_id())
     local = F.col(mono) - F.shiftleft(F.col(pid).cast("long"), 33)
+    counts = df.groupBy(pid, "__b").agg(F.count(F.lit(1)).alias("c")).collect()
+    per_bucket: dict[int, int] = {}
+    by_pid: dict[int, list[tuple[int, int]]] = {}
+    for r in counts:
+        per_bucket[r["__b"]] = per_bucket.get(r["__b"], 0) + r["c"]
+        by_pid.setdefault(r[pid], []).append((r["__b"], r["c"]))
+    n_buckets = (max(per_bucket) + 1) if per_bucket else 1
+    offset, acc = [0] * n_buckets, 0
+    for b in range(n_buckets):
+        offset[b] = acc
+        acc += per_bucket.get(b, 0)
+    first_pos = [0] * n_buckets  # position of the bucket's first row inside its partition
+    for items in by_pid.values():
+        pos = 0
+        for b, c in sorted(items):
+            first_pos[b] = pos
+            pos += c
+    arr = F.array(*[F.lit(offset[b] - first_pos[b]).cast("long") for b in range(n_buckets)])
+    res = df.withColumn(out, F.element_at(arr, F.col("__b") + 1) + local).drop(pid, mono)
     if group is None:
-        counts = df.groupBy(pid).count().collect()
-        sizes = {r[pid]: r["count"] for r in counts}
-        n_parts = (max(sizes) + 1) if sizes else 1
-        offsets, acc = [], 0
-        for p in range(n_parts):
-            offsets.append(acc)
-            acc += sizes.get(p, 0)
-        arr = F.array(*[F.lit(o).cast("long") for o in offsets])
-        return df.withColumn(out, F.element_at(arr, F.col(pid) + 1) + local).drop(pid, mono)
-    counts = df.groupBy(group, pid).agg(F.count(F.lit(1)).alias("__cnt"), F.min(mono).alias("__first"))
-    w = Window.partitionBy(group).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0))).select(
-        group, pid, "__off", "__first")
-    n_offs = offs.count()
-    side = F.broadcast(offs) if n_offs <= BROADCAST_OFFSETS_MAX else offs
-    joined = df.join(side, [group, pid])
-    return joined.withColumn(out, F.col("__off") + (F.col(mono) - F.col("__first"))).drop(
-        pid, mono, "__off", "__first")
+        return res.drop("__b")
+    starts = res.groupBy(group).agg(F.min(out).alias("__start"))
+    n_groups = starts.count()
+    side = F.broadcast(starts) if n_groups <= BROADCAST_OFFSETS_MAX else starts
+    return res.join(side, group).withColumn(out, F.col(out) - F.col("__start")).drop("__start", "__b")

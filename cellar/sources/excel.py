@@ -511,10 +511,12 @@ def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
         "path", "col", "name",
         C.mask_of_array(F.col("cells"), F.col("date1904"), err, opts.blank_to_missing).alias("mask"),
     )
-    files_order = per_col.select("path").distinct().withColumn(
-        "file_no", F.dense_rank().over(_order_window()) - 1)
+    # file order = path order; the listing is one small row per file (no content read)
+    files_order = files.select("path").withColumn("file_no", F.dense_rank().over(_order_window()) - 1)
+    n_files = files_order.count()
+    side = F.broadcast(files_order) if n_files <= 1_000_000 else files_order
     agg = (
-        per_col.join(F.broadcast(files_order), "path")
+        per_col.join(side, "path")
         .groupBy("name")
         .agg(
             F.bit_or("mask").alias("mask"),
@@ -522,7 +524,6 @@ def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
             F.countDistinct("path").alias("files"),
         )
     )
-    n_files = files_order.count()
     rows = agg.collect()
     specs = []
     for r in sorted(rows, key=lambda x: (x["first"]["file_no"], x["first"]["col"])):

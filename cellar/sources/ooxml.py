@@ -11,6 +11,7 @@ with the cell kinds of ``functions.types`` (n, d, b, s, e).
 
 from __future__ import annotations
 
+import html
 import io
 import posixpath
 import re
@@ -343,167 +344,258 @@ class ScanOptions:
 _BLANK = re.compile(r"^[\x00-\x20]*$")
 
 
-def scan_sheet(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, opts: ScanOptions, sst: list[str]):
-    """Yield ('hidden_cols', set) once, then (row_idx, hidden, cells, rowid_text, is_header) per row.
+# Tokens of the sheet XML, matched on the inflated bytes. Bodies use the unrolled form
+# [^<]*(?:<(?!/x>)[^<]*)* instead of a lazy dot (linear, no per-character backtracking).
+# A namespace prefix (e.g. "x:") is detected once from the sheetData tag. Working on bytes
+# keeps byte offsets exact, so a sheet can be split into byte ranges of its XML.
+_SHEETDATA_RE = re.compile(rb"<((?:[A-Za-z_][\w.-]*:)?)sheetData\b[^>]*?(/?)>")
+_COL_RE = re.compile(rb"<(?:[A-Za-z_][\w.-]*:)?col\b([^>]*)>")
+_ATTR_HIDDEN = re.compile(rb'(?:^|\s)hidden="(1|true)"')
+_ATTR_MIN = re.compile(rb'(?:^|\s)min="(\d+)"')
+_ATTR_MAX = re.compile(rb'(?:^|\s)max="(\d+)"')
+_ESC_X = re.compile(r"_x([0-9A-Fa-f]{4})_")
+
+
+class _Tokens:
+    """Compiled patterns for one namespace prefix."""
+
+    _cache: dict = {}
+
+    def __new__(cls, prefix: bytes):
+        got = cls._cache.get(prefix)
+        if got is not None:
+            return got
+        self = super().__new__(cls)
+        p = re.escape(prefix)
+        self.row = re.compile(rb"<" + p + rb"row\b([^>]*?)(?:/>|>([^<]*(?:<(?!/" + p + rb"row>)[^<]*)*)</" + p
+                              + rb"row>)")
+        self.cell = re.compile(rb"<" + p + rb"c\b([^>]*?)(?:/>|>([^<]*(?:<(?!/" + p + rb"c>)[^<]*)*)</" + p
+                               + rb"c>)")
+        self.v = re.compile(rb"<" + p + rb"v(?:\s[^>]*)?>([^<]*)</" + p + rb"v>")
+        self.t = re.compile(rb"<" + p + rb"t(?:\s[^>]*)?>([^<]*(?:<(?!/" + p + rb"t>)[^<]*)*)</" + p + rb"t>")
+        self.rph = re.compile(rb"<" + p + rb"rPh\b.*?</" + p + rb"rPh>", re.S)
+        self.end = re.compile(rb"</" + p + rb"sheetData>")
+        self.v_open, self.v_close = b"<" + prefix + b"v>", b"</" + prefix + b"v>"
+        cls._cache[prefix] = self
+        return self
+
+
+_COL_CACHE: dict[bytes, int] = {}
+
+
+def _col_of(ref: bytes) -> int:
+    got = _COL_CACHE.get(ref)
+    if got is None:
+        letters = ref.rstrip(b"0123456789").replace(b"$", b"").upper()
+        v = 0
+        for ch in letters:
+            v = v * 26 + (ch - 64)
+        got = v - 1
+        if len(_COL_CACHE) < 200000:
+            _COL_CACHE[ref] = got
+    return got
+
+
+def _unescape(text: str) -> str:
+    if "&" in text:
+        if "<![CDATA[" in text:
+            text = text.replace("<![CDATA[", "").replace("]]>", "")
+        text = html.unescape(text)
+    if "_x" in text:
+        text = _ESC_X.sub(lambda m: chr(int(m.group(1), 16)), text)
+    return text
+
+
+def _text_of(body: bytes, tok) -> str:
+    if b"rPh" in body:
+        body = tok.rph.sub(b"", body)
+    return "".join(_unescape(m.group(1).decode("utf-8")) for m in tok.t.finditer(body))
+
+
+def _read_raw(stream, part: str):
+    """Inflate a part and yield byte chunks (refusing a DOCTYPE at the head)."""
+    first = True
+    while True:
+        raw = stream.read(_CHUNK)
+        if first:
+            _refuse_dtd(raw, part)
+            first = False
+        if not raw:
+            return
+        yield raw
 
-    ``cells`` is a list of (col, kind, num, txt). Row filters of the reader are applied here,
-    in the order header -> row range -> empty rows -> hidden rows, so that the task emits
-    only data rows (plus the header row, flagged).
+
+def scan_sheet(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, opts: ScanOptions, sst: list[str],
+               byte_range: tuple[int, int | None] | None = None):
+    """Yield ('hidden_cols', set) once, then (row_idx, hidden, cells, rowid) per ``<row>``.
+
+    ``cells`` is a list of (col, kind, num, txt) in column order, already restricted to the
+    column range, without hidden columns (when skipped) and without missing values.
+    With ``byte_range`` = (lo, hi) only rows whose tag starts at an offset in [lo, hi) of
+    the sheet XML are parsed (rows must then carry their ``r`` attribute).
     """
     part = sheet.part
     stream = zf.open(part)
-    parser = XMLPullParser(events=("start", "end"))
-    hidden_cols: set[int] = set()
     style_kind = wb.style_kind
     style_bool = wb.style_bool
     date1904 = wb.date1904
-
-    first_row, last_row = opts.first_row, opts.last_row
+    n_styles = len(style_kind)
+    last_row = opts.last_row
     first_col, last_col = opts.first_col, opts.last_col
     rowid_col = opts.rowid_col
     use15 = opts.use15
     blank_to_missing = opts.blank_to_missing
     error_as_missing = opts.error_as_missing
+    skip_hidden_cols = opts.skip_hidden_cols
+    blank = _BLANK.match
+    hidden_cols: set[int] = set()
+    lo, hi = byte_range if byte_range else (0, None)
 
+    buf = b""
+    base = 0  # absolute offset of buf[0]
+    in_data = False
+    done = False
     cur_row = -1
-    row_hidden = False
-    cells: list = []
-    rowid = None
-    cur_col = -1
-    sent_cols = False
-    last_emitted = -1  # last physical row index handled (for materialising gaps)
-    stop = False
-    first = True
-
-    def finish_row(r_idx, r_hidden, r_cells, r_rowid):
-        return (r_idx, r_hidden, r_cells, r_rowid)
-
-    while not stop:
-        chunk = stream.read(_CHUNK)
-        if first:
-            _refuse_dtd(chunk, part)
-            first = False
-        if not chunk:
-            break
-        parser.feed(chunk)
-        for ev, el in parser.read_events():
-            tag = el.tag
-            t = tag[tag.rfind("}") + 1:]
-            if ev == "start":
-                if t == "row":
-                    r = el.get("r")
-                    cur_row = int(r) - 1 if r else cur_row + 1
-                    h = el.get("hidden")
-                    row_hidden = h in ("1", "true")
-                    cells = []
-                    rowid = None
-                    cur_col = -1
-                elif t == "sheetData" and not sent_cols:
-                    sent_cols = True
-                    yield ("hidden_cols", hidden_cols)
+    tok = None
+    for chunk in _read_raw(stream, part):
+        buf += chunk
+        if not in_data:
+            m = _SHEETDATA_RE.search(buf)
+            if not m:
                 continue
-            # end events
-            if t == "c":
-                ref = el.get("r")
-                if ref:
-                    _, col = split_ref(ref)
-                    if col <= cur_col:
-                        raise CorruptWorkbook(
-                            f'Unexpected cell reference "{ref}" which references already processed column '
-                            f'index "{cur_col}".'
-                        )
-                    cur_col = col
-                else:
-                    cur_col += 1
-                col = cur_col
-                in_range = col >= first_col and (last_col is None or col <= last_col)
-                is_rowid = rowid_col is not None and col == rowid_col
-                if not (in_range or is_rowid):
-                    el.clear()
-                    continue
-                if (not is_rowid) and opts.skip_hidden_cols and col in hidden_cols:
-                    el.clear()
-                    continue
-                ty = el.get("t", "n")
-                v = None
-                txt = None
-                for ch in el:
-                    ct = ch.tag[ch.tag.rfind("}") + 1:]
-                    if ct == "v":
-                        v = ch.text
-                    elif ct == "is":
-                        txt = "".join(x.text or "" for x in ch.iter() if x.tag.endswith("}t") or x.tag == "t")
-                cell = None
-                if ty == "s":
-                    if v is not None and v != "":
-                        s = sst[int(v)]
-                        if not (blank_to_missing and _BLANK.match(s)):
-                            cell = (col, "s", None, s)
-                elif ty == "inlineStr":
-                    s = txt if txt is not None else (v or "")
-                    if not (blank_to_missing and _BLANK.match(s)):
-                        cell = (col, "s", None, s)
-                elif ty == "str":
-                    s = v or ""
-                    if not (blank_to_missing and _BLANK.match(s)):
-                        cell = (col, "s", None, s)
-                elif ty == "b":
-                    if v:
-                        cell = (col, "b", 0.0 if v[0] == "0" else 1.0, None)
-                elif ty == "e":
-                    if not error_as_missing:
-                        cell = (col, "e", None, v or "")
-                elif ty == "d":
-                    if v:
-                        cell = (col, "d", _iso_to_serial(v, date1904), None)
-                else:  # number
-                    if v:
-                        x = float(v)
-                        si = el.get("s")
-                        sk = "n"
-                        if si is not None:
-                            idx = int(si)
-                            if idx < len(style_kind):
-                                sk = style_kind[idx]
-                        if sk == "d":
-                            cell = (col, "d", x, None)
+            head = buf[: m.start()]
+            for cm in _COL_RE.finditer(head):
+                a = cm.group(1)
+                if _ATTR_HIDDEN.search(a):
+                    lmin, lmax = _ATTR_MIN.search(a), _ATTR_MAX.search(a)
+                    if lmin and lmax:
+                        hidden_cols.update(range(int(lmin.group(1)) - 1, int(lmax.group(1))))
+            yield ("hidden_cols", hidden_cols)
+            in_data = True
+            tok = _Tokens(m.group(1))
+            if m.group(2) == b"/":
+                done = True
+                break
+            base += m.end()
+            buf = buf[m.end():]
+        if base + len(buf) <= lo:
+            base += len(buf)
+            buf = b""
+            continue
+        start_at = max(0, lo - base)
+        pos = start_at
+        end_m = tok.end.search(buf, start_at)
+        limit = end_m.start() if end_m else len(buf)
+        cell_re, v_re = tok.cell, tok.v
+        v_open, v_close = tok.v_open, tok.v_close
+        lv_open, lv_close = len(v_open), -len(v_close)
+        for rm in tok.row.finditer(buf, start_at, limit):
+            if hi is not None and base + rm.start() >= hi:
+                done = True
+                break
+            attrs = rm.group(1)
+            i = attrs.find(b' r="')
+            if i >= 0:
+                cur_row = int(attrs[i + 4: attrs.find(b'"', i + 4)]) - 1
+            elif byte_range and lo > 0:
+                raise CorruptWorkbook("rows without an r attribute cannot be read in byte ranges")
+            else:
+                cur_row += 1
+            row_hidden = _ATTR_HIDDEN.search(attrs) is not None if b"hidden" in attrs else False
+            cells = []
+            rowid = None
+            body = rm.group(2)
+            if body:
+                cur_col = -1
+                for cm in cell_re.finditer(body):
+                    ca, cbody = cm.groups()
+                    i = ca.find(b' r="')
+                    if i >= 0:
+                        ref = ca[i + 4: ca.find(b'"', i + 4)]
+                        col = _col_of(ref)
+                        if col <= cur_col:
+                            raise CorruptWorkbook(
+                                f'Unexpected cell reference "{ref.decode()}" which references already processed '
+                                f'column index "{cur_col}".')
+                        cur_col = col
+                    else:
+                        cur_col += 1
+                        col = cur_col
+                    is_rowid = rowid_col is not None and col == rowid_col
+                    if not is_rowid:
+                        if col < first_col or (last_col is not None and col > last_col):
+                            continue
+                        if skip_hidden_cols and col in hidden_cols:
+                            continue
+                    if not cbody:
+                        continue
+                    i = ca.find(b' t="')
+                    ty = ca[i + 4: ca.find(b'"', i + 4)] if i >= 0 else b"n"
+                    cell = None
+                    if ty == b"n":
+                        if cbody.startswith(v_open) and cbody.endswith(v_close):
+                            v = cbody[lv_open:lv_close]
                         else:
-                            if use15 and len(v) > 15:
-                                x = round15_value(x)
-                            if (x == 0.0 or x == 1.0) and si is not None and int(si) in style_bool:
-                                bv = style_bool[int(si)](x)
+                            vm = v_re.search(cbody)
+                            v = vm.group(1) if vm else None
+                        if v:
+                            x = float(v)
+                            i = ca.find(b' s="')
+                            si = int(ca[i + 4: ca.find(b'"', i + 4)]) if i >= 0 else 0
+                            if si < n_styles and style_kind[si] == "d":
+                                cell = (col, "d", x, None)
+                            else:
+                                if use15 and len(v) > 15:
+                                    x = round15_value(x)
+                                conv = style_bool.get(si) if (x == 0.0 or x == 1.0) else None
+                                bv = conv(x) if conv is not None else None
                                 if bv is not None:
                                     cell = (col, "b", 1.0 if bv else 0.0, None)
                                 else:
                                     cell = (col, "n", x, None)
-                            else:
-                                cell = (col, "n", x, None)
-                el.clear()
-                if cell is None:
-                    continue
-                if is_rowid:
-                    rowid = cell
-                    continue
-                cells.append(cell)
-            elif t == "row":
-                el.clear()
-                yield (cur_row, row_hidden, cells, rowid)
-                cells = []
-                rowid = None
-                if last_row is not None and cur_row >= last_row:
-                    stop = True
-                    break
-            elif t == "col":
-                if el.get("hidden") in ("1", "true"):
-                    try:
-                        lo, hi = int(el.get("min")), int(el.get("max"))
-                        hidden_cols.update(range(lo - 1, hi))
-                    except (TypeError, ValueError):
-                        pass
-            elif t == "sheetData":
-                stop = True
+                    elif ty == b"s":
+                        vm = v_re.search(cbody)
+                        if vm and vm.group(1).strip():
+                            txt = sst[int(vm.group(1))]
+                            if not (blank_to_missing and blank(txt)):
+                                cell = (col, "s", None, txt)
+                    elif ty == b"inlineStr":
+                        txt = _text_of(cbody, tok)
+                        if not (blank_to_missing and blank(txt)):
+                            cell = (col, "s", None, txt)
+                    elif ty == b"str":
+                        vm = v_re.search(cbody)
+                        txt = _unescape(vm.group(1).decode("utf-8")) if vm else ""
+                        if not (blank_to_missing and blank(txt)):
+                            cell = (col, "s", None, txt)
+                    elif ty == b"b":
+                        vm = v_re.search(cbody)
+                        if vm and vm.group(1):
+                            cell = (col, "b", 0.0 if vm.group(1).strip()[:1] == b"0" else 1.0, None)
+                    elif ty == b"e":
+                        if not error_as_missing:
+                            vm = v_re.search(cbody)
+                            cell = (col, "e", None, _unescape(vm.group(1).decode("utf-8")) if vm else "")
+                    elif ty == b"d":
+                        vm = v_re.search(cbody)
+                        if vm and vm.group(1):
+                            cell = (col, "d", _iso_to_serial(vm.group(1).decode(), date1904), None)
+                    if cell is None:
+                        continue
+                    if is_rowid:
+                        rowid = cell
+                    else:
+                        cells.append(cell)
+            yield (cur_row, row_hidden, cells, rowid)
+            pos = rm.end()
+            if last_row is not None and cur_row >= last_row:
+                done = True
                 break
-    if not sent_cols:
+        if done or end_m:
+            break
+        base += pos
+        buf = buf[pos:]
+    if not in_data:
         yield ("hidden_cols", hidden_cols)
     stream.close()
 
