@@ -252,7 +252,7 @@ def _lineitem_rows(spark, sf, dense: bool = False) -> DataFrame:
     s = lambda x: C.struct_cell("s", txt=x)
     ship12 = F.when(F.col("l_linenumber") > 2, F.col("l_shipdate") + F.expr("INTERVAL 12 HOURS")).otherwise(
         F.col("l_shipdate"))
-    cells = F.create_map(
+    cells = _sparse_map(
         F.lit(0), n(F.col("l_orderkey")),
         F.lit(1), n(F.col("l_quantity")),
         F.lit(2), n(F.col("l_extendedprice")),
@@ -270,7 +270,14 @@ def _lineitem_rows(spark, sf, dense: bool = False) -> DataFrame:
     row_idx = F.col("__r") if dense else F.col("l_orderkey") * 8 + F.col("l_linenumber")
     return li.select(F.col("l_returnflag").alias("path"), row_idx.cast("int").alias("row_idx"),
                      F.lit(False).alias("hidden"),
-                     F.map_filter(cells, lambda k, v: v.isNotNull()).alias("cells"))
+                     cells.alias("cells"))
+
+
+def _sparse_map(*kv):
+    """create_map without the NULL values (map_concat of one-entry maps; code-generated)."""
+    empty = F.create_map().cast("map<int,struct<k:string,n:double,s:string>>")
+    parts = [F.when(v.isNotNull(), F.create_map(k, v)).otherwise(empty) for k, v in zip(kv[::2], kv[1::2])]
+    return F.map_concat(*parts)
 
 
 _LI_BITS_SQL = f"""

@@ -34,18 +34,18 @@ def serial_datable(x, date1904=False) -> Column:
 
 
 def serial_to_datetime(x, date1904=False) -> Column:
-    """Serial number -> TIMESTAMP_NTZ with millisecond precision; NULL when not datable."""
+    """Serial number -> TIMESTAMP_NTZ with millisecond precision; NULL when not datable.
+
+    One ``timestampadd`` of whole microseconds to the base date (no time zone involved).
+    """
     v = _col(x)
     whole = F.floor(v)
     ms = ((v - whole) * _DAY_MS + 0.5).cast("long")
-    base = (
-        F.when(_flag(date1904), F.lit("1904-01-01").cast("date"))
-        .when(whole < 61, F.lit("1899-12-31").cast("date"))
-        .otherwise(F.lit("1899-12-30").cast("date"))
-    )
-    day = F.date_add(base, F.when(serial_datable(v, date1904), whole).cast("int"))
-    secs = (ms / F.lit(1000)).cast("decimal(18,3)")
-    ts = day.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    flag = _flag(date1904)
+    # day offsets of the three bases from 1899-12-30: 1904-01-01 is +1462, 1899-12-31 is +1
+    base_shift = F.when(flag, F.lit(1462)).when(whole < 61, F.lit(1)).otherwise(F.lit(0))
+    micros = (whole.cast("long") + base_shift) * 86400000000 + ms * 1000
+    ts = F.timestamp_add("MICROSECOND", micros, F.lit("1899-12-30 00:00:00").cast("timestamp_ntz"))
     return F.when(serial_datable(v, date1904), ts)
 
 

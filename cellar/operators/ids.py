@@ -30,10 +30,24 @@ def _join_small(df: DataFrame, side: DataFrame, on) -> DataFrame:
     return df.join(F.broadcast(side) if n <= BROADCAST_OFFSETS_MAX else side, on)
 
 
+SEQ_SPLIT_SHIFT = 40
+
+
 def running_index(df: DataFrame, file_col: str, seq_col: str, out: str = "__ord") -> DataFrame:
-    """0-based ordinal continuous over files (file order, then seq)."""
-    offs = file_offsets(df, file_col, seq_col)
-    return _join_small(df, offs, file_col).withColumn(out, F.col("__off") + F.col(seq_col)).drop("__off")
+    """0-based ordinal continuous over files (file order, then seq).
+
+    ``seq`` may carry a split number in its high bits (split << 40 | position in split):
+    offsets are then taken per (file, split) from the small table of split sizes.
+    """
+    split = F.shiftright(F.col(seq_col), SEQ_SPLIT_SHIFT)
+    local = F.col(seq_col).bitwiseAND(F.lit((1 << SEQ_SPLIT_SHIFT) - 1))
+    parts = df.select(F.col(file_col), split.alias("__split"), local.alias("__local")).groupBy(
+        file_col, "__split").agg((F.max("__local") + 1).alias("__rows"))
+    # one row per (file, split): small; ordered as a whole
+    w = Window.orderBy(file_col, "__split").rowsBetween(Window.unboundedPreceding, -1)
+    offs = parts.select(file_col, "__split", F.coalesce(F.sum("__rows").over(w), F.lit(0)).alias("__off"))
+    joined = _join_small(df.withColumn("__split", split), offs, [file_col, "__split"])
+    return joined.withColumn(out, F.col("__off") + local).drop("__off", "__split")
 
 
 def generated_row_ids(df: DataFrame, file_col: str, seq_col: str, out: str = "RowID", prefix: str = "Row") -> DataFrame:

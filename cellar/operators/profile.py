@@ -11,22 +11,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.cells import typed
+from ..plans.cells import staged_typing
 
 BLOCK_ROWS = 65536
 
 
 def long_cells(rows: DataFrame, date1904=False) -> DataFrame:
-    """rows (path, row_idx, cells) -> (path, row_idx, col, cell typed with bit ``b``)."""
+    """rows (path, row_idx, cells) -> (path, row_idx, col, cell typed with bit ``b``).
+
+    The map is typed once per row behind lambda boundaries, then exploded.
+    """
     ex = rows.select("path", "row_idx", F.explode("cells").alias("col", "c"))
-    from ..plans.cells import enrich
+    ex, (v,) = staged_typing(ex, ["c"], date1904)
+    return ex.select("path", "row_idx", "col", F.struct(v.k.alias("k"), v.n.alias("n"), v.s.alias("s"),
+                                                       v.ts.alias("ts"), v.b.alias("b")).alias("cell"))
 
-    return ex.select("path", "row_idx", "col", typed(enrich(F.col("c"), date1904), date1904).alias("cell"))
 
+def column_masks(rows: DataFrame, cols: list[int] | None = None, date1904=False) -> DataFrame:
+    """A1 on the cell form: (path, col, mask) for every column with at least one cell.
 
-def column_masks(rows: DataFrame) -> DataFrame:
-    """A1 on the long form: (path, col, mask) with a partial + final hash aggregate."""
-    return long_cells(rows).groupBy("path", "col").agg(F.bit_or("cell.b").alias("mask"))
+    No explode: each column is picked with ``element_at``, typed in code-generated stages and
+    OR-ed per file (partial + final hash aggregate); the small result is unpivoted.
+    """
+    if cols is None:
+        width = rows.agg(F.max(F.array_max(F.map_keys("cells")))).collect()[0][0]
+        cols = list(range((width or -1) + 1))
+    picked = rows.select("path", *[F.element_at("cells", F.lit(j)).alias(f"__c{j}") for j in cols])
+    picked, views = staged_typing(picked, [f"__c{j}" for j in cols], date1904)
+    aggs = []
+    for j, v in zip(cols, views):
+        aggs.append(F.bit_or(v.b).alias(f"m{j}"))
+        aggs.append(F.count(F.col(f"__c{j}")).alias(f"n{j}"))
+    per_file = picked.groupBy("path").agg(*aggs)
+    stack = "stack({}, {}) as (col, mask, cells)".format(
+        len(cols), ", ".join(f"{j}, m{j}, n{j}" for j in cols))
+    return per_file.selectExpr("path", stack).filter(F.col("cells") > 0).drop("cells")
 
 
 def sheet_width(rows: DataFrame) -> DataFrame:

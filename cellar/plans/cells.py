@@ -65,7 +65,42 @@ def enrich(cell: Column, date1904=False) -> Column:
     )
 
 
-def _bit_of(e: Column, date1904, error_pattern, blank_to_missing) -> Column:
+class CellView:
+    """Fields of a typed cell as separate Columns (struct fields or staged columns)."""
+
+    def __init__(self, k: Column, n: Column, s: Column, ts: Column, b: Column | None = None):
+        self.k, self.n, self.s, self.ts, self.b = k, n, s, ts, b
+
+    def __getitem__(self, name: str) -> Column:
+        return getattr(self, name)
+
+    def isNull(self) -> Column:  # noqa: N802 - mirrors Column
+        return self.k.isNull()
+
+    @classmethod
+    def of(cls, e) -> "CellView":
+        return e if isinstance(e, CellView) else cls(e["k"], e["n"], e["s"], e["ts"], e["b"])
+
+
+def staged_typing(df: DataFrame, cell_cols: list[str], date1904=False, error_pattern: str | None = ERROR_PATTERN,
+                  blank_to_missing: bool = True) -> tuple[DataFrame, list[CellView]]:
+    """Type cell struct columns in three projections (timestamp, then bit), all code-generated.
+
+    Each stage materialises its columns once, so the optimizer does not inline the serial
+    date arithmetic into every use (the non-cheap expressions stop CollapseProject).
+    """
+    ts_cols = [F.when(F.col(c)["k"] == "d", serial_to_datetime(F.col(c)["n"], date1904)).alias(f"{c}__ts")
+               for c in cell_cols]
+    df = df.select("*", *ts_cols)
+    views = [CellView(F.col(c)["k"], F.col(c)["n"], F.col(c)["s"], F.col(f"{c}__ts")) for c in cell_cols]
+    df = df.select("*", *[_bit_of(v, date1904, error_pattern, blank_to_missing).alias(f"{c}__b")
+                          for c, v in zip(cell_cols, views)])
+    for c, v in zip(cell_cols, views):
+        v.b = F.col(f"{c}__b")
+    return df, views
+
+
+def _bit_of(e, date1904, error_pattern, blank_to_missing) -> Column:
     k, n, s, ts = e["k"], e["n"], e["s"], e["ts"]
     text_bit = F.lit(BIT_STRING)
     if blank_to_missing:
@@ -171,8 +206,8 @@ def _time_of(ts: Column) -> Column:
     return F.date_format(ts, "HH:mm:ss.SSSSSS").cast(tt)
 
 
-def render_typed(e: Column, error_pattern: str | None = ERROR_PATTERN) -> Column:
-    """Text of a typed cell, as used for STRING columns."""
+def render_typed(e, error_pattern: str | None = ERROR_PATTERN) -> Column:
+    """Text of a typed cell (struct or CellView), as used for STRING columns."""
     k, n, s, ts, b = e["k"], e["n"], e["s"], e["ts"], e["b"]
     nb = narrow_bit(n)
     num_text = F.when((nb == BIT_INT) | (nb == BIT_LONG), n.cast("decimal(20,0)").cast("string")).otherwise(
@@ -199,7 +234,7 @@ def render_cell(cell: Column, date1904=False, error_pattern: str | None = ERROR_
     return F.element_at(F.transform(t, lambda e: render_typed(e, error_pattern)), 1)
 
 
-def value_typed(e: Column, type_name: str, error_pattern: str | None = ERROR_PATTERN, on_misfit: str = "failfast",
+def value_typed(e, type_name: str, error_pattern: str | None = ERROR_PATTERN, on_misfit: str = "failfast",
                 where: Column | None = None) -> Column:
     """Value of a typed cell in a column of ``type_name``; a misfit fails (reference rule) or gives NULL."""
     n, ts, bit = e["n"], e["ts"], e["b"]

@@ -22,6 +22,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # generated methods over 8 KB of bytecode are never JIT-compiled by the JVM; the typing
+        # expressions of many columns get there, so let Spark fall back to split codegen
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

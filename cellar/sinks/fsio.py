@@ -57,3 +57,9 @@ def move(src: str, dst: str) -> None:
 def delete_file(uri: str) -> None:
     fsys, p = resolve(uri)
     fsys.delete_file(p)
+
+
+def open_input_file(uri: str):
+    """Seekable input (for zip central directories)."""
+    fsys, p = resolve(uri)
+    return fsys.open_input_file(p)

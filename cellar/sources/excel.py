@@ -487,6 +487,92 @@ def _emit(out: RowsBuilder, path, sheet, wb, item, namer: _Namer, rekey, ordinal
     out.add(path, sheet.name, r, seq, is_hidden, wb.date1904, rowid, cells)
 
 
+SPLIT_BYTES = 8 << 20  # compressed bytes of a workbook per parallel split of its sheet
+MAX_SPLITS = 256
+SEQ_SPLIT_SHIFT = 40  # seq of a split row = split << 40 | position in the split
+
+
+def _split_rows_fn(opts_dict: dict, ordinals: dict[str, int] | None):
+    """Decode one byte range of a big sheet. The task opens the file itself (seekable zip),
+    inflates the sheet up to the end of its range and parses only rows starting inside it."""
+    from dataclasses import replace
+
+    from ..sinks import fsio
+
+    opts = ReadOptions(**opts_dict)
+    so = opts.scan_options(None)
+
+    def fn(batches):
+        out = RowsBuilder()
+        for b in batches:
+            for path, split, n_splits in zip(b.column("path").to_pylist(), b.column("split").to_pylist(),
+                                             b.column("n_splits").to_pylist()):
+                with fsio.open_input_file(path) as fh:
+                    import zipfile
+
+                    zf = zipfile.ZipFile(fh)
+                    wb = ooxml.open_workbook(zf)
+                    sheet = _select_sheet(zf, wb, opts.sheet)
+                    sst = ooxml.load_shared_strings(zf, wb.shared_strings_part)
+                    size = zf.getinfo(sheet.part).file_size
+                    lo = split * size // n_splits
+                    hi = (split + 1) * size // n_splits if split < n_splits - 1 else None
+                    hidden: set[int] = set()
+                    header_cells = []
+                    if so.header_row is not None:
+                        for item in ooxml.scan_sheet(zf, wb, sheet, replace(so, last_row=so.header_row), sst):
+                            if item[0] == "hidden_cols":
+                                hidden = set(item[1])
+                            elif item[0] == so.header_row:
+                                header_cells = item[2]
+                    namer = None
+                    rekey: dict = {}
+                    local = 0
+                    for item in ooxml.scan_sheet(zf, wb, sheet, so, sst, byte_range=(lo, hi)):
+                        if item[0] == "hidden_cols":
+                            hidden = set(item[1])
+                            namer = _Namer(opts, so, hidden)
+                            namer.set_header(header_cells)
+                            continue
+                        r, is_hidden, cells, rowid = item
+                        if (so.header_row is not None and r == so.header_row) or r < so.first_row:
+                            continue
+                        if so.last_row is not None and r > so.last_row:
+                            break
+                        if not cells and rowid is None:
+                            continue
+                        if is_hidden and so.skip_hidden_rows:
+                            continue
+                        seq = (split << SEQ_SPLIT_SHIFT) | local
+                        local += 1
+                        _emit(out, path, sheet, wb, (r, seq, is_hidden, cells, rowid, False), namer, rekey, ordinals)
+                        if out.full():
+                            yield out.flush()
+        if len(out):
+            yield out.flush()
+
+    return fn
+
+
+def decode_rows(files: DataFrame, opts: ReadOptions, ordinals: dict[str, int] | None) -> DataFrame:
+    """Decoded rows of all files: small files one task each (content from ``binaryFile``),
+    big ones as parallel byte-range splits (when empty rows are skipped, the default)."""
+    from dataclasses import asdict as _asdict
+
+    od = _asdict(opts)
+    split_bytes = int(files.sparkSession.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
+    if not opts.skip_empty_rows:
+        return files.select("path", "content").mapInArrow(_rows_fn(od, ordinals), ROWS_DDL)
+    small = files.filter(F.col("length") <= split_bytes).select("path", "content")
+    rows_small = small.mapInArrow(_rows_fn(od, ordinals), ROWS_DDL)
+    n = F.least(F.ceil(F.col("length") / split_bytes), F.lit(MAX_SPLITS)).cast("int")
+    big = files.filter(F.col("length") > split_bytes).select(
+        "path", n.alias("n_splits"), F.explode(F.sequence(F.lit(0), n - 1)).alias("split"))
+    par = files.sparkSession.sparkContext.defaultParallelism
+    rows_big = big.repartition(par * 2).mapInArrow(_split_rows_fn(od, ordinals), ROWS_DDL)
+    return rows_small.unionByName(rows_big)
+
+
 # ---------------------------------------------------------------- schema inference
 
 
@@ -591,7 +677,7 @@ def read_excel(spark: SparkSession, paths, opts: ReadOptions | None = None, **kw
     if len(specs) > XLSX_MAX_COLS * 64:
         raise ValueError("too many columns")
     ordinals = {s.name: j for j, s in enumerate(specs)}
-    rows = files.select("path", "content").mapInArrow(_rows_fn(asdict(opts), ordinals), ROWS_DDL)
+    rows = decode_rows(files, opts, ordinals)
     return project(rows, specs, opts)
 
 
@@ -601,14 +687,14 @@ def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions) -> Data
     if opts.path_column and opts.path_column in names:
         raise ValueError(f"The path column name '{opts.path_column}' collides with a column of the table")
     where = F.concat(F.col("path"), F.lit(" row "), (F.col("row_idx") + 1).cast("string"))
-    rows = rows.withColumn("cells", C.typed_map(F.col("cells"), F.col("date1904"), opts.error_pattern,
-                                                opts.blank_to_missing))
-    # one struct column per output column first, so each conversion reads plain attributes
+    # one struct column per output column, then timestamp and bit stages: all code-generated
     picks = [F.element_at(F.col("cells"), F.lit(j)).alias(f"__c{j}") for j in range(len(specs))]
-    rows = rows.select("*", *picks)
+    rows = rows.select("path", "row_idx", "seq", "date1904", "rowid", *picks)
+    rows, views = C.staged_typing(rows, [f"__c{j}" for j in range(len(specs))], F.col("date1904"),
+                                  opts.error_pattern, opts.blank_to_missing)
     cols = []
-    for j, s in enumerate(specs):
-        cols.append(C.value_typed(F.col(f"__c{j}"), s.type, opts.error_pattern, opts.on_misfit, where).alias(s.name))
+    for s, v in zip(specs, views):
+        cols.append(C.value_typed(v, s.type, opts.error_pattern, opts.on_misfit, where).alias(s.name))
     lead = []
     if opts.raw:
         lead.append((F.col("row_idx") + 1).cast("int").alias("row"))
