@@ -44,6 +44,21 @@ SPARK_TYPES = {
     "STRING": T.StringType(),
 }
 
+def time_enabled() -> bool:
+    """TIME columns need ``spark.sql.timeType.enabled``; without it times are read as text."""
+    from pyspark.sql import SparkSession
+
+    s = SparkSession.getActiveSession()
+    return bool(s is not None and hasattr(T, "TimeType")
+                and str(s.conf.get("spark.sql.timeType.enabled", "false")).lower() == "true")
+
+
+def spark_type(name: str) -> T.DataType:
+    if name == "TIME":
+        return T.TimeType(6) if time_enabled() else T.StringType()
+    return SPARK_TYPES[name]
+
+
 # cell kinds emitted by the sheet scan (see sources/ooxml.py)
 KIND_NUMBER = "n"  # plain number (already rounded to 15 digits when asked)
 KIND_DATE = "d"  # number with a date/time display format: a serial date

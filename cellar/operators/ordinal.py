@@ -76,8 +76,31 @@ def stable_partitions(df: DataFrame, order_by: list[str] | None = None, group: s
     key = _key_col(keys)
     dtype = df.select(key.alias("k")).schema[0].dataType
     bucket = _bucket_expr(key, dtype, bounds, 0, len(bounds)) if bounds else F.lit(0)
+    nb = len(bounds) + 1
     out = df.withColumn("__b", bucket.cast("int"))
-    return out.repartition(len(bounds) + 1, "__b").sortWithinPartitions("__b", *keys)
+    # one bucket per partition: a key per bucket that Spark's own hash sends to that partition
+    pkeys = F.array(*[F.lit(k) for k in _partition_keys(spark, nb)])
+    out = out.withColumn("__pk", F.element_at(pkeys, F.col("__b") + 1))
+    return out.repartition(nb, "__pk").sortWithinPartitions("__b", *keys).drop("__pk")
+
+
+_PKEY_CACHE: dict[int, list[int]] = {}
+
+
+def _partition_keys(spark, n: int) -> list[int]:
+    """For p in 0..n-1 a long whose hash partition among n is p (Spark's Murmur3, seed 42)."""
+    got = _PKEY_CACHE.get(n)
+    if got is not None:
+        return got
+    span = 64 * n
+    while True:
+        rows = (spark.range(0, span).select("id", F.expr(f"pmod(hash(id), {n})").alias("p"))
+                .groupBy("p").agg(F.min("id").alias("id")).collect())
+        keys = {r["p"]: r["id"] for r in rows}
+        if len(keys) == n:
+            _PKEY_CACHE[n] = [keys[p] for p in range(n)]
+            return _PKEY_CACHE[n]
+        span *= 4
 
 
 def with_ordinals(staged: DataFrame, out: str = "__n", group: str | None = None) -> DataFrame:

@@ -35,7 +35,7 @@ def column_masks(rows: DataFrame, cols: list[int] | None = None, date1904=False)
     """
     if cols is None:
         width = rows.agg(F.max(F.array_max(F.map_keys("cells")))).collect()[0][0]
-        cols = list(range((width or -1) + 1))
+        cols = list(range((width if width is not None else -1) + 1))
     picked = rows.select("path", *[F.element_at("cells", F.lit(j)).alias(f"__c{j}") for j in cols])
     picked, views = staged_typing(picked, [f"__c{j}" for j in cols], date1904)
     aggs = []

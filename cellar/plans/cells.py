@@ -37,7 +37,7 @@ from ..functions.types import (
     BIT_STRING,
     BIT_TIME,
     CELL_STRUCT,
-    SPARK_TYPES,
+    spark_type,
 )
 
 # which cell bits a column type accepts (the lattice's down-sets)
@@ -200,7 +200,7 @@ def oldest_lattice_type(mask: Column) -> Column:
 
 
 def _time_of(ts: Column) -> Column:
-    tt = SPARK_TYPES["TIME"]
+    tt = spark_type("TIME")
     if isinstance(tt, T.StringType):
         return render_time(ts)
     return F.date_format(ts, "HH:mm:ss.SSSSSS").cast(tt)
@@ -254,20 +254,20 @@ def value_typed(e, type_name: str, error_pattern: str | None = ERROR_PATTERN, on
         val = _time_of(ts)
     else:
         val = render_typed(e, error_pattern)
-    spark_type = SPARK_TYPES[type_name]
+    spark_type_ = spark_type(type_name)
     fits = _bits(bit, ACCEPTS[type_name]) != 0
     if type_name == "STRING":
-        return F.when(bit == 0, F.lit(None).cast(spark_type)).otherwise(val)
+        return F.when(bit == 0, F.lit(None).cast(spark_type_)).otherwise(val)
     if on_misfit == "failfast":
         msg = F.concat(
             F.lit(f"Cell does not fit the column type {type_name}: kind "), e["k"], F.lit(" value "),
             F.coalesce(e["s"], e["n"].cast("string"), F.lit("")),
             F.lit("") if where is None else F.concat(F.lit(" at "), where),
         )
-        bad = F.raise_error(msg).cast(spark_type)
+        bad = F.raise_error(msg).cast(spark_type_)
     else:
-        bad = F.lit(None).cast(spark_type)
-    return F.when(bit == 0, F.lit(None).cast(spark_type)).when(fits, val.cast(spark_type)).otherwise(bad)
+        bad = F.lit(None).cast(spark_type_)
+    return F.when(bit == 0, F.lit(None).cast(spark_type_)).when(fits, val.cast(spark_type_)).otherwise(bad)
 
 
 def cell_value(cell: Column, type_name: str, date1904=False, error_pattern: str | None = ERROR_PATTERN,

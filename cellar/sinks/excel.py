@@ -95,7 +95,8 @@ def _fragment_fn(stage: str, table_no: int, group: bool):
             xmls = b.column("__xml").to_pylist()
             for wb, sh, n, x in zip(wbs, sheets, ns, xmls):
                 key = (wb, sh)
-                if key != cur:
+                if key != cur or (first_n is not None and n != first_n + count):
+                    # a new sheet, or a jump in the ordinals (next bucket of this partition)
                     flush()
                     cur = key
                 if first_n is None:

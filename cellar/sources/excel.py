@@ -29,7 +29,8 @@ from pyspark.sql import types as T
 
 from ..functions.address import XLSX_MAX_COLS
 from ..functions.text import ERROR_PATTERN, unique_names
-from ..functions.types import SPARK_TYPES, lattice_name
+from ..functions.types import lattice_name
+from ..functions.types import spark_type as _spark_type
 from ..plans import cells as C
 from .arrowrows import ROWS_DDL, SAMPLE_DDL, RowsBuilder, sample_batch
 from . import ooxml
@@ -714,4 +715,4 @@ def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions) -> Data
 
 
 def spark_type(type_name: str) -> T.DataType:
-    return SPARK_TYPES[type_name]
+    return _spark_type(type_name)
