@@ -35,33 +35,34 @@ def last_used_rows(cells: DataFrame, sheet_col: str = "sheet", row_col: str = "r
     return cells.groupBy(sheet_col).agg(F.max(row_col).alias("last_row"))
 
 
-def append_chain(df: DataFrame, ordinal: str, chain: DataFrame, max_rows: int, header: bool = True) -> DataFrame:
+def append_chain(df: DataFrame, ordinal: str, chain: DataFrame, max_rows: int, header: bool = True,
+                 sheet_col: str = "sheet_no", row_col: str = "row") -> DataFrame:
     """Rows (0-based ``ordinal``) appended over an existing chain of sheets.
 
     ``chain`` = (sheet_no, last_row) for the existing sheets ``name``, ``name (1)``, ... in order.
     Each existing sheet takes ``max_rows - (last_row + 1)`` more rows after its own last row
     (a full sheet is passed over); rows beyond the chain open new sheets with a header.
-    The chain holds one row per existing sheet of one workbook, so it is broadcast (tiny,
-    bounded by the sheets of a workbook) and matched with a range join.
+    The chain holds one row per existing sheet of one workbook (bounded by the sheets a
+    workbook can hold), so it is broadcast and matched with a range join.
     """
     free = F.greatest(F.lit(max_rows) - (F.col("last_row") + 1), F.lit(0))
     w = Window.orderBy("sheet_no").rowsBetween(Window.unboundedPreceding, -1)
-    bounds = chain.select("sheet_no", "last_row", free.alias("free")).withColumn(
-        "lo", F.coalesce(F.sum("free").over(w), F.lit(0))).withColumn("hi", F.col("lo") + F.col("free"))
-    tot = bounds.agg(F.coalesce(F.sum("free"), F.lit(0)).alias("total"),
+    bounds = chain.select("sheet_no", "last_row", free.alias("__free")).withColumn(
+        "__lo", F.coalesce(F.sum("__free").over(w), F.lit(0))).withColumn("__hi", F.col("__lo") + F.col("__free"))
+    tot = bounds.agg(F.coalesce(F.sum("__free"), F.lit(0)).alias("total"),
                      F.coalesce(F.max("sheet_no") + 1, F.lit(0)).alias("k")).collect()[0]
-    b = F.broadcast(bounds.filter(F.col("free") > 0).select(
-        F.col("sheet_no").alias("__s"), F.col("last_row").alias("__last"), "lo", "hi"))
+    b = F.broadcast(bounds.filter(F.col("__free") > 0).select(
+        F.col("sheet_no").alias("__s"), F.col("last_row").alias("__last"), "__lo", "__hi"))
     n = F.col(ordinal)
-    inside = df.join(b, (n >= F.col("lo")) & (n < F.col("hi")), "left")
-    inside = inside.withColumn("total", F.lit(int(tot["total"]))).withColumn("k", F.lit(int(tot["k"])))
+    inside = df.join(b, (n >= F.col("__lo")) & (n < F.col("__hi")), "left")
+    total, k = int(tot["total"]), int(tot["k"])
     cap = max_rows - (1 if header else 0)
-    beyond = n - F.col("total")
+    beyond = n - F.lit(total)
     res = inside.withColumn(
-        "sheet_no", F.when(F.col("__s").isNotNull(), F.col("__s")).otherwise(
-            F.col("k") + (beyond / cap).cast("long"))
+        sheet_col, F.when(F.col("__s").isNotNull(), F.col("__s")).otherwise(
+            F.lit(k) + (beyond / cap).cast("long")).cast("long")
     ).withColumn(
-        "row", F.when(F.col("__s").isNotNull(), F.col("__last") + 1 + (n - F.col("lo"))).otherwise(
-            beyond % cap + (1 if header else 0))
+        row_col, F.when(F.col("__s").isNotNull(), F.col("__last") + 1 + (n - F.col("__lo"))).otherwise(
+            beyond % cap + (1 if header else 0)).cast("long")
     )
-    return res.drop("__s", "__last", "lo", "hi", "total", "k")
+    return res.drop("__s", "__last", "__lo", "__hi")

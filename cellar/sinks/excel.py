@@ -32,7 +32,7 @@ from ..functions.text import ILLEGAL_SHEET_CHARS, MAX_SHEET_NAME
 from ..operators.ordinal import stable_partitions, with_ordinals
 from ..session import scratch_dir
 from . import fsio, parts
-from .render import check_types, header_xml, row_xml
+from .render import check_types, header_xml, row_xml, xml_escape_py
 from .zipout import ZipWriter, deflate_fragment
 
 FRAGMENT_BYTES = 8 << 20  # raw XML per fragment before it is deflated and stored
@@ -125,6 +125,8 @@ def _commit_fn(spec: dict):
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         wb = pdf["wb"].iloc[0]
+        if spec.get("layout"):
+            return _commit_into_existing(spec, pdf)
         target = spec["path"] if not spec.get("group") else spec["folder"].rstrip("/") + "/" + _file_for(wb)
         tables = spec["tables"]
         sheets = []  # (sheet name, table_no, sheet_no)
@@ -178,7 +180,8 @@ def _file_for(key: str) -> str:
 
 
 def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, max_rows: int, max_cols: int,
-                   row_key: str | None, group: str | None, autosize: bool):
+                   row_key: str | None, group: str | None, autosize: bool, chain: list[int] | None = None,
+                   styles: tuple[int, int, int] = (1, 2, 3)):
     validate_sheet_name(sheet)
     data_cols = [f for f in df.schema.fields if f.name != group]
     schema = T.StructType(data_cols)
@@ -187,10 +190,18 @@ def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, m
     check_types(schema)
     staged = stable_partitions(df, order_by, group)
     numbered = with_ordinals(staged, "__n", group)
-    cap = max_rows - (1 if header else 0)
-    row0 = (F.col("__n") % cap) + (1 if header else 0)
-    cols = [F.col("__n"), (F.col("__n") / cap).cast("long").alias("__sheet"),
-            row_xml(schema, row0, missing, row_key).alias("__xml")]
+    if chain:
+        # Append after the last used row of each existing sheet of the chain
+        from ..operators.layout import append_chain
+
+        chain_df = df.sparkSession.createDataFrame([(i, last) for i, last in enumerate(chain)],
+                                                   "sheet_no long, last_row long")
+        numbered = append_chain(numbered, "__n", chain_df, max_rows, header, "__sheet_no", "__row")
+        sheet_col, row0 = F.col("__sheet_no"), F.col("__row")
+    else:
+        cap = max_rows - (1 if header else 0)
+        sheet_col, row0 = (F.col("__n") / cap).cast("long"), (F.col("__n") % cap) + (1 if header else 0)
+    cols = [F.col("__n"), sheet_col.alias("__sheet"), row_xml(schema, row0, missing, row_key, styles).alias("__xml")]
     if group:
         cols.insert(0, F.col(group).cast("string").alias("__wb"))
     names = [f.name for f in schema.fields]
@@ -199,7 +210,8 @@ def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, m
     widths = None
     if autosize:
         widths = column_widths(staged.select(*[f.name for f in schema.fields]), names, header)
-    return numbered.select(*cols), {"sheet": sheet, "names": names, "header": header, "widths": widths}
+    return numbered.select(*cols), {"sheet": sheet, "names": names, "header": header, "widths": widths,
+                                    "chain": len(chain or [])}
 
 
 def column_widths(df: DataFrame, names: list[str], header: bool) -> list[float]:
@@ -217,9 +229,14 @@ def column_widths(df: DataFrame, names: list[str], header: bool) -> list[float]:
 
 def write_excel(tables, path: str, order_by=None, header: bool = True, missing: str | None = None,
                 fmt: str = "xlsx", row_key: str | None = None, mode: str = "overwrite", autosize: bool = False,
-                orientation: str | None = None, paper: str | None = None, max_rows: int | None = None) -> DataFrame:
+                orientation: str | None = None, paper: str | None = None, max_rows: int | None = None,
+                sheet_exists: str = "fail") -> DataFrame:
     """Write one or more DataFrames to one workbook, one sheet each (split by capacity).
 
+    ``mode`` (file exists, N4): "overwrite", "errorifexists" or "append" (write into the
+    existing workbook); ``sheet_exists`` (N3, with append): "fail", "overwrite" (replace the
+    sheet in place) or "append" (after its last used row, over its continuation sheets).
+
     ``tables`` is a DataFrame (sheet ``default_1``) or a dict / list of (sheet name, DataFrame).
     ``order_by`` gives the row order (a DataFrame has none of its own). Returns a one-row
     DataFrame (wb, path, sheets, rows) after the commit.
@@ -235,19 +252,40 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
         raise ValueError("The binary xls format is not supported for writing (see README); use xlsx.")
     cap_rows = max_rows or XLSX_MAX_ROWS
     spark = tables[0][1].sparkSession
+    layout = None
+    if fsio.exists(path):
+        if mode == "errorifexists":
+            raise FileExistsError(f"The file '{path}' exists.")
+        if mode == "append":
+            from .existing import workbook_layout
+
+            layout = workbook_layout(spark, path)
     stage = scratch_dir(spark, "xlsx-stage")
+    styles = (1, 2, 3) if layout is None else (layout["n_xf"], layout["n_xf"] + 1, layout["n_xf"] + 2)
+    existing = {s["name"]: s for s in layout["sheets"]} if layout else {}
     frags = []
     specs = []
     for t_no, (sheet, df) in enumerate(tables):
         ob = order_by.get(sheet) if isinstance(order_by, dict) else order_by
+        chain = []
+        if sheet in existing:
+            if sheet_exists == "fail":
+                raise ValueError(f"The sheet '{sheet}' exists in '{path}'.")
+            if sheet_exists == "append":
+                i = 0
+                while (sheet if i == 0 else f"{sheet} ({i})") in existing:
+                    chain.append(existing[sheet if i == 0 else f"{sheet} ({i})"]["last_row"])
+                    i += 1
         rendered, spec = _prepare_table(df, sheet, ob, header, missing, cap_rows, XLSX_MAX_COLS, row_key, None,
-                                        autosize)
+                                        autosize, chain, styles)
+        spec["action"] = "append" if chain else ("replace" if sheet in existing else "new")
         frags.append(rendered.mapInArrow(_fragment_fn(stage, t_no, False), _FRAG_DDL))
         specs.append(spec)
     meta = frags[0]
     for f in frags[1:]:
         meta = meta.unionByName(f)
-    spec = {"path": path, "tables": specs, "mode": mode, "orientation": orientation, "paper": paper}
+    spec = {"path": path, "tables": specs, "mode": mode, "orientation": orientation, "paper": paper,
+            "layout": layout}
     # the commit sees fragment descriptors only (one per sheet part), never rows
     placeholder = meta.sparkSession.createDataFrame(
         [("", t_no, 0, 0, 0, None, 0, 0, 0) for t_no in range(len(specs))], _FRAG_DDL)
@@ -288,3 +326,97 @@ def sheets_needed(n_rows: int, header: bool = True, max_rows: int = XLSX_MAX_ROW
 
 __all__ = ["write_excel", "write_excel_by_key", "sheets_needed", "column_widths", "validate_sheet_name",
            "continuation_name", "XLS_MAX_ROWS", "XLS_MAX_COLS", "json"]
+
+
+def _commit_into_existing(spec: dict, pdf: pd.DataFrame) -> pd.DataFrame:
+    """N3/N4 append: rebuild the workbook around the new fragments (one task, byte copies)."""
+    import zipfile
+
+    from . import existing as EX
+
+    path = spec["path"]
+    layout = spec["layout"]
+    tables = spec["tables"]
+    src = zipfile.ZipFile(fsio.open_input_file(path))
+    by_name = {s["name"]: s for s in layout["sheets"]}
+    actions: dict[str, tuple] = {}  # existing part -> (action, t_no, s_no)
+    new_sheets = []  # (name, t_no, s_no)
+    for t_no, t in enumerate(tables):
+        rows_t = pdf[(pdf["table_no"] == t_no) & pdf["file"].notna()]
+        n_sheets = int(rows_t["sheet_no"].max()) + 1 if len(rows_t) else 1
+        for s_no in range(n_sheets):
+            name = t["sheet"] if s_no == 0 else continuation_name(t["sheet"], s_no)
+            if name in by_name and (t["action"] == "replace" or s_no < t["chain"]):
+                actions[by_name[name]["part"]] = ("append" if s_no < t["chain"] else "replace", t_no, s_no)
+            elif name in by_name:
+                actions[by_name[name]["part"]] = ("replace", t_no, s_no)
+            else:
+                new_sheets.append((name, t_no, s_no))
+
+    def fragments(t_no, s_no):
+        frs = pdf[(pdf["table_no"] == t_no) & (pdf["sheet_no"] == s_no) & pdf["file"].notna()].sort_values("first_n")
+        return [(_reader(r["file"]), int(r["crc"]) & 0xFFFFFFFF, int(r["raw"]), int(r["comp"]))
+                for _, r in frs.iterrows()]
+
+    def new_sheet_pieces(t_no, s_no, with_header=True):
+        t = tables[t_no]
+        head = parts.sheet_head(t.get("widths")) + (header_xml(t["names"], 0) if (t["header"] and with_header)
+                                                    else "")
+        tail = parts.sheet_tail(spec.get("orientation"), spec.get("paper"))
+        tc, tcrc, traw = deflate_fragment(tail.encode())
+        hc, hcrc, hraw = deflate_fragment(head.encode())
+        return [(hc, hcrc, hraw, len(hc))] + fragments(t_no, s_no) + [(tc, tcrc, traw, len(tc))]
+
+    wb_part = next((s for s in src.namelist() if s.lower().endswith("workbook.xml") and "/" in s), "xl/workbook.xml")
+    folder = wb_part.rsplit("/", 1)[0]
+    rels_part = f"{folder}/_rels/{wb_part.rsplit('/', 1)[1]}.rels"
+    wb_xml = src.read(wb_part)
+    max_id = max([int(x) for x in re.findall(rb'sheetId="(\d+)"', wb_xml)] + [0])
+    add_sheets, add_rels, add_types = "", "", ""
+    new_parts = []
+    for k, (name, t_no, s_no) in enumerate(new_sheets):
+        part = f"{folder}/worksheets/cellar_sheet{k + 1}.xml"
+        new_parts.append((part, t_no, s_no))
+        add_sheets += f'<sheet name="{xml_escape_py(name)}" sheetId="{max_id + k + 1}" r:id="rIdCellar{k + 1}"/>'
+        add_rels += (f'<Relationship Id="rIdCellar{k + 1}" Type="http://schemas.openxmlformats.org/officeDocument/'
+                     f'2006/relationships/worksheet" Target="worksheets/cellar_sheet{k + 1}.xml"/>')
+        add_types += (f'<Override PartName="/{part}" ContentType="application/vnd.openxmlformats-officedocument.'
+                      'spreadsheetml.worksheet+xml"/>')
+    tmp = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
+    with fsio.open_output(tmp) as fh:
+        z = ZipWriter(fh)
+        for info in src.infolist():
+            name = info.filename
+            if name == "[Content_Types].xml":
+                data = src.read(name).replace(b"</Types>", add_types.encode() + b"</Types>")
+                z.add_bytes(name, data)
+            elif name == wb_part:
+                if not re.search(rb'xmlns:r="', wb_xml):
+                    raise ValueError("workbook without the relationships namespace")
+                z.add_bytes(name, re.sub(rb"</((?:[A-Za-z_][\w.-]*:)?)sheets>",
+                                         lambda m: add_sheets.encode() + m.group(0), wb_xml, count=1))
+            elif name == rels_part:
+                z.add_bytes(name, src.read(name).replace(b"</Relationships>", add_rels.encode() + b"</Relationships>"))
+            elif name.lower().endswith("styles.xml") and name.startswith(folder):
+                z.add_bytes(name, EX.extend_styles(src.read(name), layout["max_fmt"],
+                                                   [parts.FORMAT_DATE, parts.FORMAT_DATETIME, parts.FORMAT_TIME]))
+            elif name in actions:
+                action, t_no, s_no = actions[name]
+                if action == "replace":
+                    z.add_pieces(name, new_sheet_pieces(t_no, s_no))
+                else:
+                    head, tail = EX.split_sheet(src.read(name))
+                    hc = EX._deflated(head)
+                    tc = EX._deflated(tail)
+                    z.add_pieces(name, [hc] + fragments(t_no, s_no) + [tc])
+            else:
+                z.add_bytes(name, src.read(name))
+        for part, t_no, s_no in new_parts:
+            z.add_pieces(part, new_sheet_pieces(t_no, s_no))
+        z.close()
+    src.close()
+    fsio.delete_file(path)
+    fsio.move(tmp, path)
+    rows = int(pdf["n_rows"].fillna(0).sum())
+    return pd.DataFrame({"wb": [""], "path": [path], "sheets": [len(layout["sheets"]) + len(new_sheets)],
+                         "rows": [rows]})

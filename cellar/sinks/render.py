@@ -42,8 +42,10 @@ def _text_cell(ref: Column, text: Column) -> Column:
                     F.lit("</t></is></c>"))
 
 
-def cell_xml(c: Column, dtype: T.DataType, ref: Column, missing: str | None, name: str = "") -> Column:
+def cell_xml(c: Column, dtype: T.DataType, ref: Column, missing: str | None, name: str = "",
+             styles: tuple[int, int, int] = (STYLE_DATE, STYLE_DATETIME, STYLE_TIME)) -> Column:
     """One cell by Spark type (first match wins); NULL -> missing pattern or no cell."""
+    s_date, s_dt, s_time = styles
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)):
         body = F.concat(F.lit('<c r="'), ref, F.lit('"><v>'), c.cast("string"), F.lit("</v></c>"))
     elif isinstance(dtype, (T.FloatType, T.DoubleType)):
@@ -56,10 +58,10 @@ def cell_xml(c: Column, dtype: T.DataType, ref: Column, missing: str | None, nam
         body = F.concat(F.lit('<c r="'), ref, F.lit('" t="b"><v>'), F.when(c, F.lit("1")).otherwise(F.lit("0")),
                         F.lit("</v></c>"))
     elif isinstance(dtype, T.DateType):
-        body = F.concat(F.lit('<c r="'), ref, F.lit(f'" s="{STYLE_DATE}"><v>'),
+        body = F.concat(F.lit('<c r="'), ref, F.lit(f'" s="{s_date}"><v>'),
                         datetime_to_serial(c).cast("string"), F.lit("</v></c>"))
     elif isinstance(dtype, T.TimestampNTZType):
-        body = F.concat(F.lit('<c r="'), ref, F.lit(f'" s="{STYLE_DATETIME}"><v>'),
+        body = F.concat(F.lit('<c r="'), ref, F.lit(f'" s="{s_dt}"><v>'),
                         datetime_to_serial(c).cast("string"), F.lit("</v></c>"))
     elif isinstance(dtype, T.TimestampType):
         # zoned date-time: written as text in the session time zone
@@ -71,7 +73,7 @@ def cell_xml(c: Column, dtype: T.DataType, ref: Column, missing: str | None, nam
     elif hasattr(T, "TimeType") and isinstance(dtype, T.TimeType):
         secs = F.date_part(F.lit("SECOND"), c)
         frac = ((F.hour(c) * 60.0 + F.minute(c)) * 60.0 + secs.cast("double")) / 86400.0
-        body = F.concat(F.lit('<c r="'), ref, F.lit(f'" s="{STYLE_TIME}"><v>'), frac.cast("string"),
+        body = F.concat(F.lit('<c r="'), ref, F.lit(f'" s="{s_time}"><v>'), frac.cast("string"),
                         F.lit("</v></c>"))
     else:
         raise UnsupportedColumn(f"Column '{name}' has the unsupported type {dtype.simpleString()}")
@@ -84,7 +86,8 @@ def check_types(schema: T.StructType) -> None:
         cell_xml(F.col(f"`{f.name}`"), f.dataType, F.lit("A1"), None, f.name)
 
 
-def row_xml(schema: T.StructType, row0: Column, missing: str | None, row_key: str | None = None) -> Column:
+def row_xml(schema: T.StructType, row0: Column, missing: str | None, row_key: str | None = None,
+            styles: tuple[int, int, int] = (STYLE_DATE, STYLE_DATETIME, STYLE_TIME)) -> Column:
     """``<row r="n">`` + cells; ``row0`` is the 0-based sheet row."""
     from ..sources.excel import col_label_py
 
@@ -96,7 +99,7 @@ def row_xml(schema: T.StructType, row0: Column, missing: str | None, row_key: st
         fields = [f for f in fields if f.name == row_key] + [f for f in fields if f.name != row_key]
     for f in fields:
         ref = F.concat(F.lit(col_label_py(j)), rn)
-        parts.append(cell_xml(F.col(f"`{f.name}`"), f.dataType, ref, missing, f.name))
+        parts.append(cell_xml(F.col(f"`{f.name}`"), f.dataType, ref, missing, f.name, styles))
         j += 1
     parts.append(F.lit("</row>"))
     return F.concat(*parts)

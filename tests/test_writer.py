@@ -100,3 +100,28 @@ def test_autosize_and_page_setup(spark, tmp):
     with zipfile.ZipFile(p) as z:
         xml = z.read("xl/worksheets/sheet1.xml").decode()
     assert '<col min="1" max="1" width="21.00"' in xml and 'orientation="landscape"' in xml and 'paperSize="9"' in xml
+
+
+def test_write_into_existing_workbook(spark, tmp):
+    p = os.path.join(tmp, "book.xlsx")
+    first = spark.range(0, 8).select(F.col("id").alias("k"))
+    write_excel({"data": first, "other": spark.range(2).select(F.col("id").alias("z"))}, p, order_by=["id"]
+                if False else {"data": ["k"], "other": ["z"]}, max_rows=10)
+    with pytest.raises(FileExistsError):
+        write_excel({"x": first}, p, mode="errorifexists")
+    with pytest.raises(ValueError):
+        write_excel({"data": first}, p, mode="append", sheet_exists="fail")
+    more = spark.range(8, 20).select(F.col("id").alias("k"))
+    write_excel({"data": more, "fresh": spark.range(3).select(F.col("id").alias("q"))}, p,
+                order_by={"data": ["k"], "fresh": ["q"]}, mode="append", sheet_exists="append", max_rows=10)
+    names = [r["Sheet"] for r in list_sheets(spark, p).orderBy("sheet_pos").collect()]
+    assert names == ["data", "other", "data (1)", "data (2)", "fresh"]
+    # the first sheet had rows 1..8 (header at 0): one more row fits, then continuation sheets
+    got = [r["k"] for i in (0, 2, 3) for r in read_excel(spark, p, sheet=i).collect()]
+    assert got == list(range(20))
+    assert read_excel(spark, p, sheet="fresh").count() == 3
+    write_excel({"other": spark.range(5).select(F.col("id").alias("w"))}, p, order_by=["w"], mode="append",
+                sheet_exists="overwrite")
+    assert read_excel(spark, p, sheet="other").columns == ["w"]
+    with zipfile.ZipFile(p) as z:
+        assert z.testzip() is None
