@@ -741,6 +741,52 @@ FROM customer GROUP BY c_mktsegment
 """
 
 
+def q_append_workbook(spark, sf):
+    """N3 + N4 + W8 + N6: customer written to a sheet of 1000 rows per sheet, then appended again
+    into the same workbook; every sheet of the chain is read back (S9)."""
+    path = scratch_dir(spark, "append") + "/customer.xlsx"
+    cust = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    write_excel({"c": cust}, path, order_by=["c_custkey"], max_rows=1000)
+    write_excel({"c": cust}, path, order_by=["c_custkey"], max_rows=1000, mode="append", sheet_exists="append")
+    n_sheets = list_sheets(spark, path).count()  # one small row per sheet
+    parts = [read_excel(spark, path, sheet=i) for i in range(n_sheets)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy(F.col("c_custkey").cast("long").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("copies"), F.round(F.sum("c_acctbal"), 2).alias("acctbal"))
+
+
+SQL_APPEND_WORKBOOK = """
+SELECT c_custkey, CAST(2 AS BIGINT) AS copies, round(2 * c_acctbal, 2) AS acctbal FROM customer
+"""
+
+
+def q_update_workbook(spark, sf):
+    """N10 + J1/J2: orders written to a workbook (row of order k = k + 2, keys are 0..n-1), every
+    lineitem patches the priority cell of its order (last write wins in the total order)."""
+    from cellar.sinks.excel import update_workbook
+
+    folder = scratch_dir(spark, "update")
+    src, out = folder + "/orders.xlsx", folder + "/orders_updated.xlsx"
+    write_excel({"orders": _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority")}, src,
+                order_by=["o_orderkey"])
+    li = with_ordinals(stable_partitions(_t(spark, sf, "lineitem"), LI_ORDER), "__seq")
+    patches = li.select(F.concat(F.lit("B"), (F.col("l_orderkey") + 2).cast("string")).alias("address"),
+                        F.col("l_returnflag").alias("flag"), F.col("__seq").alias("seq"))
+    update_workbook(spark, src, patches, out, address_col="address", seq_col="seq")
+    back = read_excel(spark, out)
+    return back.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderpriority")
+
+
+SQL_UPDATE_WORKBOOK = f"""
+WITH li AS (SELECT *, row_number() OVER (ORDER BY {LI_ORDER_SQL}) AS seq FROM lineitem),
+p AS (SELECT l_orderkey, arg_max(l_returnflag, seq) AS flag FROM li GROUP BY l_orderkey)
+SELECT o.o_orderkey, coalesce(p.flag, o.o_orderpriority) AS o_orderpriority
+FROM orders o LEFT JOIN p ON p.l_orderkey = o.o_orderkey
+"""
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -777,6 +823,8 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "roundtrip_orders_split": (q_roundtrip_orders_split, SQL_ROUNDTRIP_ORDERS_SPLIT),
     "read_range": (q_read_range, SQL_READ_RANGE),
     "stream_workbooks": (q_stream_workbooks, SQL_STREAM_WORKBOOKS),
+    "append_workbook": (q_append_workbook, SQL_APPEND_WORKBOOK),
+    "update_workbook": (q_update_workbook, SQL_UPDATE_WORKBOOK),
 }
 
 

@@ -58,7 +58,13 @@ def continuation_name(name: str, i: int) -> str:
     return out
 
 
-def _fragment_fn(stage: str, table_no: int, group: bool):
+def _fragment_fn(stage: str, table_no: int | None, group: bool, by_bucket: bool = False):
+    """Deflate runs of consecutive rows into fragment files.
+
+    A run ends at a new (workbook, table, sheet), and where the ordinals jump (dense ordinals)
+    or the bucket changes (``by_bucket``: sparse row numbers, one bucket = one key range).
+    """
+
     def fn(batches):
         buf: list[bytes] = []
         size = 0
@@ -74,10 +80,10 @@ def _fragment_fn(stage: str, table_no: int, group: bool):
                 return
             data = b"".join(buf)
             comp, crc, raw = deflate_fragment(data)
-            fname = f"{stage}/t{table_no}-s{cur[1]}-n{first_n}-{uuid.uuid4().hex[:8]}.bin"
+            fname = f"{stage}/t{cur[2]}-s{cur[1]}-n{first_n}-{uuid.uuid4().hex[:8]}.bin"
             fsio.write_bytes(fname, comp)
             out["wb"].append(cur[0])
-            out["table_no"].append(table_no)
+            out["table_no"].append(cur[2])
             out["sheet_no"].append(cur[1])
             out["first_n"].append(first_n)
             out["n_rows"].append(count)
@@ -93,9 +99,11 @@ def _fragment_fn(stage: str, table_no: int, group: bool):
             sheets = b.column("__sheet").to_pylist()
             ns = b.column("__n").to_pylist()
             xmls = b.column("__xml").to_pylist()
-            for wb, sh, n, x in zip(wbs, sheets, ns, xmls):
-                key = (wb, sh)
-                if key != cur or (first_n is not None and n != first_n + count):
+            tnos = b.column("__t").to_pylist() if table_no is None else [table_no] * b.num_rows
+            bks = b.column("__b").to_pylist() if by_bucket else [0] * b.num_rows
+            for wb, sh, n, x, t, bk in zip(wbs, sheets, ns, xmls, tnos, bks):
+                key = (wb, sh, t, bk)
+                if key != cur or (not by_bucket and first_n is not None and n != first_n + count):
                     # a new sheet, or a jump in the ordinals (next bucket of this partition)
                     flush()
                     cur = key
@@ -420,3 +428,71 @@ def _commit_into_existing(spec: dict, pdf: pd.DataFrame) -> pd.DataFrame:
     rows = int(pdf["n_rows"].fillna(0).sum())
     return pd.DataFrame({"wb": [""], "path": [path], "sheets": [len(layout["sheets"]) + len(new_sheets)],
                          "rows": [rows]})
+
+
+def write_cells(cells: DataFrame, path: str, sheets: list[str] | None = None, mode: str = "overwrite") -> DataFrame:
+    """Long-form cells (sheet, row, col, k, n, s) -> a workbook, one sheet per name.
+
+    Cell XML is rendered by Spark expressions, rows are assembled by a group-by on
+    (sheet, row) -- a row holds at most 16 384 cells -- and written through the same
+    fragment / commit path as ``write_excel`` (sparse rows keep their row numbers).
+    """
+    from ..functions.address import col_label
+    from .render import STYLE_DATETIME, xml_escape
+
+    spark = cells.sparkSession
+    if sheets is None:
+        sheets = [r[0] for r in cells.select("sheet").distinct().orderBy("sheet").collect()]  # names only
+    for name in sheets:
+        validate_sheet_name(name)
+    stage = scratch_dir(spark, "xlsx-stage")
+    ref = F.concat(col_label(F.col("col")), (F.col("row") + 1).cast("string"))
+    k, n, s = F.col("k"), F.col("n"), F.col("s")
+    cell = (
+        F.when(k == "n", F.concat(F.lit('<c r="'), ref, F.lit('"><v>'), n.cast("string"), F.lit("</v></c>")))
+        .when(k == "d", F.concat(F.lit('<c r="'), ref, F.lit(f'" s="{STYLE_DATETIME}"><v>'), n.cast("string"),
+                                 F.lit("</v></c>")))
+        .when(k == "b", F.concat(F.lit('<c r="'), ref, F.lit('" t="b"><v>'),
+                                 F.when(n == 1.0, F.lit("1")).otherwise(F.lit("0")), F.lit("</v></c>")))
+        .when(k == "e", F.concat(F.lit('<c r="'), ref, F.lit('" t="e"><v>'), xml_escape(s), F.lit("</v></c>")))
+        .otherwise(F.concat(F.lit('<c r="'), ref, F.lit('" t="inlineStr"><is><t xml:space="preserve">'),
+                            xml_escape(F.coalesce(s, F.lit(""))), F.lit("</t></is></c>")))
+    )
+    t_no = F.element_at(F.create_map(*[x for i, nm in enumerate(sheets) for x in (F.lit(nm), F.lit(i))]),
+                        F.col("sheet"))
+    rows = cells.select("sheet", "row", "col", cell.alias("__x")).groupBy("sheet", "row").agg(
+        F.sort_array(F.collect_list(F.struct("col", "__x"))).alias("__cs"))
+    rows = rows.select(
+        t_no.alias("__t"), F.col("row").cast("long").alias("__n"), F.lit(0).cast("long").alias("__sheet"),
+        F.concat(F.lit('<row r="'), (F.col("row") + 1).cast("string"), F.lit('">'),
+                 F.array_join(F.transform("__cs", lambda c: c["__x"]), ""), F.lit("</row>")).alias("__xml"))
+    staged = stable_partitions(rows, ["__n"], group="__t")
+    meta = staged.mapInArrow(_fragment_fn(stage, None, False, by_bucket=True), _FRAG_DDL)
+    placeholder = spark.createDataFrame([("", t, 0, 0, 0, None, 0, 0, 0) for t in range(len(sheets))], _FRAG_DDL)
+    spec = {"path": path, "mode": mode,
+            "tables": [{"sheet": nm, "names": [], "header": False, "widths": None} for nm in sheets]}
+    result = meta.unionByName(placeholder).groupBy("wb").applyInPandas(
+        _commit_fn(spec), "wb string, path string, sheets int, rows long")
+    return _materialize(result)
+
+
+def update_workbook(spark, path: str, patches: DataFrame, out_path: str, address_col: str | None = None,
+                    seq_col: str | None = None, missing: str | None = None) -> DataFrame:
+    """N10 + J1-J5: apply addressed patches (column ``sheet`` or the first sheet) to a workbook and
+    write the updated workbook to ``out_path`` (cell values; styles are not carried)."""
+    from ..operators.patch import apply_patches, patches_from_table, require_sheets
+    from ..sources.excel import ReadOptions, list_sheets, read_rows
+
+    names = [r["Sheet"] for r in list_sheets(spark, path).orderBy("sheet_pos").collect()]  # one row per sheet
+    base = None
+    for i, nm in enumerate(names):
+        rows = read_rows(spark, path, ReadOptions(sheet=i, header_row=None, skip_hidden_rows=False,
+                                                  skip_hidden_cols=False, blank_to_missing=False, use15=False))
+        long = rows.select(F.lit(nm).alias("sheet"), F.col("row_idx").alias("row"),
+                           F.explode("cells").alias("col", "c")).select("sheet", "row", "col", "c.k", "c.n", "c.s")
+        base = long if base is None else base.unionByName(long)
+    p = patches_from_table(patches, address_col, sheet=None if "sheet" in patches.columns else names[0],
+                           seq_col=seq_col, missing=missing)
+    sheets_df = spark.createDataFrame([(nm,) for nm in names], "sheet string")
+    require_sheets(p, sheets_df)
+    return write_cells(apply_patches(base, p), out_path, names)

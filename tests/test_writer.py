@@ -125,3 +125,21 @@ def test_write_into_existing_workbook(spark, tmp):
     assert read_excel(spark, p, sheet="other").columns == ["w"]
     with zipfile.ZipFile(p) as z:
         assert z.testzip() is None
+
+
+def test_update_workbook_cells(spark, tmp):
+    from cellar.sinks.excel import update_workbook
+
+    src = os.path.join(tmp, "base.xlsx")
+    write_excel({"Sheet1": spark.range(0, 10).select(F.col("id").alias("n"), F.lit("t").alias("txt"))}, src,
+                order_by=["n"])
+    # the sample of the updater's documentation: text, a number by col:row, and an all-missing row
+    patches = spark.createDataFrame([("A5", "Ok", None), ("5:96", None, 50), ("B3", None, None)],
+                                    "Address string, String string, Integer int")
+    out = os.path.join(tmp, "updated.xlsx")
+    update_workbook(spark, src, patches, out)
+    back = read_excel(spark, out, header_row=None, skip_empty_rows=False).collect()
+    assert back[4]["A"] == "Ok"          # A5 replaced (was 3)
+    assert back[2]["B"] is None          # B3 cleared
+    assert back[95]["E"] == 50           # E96 created
+    assert back[1]["A"] == "0" and back[1]["B"] == "t"
