@@ -787,6 +787,30 @@ FROM orders o LEFT JOIN p ON p.l_orderkey = o.o_orderkey
 """
 
 
+def q_stream_to_workbooks(spark, sf):
+    """The customer table as a file stream; every micro-batch becomes its own workbook
+    (named by batch id, so a re-run batch rewrites its file); the folder is read back."""
+    from cellar.streaming.stream import append_stream_to_workbooks
+
+    folder = scratch_dir(spark, "stream-books")
+    ckpt = scratch_dir(spark, "stream-books-ckpt")
+    schema = _t(spark, sf, "customer").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "customer.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf))
+    q = append_stream_to_workbooks(stream, folder, "customers", ckpt, order_by=["c_custkey"]).trigger(
+        availableNow=True).start()
+    q.awaitTermination()
+    back = read_excel(spark, folder)
+    return back.groupBy(F.col("c_mktsegment").alias("segment")).agg(
+        F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("acctbal"))
+
+
+SQL_STREAM_TO_WORKBOOKS = """
+SELECT c_mktsegment AS segment, count(*) AS customers, round(sum(c_acctbal), 2) AS acctbal
+FROM customer GROUP BY c_mktsegment
+"""
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -825,6 +849,7 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "stream_workbooks": (q_stream_workbooks, SQL_STREAM_WORKBOOKS),
     "append_workbook": (q_append_workbook, SQL_APPEND_WORKBOOK),
     "update_workbook": (q_update_workbook, SQL_UPDATE_WORKBOOK),
+    "stream_to_workbooks": (q_stream_to_workbooks, SQL_STREAM_TO_WORKBOOKS),
 }
 
 
