@@ -375,6 +375,12 @@ class _Tokens:
         self.t = re.compile(rb"<" + p + rb"t(?:\s[^>]*)?>([^<]*(?:<(?!/" + p + rb"t>)[^<]*)*)</" + p + rb"t>")
         self.rph = re.compile(rb"<" + p + rb"rPh\b.*?</" + p + rb"rPh>", re.S)
         self.end = re.compile(rb"</" + p + rb"sheetData>")
+        # canonical cells only (attributes r, s, t in this order; value or inline text)
+        self.fast = re.compile(
+            rb"<" + p + rb"c r=\"([A-Z]{1,3})\d+\"(?: s=\"(\d+)\")?(?: t=\"(\w+)\")?(?:/>|>(?:<" + p + rb"v>([^<]*)</"
+            + p + rb"v>|<" + p + rb"is><" + p + rb"t(?: xml:space=\"preserve\")?>([^<]*)</" + p + rb"t></" + p
+            + rb"is>)?</" + p + rb"c>)")
+        self.c_tags = (b"<" + prefix + b"c ", b"<" + prefix + b"c>", b"<" + prefix + b"c/")
         self.v_open, self.v_close = b"<" + prefix + b"v>", b"</" + prefix + b"v>"
         cls._cache[prefix] = self
         return self
@@ -486,7 +492,7 @@ def scan_sheet(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, opts: ScanOpt
         pos = start_at
         end_m = tok.end.search(buf, start_at)
         limit = end_m.start() if end_m else len(buf)
-        cell_re, v_re = tok.cell, tok.v
+        cell_re, v_re, fast_re, c_tags = tok.cell, tok.v, tok.fast, tok.c_tags
         v_open, v_close = tok.v_open, tok.v_close
         lv_open, lv_close = len(v_open), -len(v_close)
         for rm in tok.row.finditer(buf, start_at, limit):
@@ -505,7 +511,70 @@ def scan_sheet(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, opts: ScanOpt
             cells = []
             rowid = None
             body = rm.group(2)
+            fast = None
             if body:
+                fast = fast_re.findall(body)
+                if len(fast) != body.count(c_tags[0]) + body.count(c_tags[1]) + body.count(c_tags[2]):
+                    fast = None
+            if fast is not None:
+                cur_col = -1
+                for letters, s_, ty, v, itext in fast:
+                    col = _COL_CACHE.get(letters)
+                    if col is None:
+                        col = _col_of(letters)
+                    if col <= cur_col:
+                        raise CorruptWorkbook(
+                            f'Unexpected cell reference "{letters.decode()}" which references already processed '
+                            f'column index "{cur_col}".')
+                    cur_col = col
+                    is_rowid = rowid_col is not None and col == rowid_col
+                    if not is_rowid:
+                        if col < first_col or (last_col is not None and col > last_col):
+                            continue
+                        if skip_hidden_cols and col in hidden_cols:
+                            continue
+                    cell = None
+                    if not ty or ty == b"n":
+                        if v:
+                            x = float(v)
+                            si = int(s_) if s_ else 0
+                            if si < n_styles and style_kind[si] == "d":
+                                cell = (col, "d", x, None)
+                            else:
+                                if use15 and len(v) > 15:
+                                    x = round15_value(x)
+                                conv = style_bool.get(si) if (x == 0.0 or x == 1.0) else None
+                                bv = conv(x) if conv is not None else None
+                                cell = (col, "n", x, None) if bv is None else (col, "b", 1.0 if bv else 0.0, None)
+                    elif ty == b"inlineStr":
+                        txt = _unescape(itext.decode("utf-8")) if itext else ""
+                        if not (blank_to_missing and blank(txt)):
+                            cell = (col, "s", None, txt)
+                    elif ty == b"s":
+                        if v and v.strip():
+                            txt = sst[int(v)]
+                            if not (blank_to_missing and blank(txt)):
+                                cell = (col, "s", None, txt)
+                    elif ty == b"str":
+                        txt = _unescape(v.decode("utf-8")) if v else ""
+                        if not (blank_to_missing and blank(txt)):
+                            cell = (col, "s", None, txt)
+                    elif ty == b"b":
+                        if v:
+                            cell = (col, "b", 0.0 if v.strip()[:1] == b"0" else 1.0, None)
+                    elif ty == b"e":
+                        if not error_as_missing:
+                            cell = (col, "e", None, _unescape(v.decode("utf-8")) if v else "")
+                    elif ty == b"d":
+                        if v:
+                            cell = (col, "d", _iso_to_serial(v.decode(), date1904), None)
+                    if cell is None:
+                        continue
+                    if is_rowid:
+                        rowid = cell
+                    else:
+                        cells.append(cell)
+            elif body:
                 cur_col = -1
                 for cm in cell_re.finditer(body):
                     ca, cbody = cm.groups()
