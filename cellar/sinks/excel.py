@@ -196,7 +196,12 @@ def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, m
     if len(schema.fields) > max_cols:
         raise ValueError(f"The table has {len(schema.fields)} columns; a sheet holds at most {max_cols}.")
     check_types(schema)
-    staged = stable_partitions(df, order_by, group)
+    # cached between the counts job and the render job (one shuffle instead of two); a lost
+    # block is recomputed from fixed bucket bounds, so contents and counts stay the same
+    from pyspark import StorageLevel
+
+    staged = stable_partitions(df, order_by, group).persist(StorageLevel.MEMORY_AND_DISK)
+    _CACHED.append(staged)
     numbered = with_ordinals(staged, "__n", group)
     if chain:
         # Append after the last used row of each existing sheet of the chain
@@ -320,9 +325,16 @@ def write_excel_by_key(df: DataFrame, key: str, folder: str, sheet: str = "defau
     return _materialize(result)
 
 
+_CACHED: list = []
+
+
 def _materialize(result: DataFrame) -> DataFrame:
     """Run the commit once and return its (small) report as a DataFrame."""
-    rows = result.collect()
+    try:
+        rows = result.collect()
+    finally:
+        while _CACHED:
+            _CACHED.pop().unpersist()
     return result.sparkSession.createDataFrame(rows, "wb string, path string, sheets int, rows long")
 
 
