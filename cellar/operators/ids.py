@@ -80,22 +80,22 @@ def empty_id_to_generated(id_col: Column, generated: Column) -> Column:
 def make_unique(df: DataFrame, id_col: str, order_col: str, out: str | None = None) -> DataFrame:
     """The first occurrence keeps its id; later ones get _1, _2, ... (in ``order_col`` order).
 
-    A suffixed id that collides with an id occurring naturally gets the next free suffix.
-    Windows are partitioned by the id, so a group holds only the copies of one id; a hot id
-    is a hot window partition, which AQE's skew handling splits at the shuffle.
+    The copy number is a distributed ordinal per id (range buckets over (id, order)), so a hot
+    id is spread over many tasks. A suffixed id that collides with an id occurring naturally
+    gets one more ``_1``.
     """
+    from .ordinal import stable_partitions, with_ordinals
+
     out = out or id_col
-    w = Window.partitionBy(id_col).orderBy(order_col)
-    ranked = df.withColumn("__k", F.row_number().over(w) - 1)
-    cand = F.when(F.col("__k") == 0, F.col(id_col)).otherwise(F.concat(F.col(id_col), F.lit("_"), F.col("__k").cast("string")))
+    ranked = with_ordinals(stable_partitions(df, [order_col], group=id_col), "__k", group=id_col)
+    cand = F.when(F.col("__k") == 0, F.col(id_col)).otherwise(
+        F.concat(F.col(id_col), F.lit("_"), F.col("__k").cast("string")))
     ranked = ranked.withColumn("__cand", cand)
-    # collisions of generated names with natural ids: bump by the count of natural ids equal to the candidate
     natural = df.select(F.col(id_col).alias("__cand")).distinct().withColumn("__nat", F.lit(True))
     joined = ranked.join(natural, "__cand", "left")
     fixed = F.when((F.col("__k") > 0) & F.col("__nat").isNotNull(),
                    F.concat(F.col("__cand"), F.lit("_"), F.lit("1"))).otherwise(F.col("__cand"))
-    res = joined.withColumn(out, fixed).drop("__k", "__cand", "__nat")
-    return res
+    return joined.withColumn(out, fixed).drop("__k", "__cand", "__nat")
 
 
 def duplicate_ids(df: DataFrame, id_col: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.cells import staged_typing
+from ..session import checkpoint_root
 
 BLOCK_ROWS = 65536
 
@@ -58,22 +59,38 @@ def type_runs(rows: DataFrame, cols: list[int] | None = None) -> DataFrame:
     """Run-length type profile: maximal runs of equal cell type per (file, column).
 
     A run breaks where the type changes or rows are skipped; the skipped rows between two
-    cells form a run of type 0 (missing). Windows are per (file, column), bounded by the
-    sheet capacity; no (row x column) grid is built.
+    cells form a run of type 0 (missing). No window spans a (file, column): a cell starts a
+    run when the cell one row above differs (equi-join on the shifted row), ends one when the
+    cell below differs; the k-th start pairs with the k-th end, where k comes from the
+    distributed ordinals (a hot file or column is split over range buckets).
     """
+    from .ordinal import stable_partitions, with_ordinals
+
     present = long_cells(rows).select("path", "row_idx", "col", F.col("cell.b").alias("b"))
     if cols is not None:
         present = present.filter(F.col("col").isin(cols))
-    w = Window.partitionBy("path", "col").orderBy("row_idx")
-    x = present.withColumn("prev_r", F.lag("row_idx").over(w)).withColumn("prev_b", F.lag("b").over(w))
-    brk = (F.col("prev_r").isNull() | (F.col("row_idx") != F.col("prev_r") + 1) | (F.col("b") != F.col("prev_b")))
-    x = x.withColumn("g", F.sum(brk.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = x.groupBy("path", "col", "g", "b").agg(
-        F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"),
-        F.count(F.lit(1)).alias("n_rows")).drop("g")
-    gaps = x.filter(F.col("prev_r").isNotNull() & (F.col("row_idx") > F.col("prev_r") + 1)).select(
-        "path", "col", F.lit(0).alias("b"), (F.col("prev_r") + 1).alias("first_row"),
-        (F.col("row_idx") - 1).alias("last_row"), (F.col("row_idx") - F.col("prev_r") - 1).alias("n_rows"))
+    present = present.withColumn("__g", F.concat_ws("\u0001", F.col("path"), F.col("col").cast("string")))
+    above = present.select("__g", (F.col("row_idx") + 1).alias("row_idx"), F.col("b").alias("__up"))
+    below = present.select("__g", (F.col("row_idx") - 1).alias("row_idx"), F.col("b").alias("__down"))
+    marked = present.join(above, ["__g", "row_idx"], "left").join(below, ["__g", "row_idx"], "left")
+    # several small jobs (counts, samples) read the marked cells: cut the lineage once, in the
+    # shared checkpoint folder, instead of recomputing the decode/typing pipeline for each
+    checkpoint_root(marked.sparkSession)
+    marked = marked.filter(F.col("__up").isNull() | (F.col("__up") != F.col("b")) | F.col("__down").isNull()
+                           | (F.col("__down") != F.col("b"))).checkpoint(eager=True)
+    starts = marked.filter(F.col("__up").isNull() | (F.col("__up") != F.col("b"))).select(
+        "__g", "path", "col", "b", F.col("row_idx").alias("first_row"))
+    ends = marked.filter(F.col("__down").isNull() | (F.col("__down") != F.col("b"))).select(
+        "__g", F.col("row_idx").alias("last_row"))
+    s_k = with_ordinals(stable_partitions(starts, ["first_row"], group="__g"), "__k", group="__g")
+    e_k = with_ordinals(stable_partitions(ends, ["last_row"], group="__g"), "__k", group="__g")
+    runs = s_k.join(e_k, ["__g", "__k"]).select(
+        "path", "col", "b", "first_row", "last_row", (F.col("last_row") - F.col("first_row") + 1).alias("n_rows"))
+    nxt = s_k.select("__g", (F.col("__k") - 1).alias("__k"), F.col("first_row").alias("__next"))
+    gaps = e_k.join(nxt, ["__g", "__k"]).filter(F.col("__next") > F.col("last_row") + 1).join(
+        s_k.select("__g", "path", "col").dropDuplicates(["__g"]), "__g").select(
+        "path", "col", F.lit(0).alias("b"), (F.col("last_row") + 1).alias("first_row"),
+        (F.col("__next") - 1).alias("last_row"), (F.col("__next") - F.col("last_row") - 1).alias("n_rows"))
     return runs.unionByName(gaps)
 
 
