@@ -2,27 +2,23 @@
 
 Ordinals over (file, seq) come from per-file row counts: ``seq`` is the dense data-row
 number the decoding task assigns within its file, so the global ordinal is the file's
-offset (a running sum over the small one-row-per-file table) plus ``seq``. No window
-ever spans the data rows.
+offset (a prefix sum over the one-row-per-file table, itself spread over range buckets)
+plus ``seq``. No window spans the data rows or the whole file list.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordinal import BROADCAST_OFFSETS_MAX
+from .ordinal import BROADCAST_OFFSETS_MAX, prefix_sum
 
 
 def file_offsets(df: DataFrame, file_col: str, seq_col: str, order_col: str | None = None) -> DataFrame:
     """(file, offset): rows of earlier files (in ``order_col`` or file order) before this file."""
-    order = order_col or file_col
     per_file = df.groupBy(file_col).agg(
         (F.max(seq_col) + 1).alias("__rows"), *([F.min(order_col).alias("__ord")] if order_col else []))
-    # one row per file: a small table, ordered as a whole
-    w = Window.orderBy("__ord" if order_col else file_col).rowsBetween(Window.unboundedPreceding, -1)
-    del order
-    return per_file.select(file_col, F.coalesce(F.sum("__rows").over(w), F.lit(0)).alias("__off"))
+    return prefix_sum(per_file, ["__ord" if order_col else file_col], "__rows").select(file_col, "__off")
 
 
 def _join_small(df: DataFrame, side: DataFrame, on) -> DataFrame:
@@ -43,9 +39,8 @@ def running_index(df: DataFrame, file_col: str, seq_col: str, out: str = "__ord"
     local = F.col(seq_col).bitwiseAND(F.lit((1 << SEQ_SPLIT_SHIFT) - 1))
     parts = df.select(F.col(file_col), split.alias("__split"), local.alias("__local")).groupBy(
         file_col, "__split").agg((F.max("__local") + 1).alias("__rows"))
-    # one row per (file, split): small; ordered as a whole
-    w = Window.orderBy(file_col, "__split").rowsBetween(Window.unboundedPreceding, -1)
-    offs = parts.select(file_col, "__split", F.coalesce(F.sum("__rows").over(w), F.lit(0)).alias("__off"))
+    # one row per (file, split): a prefix sum over range buckets, no single-partition window
+    offs = prefix_sum(parts, [file_col, "__split"], "__rows").select(file_col, "__split", "__off")
     joined = _join_small(df.withColumn("__split", split), offs, [file_col, "__split"])
     return joined.withColumn(out, F.col("__off") + local).drop("__off", "__split")
 
@@ -59,8 +54,7 @@ def generated_row_ids(df: DataFrame, file_col: str, seq_col: str, out: str = "Ro
 def index_row_ids(df: DataFrame, file_col: str, row_idx_col: str, file_no_col: str, out: str = "RowID") -> DataFrame:
     """Ids from the sheet row index plus the offset of earlier files (added once: Q10)."""
     per_file = df.groupBy(file_col).agg(F.min(file_no_col).alias("__fno"), (F.max(row_idx_col) + 1).alias("__rows"))
-    w = Window.orderBy("__fno").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_file.select(file_col, F.coalesce(F.sum("__rows").over(w), F.lit(0)).alias("__off"))
+    offs = prefix_sum(per_file, ["__fno"], "__rows").select(file_col, "__off")
     out_df = _join_small(df, offs, file_col)
     return out_df.withColumn(out, F.concat(F.lit("Row"), (F.col("__off") + F.col(row_idx_col)).cast("string"))).drop(
         "__off")

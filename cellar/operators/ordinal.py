@@ -133,3 +133,24 @@ def with_ordinals(staged: DataFrame, out: str = "__n", group: str | None = None)
     n_groups = starts.count()
     side = F.broadcast(starts) if n_groups <= BROADCAST_OFFSETS_MAX else starts
     return res.join(side, group).withColumn(out, F.col(out) - F.col("__start")).drop("__start", "__b")
+
+
+def prefix_sum(df: DataFrame, order_by: list[str], value: str, out: str = "__off") -> DataFrame:
+    """Exclusive running sum of ``value`` in ``order_by`` order, without a single-partition window.
+
+    Range buckets as for ordinals; bucket totals (one number per bucket) become offsets on the
+    driver, and a window inside each bucket (bounded by the bucket size) adds the rest.
+    """
+    from pyspark.sql import Window
+
+    staged = stable_partitions(df, order_by)
+    totals = {r["__b"]: r["t"] for r in staged.groupBy("__b").agg(F.sum(value).alias("t")).collect()}
+    n_buckets = (max(totals) + 1) if totals else 1
+    offs, acc = [], 0
+    for b in range(n_buckets):
+        offs.append(acc)
+        acc += totals.get(b) or 0
+    arr = F.array(*[F.lit(o).cast("long") for o in offs])
+    w = Window.partitionBy("__b").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.coalesce(F.sum(value).over(w), F.lit(0))
+    return staged.withColumn(out, (F.element_at(arr, F.col("__b") + 1) + inner).cast("long")).drop("__b")

@@ -598,24 +598,18 @@ def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
         "path", "col", "name",
         C.mask_of_array(F.col("cells"), F.col("date1904"), err, opts.blank_to_missing).alias("mask"),
     )
-    # file order = path order; the listing is one small row per file (no content read)
-    files_order = files.select("path").withColumn("file_no", F.dense_rank().over(_order_window()) - 1)
-    n_files = files_order.count()
-    side = F.broadcast(files_order) if n_files <= 1_000_000 else files_order
-    agg = (
-        per_col.join(side, "path")
-        .groupBy("name")
-        .agg(
-            F.bit_or("mask").alias("mask"),
-            F.min(F.struct("file_no", "col")).alias("first"),
-            F.countDistinct("path").alias("files"),
-        )
+    # column order = first appearance in (path, position) order; no file numbering needed
+    n_files = files.select("path").count()  # listing only, no content read
+    agg = per_col.groupBy("name").agg(
+        F.bit_or("mask").alias("mask"),
+        F.min(F.struct("path", "col")).alias("first"),
+        F.countDistinct("path").alias("files"),
     )
     rows = agg.collect()
     specs = []
-    for r in sorted(rows, key=lambda x: (x["first"]["file_no"], x["first"]["col"])):
+    for r in sorted(rows, key=lambda x: (x["first"]["path"], x["first"]["col"])):
         specs.append(ColumnSpec(r["name"], _lattice_py(int(r["mask"]), opts.lattice), r["mask"] != 0, r["files"],
-                                (r["first"]["file_no"], r["first"]["col"])))
+                                (r["first"]["path"], r["first"]["col"])))
     if opts.combine == "intersection":
         specs = [s for s in specs if s.files == n_files]
     elif opts.combine == "fail":
@@ -627,13 +621,6 @@ def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
     return specs
 
 
-def _order_window():
-    from pyspark.sql import Window
-
-    # the files table is one row per file: ordering it is a small, bounded sort
-    return Window.orderBy("path")
-
-
 def _lattice_py(mask: int, lattice: str) -> str:
     from ..functions.types import BIT_BOOLEAN, BIT_DATE, BIT_DATETIME, BIT_INT, BIT_STRING, BIT_TIME
 
