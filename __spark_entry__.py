@@ -811,6 +811,34 @@ FROM customer GROUP BY c_mktsegment
 """
 
 
+def q_roundtrip_pages(spark, sf):
+    """Whole texts through a workbook: every page's full HTML (up to the cell limit of 32 767
+    characters) written to one sheet and read back unchanged."""
+    path = scratch_dir(spark, "pages") + "/pages.xlsx"
+    write_excel({"pages": _t(spark, sf, "pages")}, path, order_by=["page_id"])
+    back = read_excel(spark, path)
+    return back.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+
+
+SQL_ROUNDTRIP_PAGES = """
+SELECT page_id, url, html FROM pages
+"""
+
+
+def q_roundtrip_conversations(spark, sf):
+    """Conversation turns (whole texts) as one workbook per role, read back together."""
+    folder = scratch_dir(spark, "conversations")
+    write_excel_by_key(_t(spark, sf, "conversations"), "role", folder, sheet="turns", order_by=["conv_id", "turn"])
+    back = read_excel(spark, folder, path_column="Path")
+    return back.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+                       F.regexp_extract("Path", r"([^/]+)\.xlsx$", 1).alias("role"), "text")
+
+
+SQL_ROUNDTRIP_CONVERSATIONS = """
+SELECT conv_id, turn, role, text FROM conversations
+"""
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -850,6 +878,8 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "append_workbook": (q_append_workbook, SQL_APPEND_WORKBOOK),
     "update_workbook": (q_update_workbook, SQL_UPDATE_WORKBOOK),
     "stream_to_workbooks": (q_stream_to_workbooks, SQL_STREAM_TO_WORKBOOKS),
+    "roundtrip_pages": (q_roundtrip_pages, SQL_ROUNDTRIP_PAGES),
+    "roundtrip_conversations": (q_roundtrip_conversations, SQL_ROUNDTRIP_CONVERSATIONS),
 }
 
 

@@ -37,9 +37,18 @@ def xml_escape_py(s: str) -> str:
     return re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", "", s)
 
 
+# The most characters a cell can hold (text longer than this is refused).
+MAX_CELL_TEXT = 32767
+
+
 def _text_cell(ref: Column, text: Column) -> Column:
-    return F.concat(F.lit('<c r="'), ref, F.lit('" t="inlineStr"><is><t xml:space="preserve">'), xml_escape(text),
+    # literal "_xHHHH_" would read back as an escaped character: escape its underscore
+    safe = F.regexp_replace(text, "_(x[0-9A-Fa-f]{4}_)", "_x005F_$1")
+    cell = F.concat(F.lit('<c r="'), ref, F.lit('" t="inlineStr"><is><t xml:space="preserve">'), xml_escape(safe),
                     F.lit("</t></is></c>"))
+    too_long = F.raise_error(F.concat(F.lit(f"Text longer than {MAX_CELL_TEXT} characters cannot be stored (cell "),
+                                      ref, F.lit(")")))
+    return F.when(F.length(text) > MAX_CELL_TEXT, too_long.cast("string")).otherwise(cell)
 
 
 def cell_xml(c: Column, dtype: T.DataType, ref: Column, missing: str | None, name: str = "",

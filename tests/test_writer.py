@@ -143,3 +143,14 @@ def test_update_workbook_cells(spark, tmp):
     assert back[2]["B"] is None          # B3 cleared
     assert back[95]["E"] == 50           # E96 created
     assert back[1]["A"] == "0" and back[1]["B"] == "t"
+
+
+def test_text_limit_and_escapes(spark, tmp):
+    ok = spark.createDataFrame([(1, "a_x0041_b & <c>\nline2  "), (2, "x" * 32767)], "k int, t string")
+    p = os.path.join(tmp, "text.xlsx")
+    write_excel({"t": ok}, p, order_by=["k"])
+    back = [r["t"] for r in read_excel(spark, p).collect()]
+    assert back == ["a_x0041_b & <c>\nline2  ", "x" * 32767]
+    big = spark.createDataFrame([(1, "y" * 32768)], "k int, t string")
+    with pytest.raises(Exception, match="32767"):
+        write_excel({"t": big}, os.path.join(tmp, "big.xlsx"), order_by=["k"])
