@@ -191,7 +191,7 @@ def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, m
                    row_key: str | None, group: str | None, autosize: bool, chain: list[int] | None = None,
                    styles: tuple[int, int, int] = (1, 2, 3)):
     validate_sheet_name(sheet)
-    data_cols = [f for f in df.schema.fields if f.name != group]
+    data_cols = [f for f in df.schema.fields if f.name not in (group, "__tno")]
     schema = T.StructType(data_cols)
     if len(schema.fields) > max_cols:
         raise ValueError(f"The table has {len(schema.fields)} columns; a sheet holds at most {max_cols}.")
@@ -260,7 +260,9 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
         tables = list(tables.items())
     names = [n for n, _ in tables]
     if len(set(names)) != len(names):
-        raise ValueError("The sheet names must be unique.")
+        if sheet_exists != "append":
+            raise ValueError("The sheet names must be unique.")
+        tables, order_by = _merge_same_sheet(tables, order_by)
     if fmt == "xls":
         raise ValueError("The binary xls format is not supported for writing (see README); use xlsx.")
     cap_rows = max_rows or XLSX_MAX_ROWS
@@ -307,6 +309,27 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
     return _materialize(result)
 
 
+def _merge_same_sheet(tables, order_by):
+    """Tables sharing a sheet name are written into that sheet one after the other."""
+    merged: dict[str, list] = {}
+    for name, df in tables:
+        merged.setdefault(name, []).append(df)
+    out, orders = [], {}
+    for name, dfs in merged.items():
+        ob = order_by.get(name) if isinstance(order_by, dict) else order_by
+        if len(dfs) == 1:
+            out.append((name, dfs[0]))
+            orders[name] = ob
+            continue
+        parts = [df.withColumn("__tno", F.lit(i)) for i, df in enumerate(dfs)]
+        u = parts[0]
+        for part in parts[1:]:
+            u = u.unionByName(part)
+        out.append((name, u))
+        orders[name] = ["__tno"] + list(ob or [])
+    return out, orders
+
+
 def write_excel_by_key(df: DataFrame, key: str, folder: str, sheet: str = "default_1", order_by=None,
                        header: bool = True, missing: str | None = None, max_rows: int | None = None,
                        mode: str = "overwrite") -> DataFrame:

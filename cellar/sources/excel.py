@@ -218,7 +218,10 @@ def _select_sheet(zf, wb, sel):
 
 
 def sheets_table(files: DataFrame, with_data_flag: bool = True) -> DataFrame:
-    """One small record per sheet: (path, sheet_pos, sheet, state, date1904, has_data).
+    """One small record per sheet: (path, sheet_pos, sheet, state, date1904, has_data, hidden_cols).
+
+    ``hidden_cols`` (A5) comes from the ``<cols>`` head of the sheet XML (parsing stops at
+    ``<sheetData>``).
 
     ``has_data`` is evaluated like the reference's first-sheet search: sheets are opened in
     order until one with content is found; later sheets are NULL (not examined).
@@ -226,7 +229,7 @@ def sheets_table(files: DataFrame, with_data_flag: bool = True) -> DataFrame:
 
     def fn(batches):
         for b in batches:
-            out = {k: [] for k in ("path", "sheet_pos", "sheet", "state", "date1904", "has_data")}
+            out = {k: [] for k in ("path", "sheet_pos", "sheet", "state", "date1904", "has_data", "hidden_cols")}
             for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
                 zf = ooxml.open_zip(content)
                 wb = ooxml.open_workbook(zf, with_styles=False)
@@ -243,6 +246,7 @@ def sheets_table(files: DataFrame, with_data_flag: bool = True) -> DataFrame:
                     if not found:
                         flag = ooxml.sheet_has_data(zf, wb, sh, sst)
                         found = flag
+                    out["hidden_cols"].append(sorted(ooxml.hidden_columns(zf, sh)))
                     out["path"].append(p)
                     out["sheet_pos"].append(sh.pos)
                     out["sheet"].append(sh.name)
@@ -252,12 +256,14 @@ def sheets_table(files: DataFrame, with_data_flag: bool = True) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["path"], pa.string()), pa.array(out["sheet_pos"], pa.int32()),
                  pa.array(out["sheet"], pa.string()), pa.array(out["state"], pa.string()),
-                 pa.array(out["date1904"], pa.bool_()), pa.array(out["has_data"], pa.bool_())],
-                names=["path", "sheet_pos", "sheet", "state", "date1904", "has_data"],
+                 pa.array(out["date1904"], pa.bool_()), pa.array(out["has_data"], pa.bool_()),
+                 pa.array(out["hidden_cols"], pa.list_(pa.int32()))],
+                names=["path", "sheet_pos", "sheet", "state", "date1904", "has_data", "hidden_cols"],
             )
 
     return files.select("path", "content").mapInArrow(
-        fn, "path string, sheet_pos int, sheet string, state string, date1904 boolean, has_data boolean"
+        fn, "path string, sheet_pos int, sheet string, state string, date1904 boolean, has_data boolean, "
+            "hidden_cols array<int>"
     )
 
 

@@ -801,5 +801,28 @@ def sheet_has_data(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, sst_loade
                 return False
 
 
+def hidden_columns(zf: zipfile.ZipFile, sheet: SheetRef) -> set[int]:
+    """A5: hidden column indexes of a sheet, from the XML head only."""
+    if not sheet.part:
+        return set()
+    stream = zf.open(sheet.part)
+    head = b""
+    for chunk in _read_raw(stream, sheet.part):
+        head += chunk
+        m = _SHEETDATA_RE.search(head)
+        if m:
+            head = head[: m.start()]
+            break
+    stream.close()
+    out: set[int] = set()
+    for cm in _COL_RE.finditer(head):
+        a = cm.group(1)
+        if _ATTR_HIDDEN.search(a):
+            lmin, lmax = _ATTR_MIN.search(a), _ATTR_MAX.search(a)
+            if lmin and lmax:
+                out.update(range(int(lmin.group(1)) - 1, int(lmax.group(1))))
+    return out
+
+
 def open_zip(content: bytes) -> zipfile.ZipFile:
     return zipfile.ZipFile(io.BytesIO(content))

@@ -116,3 +116,14 @@ def test_ids(spark):
     got = [r["id"] for r in W.make_unique(u, "id", "o").orderBy("o").collect()]
     assert got == ["x", "x_1", "y", "x_2"]
     assert W.duplicate_ids(u, "id").collect()[0]["copies"] == 3
+
+
+def test_legacy_ids(spark):
+    df = spark.createDataFrame([("a", 0, 0, 2), ("a", 0, 1, 5), ("b", 1, 0, 1)], "file string, fno int, seq long, row_idx int")
+    idx = {(r["file"], r["row_idx"]): r["RowID"] for r in W.index_row_ids(df, "file", "row_idx", "fno").collect()}
+    assert idx == {("a", 2): "Row2", ("a", 5): "Row5", ("b", 1): "Row7"}  # offset of earlier files added once
+    plain = sorted(r["RowID"] for r in W.plain_row_ids(df, "file", "seq").collect())
+    assert plain == ["1", "2", "3"]
+    e = spark.createDataFrame([("",), ("x",)], "i string").select(
+        W.empty_id_to_generated(F.col("i"), F.lit("Row9")).alias("o")).collect()
+    assert [r["o"] for r in e] == ["Row9", "x"]

@@ -223,3 +223,9 @@ def test_options_validated(spark, tmp):
         ReadOptions(first_row=5, last_row=2).validate()
     with pytest.raises(ValueError):
         ReadOptions(first_col="a1").validate()
+
+
+def test_hidden_columns_in_sheets_table(spark, tmp):
+    p = _hidden_book(os.path.join(tmp, "hidden.xlsx"))
+    row = sheets_table(list_files(spark, p)).collect()[0]
+    assert row["hidden_cols"] == [1, 3, 4]

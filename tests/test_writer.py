@@ -154,3 +154,13 @@ def test_text_limit_and_escapes(spark, tmp):
     big = spark.createDataFrame([(1, "y" * 32768)], "k int, t string")
     with pytest.raises(Exception, match="32767"):
         write_excel({"t": big}, os.path.join(tmp, "big.xlsx"), order_by=["k"])
+
+
+def test_same_sheet_name_tables_merged(spark, tmp):
+    a = spark.range(0, 3).select(F.col("id").alias("v"))
+    b = spark.range(10, 12).select(F.col("id").alias("v"))
+    p = os.path.join(tmp, "merged.xlsx")
+    write_excel([("s", a), ("s", b)], p, order_by=["v"], sheet_exists="append")
+    assert [r["v"] for r in read_excel(spark, p).collect()] == [0, 1, 2, 10, 11]
+    with pytest.raises(ValueError):
+        write_excel([("s", a), ("s", b)], os.path.join(tmp, "dup.xlsx"))
