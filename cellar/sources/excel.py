@@ -68,6 +68,7 @@ class ReadOptions:
     raw: bool = False  # 1-based row number as first column
     lattice: str = "current"  # "legacy" (A10) or "oldest" (A13)
     unique_ids: bool = False  # W5 on the row id column
+    decode_once: bool | None = None  # None = decide from the listing (many small files -> True)
 
     def validate(self) -> None:
         """option checks before any plan is built."""
@@ -436,8 +437,12 @@ def _sample_fn(opts_dict: dict):
     return fn
 
 
-def _rows_fn(opts_dict: dict, ordinals: dict[str, int] | None):
-    """Full decode; cells are re-keyed to the final column ordinal (or kept by position)."""
+def _rows_fn(opts_dict: dict, ordinals: dict[str, int] | None, emit_names: bool = False):
+    """Full decode; cells are re-keyed to the final column ordinal (or kept by position).
+
+    With ``emit_names`` (position keys), each file also gets one record with ``seq = -1``
+    whose cells hold the file's column names by position.
+    """
     opts = ReadOptions(**opts_dict)
     so = opts.scan_options(None)
 
@@ -448,12 +453,15 @@ def _rows_fn(opts_dict: dict, ordinals: dict[str, int] | None):
             namer = None
             rekey: dict[int, int | None] = {}
             pending = []  # data rows seen before the header row
+            width = 0
             for item in rows:
                 if item[0] == "hidden_cols":
                     hidden = set(item[1])
                     namer = _Namer(opts, so, hidden)
                     continue
                 r, seq, is_hidden, cells, rowid, is_header = item
+                if emit_names and cells:
+                    width = max(width, cells[-1][0] + 1)
                 if is_header:
                     namer.set_header(cells)
                     rekey = {}
@@ -469,6 +477,9 @@ def _rows_fn(opts_dict: dict, ordinals: dict[str, int] | None):
                     yield out.flush()
             for it in pending:
                 _emit(out, path, sheet, wb, it, namer, rekey, ordinals)
+            if emit_names and namer is not None:
+                names = [(pos, "s", None, namer.name_of(pos)) for pos in _positions(so, hidden, width)]
+                out.add(path, sheet.name, -1, -1, False, wb.date1904, None, names)
             if out.full():
                 yield out.flush()
         if len(out):
@@ -664,6 +675,8 @@ def read_excel(spark: SparkSession, paths, opts: ReadOptions | None = None, **kw
     opts = opts or ReadOptions(**kw)
     opts.validate()
     files = list_files(spark, paths, **file_opts)
+    if not opts.schema and _decode_once_pays(files, opts):
+        return _read_decode_once(files, opts)
     if opts.schema:
         specs = [ColumnSpec(n, t.upper()) for n, t in opts.schema.items()]
     else:
@@ -675,14 +688,20 @@ def read_excel(spark: SparkSession, paths, opts: ReadOptions | None = None, **kw
     return project(rows, specs, opts)
 
 
-def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions) -> DataFrame:
-    """Typed projection of decoded rows: one ``element_at`` + conversion per column."""
+def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions, pick=None) -> DataFrame:
+    """Typed projection of decoded rows: one ``element_at`` + conversion per column.
+
+    ``pick(j)`` overrides how the cell of output column j is found (default: map key j).
+    """
     names = [s.name for s in specs]
     if opts.path_column and opts.path_column in names:
         raise ValueError(f"The path column name '{opts.path_column}' collides with a column of the table")
     where = F.concat(F.col("path"), F.lit(" row "), (F.col("row_idx") + 1).cast("string"))
     # one struct column per output column, then timestamp and bit stages: all code-generated
-    picks = [F.element_at(F.col("cells"), F.lit(j)).alias(f"__c{j}") for j in range(len(specs))]
+    if pick is None:
+        picks = [F.element_at(F.col("cells"), F.lit(j)).alias(f"__c{j}") for j in range(len(specs))]
+    else:
+        picks = [pick(j).alias(f"__c{j}") for j in range(len(specs))]
     rows = rows.select("path", "row_idx", "seq", "date1904", "rowid", *picks)
     rows, views = C.staged_typing(rows, [f"__c{j}" for j in range(len(specs))], F.col("date1904"),
                                   opts.error_pattern, opts.blank_to_missing)
@@ -709,3 +728,67 @@ def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions) -> Data
 
 def spark_type(type_name: str) -> T.DataType:
     return _spark_type(type_name)
+
+
+# ---------------------------------------------------------------- decode once (many small files)
+
+
+def _decode_once_pays(files: DataFrame, opts: ReadOptions) -> bool:
+    """Many small files: the inference sample would decode most of them anyway."""
+    if opts.decode_once is not None:
+        return opts.decode_once
+    split_bytes = int(files.sparkSession.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("mx")).collect()[0]  # listing only
+    return (row["n"] or 0) >= 2 and (row["mx"] or 0) <= split_bytes
+
+
+def _read_decode_once(files: DataFrame, opts: ReadOptions) -> DataFrame:
+    """Decode every file once (cells keyed by position, plus one names record per file), keep
+    the result as a table in the shared checkpoint folder, infer the schema from its first
+    ``scan_limit`` data rows per file and project it through a per-file position map."""
+    from ..session import scratch_dir
+
+    spark = files.sparkSession
+    decoded = files.select("path", "content").mapInArrow(_rows_fn(asdict(opts), None, emit_names=True), ROWS_DDL)
+    folder = scratch_dir(spark, "decoded") + "/rows"
+    decoded.write.parquet(folder)
+    ir = spark.read.parquet(folder)
+    names = ir.filter(F.col("seq") == -1).select("path", F.explode("cells").alias("pos", "c")).select(
+        "path", "pos", F.col("c.s").alias("name"))
+    data = ir.filter(F.col("seq") >= 0)
+    sample = data if opts.scan_limit is None else data.filter(F.col("seq") < opts.scan_limit)
+    ex = sample.select("path", "date1904", F.explode("cells").alias("pos", "c"))
+    ex, (v,) = C.staged_typing(ex, ["c"], F.col("date1904"), opts.error_pattern, opts.blank_to_missing)
+    masks = ex.groupBy("path", "pos").agg(F.bit_or(v.b).alias("mask"))
+    per_col = names.join(masks, ["path", "pos"], "left").fillna(0, ["mask"])
+    n_files = files.select("path").count()
+    agg = per_col.groupBy("name").agg(
+        F.bit_or("mask").alias("mask"), F.min(F.struct("path", "pos")).alias("first"),
+        F.countDistinct("path").alias("files"), F.countDistinct("pos").alias("n_pos"), F.min("pos").alias("pos"))
+    got = sorted(agg.collect(), key=lambda r: (r["first"]["path"], r["first"]["pos"]))  # one row per column
+    specs = [ColumnSpec(r["name"], _lattice_py(int(r["mask"]), opts.lattice), r["mask"] != 0, r["files"])
+             for r in got]
+    specs = _combine_specs(specs, n_files, opts)
+    pos_of = {r["name"]: r["pos"] for r in got}
+    if all(r["n_pos"] == 1 for r in got if r["name"] in {s.name for s in specs}):
+        return project(data, specs, opts, pick=lambda j: F.element_at(F.col("cells"), F.lit(pos_of[specs[j].name])))
+    # files disagree on positions: a per-file map (ordinal -> position), one small row per file
+    ords = spark.createDataFrame([(s.name, j) for j, s in enumerate(specs)], "name string, j int")
+    posmap = names.join(F.broadcast(ords), "name").groupBy("path").agg(
+        F.map_from_entries(F.collect_list(F.struct("j", "pos"))).alias("__pos"))
+    side = F.broadcast(posmap) if n_files <= 1_000_000 else posmap
+    joined = data.join(side, "path", "left")
+    return project(joined, specs, opts,
+                   pick=lambda j: F.element_at(F.col("cells"), F.element_at(F.col("__pos"), F.lit(j))))
+
+
+def _combine_specs(specs: list[ColumnSpec], n_files: int, opts: ReadOptions) -> list[ColumnSpec]:
+    if opts.combine == "intersection":
+        specs = [s for s in specs if s.files == n_files]
+    elif opts.combine == "fail":
+        odd = [s.name for s in specs if s.files != n_files]
+        if odd:
+            raise ValueError(f"The files have different columns: {odd[:20]}")
+    if opts.skip_empty_cols:
+        specs = [s for s in specs if s.has_type]
+    return specs
