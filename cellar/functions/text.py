@@ -22,8 +22,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_BLANK_CHARS = "".join(chr(i) for i in range(0x21))  # every char <= U+0020, as Java's trim
+
+
 def is_blank(x) -> Column:
-    return _col(x).rlike(_BLANK)
+    """Empty after removing chars <= U+0020 from both ends (a trim, no regex per value)."""
+    return F.length(F.btrim(_col(x), F.lit(_BLANK_CHARS))) == 0
 
 
 def blank_to_null(x) -> Column:
