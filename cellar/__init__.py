@@ -12,7 +12,16 @@ updates as a distributed merge. Public entry points:
 """
 
 from .sinks.excel import write_excel, write_excel_by_key
-from .sources.excel import ReadOptions, inventory, list_files, list_sheets, read_excel, read_rows, sheets_table
+from .sources.excel import (
+    ReadOptions,
+    inventory,
+    list_files,
+    list_sheets,
+    read_excel,
+    read_rows,
+    rejects,
+    sheets_table,
+)
 
 __all__ = [
     "ReadOptions",
@@ -21,6 +30,7 @@ __all__ = [
     "list_sheets",
     "read_excel",
     "read_rows",
+    "rejects",
     "sheets_table",
     "write_excel",
     "write_excel_by_key",

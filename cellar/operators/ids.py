@@ -71,7 +71,7 @@ def empty_id_to_generated(id_col: Column, generated: Column) -> Column:
     return F.when(id_col.isNull() | (id_col == ""), generated).otherwise(id_col)
 
 
-def make_unique(df: DataFrame, id_col: str, order_col: str, out: str | None = None) -> DataFrame:
+def make_unique(df: DataFrame, id_col: str, order_col, out: str | None = None) -> DataFrame:
     """The first occurrence keeps its id; later ones get _1, _2, ... (in ``order_col`` order).
 
     The copy number is a distributed ordinal per id (range buckets over (id, order)), so a hot
@@ -81,7 +81,8 @@ def make_unique(df: DataFrame, id_col: str, order_col: str, out: str | None = No
     from .ordinal import stable_partitions, with_ordinals
 
     out = out or id_col
-    ranked = with_ordinals(stable_partitions(df, [order_col], group=id_col), "__k", group=id_col)
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    ranked = with_ordinals(stable_partitions(df, order, group=id_col), "__k", group=id_col)
     cand = F.when(F.col("__k") == 0, F.col(id_col)).otherwise(
         F.concat(F.col(id_col), F.lit("_"), F.col("__k").cast("string")))
     ranked = ranked.withColumn("__cand", cand)

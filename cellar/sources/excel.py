@@ -69,6 +69,7 @@ class ReadOptions:
     lattice: str = "current"  # "legacy" (A10) or "oldest" (A13)
     unique_ids: bool = False  # W5 on the row id column
     decode_once: bool | None = None  # None = decide from the listing (many small files -> True)
+    on_corrupt: str = "failfast"  # S12: "failfast" raises with the path, "skip" leaves the file out
 
     def validate(self) -> None:
         """option checks before any plan is built."""
@@ -189,6 +190,36 @@ def inventory(files: DataFrame) -> DataFrame:
     return heads.mapInArrow(fn, "path string, format string, reason string")
 
 
+def rejects(files: DataFrame, opts: ReadOptions | None = None) -> DataFrame:
+    """S6 + S12: (path, reason) for every file the reader cannot use: not a workbook, a format
+    we do not decode, a missing sheet, or corrupt sheet XML (the whole sheet is checked)."""
+    opts = opts or ReadOptions()
+    so = opts.scan_options(None)
+
+    def fn(batches):
+        for b in batches:
+            paths, reasons = [], []
+            for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+                fmt, why = ooxml.sniff((content or b"")[:8], p)
+                if why is None:
+                    try:
+                        zf = ooxml.open_zip(content)
+                        wb = ooxml.open_workbook(zf)
+                        sheet = _select_sheet(zf, wb, opts.sheet)
+                        sst = ooxml.load_shared_strings(zf, wb.shared_strings_part)
+                        for _ in ooxml.scan_sheet(zf, wb, sheet, so, sst):
+                            pass
+                    except Exception as exc:  # noqa: BLE001 - this is the report
+                        why = f"{type(exc).__name__}: {exc}"
+                if why is not None:
+                    paths.append(p)
+                    reasons.append(why)
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(reasons, pa.string())],
+                                             names=["path", "reason"])
+
+    return files.select("path", "content").mapInArrow(fn, "path string, reason string")
+
+
 # ---------------------------------------------------------------- sheets
 
 
@@ -387,7 +418,11 @@ def _positions(so: ooxml.ScanOptions, hidden: set[int], width: int) -> list[int]
 
 
 def _decode_files(batches, opts: ReadOptions, so: ooxml.ScanOptions):
-    """Yield per file: (path, wb, sheet, iterator over data rows, hidden_cols holder)."""
+    """Yield per file: (path, wb, sheet, iterator over data rows).
+
+    With ``on_corrupt="skip"`` a file that cannot be opened or whose sheet XML is corrupt is
+    left out (``rejects`` lists such files with the reason); otherwise the error names the path.
+    """
     for b in batches:
         for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
             try:
@@ -396,8 +431,16 @@ def _decode_files(batches, opts: ReadOptions, so: ooxml.ScanOptions):
                 sheet = _select_sheet(zf, wb, opts.sheet)
                 sst = ooxml.load_shared_strings(zf, wb.shared_strings_part)
             except Exception as exc:  # noqa: BLE001 - reported with the path
+                if opts.on_corrupt == "skip":
+                    continue
                 raise type(exc)(f"{p}: {exc}") from exc
-            yield p, wb, sheet, ooxml.iter_data_rows(zf, wb, sheet, so, sst)
+            rows = ooxml.iter_data_rows(zf, wb, sheet, so, sst)
+            if opts.on_corrupt == "skip":
+                try:
+                    rows = list(rows)  # a corrupt sheet must not leave half a file behind
+                except Exception:  # noqa: BLE001
+                    continue
+            yield p, wb, sheet, rows
 
 
 def _sample_fn(opts_dict: dict):
@@ -716,13 +759,21 @@ def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions, pick=No
     tail = []
     if opts.path_column:
         tail.append(F.col("path").alias(opts.path_column))
-    keep = [F.col("path").alias("__path"), F.col("seq").alias("__seq")] if opts.row_id == "generated" else []
+    keep = []
+    if opts.row_id == "generated" or (opts.row_id is not None and opts.unique_ids):
+        keep = [F.col("path").alias("__path"), F.col("seq").alias("__seq")]
     out = rows.select(*lead, *cols, *tail, *keep)
     if opts.row_id == "generated":
         from ..operators.ids import generated_row_ids
 
         out = generated_row_ids(out, "__path", "__seq", "RowID").drop("__path", "__seq")
         out = out.select("RowID", *[c for c in out.columns if c != "RowID"])
+    elif opts.row_id is not None and opts.unique_ids:
+        # Repeated ids get _1, _2, ... in file then row order
+        from ..operators.ids import make_unique
+
+        out = make_unique(out, "RowID", ["__path", "__seq"]).drop("__path", "__seq")
+        out = out.select("RowID", *[c for c in out.columns if c != "RowID"])
     return out
 
 

@@ -229,3 +229,29 @@ def test_hidden_columns_in_sheets_table(spark, tmp):
     p = _hidden_book(os.path.join(tmp, "hidden.xlsx"))
     row = sheets_table(list_files(spark, p)).collect()[0]
     assert row["hidden_cols"] == [1, 3, 4]
+
+
+def test_corrupt_skip_and_rejects(spark, tmp):
+    from cellar import rejects
+
+    d = os.path.join(tmp, "mixed")
+    os.makedirs(d)
+    X.build(os.path.join(d, "good.xlsx"), [("s", X.sheet_xml([X.row(1, X.text("A1", "v")), X.row(2, X.num("A2", 1))]))])
+    X.build(os.path.join(d, "bad.xlsx"), [("s", X.sheet_xml([X.row(1, X.text("A1", "v")),
+                                                             X.row(2, X.num("B2", 1), X.num("A2", 2))]))])
+    with open(os.path.join(d, "junk.xlsx"), "w") as fh:
+        fh.write("junk")
+    with pytest.raises(Exception):
+        read_excel(spark, d, decode_once=False).collect()
+    ok = read_excel(spark, d, on_corrupt="skip", decode_once=False)
+    assert [r["v"] for r in ok.collect()] == [1]
+    rej = {os.path.basename(r["path"]): r["reason"] for r in rejects(list_files(spark, d)).collect()}
+    assert set(rej) == {"bad.xlsx", "junk.xlsx"} and "already processed" in rej["bad.xlsx"]
+
+
+def test_unique_row_ids_from_column(spark, tmp):
+    rows = [X.row(1, X.text("A1", "id"), X.text("B1", "v"))] + [
+        X.row(r, X.text(f"A{r}", "k"), X.num(f"B{r}", r)) for r in range(2, 5)]
+    p = X.build(os.path.join(tmp, "ids.xlsx"), [("s", X.sheet_xml(rows))])
+    got = [r["RowID"] for r in read_excel(spark, p, row_id="A", unique_ids=True).orderBy("v").collect()]
+    assert got == ["k", "k_1", "k_2"]
