@@ -60,3 +60,11 @@ def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
 
 def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through Hadoop's FileSystem (any file system Spark can reach)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hpath, True)

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from ..functions.address import XLS_MAX_COLS, XLS_MAX_ROWS, XLSX_MAX_COLS, XLSX_MAX_ROWS
 from ..functions.text import ILLEGAL_SHEET_CHARS, MAX_SHEET_NAME
 from ..operators.ordinal import stable_partitions, with_ordinals
-from ..session import scratch_dir
+from ..session import remove_tree, scratch_dir
 from . import fsio, parts
 from .render import check_types, header_xml, row_xml, xml_escape_py
 from .zipout import ZipWriter, deflate_fragment
@@ -306,7 +306,7 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
         [("", t_no, 0, 0, 0, None, 0, 0, 0) for t_no in range(len(specs))], _FRAG_DDL)
     meta = meta.unionByName(placeholder)
     result = meta.groupBy("wb").applyInPandas(_commit_fn(spec), "wb string, path string, sheets int, rows long")
-    return _materialize(result)
+    return _materialize(result, stage)
 
 
 def _merge_same_sheet(tables, order_by):
@@ -345,19 +345,22 @@ def write_excel_by_key(df: DataFrame, key: str, folder: str, sheet: str = "defau
     meta = rendered.mapInArrow(_fragment_fn(stage, 0, True), _FRAG_DDL).filter(F.col("file").isNotNull())
     spec = {"folder": folder, "group": True, "tables": [spec_t], "mode": mode}
     result = meta.groupBy("wb").applyInPandas(_commit_fn(spec), "wb string, path string, sheets int, rows long")
-    return _materialize(result)
+    return _materialize(result, stage)
 
 
 _CACHED: list = []
 
 
-def _materialize(result: DataFrame) -> DataFrame:
-    """Run the commit once and return its (small) report as a DataFrame."""
+def _materialize(result: DataFrame, stage: str | None = None) -> DataFrame:
+    """Run the commit once and return its (small) report as a DataFrame; the staged fragments
+    are removed once the workbooks are in place."""
     try:
         rows = result.collect()
     finally:
         while _CACHED:
             _CACHED.pop().unpersist()
+    if stage:
+        remove_tree(result.sparkSession, stage)
     return result.sparkSession.createDataFrame(rows, "wb string, path string, sheets int, rows long")
 
 
@@ -508,7 +511,7 @@ def write_cells(cells: DataFrame, path: str, sheets: list[str] | None = None, mo
             "tables": [{"sheet": nm, "names": [], "header": False, "widths": None} for nm in sheets]}
     result = meta.unionByName(placeholder).groupBy("wb").applyInPandas(
         _commit_fn(spec), "wb string, path string, sheets int, rows long")
-    return _materialize(result)
+    return _materialize(result, stage)
 
 
 def update_workbook(spark, path: str, patches: DataFrame, out_path: str, address_col: str | None = None,

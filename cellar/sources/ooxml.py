@@ -754,8 +754,6 @@ def iter_data_rows(zf, wb, sheet, opts: ScanOptions, sst):
             yield out
             if max_rows is not None and seq >= max_rows:
                 return
-    elif header is not None and header > last_phys and not opts.skip_empty_rows:
-        pass
 
 
 def sheet_has_data(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, sst_loader) -> bool:
