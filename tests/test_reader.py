@@ -110,18 +110,18 @@ def test_header_row_blank_and_duplicate_names(spark, tmp):
 def test_sheet_selection(spark, tmp):
     empty = X.sheet_xml([X.row(1, X.styled_empty("A1"))])
     full = X.sheet_xml([X.row(1, X.text("A1", "v")), X.row(2, X.num("A2", 7))])
-    p = X.build(os.path.join(tmp, "empty_first.xlsx"), [("knime", empty), ("knime2", full)])
+    p = X.build(os.path.join(tmp, "empty_first.xlsx"), [("first", empty), ("second", full)])
     assert read_excel(spark, p).collect()[0]["v"] == 7  # S7: first sheet with data
-    assert read_excel(spark, p, sheet="knime2").count() == 1
+    assert read_excel(spark, p, sheet="second").count() == 1
     assert read_excel(spark, p, sheet=1).count() == 1
     with pytest.raises(Exception):
         read_excel(spark, p, sheet="nope").collect()
     with pytest.raises(Exception):
         read_excel(spark, p, sheet=5).collect()
     listed = list_sheets(spark, p).orderBy("sheet_pos").collect()
-    assert [r["Sheet"] for r in listed] == ["knime", "knime2"]
+    assert [r["Sheet"] for r in listed] == ["first", "second"]
     sel = select_first_sheet(sheets_table(list_files(spark, p))).collect()
-    assert sel[0]["sheet"] == "knime2"
+    assert sel[0]["sheet"] == "second"
 
 
 def test_shared_strings_and_1904(spark, tmp):
