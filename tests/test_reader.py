@@ -255,3 +255,21 @@ def test_unique_row_ids_from_column(spark, tmp):
     p = X.build(os.path.join(tmp, "ids.xlsx"), [("s", X.sheet_xml(rows))])
     got = [r["RowID"] for r in read_excel(spark, p, row_id="A", unique_ids=True).orderBy("v").collect()]
     assert got == ["k", "k_1", "k_2"]
+
+
+def test_split_read_matches_whole_read(spark, tmp):
+    from cellar import write_excel
+
+    df = spark.range(0, 3000).select(F.col("id").alias("k"), (F.col("id") * 0.5).alias("half"),
+                                     F.concat(F.lit("t"), F.col("id").cast("string")).alias("txt"))
+    p = os.path.join(tmp, "big.xlsx")
+    write_excel({"s": df}, p, order_by=["k"])
+    whole = [tuple(r) for r in read_excel(spark, p, row_id="generated").collect()]
+    spark.conf.set("cellar.read.splitBytes", "4000")
+    try:
+        split = read_excel(spark, p, row_id="generated")
+        got = sorted((tuple(r) for r in split.collect()), key=lambda t: t[1])
+    finally:
+        spark.conf.unset("cellar.read.splitBytes")
+    assert got == whole
+    assert [t[0] for t in got] == [f"Row{i}" for i in range(3000)]
