@@ -11,7 +11,7 @@ updates as a distributed merge. Public entry points:
 * ``cellar.streaming`` -- workbook streams in and out
 """
 
-from .sinks.excel import write_excel, write_excel_by_key
+from .sinks.excel import update_workbook, write_cells, write_excel, write_excel_by_key
 from .sources.excel import (
     ReadOptions,
     inventory,
@@ -32,6 +32,8 @@ __all__ = [
     "read_rows",
     "rejects",
     "sheets_table",
+    "update_workbook",
+    "write_cells",
     "write_excel",
     "write_excel_by_key",
 ]

@@ -622,7 +622,8 @@ def decode_rows(files: DataFrame, opts: ReadOptions, ordinals: dict[str, int] |
 
     od = _asdict(opts)
     split_bytes = int(files.sparkSession.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
-    if not opts.skip_empty_rows:
+    if not opts.skip_empty_rows or opts.on_corrupt == "skip":
+        # empty-row materialisation and whole-file skipping need the file in one task
         return files.select("path", "content").mapInArrow(_rows_fn(od, ordinals), ROWS_DDL)
     small = files.filter(F.col("length") <= split_bytes).select("path", "content")
     rows_small = small.mapInArrow(_rows_fn(od, ordinals), ROWS_DDL)

@@ -273,3 +273,15 @@ def test_split_read_matches_whole_read(spark, tmp):
         spark.conf.unset("cellar.read.splitBytes")
     assert got == whole
     assert [t[0] for t in got] == [f"Row{i}" for i in range(3000)]
+
+
+def test_skip_mode_reads_big_files_whole(spark, tmp):
+    from cellar import write_excel
+
+    p = os.path.join(tmp, "whole.xlsx")
+    write_excel({"s": spark.range(0, 500).select(F.col("id").alias("k"))}, p, order_by=["k"])
+    spark.conf.set("cellar.read.splitBytes", "1000")
+    try:
+        assert read_excel(spark, p, on_corrupt="skip").count() == 500
+    finally:
+        spark.conf.unset("cellar.read.splitBytes")
