@@ -106,3 +106,11 @@ def test_blank_and_extension(spark):
     df = spark.createDataFrame([(" \t\n",), ("x",), ("/a/b/File.XLSX",)], "s string")
     assert [r[0] for r in df.select(CF.is_blank("s")).collect()] == [True, False, False]
     assert df.select(CF.path_extension("s")).collect()[2][0] == "xlsx"
+
+
+def test_legacy_value_rules(spark):
+    df = spark.createDataFrame([("N/A", "12", "10:30:00"), ("x", "zz", None)], "a string, b string, t string")
+    got = df.select(CF.nullif_pattern("a", "N/A").alias("a"), CF.lenient("b", "int").alias("b"),
+                    CF.legacy_time_as_datetime("t").alias("t")).collect()
+    assert (got[0]["a"], got[0]["b"], got[0]["t"]) == (None, 12, dt.datetime(1900, 1, 1, 10, 30))
+    assert (got[1]["a"], got[1]["b"], got[1]["t"]) == ("x", None, None)
