@@ -21,7 +21,8 @@ def test_every_query_has_oracle():
     assert set(E.queries()) == set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["col_label", "append_chain", "cell_update", "read_range"])
+@pytest.mark.parametrize("name", ["col_label", "append_chain", "cell_update", "read_range", "stream_workbooks",
+                                  "stream_to_workbooks"])
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
     for t in ["customer", "orders", "lineitem", "part"]:
