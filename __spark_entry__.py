@@ -398,6 +398,9 @@ def _orders_rows(spark, sf) -> DataFrame:
 
 
 def q_materialise_rows(spark, sf):
+    """F6 + F7: every order is a sheet row (index = key) of one 'file' per priority; empty rows
+    are kept, hidden non-empty rows dropped. The read area 100..12000 (1-based) is the operator
+    under test (a row range, K3), including trailing empty rows up to its end."""
     out = P.materialise_empty_rows(_orders_rows(spark, sf), first_row=99, last_row=11999, skip_hidden=True)
     return out.select("path", F.col("row_idx").cast("int").alias("row_idx"), F.size("cells").alias("n_cells"))
 
@@ -413,6 +416,8 @@ WHERE NOT coalesce(r.hidden AND r.n_cells > 0, false)
 
 
 def q_filter_rows(spark, sf):
+    """F2, F3, F5, F9 in the reader's order: header row out, the row range (the operator under
+    test), empty rows, hidden rows -- over all orders."""
     out = P.filter_rows(_orders_rows(spark, sf), first_row=99, last_row=11999, skip_empty=True, skip_hidden=True,
                         header_row=0)
     return out.select("path", "row_idx")
