@@ -183,7 +183,14 @@ def _reader(file):
 
 
 def _file_for(key: str) -> str:
-    safe = re.sub(r"[^A-Za-z0-9._-]+", "_", key) or "_"
+    """File name of a key's workbook; keys that need sanitising get a short hash so that two
+    keys never share a file (e.g. "a/b" and "a_b")."""
+    import hashlib
+
+    key = "" if key is None else str(key)
+    safe = re.sub(r"[^A-Za-z0-9._-]+", "_", key)
+    if safe != key or not safe or safe.startswith("."):
+        safe = f"{safe or '_'}-{hashlib.sha1(key.encode('utf-8')).hexdigest()[:8]}"
     return f"{safe}.xlsx"
 
 

@@ -164,3 +164,10 @@ def test_same_sheet_name_tables_merged(spark, tmp):
     assert [r["v"] for r in read_excel(spark, p).collect()] == [0, 1, 2, 10, 11]
     with pytest.raises(ValueError):
         write_excel([("s", a), ("s", b)], os.path.join(tmp, "dup.xlsx"))
+
+
+def test_key_file_names_never_collide():
+    from cellar.sinks.excel import _file_for
+
+    names = [_file_for(k) for k in ["a/b", "a_b", "a b", "", ".hidden", "Plain"]]
+    assert len(set(names)) == len(names) and names[-1] == "Plain.xlsx"
