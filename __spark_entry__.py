@@ -893,9 +893,18 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_roundtrip_customer(spark, SF_SMOKE)
 
 
+def _training_data() -> dict[str, tuple[Callable, str | None]]:
+    """Queries of the optional training-data subpackage; none when it is not installed."""
+    try:
+        from cellar.llm.queries import QUERIES
+    except ImportError:
+        return {}
+    return QUERIES
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v[0] for k, v in _QUERIES.items()}
+    return {k: v[0] for k, v in (_QUERIES | _training_data()).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v[1] for k, v in _QUERIES.items() if v[1] is not None}
+    return {k: v[1] for k, v in (_QUERIES | _training_data()).items() if v[1] is not None}
