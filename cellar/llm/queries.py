@@ -32,8 +32,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentencepiece_codec.encode_documents(docs, piece_model()).drop("text")
+    docs = table(spark, sf_dir, "documents")
+    return sentencepiece_codec.encode_documents(docs, piece_model(), keep=["doc_id"])
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -350,15 +350,15 @@ def model(path: str) -> Model:
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", end_id: int | None = 2,
-                     keep_ids: bool = False) -> DataFrame:
+                     keep_ids: bool = False, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` (and ``ids`` on request).
 
     One map over whole texts, no shuffle. A null text counts as empty and gives the end id
-    alone; repeated rows give repeated results; columns of ``docs`` stay, ``text`` included (a
-    column named like a new one is replaced).
+    alone; repeated rows give repeated results; the columns ``keep`` (all by default) stay, but
+    for those named like a new one.
     """
     new = ["n_tokens", "ids_sha256", "decoded_sha256"] + (["ids"] if keep_ids else [])
-    kept = [c for c in docs.columns if c not in new]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
     src = docs.select(*kept, F.col(text).alias("__text"))
     out = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
                     + ([("ids", pa.list_(pa.int32()))] if keep_ids else []))
