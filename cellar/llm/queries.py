@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import pii, sentencepiece_codec, simhash
+from cellar.llm import decontaminate, pii, quality, sentencepiece_codec, simhash
 from cellar.llm.common import table
 
 #: Place of the SentencePiece model; a parameter of the deployment.
@@ -31,17 +31,27 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sentencepiece_codec.encode_documents(docs, piece_model(), keep=["doc_id"])
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op2_pii": (op2_pii, None),
+    "op4_quality": (op4_quality, None),
     "op5_sentencepiece": (op5_sentencepiece, None),
+    "op7_decontamination": (op7_decontamination, None),
     "op8_simhash": (op8_simhash, None),
 }
