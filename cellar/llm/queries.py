@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import decontaminate, pii, quality, sentencepiece_codec, simhash
+from cellar.llm import decontaminate, ngram_lm, pii, quality, sentencepiece_codec, simhash
 from cellar.llm.common import table
 
 #: Place of the SentencePiece model; a parameter of the deployment.
@@ -31,6 +31,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,6 +54,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op2_pii": (op2_pii, None),
+    "op3_lm_scoring": (op3_lm_scoring, None),
     "op4_quality": (op4_quality, None),
     "op5_sentencepiece": (op5_sentencepiece, None),
     "op7_decontamination": (op7_decontamination, None),
