@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import decontaminate, ngram_lm, pii, quality, sentencepiece_codec, simhash
+from cellar.llm import decontaminate, ngram_lm, pii, quality, sentencepiece_codec, simhash, topk
 from cellar.llm.common import table
 
 #: Place of the SentencePiece model; a parameter of the deployment.
@@ -44,6 +44,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_documents(docs, piece_model(), keep=["doc_id"])
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.digest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op3_lm_scoring": (op3_lm_scoring, None),
     "op4_quality": (op4_quality, None),
     "op5_sentencepiece": (op5_sentencepiece, None),
+    "op6_topk": (op6_topk, topk.ORACLE_SQL),
     "op7_decontamination": (op7_decontamination, None),
     "op8_simhash": (op8_simhash, None),
 }
