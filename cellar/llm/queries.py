@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import decontaminate, ngram_lm, pii, quality, sentencepiece_codec, simhash, topk
+from cellar.llm import decontaminate, ngram_lm, pii, quality, sentencepiece_codec, simhash, suffix_dedup, topk
 from cellar.llm.common import table
 
 #: Place of the SentencePiece model; a parameter of the deployment.
@@ -27,6 +27,10 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable, str | None]] = {
+    "op1_suffix_dedup": (op1_suffix_dedup, None),
     "op2_pii": (op2_pii, None),
     "op3_lm_scoring": (op3_lm_scoring, None),
     "op4_quality": (op4_quality, None),
