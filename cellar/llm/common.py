@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,9 +40,15 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of plans nobody refers to any more."""
+    """Let Spark's cleaner drop shuffle files of plans nobody refers to any more.
+
+    The Python gateway hands references back about once a second, so wait for that before the
+    JVM looks for unreachable plans.
+    """
     gc.collect()
+    time.sleep(1.5)
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)
 
 
 def crc32_mod(doc_id: Column | str, mod: int) -> Column:
