@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import decontaminate, ngram_lm, pii, quality, sentencepiece_codec, simhash, suffix_dedup, topk
+from cellar.llm import decontaminate, ngram_lm, pii, quality, sentencepiece_codec, simhash, suffix_dedup, topk, url_filter
 from cellar.llm.common import table
 
 #: Place of the SentencePiece model; a parameter of the deployment.
@@ -60,6 +60,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_suffix_dedup": (op1_suffix_dedup, None),
     "op2_pii": (op2_pii, None),
@@ -69,4 +73,5 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op6_topk": (op6_topk, topk.ORACLE_SQL),
     "op7_decontamination": (op7_decontamination, None),
     "op8_simhash": (op8_simhash, None),
+    "op9_url_filter": (op9_url_filter, None),
 }
