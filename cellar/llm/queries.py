@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import decontaminate, ngram_lm, pii, quality, sentencepiece_codec, simhash, suffix_dedup, topk, url_filter
+from cellar.llm import decontaminate, html_text, ngram_lm, pii, quality, sentencepiece_codec, simhash, suffix_dedup, topk, url_filter
 from cellar.llm.common import table
 
 #: Place of the SentencePiece model; a parameter of the deployment.
@@ -64,6 +64,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.digest(table(spark, sf_dir, "pages"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digest(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_suffix_dedup": (op1_suffix_dedup, None),
     "op2_pii": (op2_pii, None),
@@ -74,4 +78,5 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op7_decontamination": (op7_decontamination, None),
     "op8_simhash": (op8_simhash, None),
     "op9_url_filter": (op9_url_filter, None),
+    "op10_html_text": (op10_html_text, None),
 }
