@@ -31,6 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -258,8 +259,12 @@ def _spans(runs: DataFrame, window: int) -> DataFrame:
         held, size = [], 0
 
         def flush(rows: pa.Table):
+            known = rows.filter(pc.equal(rows.column("kind"), 1))
+            rows = rows.filter(pc.equal(rows.column("kind"), 0))
             got = repeated(rows.column("key").to_numpy(), rows.column("id").to_numpy(), rows.column("at").to_numpy(),
                            rows.column("run").to_pylist(), window)
+            got = np.concatenate([got, np.stack([known.column(c).to_numpy() for c in ("id", "at", "lead")], 1)
+                                  .astype(np.int64).reshape(-1, 3)])
             return pa.RecordBatch.from_arrays([pa.array(got[:, i]) for i in range(3)], ["id", "at", "windows"])
 
         for batch in batches:
@@ -280,9 +285,9 @@ def _spans(runs: DataFrame, window: int) -> DataFrame:
                 yield flush(rows)
 
     parts = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = (runs.where("kind = 0").select("key", "id", "at", "run")
-               .repartition(parts, "key").sortWithinPartitions("key"))
-    return sorted_.mapInArrow(sort, "id long, at long, windows long")
+    # kind 1 rows need no sorting but come along, so that the runs are made once and not stored
+    return (runs.repartition(parts, "key").sortWithinPartitions("key")
+            .mapInArrow(sort, "id long, at long, windows long"))
 
 
 def removed(docs: DataFrame, window: int = WINDOW, gram: int = ANCHOR) -> DataFrame:
@@ -297,8 +302,7 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = ANCHOR) -> DataFr
     # at most (anchors / HOT) rows
     hot = np.array([r[0] for r in seen.where(F.col("docs") > HOT).select("h").collect()], np.int64).view(np.uint64)
     release(spark)
-    runs = cut(_run_rows(src, bits, hot, window, gram))
-    spans = _spans(runs, window).union(runs.where("kind = 1").select("id", "at", F.col("lead").cast("long")))
+    spans = _spans(_run_rows(src, bits, hot, window, gram), window)
     return spans.groupBy("id").agg(F.collect_list(F.struct("at", "windows")).alias("spans"))
 
 
