@@ -23,7 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellar.llm.common import LOWER, bit_filter, cut, in_filter, mix, pieces, string_bytes, words
@@ -195,8 +195,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return got.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.max("compared").alias("compared"))
 
 
-def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that overlap an item; rows without an id are judged by
-    their own text only as far as they have an id, so they stay."""
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the documents that overlap an item. Rows without an id can't be named as
+    contaminated and stay."""
     bad = cut(overlaps(docs, benchmark).select("doc_id").distinct())
     return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)

@@ -197,15 +197,18 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS,
     return fit(np.concatenate(chains), np.concatenate([[0], np.cumsum(size)]), np.repeat(marks, size))
 
 
-def score(docs: DataFrame, weights: np.ndarray | float, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` of every row and its ``score``. One map over whole texts, no shuffle."""
-    keep = [c for c in keep if c != "score"]
-    src = docs.select(*keep, F.col(text).alias("__text"))
-    schema = docs.select(*keep).schema.add("score", "double")
+def score(docs: DataFrame, weights: np.ndarray | float, keep: list[str], text: str = "text",
+          name: str = "score") -> DataFrame:
+    """Columns ``keep`` of every row and its score. One map over whole texts, no shuffle."""
+    keep = [c for c in keep if c != name]
+    extra = [] if text in keep else [text]
+    src = docs.select(*keep, *extra)
+    at = src.columns.index(text)
+    schema = docs.select(*keep).schema.add(name, "double")
 
     def run(batches):
         for batch in batches:
-            data, off = string_bytes(batch.column(batch.num_columns - 1))
+            data, off = string_bytes(batch.column(at))
             out = []
             for begin, end in pieces(data, off):
                 if isinstance(weights, float):
@@ -217,7 +220,7 @@ def score(docs: DataFrame, weights: np.ndarray | float, keep: list[str], text: s
                 weight = np.maximum(size, 1e-9)
                 out.append(np.add.reduceat(good * weight, first[:-1]) / np.add.reduceat(weight, first[:-1]))
             scores = np.clip(np.concatenate(out), 0.0, 1.0) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores)], [*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(scores, pa.float64())], [*keep, name])
 
     return src.mapInArrow(run, schema)
 
@@ -230,11 +233,5 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
-    name = "__quality"
-    src = docs.withColumn(name, F.col("text"))
-    got = score(src, train(docs, labels), docs.columns, name) if "score" not in docs.columns else None
-    if got is None:
-        renamed = src.withColumnRenamed("score", "__score")
-        got = score(renamed, train(docs, labels), renamed.columns[:-1], name)
-        return got.where(F.col("score") >= THRESHOLD).drop("score").withColumnRenamed("__score", "score")
-    return got.where(F.col("score") >= THRESHOLD).select(*docs.columns)
+    got = score(docs, train(docs, labels), docs.columns, name="__quality_score")
+    return got.where(F.col("__quality_score") >= THRESHOLD).select(*docs.columns)
