@@ -896,10 +896,11 @@ def entry(spark: SparkSession) -> DataFrame:
 def _training_data() -> dict[str, tuple[Callable, str | None]]:
     """Queries of the optional training-data subpackage; none when it is not installed."""
     try:
+        import corpus_pipeline
         from cellar.llm.queries import QUERIES
     except ImportError:
         return {}
-    return QUERIES
+    return QUERIES | {"pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
