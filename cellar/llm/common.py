@@ -45,10 +45,11 @@ def release(spark: SparkSession) -> None:
     The Python gateway hands references back about once a second, so wait for that before the
     JVM looks for unreachable plans.
     """
-    gc.collect()
-    time.sleep(1.5)
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.5)
+    for _ in range(2):
+        gc.collect()
+        time.sleep(1.2)
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def crc32_mod(doc_id: Column | str, mod: int) -> Column:
