@@ -349,7 +349,7 @@ FROM m
 
 
 def q_type_runs(spark, sf):
-    runs = P.type_runs(_lineitem_rows(spark, sf, dense=True), cols=[5, 7, 9])
+    runs = P.type_runs(_lineitem_rows(spark, sf, dense=True))
     return runs.select("path", F.col("col").cast("int").alias("col"), F.col("b").cast("int").alias("b"),
                        F.col("first_row").cast("int").alias("first_row"),
                        F.col("last_row").cast("int").alias("last_row"), F.col("n_rows").cast("long").alias("n_rows"))
@@ -360,7 +360,7 @@ WITH {_LI_BITS_SQL.replace("CAST(l_orderkey * 8 + l_linenumber AS INTEGER)", "CA
 x AS (SELECT path, row_idx, col, b,
              lag(row_idx) OVER (PARTITION BY path, col ORDER BY row_idx) AS prev_r,
              lag(b) OVER (PARTITION BY path, col ORDER BY row_idx) AS prev_b
-      FROM cells WHERE col IN (5, 7, 9)),
+      FROM cells),
 y AS (SELECT *, sum(CASE WHEN prev_r IS NULL OR row_idx <> prev_r + 1 OR b <> prev_b THEN 1 ELSE 0 END)
                 OVER (PARTITION BY path, col ORDER BY row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g
       FROM x)

@@ -66,7 +66,7 @@ def parse_row(text, default: int = 0) -> Column:
     s = F.trim(_col(text))
     num = s.try_cast("int")
     idx = F.when(s.isNull() | (s == ""), F.lit(default)).otherwise(num - 1)
-    err = F.raise_error(F.concat(F.lit("Invalid row number '"), s, F.lit("'. Specify a number >= 1.")))
+    err = F.raise_error(F.concat(F.lit("rows count from 1, got '"), s, F.lit("'")))
     return F.when(idx >= 0, idx).otherwise(err.cast("int"))
 
 
@@ -93,7 +93,7 @@ def parse_address(text, strict: bool = True) -> Column:
     res = F.struct(row.alias("row"), col.alias("col"))
     if not strict:
         return F.when(ok, res)
-    err = F.raise_error(F.concat(F.lit("Resolved address '"), s, F.lit("' is invalid!")))
+    err = F.raise_error(F.concat(F.lit("no cell address: '"), s, F.lit("'")))
     return F.when(ok, res).otherwise(err.cast("struct<row:int,col:int>"))
 
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordinal import BROADCAST_OFFSETS_MAX, prefix_sum
+from ..session import checkpoint_root
+from .ordinal import prefix_sum, small_side, stable_partitions, with_ordinals
 
 
 def file_offsets(df: DataFrame, file_col: str, seq_col: str, order_col: str | None = None) -> DataFrame:
@@ -22,8 +23,7 @@ def file_offsets(df: DataFrame, file_col: str, seq_col: str, order_col: str | No
 
 
 def _join_small(df: DataFrame, side: DataFrame, on) -> DataFrame:
-    n = side.count()
-    return df.join(F.broadcast(side) if n <= BROADCAST_OFFSETS_MAX else side, on)
+    return df.join(small_side(side), on)
 
 
 SEQ_SPLIT_SHIFT = 40
@@ -74,23 +74,26 @@ def empty_id_to_generated(id_col: Column, generated: Column) -> Column:
 def make_unique(df: DataFrame, id_col: str, order_col, out: str | None = None) -> DataFrame:
     """The first occurrence keeps its id; later ones get _1, _2, ... (in ``order_col`` order).
 
-    The copy number is a distributed ordinal per id (range buckets over (id, order)), so a hot
-    id is spread over many tasks. A suffixed id that collides with an id occurring naturally
-    gets one more ``_1``.
+    A new id may itself be taken, by a row that has it or got it before: then it loses again and
+    gets a further suffix, round by round until all ids differ. The copy numbers of a round are
+    distributed ordinals per id (range buckets over (id, order)), so a hot id is spread over many
+    tasks. Rows without an id keep none.
     """
-    from .ordinal import stable_partitions, with_ordinals
-
     out = out or id_col
     order = [order_col] if isinstance(order_col, str) else list(order_col)
-    ranked = with_ordinals(stable_partitions(df, order, group=id_col), "__k", group=id_col)
-    cand = F.when(F.col("__k") == 0, F.col(id_col)).otherwise(
-        F.concat(F.col(id_col), F.lit("_"), F.col("__k").cast("string")))
-    ranked = ranked.withColumn("__cand", cand)
-    natural = df.select(F.col(id_col).alias("__cand")).distinct().withColumn("__nat", F.lit(True))
-    joined = ranked.join(natural, "__cand", "left")
-    fixed = F.when((F.col("__k") > 0) & F.col("__nat").isNotNull(),
-                   F.concat(F.col("__cand"), F.lit("_"), F.lit("1"))).otherwise(F.col("__cand"))
-    return joined.withColumn(out, fixed).drop("__k", "__cand", "__nat")
+    checkpoint_root(df.sparkSession)
+    rows = df.filter(F.col(id_col).isNotNull()).withColumn("__cand", F.col(id_col)).withColumn("__late", F.lit(0))
+    while True:
+        ranked = with_ordinals(stable_partitions(rows, ["__late", *order], group="__cand"), "__k", group="__cand")
+        lost = F.col("__k") > 0
+        ranked = ranked.withColumn("__late", lost.cast("int")).withColumn(
+            "__cand", F.when(lost, F.concat_ws("_", "__cand", F.col("__k").cast("string"))).otherwise(F.col("__cand")))
+        rows = ranked.drop("__k").checkpoint(eager=True)
+        if not rows.filter(F.col("__late") == 1).limit(1).count():
+            break
+    named = rows.withColumn(out, F.col("__cand")).select(*dict.fromkeys([*df.columns, out]))
+    without = df.filter(F.col(id_col).isNull()).withColumn(out, F.lit(None).cast("string"))
+    return named.unionByName(without)
 
 
 def duplicate_ids(df: DataFrame, id_col: str) -> DataFrame:

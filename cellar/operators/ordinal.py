@@ -8,7 +8,8 @@ A global ``row_number()`` pulls every row into one task. Instead:
    different ranges; fixed bounds make every job and every re-run task agree;
 2. give each row its bucket id (a balanced CASE tree over the bounds, O(log n) per row),
    hash-partition by bucket id and sort within partitions by (bucket, key) -- a hot key
-   value spans several buckets when the sample says it is hot;
+   value spans several buckets: when the sample's bounds repeat, a hash of the row is added to
+   the key; NULL keys come first;
 3. count rows per bucket (a tiny aggregate), turn the counts into offsets on the driver;
 4. ordinal = offset[bucket] + position in the partition - first position of the bucket,
    where the position comes from ``monotonically_increasing_id`` (partition id << 33 | position).
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
-# broadcast small per-group tables only below this many rows; else shuffle-join
-BROADCAST_OFFSETS_MAX = 2_000_000
+# broadcast small per-group tables only below this many bytes; else shuffle-join
+BROADCAST_OFFSETS_BYTES = 64 << 20
+ROWS_PER_BUCKET = 2_000_000
+TIE = "__tie"
 SAMPLE_PER_BUCKET = 64
 SAMPLE_SEED = 20240611
 
@@ -58,30 +61,53 @@ def stable_partitions(df: DataFrame, order_by: list[str] | None = None, group: s
     keys = ([group] if group else []) + list(order_by or [])
     if not keys:
         checkpoint_root(spark)
-        return df.checkpoint(eager=True).withColumn("__b", F.lit(0))
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # the stored partitions are the buckets
+        return df.checkpoint(eager=True).withColumn("__b", F.spark_partition_id())
     total = df.count()
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_BUCKET))
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()
+             and "variant" not in f.dataType.simpleString()]
+    tied = df.withColumn(TIE, F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
     want = n * SAMPLE_PER_BUCKET
     frac = 1.0 if total <= want else min(1.0, 2.0 * want / total)
-    sample = df.select(*keys).sample(withReplacement=False, fraction=frac, seed=SAMPLE_SEED).collect()
-    vals = [tuple(r) if len(keys) > 1 else r[0] for r in sample]
-    vals = [v for v in vals if v is not None and not (isinstance(v, tuple) and any(x is None for x in v))]
-    vals.sort()
-    bounds: list = []
-    if vals and n > 1:
-        for i in range(1, n):
-            b = vals[min(len(vals) - 1, (i * len(vals)) // n)]
-            if not bounds or b > bounds[-1]:
-                bounds.append(b)
+    sample = tied.select(*keys, TIE).sample(withReplacement=False, fraction=frac, seed=SAMPLE_SEED).collect()
+    bounds = _bounds([tuple(r)[:-1] for r in sample], n)
+    if len(bounds) < min(n, len(sample)) - 1:
+        # a hot key: equal keys are told apart by their rows
+        keys = [*keys, TIE]
+        bounds = _bounds([tuple(r) for r in sample], n)
+    if len(keys) == 1:
+        bounds = [b[0] for b in bounds]
     key = _key_col(keys)
-    dtype = df.select(key.alias("k")).schema[0].dataType
+    dtype = tied.select(key.alias("k")).schema[0].dataType
     bucket = _bucket_expr(key, dtype, bounds, 0, len(bounds)) if bounds else F.lit(0)
+    if len(keys) == 1 and bounds and bounds[0] is not None:
+        bucket = F.when(key.isNull(), 0).otherwise(bucket)
     nb = len(bounds) + 1
-    out = df.withColumn("__b", bucket.cast("int"))
+    out = tied.withColumn("__b", bucket.cast("int"))
     # one bucket per partition: a key per bucket that Spark's own hash sends to that partition
     pkeys = F.array(*[F.lit(k) for k in _partition_keys(spark, nb)])
     out = out.withColumn("__pk", F.element_at(pkeys, F.col("__b") + 1))
-    return out.repartition(nb, "__pk").sortWithinPartitions("__b", *keys).drop("__pk")
+    return out.repartition(nb, "__pk").sortWithinPartitions("__b", *keys).drop("__pk", TIE)
+
+
+def _bounds(vals: list[tuple], n: int) -> list[tuple]:
+    """Distinct upper bounds of up to ``n`` buckets; NULLs sort first, as Spark has them."""
+    def order(v: tuple):
+        return tuple((x is not None, _no_nan(x)) if x is not None else (False,) for x in v)
+
+    vals = sorted(vals, key=order)
+    out: list[tuple] = []
+    for i in range(1, n) if vals else ():
+        b = vals[min(len(vals) - 1, (i * len(vals)) // n)]
+        if (not out or order(b) > order(out[-1])) and all(x is not None for x in b):
+            out.append(b)
+    return out
+
+
+def _no_nan(x):
+    """NaN is larger than any number, as in Spark."""
+    return (1, 0.0) if isinstance(x, float) and x != x else (0, x) if isinstance(x, float) else x
 
 
 _PKEY_CACHE: dict[int, list[int]] = {}
@@ -130,9 +156,17 @@ def with_ordinals(staged: DataFrame, out: str = "__n", group: str | None = None)
     if group is None:
         return res.drop("__b")
     starts = res.groupBy(group).agg(F.min(out).alias("__start"))
-    n_groups = starts.count()
-    side = F.broadcast(starts) if n_groups <= BROADCAST_OFFSETS_MAX else starts
-    return res.join(side, group).withColumn(out, F.col(out) - F.col("__start")).drop("__start", "__b")
+    side = small_side(starts).withColumnRenamed(group, "__g")
+    # null-safe: rows without a group form a group of their own
+    return (res.join(side, F.col(group).eqNullSafe(F.col("__g"))).withColumn(out, F.col(out) - F.col("__start"))
+            .drop("__start", "__b", "__g"))
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size allows one."""
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    size = df.agg(F.sum(width)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_OFFSETS_BYTES else df
 
 
 def prefix_sum(df: DataFrame, order_by: list[str], value: str, out: str = "__off") -> DataFrame:

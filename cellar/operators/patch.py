@@ -46,21 +46,29 @@ def patches_from_table(df: DataFrame, address_col: str | None = None, sheet: str
                             F.lit(None).cast("string").alias("s"))
     addr = parse_address(F.col(f"`{address_col}`"))
     checked = F.when(n_present <= 1, F.coalesce(chosen, fallback)).otherwise(
-        F.raise_error(F.concat(F.lit("Found second non-missing value for cell "), F.col(f"`{address_col}`"),
-                               F.lit(" to update!"))).cast("struct<k:string,n:double,s:string>"))
+        F.raise_error(F.concat(F.lit("more than one value given for cell "), F.col(f"`{address_col}`"))).cast("struct<k:string,n:double,s:string>"))
     out = df.select(
         (F.col("sheet") if "sheet" in df.columns else F.lit(sheet)).alias("sheet"),
         addr["row"].alias("row"), addr["col"].alias("col"),
-        (F.col(f"`{seq_col}`").cast("long") if seq_col else F.monotonically_increasing_id()).alias("seq"),
+        (F.col(f"`{seq_col}`").cast("long") if seq_col else F.lit(0).cast("long")).alias("seq"),
         checked.alias("cell"),
     )
     return out.select("sheet", "row", "col", "seq", "cell.k", "cell.n", "cell.s")
 
 
 def last_write_wins(patches: DataFrame) -> DataFrame:
-    """One patch per address, the one with the highest ``seq`` (partial aggregation first)."""
-    return patches.groupBy("sheet", "row", "col").agg(
-        F.max_by(F.struct("k", "n", "s"), "seq").alias("p")).select("sheet", "row", "col", "p.k", "p.n", "p.s")
+    """One patch per address, the one with the highest ``seq`` (partial aggregation first).
+
+    Which of two patches is the last is only known from a sequence: an address that is patched
+    twice with different values under one ``seq`` fails.
+    """
+    value = F.struct("k", "n", "s")
+    top = patches.groupBy("sheet", "row", "col").agg(
+        F.max(F.struct("seq", value.alias("p"))).alias("hi"), F.min(F.struct("seq", value.alias("p"))).alias("lo"))
+    unclear = (F.col("hi.seq") == F.col("lo.seq")) & ~F.col("hi.p").eqNullSafe(F.col("lo.p"))
+    where = F.concat_ws(" ", F.lit("patches without a sequence disagree on"), "sheet", "row", "col")
+    p = F.when(unclear, F.raise_error(where).cast("struct<k:string,n:double,s:string>")).otherwise(F.col("hi.p"))
+    return top.select("sheet", "row", "col", p.alias("p")).select("sheet", "row", "col", "p.k", "p.n", "p.s")
 
 
 def require_sheets(patches: DataFrame, sheets: DataFrame) -> None:

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.cells import staged_typing
-from ..session import checkpoint_root
 
 BLOCK_ROWS = 65536
 
@@ -55,43 +54,49 @@ def sheet_width(rows: DataFrame) -> DataFrame:
         (F.max("col") + 1).alias("width"))
 
 
+RUN_BLOCK = 1 << 16  # rows of a column that one window sorts
+
+
 def type_runs(rows: DataFrame, cols: list[int] | None = None) -> DataFrame:
     """Run-length type profile: maximal runs of equal cell type per (file, column).
 
     A run breaks where the type changes or rows are skipped; the skipped rows between two
-    cells form a run of type 0 (missing). No window spans a (file, column): a cell starts a
-    run when the cell one row above differs (equi-join on the shifted row), ends one when the
-    cell below differs; the k-th start pairs with the k-th end, where k comes from the
-    distributed ordinals (a hot file or column is split over range buckets).
+    cells form a run of type 0 (missing). Runs are found within blocks of ``RUN_BLOCK`` rows, so
+    a long column is spread over many tasks; what touches a block's edges (two runs at most) is
+    joined with its neighbours in a second pass over these edge runs alone.
     """
-    from .ordinal import stable_partitions, with_ordinals
-
-    present = long_cells(rows).select("path", "row_idx", "col", F.col("cell.b").alias("b"))
     if cols is not None:
-        present = present.filter(F.col("col").isin(cols))
-    present = present.withColumn("__g", F.concat_ws("\u0001", F.col("path"), F.col("col").cast("string")))
-    above = present.select("__g", (F.col("row_idx") + 1).alias("row_idx"), F.col("b").alias("__up"))
-    below = present.select("__g", (F.col("row_idx") - 1).alias("row_idx"), F.col("b").alias("__down"))
-    marked = present.join(above, ["__g", "row_idx"], "left").join(below, ["__g", "row_idx"], "left")
-    # several small jobs (counts, samples) read the marked cells: cut the lineage once, in the
-    # shared checkpoint folder, instead of recomputing the decode/typing pipeline for each
-    checkpoint_root(marked.sparkSession)
-    marked = marked.filter(F.col("__up").isNull() | (F.col("__up") != F.col("b")) | F.col("__down").isNull()
-                           | (F.col("__down") != F.col("b"))).checkpoint(eager=True)
-    starts = marked.filter(F.col("__up").isNull() | (F.col("__up") != F.col("b"))).select(
-        "__g", "path", "col", "b", F.col("row_idx").alias("first_row"))
-    ends = marked.filter(F.col("__down").isNull() | (F.col("__down") != F.col("b"))).select(
-        "__g", F.col("row_idx").alias("last_row"))
-    s_k = with_ordinals(stable_partitions(starts, ["first_row"], group="__g"), "__k", group="__g")
-    e_k = with_ordinals(stable_partitions(ends, ["last_row"], group="__g"), "__k", group="__g")
-    runs = s_k.join(e_k, ["__g", "__k"]).select(
-        "path", "col", "b", "first_row", "last_row", (F.col("last_row") - F.col("first_row") + 1).alias("n_rows"))
-    nxt = s_k.select("__g", (F.col("__k") - 1).alias("__k"), F.col("first_row").alias("__next"))
-    gaps = e_k.join(nxt, ["__g", "__k"]).filter(F.col("__next") > F.col("last_row") + 1).join(
-        s_k.select("__g", "path", "col").dropDuplicates(["__g"]), "__g").select(
-        "path", "col", F.lit(0).alias("b"), (F.col("last_row") + 1).alias("first_row"),
-        (F.col("__next") - 1).alias("last_row"), (F.col("__next") - F.col("last_row") - 1).alias("n_rows"))
-    return runs.unionByName(gaps)
+        keep = F.array(*[F.lit(c) for c in cols])
+        rows = rows.withColumn("cells", F.map_filter("cells", lambda k, v: F.array_contains(keep, k)))
+    cells = long_cells(rows).select("path", "row_idx", "col", F.col("cell.b").alias("b"),
+                                    F.shiftright("row_idx", 16).alias("blk"))
+    block = ["path", "col", "blk"]
+    w = Window.partitionBy(*block).orderBy("row_idx")
+    up, up_b = F.lag("row_idx").over(w), F.lag("b").over(w)
+    marked = cells.withColumn("__new", (up.isNull() | (up + 1 != F.col("row_idx")) | (up_b != F.col("b"))).cast("int"))
+    runs = marked.withColumn("__run", F.sum("__new").over(w)).groupBy(*block, "__run").agg(
+        F.first("b").alias("b"), F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"))
+    in_block = Window.partitionBy(*block).orderBy("first_row")
+    runs = runs.withColumn("__prev", F.lag("last_row").over(in_block)).withColumn(
+        "__edge", F.col("__prev").isNull() | F.lead("first_row").over(in_block).isNull())
+    # the second pass: at most two runs a block
+    along = Window.partitionBy("path", "col").orderBy("first_row")
+    before = F.when(F.col("__prev").isNull(), F.lag("last_row").over(along))
+    edge = runs.filter("__edge").withColumn("__before", before).withColumn("__before_b", F.lag("b").over(along))
+    goes_on = (F.col("__before") + 1 == F.col("first_row")) & (F.col("__before_b") == F.col("b"))
+    edge = edge.withColumn("__run", F.sum(F.when(goes_on, 0).otherwise(1)).over(along))
+    whole = edge.groupBy("path", "col", "__run").agg(
+        F.first("b").alias("b"), F.min("first_row").alias("first_row"), F.max("last_row").alias("last_row"))
+    out = ["path", "col", "b", "first_row", "last_row"]
+
+    def gaps(df: DataFrame, end: str) -> DataFrame:
+        return df.filter(F.col("first_row") > F.col(end) + 1).select(
+            "path", "col", F.lit(0).alias("b"), (F.col(end) + 1).alias("first_row"),
+            (F.col("first_row") - 1).alias("last_row"))
+
+    found = (runs.filter("NOT __edge").select(*out).unionByName(whole.select(*out))
+             .unionByName(gaps(runs, "__prev")).unionByName(gaps(edge, "__before")))
+    return found.withColumn("n_rows", F.col("last_row") - F.col("first_row") + 1)
 
 
 def empty_columns(rows: DataFrame, first_row: int = 0, last_row: int | None = None, header_row: int | None = None,

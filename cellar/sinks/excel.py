@@ -41,11 +41,11 @@ FRAGMENT_BYTES = 8 << 20  # raw XML per fragment before it is deflated and store
 def validate_sheet_name(name: str) -> None:
     """C22 on the driver."""
     if name is None or not name.strip():
-        raise ValueError("The sheet name may not be empty.")
+        raise ValueError("A sheet needs a name that is not blank.")
     if len(name) > MAX_SHEET_NAME:
-        raise ValueError("The sheet name may not contain more than 31 characters.")
+        raise ValueError(f"Sheet name {name!r} has {len(name)} characters; {MAX_SHEET_NAME} fit.")
     if re.search(ILLEGAL_SHEET_CHARS, name):
-        raise ValueError("The sheet name may not contain :, [, ], /, \\, * or ?.")
+        raise ValueError(f"Sheet name {name!r} has a character that sheet names cannot hold.")
 
 
 def continuation_name(name: str, i: int) -> str:
@@ -53,8 +53,8 @@ def continuation_name(name: str, i: int) -> str:
     out = f"{name} ({i})"
     if len(out) > MAX_SHEET_NAME:
         raise ValueError(
-            f"Table spans over multiple sheets. Appending unique suffix ' ({i})' to '{name}' results in a too "
-            "long sheet name (max 31 characters). Please provide a shorter sheet name.")
+            f"The rows fill several sheets and continuation sheet {out!r} is longer than {MAX_SHEET_NAME} "
+            f"characters; choose a name that leaves room for the number.")
     return out
 
 
@@ -166,11 +166,10 @@ def _commit_fn(spec: dict):
                 pieces.append((tc, tcrc, traw, len(tc)))
                 z.add_pieces(f"xl/worksheets/sheet{i + 1}.xml", pieces)
             z.close()
-        if fsio.exists(target):
-            if spec.get("mode") == "errorifexists":
-                fsio.delete_file(tmp)
-                raise FileExistsError(f"{target} exists")
-            fsio.delete_file(target)
+        if spec.get("mode") == "errorifexists" and fsio.exists(target):
+            fsio.delete_file(tmp)
+            raise FileExistsError(f"{target} exists")
+        # the move replaces an old workbook at once; there is no moment without one
         fsio.move(tmp, target)
         rows = int(pdf["n_rows"].fillna(0).sum())
         return pd.DataFrame({"wb": [wb], "path": [target], "sheets": [len(sheets)], "rows": [rows]})
@@ -195,7 +194,7 @@ def _file_for(key: str) -> str:
 
 
 def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, max_rows: int, max_cols: int,
-                   row_key: str | None, group: str | None, autosize: bool, chain: list[int] | None = None,
+                   row_key: str | None, group: str | None, autosize: bool, cached: list, chain: list[int] | None = None,
                    styles: tuple[int, int, int] = (1, 2, 3)):
     validate_sheet_name(sheet)
     data_cols = [f for f in df.schema.fields if f.name not in (group, "__tno")]
@@ -208,7 +207,7 @@ def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, m
     from pyspark import StorageLevel
 
     staged = stable_partitions(df, order_by, group).persist(StorageLevel.MEMORY_AND_DISK)
-    _CACHED.append(staged)
+    cached.append(staged)
     numbered = with_ordinals(staged, "__n", group)
     if chain:
         # Append after the last used row of each existing sheet of the chain
@@ -229,7 +228,9 @@ def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, m
         names = ["RowID"] + [n for n in names if n != row_key]
     widths = None
     if autosize:
-        widths = column_widths(staged.select(*[f.name for f in schema.fields]), names, header)
+        # in the order of the rendered cells: the row key is the first of them
+        shown = [f.name for f in schema.fields if f.name != row_key]
+        widths = column_widths(staged.select(*([row_key] if row_key is not None else []), *shown), names, header)
     return numbered.select(*cols), {"sheet": sheet, "names": names, "header": header, "widths": widths,
                                     "chain": len(chain or [])}
 
@@ -287,6 +288,7 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
     existing = {s["name"]: s for s in layout["sheets"]} if layout else {}
     frags = []
     specs = []
+    cached: list = []
     for t_no, (sheet, df) in enumerate(tables):
         ob = order_by.get(sheet) if isinstance(order_by, dict) else order_by
         chain = []
@@ -299,7 +301,7 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
                     chain.append(existing[sheet if i == 0 else f"{sheet} ({i})"]["last_row"])
                     i += 1
         rendered, spec = _prepare_table(df, sheet, ob, header, missing, cap_rows, XLSX_MAX_COLS, row_key, None,
-                                        autosize, chain, styles)
+                                        autosize, cached, chain, styles)
         spec["action"] = "append" if chain else ("replace" if sheet in existing else "new")
         frags.append(rendered.mapInArrow(_fragment_fn(stage, t_no, False), _FRAG_DDL))
         specs.append(spec)
@@ -313,7 +315,7 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
         [("", t_no, 0, 0, 0, None, 0, 0, 0) for t_no in range(len(specs))], _FRAG_DDL)
     meta = meta.unionByName(placeholder)
     result = meta.groupBy("wb").applyInPandas(_commit_fn(spec), "wb string, path string, sheets int, rows long")
-    return _materialize(result, stage)
+    return _materialize(result, stage, cached)
 
 
 def _merge_same_sheet(tables, order_by):
@@ -347,28 +349,27 @@ def write_excel_by_key(df: DataFrame, key: str, folder: str, sheet: str = "defau
     """
     cap_rows = max_rows or XLSX_MAX_ROWS
     stage = scratch_dir(df.sparkSession, "xlsx-stage")
+    cached: list = []
     rendered, spec_t = _prepare_table(df, sheet, order_by, header, missing, cap_rows, XLSX_MAX_COLS, None, key,
-                                      False)
+                                      False, cached)
     meta = rendered.mapInArrow(_fragment_fn(stage, 0, True), _FRAG_DDL).filter(F.col("file").isNotNull())
     spec = {"folder": folder, "group": True, "tables": [spec_t], "mode": mode}
     result = meta.groupBy("wb").applyInPandas(_commit_fn(spec), "wb string, path string, sheets int, rows long")
-    return _materialize(result, stage)
-
-
-_CACHED: list = []
+    return _materialize(result, stage, cached)
 
 
-def _materialize(result: DataFrame, stage: str | None = None) -> DataFrame:
-    """Run the commit once and return its (small) report as a DataFrame; the staged fragments
-    are removed once the workbooks are in place."""
+def _materialize(result: DataFrame, stage: str, cached: list | None = None) -> DataFrame:
+    """Run the commit once; its report (one row per workbook) goes to the shared folder, not to
+    the driver. The staged fragments are removed once the workbooks are in place."""
+    spark = result.sparkSession
+    report = scratch_dir(spark, "report") + "/rows"
     try:
-        rows = result.collect()
+        result.write.parquet(report)
     finally:
-        while _CACHED:
-            _CACHED.pop().unpersist()
-    if stage:
-        remove_tree(result.sparkSession, stage)
-    return result.sparkSession.createDataFrame(rows, "wb string, path string, sheets int, rows long")
+        for df in cached or []:
+            df.unpersist()
+    remove_tree(spark, stage)
+    return spark.read.parquet(report)
 
 
 def sheets_needed(n_rows: int, header: bool = True, max_rows: int = XLSX_MAX_ROWS) -> int:
@@ -468,7 +469,6 @@ def _commit_into_existing(spec: dict, pdf: pd.DataFrame) -> pd.DataFrame:
             z.add_pieces(part, new_sheet_pieces(t_no, s_no))
         z.close()
     src.close()
-    fsio.delete_file(path)
     fsio.move(tmp, path)
     rows = int(pdf["n_rows"].fillna(0).sum())
     return pd.DataFrame({"wb": [""], "path": [path], "sheets": [len(layout["sheets"]) + len(new_sheets)],
@@ -483,7 +483,7 @@ def write_cells(cells: DataFrame, path: str, sheets: list[str] | None = None, mo
     fragment / commit path as ``write_excel`` (sparse rows keep their row numbers).
     """
     from ..functions.address import col_label
-    from .render import STYLE_DATETIME, xml_escape
+    from .render import STYLE_DATETIME, text_cell, xml_escape
 
     spark = cells.sparkSession
     if sheets is None:
@@ -500,8 +500,7 @@ def write_cells(cells: DataFrame, path: str, sheets: list[str] | None = None, mo
         .when(k == "b", F.concat(F.lit('<c r="'), ref, F.lit('" t="b"><v>'),
                                  F.when(n == 1.0, F.lit("1")).otherwise(F.lit("0")), F.lit("</v></c>")))
         .when(k == "e", F.concat(F.lit('<c r="'), ref, F.lit('" t="e"><v>'), xml_escape(s), F.lit("</v></c>")))
-        .otherwise(F.concat(F.lit('<c r="'), ref, F.lit('" t="inlineStr"><is><t xml:space="preserve">'),
-                            xml_escape(F.coalesce(s, F.lit(""))), F.lit("</t></is></c>")))
+        .otherwise(text_cell(ref, F.coalesce(s, F.lit(""))))
     )
     t_no = F.element_at(F.create_map(*[x for i, nm in enumerate(sheets) for x in (F.lit(nm), F.lit(i))]),
                         F.col("sheet"))

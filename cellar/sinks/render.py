@@ -27,21 +27,24 @@ def xml_escape(s: Column) -> Column:
     s = F.replace(s, F.lit("&"), F.lit("&amp;"))
     s = F.replace(s, F.lit("<"), F.lit("&lt;"))
     s = F.replace(s, F.lit(">"), F.lit("&gt;"))
-    return F.regexp_replace(s, _ILLEGAL_XML, "")
+    # characters that XML can't hold are written as _xHHHH_; only texts with one take this way
+    escaped = F.array_join(F.transform(F.split(s, ""), lambda c: F.when(c.rlike(_ILLEGAL_XML), F.concat(
+        F.lit("_x"), F.lpad(F.hex(F.ascii(c)), 4, "0"), F.lit("_"))).otherwise(c)), "")
+    return F.when(s.rlike(_ILLEGAL_XML), escaped).otherwise(s)
 
 
 def xml_escape_py(s: str) -> str:
     import re
 
     s = s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
-    return re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", "", s)
+    return re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", lambda m: f"_x{ord(m.group()):04X}_", s)
 
 
 # The most characters a cell can hold (text longer than this is refused).
 MAX_CELL_TEXT = 32767
 
 
-def _text_cell(ref: Column, text: Column) -> Column:
+def text_cell(ref: Column, text: Column) -> Column:
     # literal "_xHHHH_" would read back as an escaped character: escape its underscore
     safe = F.regexp_replace(text, "_(x[0-9A-Fa-f]{4}_)", "_x005F_$1")
     cell = F.concat(F.lit('<c r="'), ref, F.lit('" t="inlineStr"><is><t xml:space="preserve">'), xml_escape(safe),
@@ -60,9 +63,9 @@ def cell_xml(c: Column, dtype: T.DataType, ref: Column, missing: str | None, nam
     elif isinstance(dtype, (T.FloatType, T.DoubleType)):
         v = c.cast("double")
         num = F.concat(F.lit('<c r="'), ref, F.lit('"><v>'), v.cast("string"), F.lit("</v></c>"))
-        # Infinity cannot be stored
-        body = F.when(F.abs(v) == F.lit(float("inf")), F.raise_error(
-            F.lit(f"Excel does not support infinity (column {name})"))).otherwise(num)
+        # Neither infinity nor NaN can be stored
+        body = F.when((F.abs(v) == F.lit(float("inf"))) | F.isnan(v), F.raise_error(
+            F.lit(f"column {name}: a sheet holds finite numbers only"))).otherwise(num)
     elif isinstance(dtype, T.BooleanType):
         body = F.concat(F.lit('<c r="'), ref, F.lit('" t="b"><v>'), F.when(c, F.lit("1")).otherwise(F.lit("0")),
                         F.lit("</v></c>"))
@@ -74,11 +77,11 @@ def cell_xml(c: Column, dtype: T.DataType, ref: Column, missing: str | None, nam
                         datetime_to_serial(c).cast("string"), F.lit("</v></c>"))
     elif isinstance(dtype, T.TimestampType):
         # zoned date-time: written as text in the session time zone
-        body = _text_cell(ref, F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+        body = text_cell(ref, F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
     elif isinstance(dtype, T.StringType):
-        body = _text_cell(ref, c)
+        body = text_cell(ref, c)
     elif isinstance(dtype, (T.DayTimeIntervalType, T.YearMonthIntervalType)):
-        body = _text_cell(ref, c.cast("string"))
+        body = text_cell(ref, c.cast("string"))
     elif hasattr(T, "TimeType") and isinstance(dtype, T.TimeType):
         secs = F.date_part(F.lit("SECOND"), c)
         frac = ((F.hour(c) * 60.0 + F.minute(c)) * 60.0 + secs.cast("double")) / 86400.0
@@ -86,7 +89,7 @@ def cell_xml(c: Column, dtype: T.DataType, ref: Column, missing: str | None, nam
                         F.lit("</v></c>"))
     else:
         raise UnsupportedColumn(f"Column '{name}' has the unsupported type {dtype.simpleString()}")
-    empty = _text_cell(ref, F.lit(missing)) if missing is not None else F.lit("")
+    empty = text_cell(ref, F.lit(missing)) if missing is not None else F.lit("")
     return F.when(c.isNull(), empty).otherwise(body)
 
 

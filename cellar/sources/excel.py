@@ -3,14 +3,15 @@
 Plan of ``read_excel`` (three Spark jobs, two of them tiny):
 
 1. ``binaryFile`` listing with the file filters (S5).
-2. Inference job: each task decodes the selected sheet of its files but stops after the
-   scan limit of data rows; it emits one record per (file, column) holding the column's
-   name and sampled cells. Spark computes each cell's lattice bit and ``bit_or``s them by
-   column name -- a partial + final hash aggregate over a few rows per column (A1, U1-U4).
-   Only the resulting schema (one row per column) reaches the driver.
-3. Read job: each task decodes its files fully, re-keys cells to the final column ordinal
-   and emits Arrow batches; the typed table is a projection ``element_at(cells, j)`` with
-   the conversion rules of ``plans.cells``. No shuffle of file bytes or rows.
+2. Inference job: each task decodes the selected sheet of its files (big ones in byte-range
+   splits) and emits records of (file, column, name, a bounded number of cells). Spark
+   computes each cell's lattice bit and ``bit_or``s them by column name -- a partial + final
+   hash aggregate (A1, U1-U4). All rows are looked at unless a scan limit is asked for. Only
+   the resulting schema (one row per column) reaches the driver.
+3. Read job: the same decode; cells are re-keyed by column *name* to the final ordinal, file by
+   file, so files may hold a column at different positions. The typed table is a projection
+   ``element_at(cells, j)`` with the conversion rules of ``plans.cells``. No shuffle of file
+   bytes or rows. There is one path for one file or many, small or big.
 
 Row rules (header, range, empty/hidden rows) run inside the decoding task, where the row
 stream is sequential anyway; column rules (range, hidden, names) too. Everything after the
@@ -27,7 +28,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.address import XLSX_MAX_COLS
 from ..functions.text import ERROR_PATTERN, unique_names
 from ..functions.types import lattice_name
 from ..functions.types import spark_type as _spark_type
@@ -59,7 +59,7 @@ class ReadOptions:
     use15: bool = True  # C6
     blank_to_missing: bool = True  # C14
     error_pattern: str | None = ERROR_PATTERN  # C15; None = error cells are missing
-    scan_limit: int | None = 10000  # A2; None = scan everything
+    scan_limit: int | None = None  # A2: rows per file that types are inferred from; None = all
     combine: str = "union"  # U1 union / U2 intersection / U3 fail
     row_id: str | None = None  # None, "generated" (W1) or a column label / number (W4)
     path_column: str | None = None  # S11, e.g. "Path"
@@ -68,21 +68,23 @@ class ReadOptions:
     raw: bool = False  # 1-based row number as first column
     lattice: str = "current"  # "legacy" (A10) or "oldest" (A13)
     unique_ids: bool = False  # W5 on the row id column
-    decode_once: bool | None = None  # None = decide from the listing (many small files -> True)
+    select: dict | None = None  # {name: new name or None} picks, renames and orders; None drops
+    types: dict | None = None  # {name: type name} overrides inferred types
+    enforce_types: bool = True  # a cell that misfits its ``types`` entry fails (else it is missing)
     on_corrupt: str = "failfast"  # S12: "failfast" raises with the path, "skip" leaves the file out
 
     def validate(self) -> None:
         """option checks before any plan is built."""
         fc, lc = _col_idx(self.first_col, 0), _col_idx(self.last_col, -1)
         if fc < 0:
-            raise ValueError("The first column is invalid. It must be a number >= 1 or a name starting with A.")
+            raise ValueError(f"first_col={self.first_col!r} is no column (letters, or a number from 1)")
         if lc >= 0 and lc < fc:
-            raise ValueError("The last column must not be before the first column.")
+            raise ValueError(f"last_col={self.last_col!r} lies left of first_col={self.first_col!r}")
         for r in (self.first_row, self.last_row, self.header_row):
             if r is not None and r < 1:
-                raise ValueError(f"Invalid row number '{r}'. Specify a number >= 1.")
+                raise ValueError(f"rows count from 1, got {r}")
         if self.first_row and self.last_row and self.last_row < self.first_row:
-            raise ValueError("The last row must not be before the first row.")
+            raise ValueError(f"last_row={self.last_row} lies above first_row={self.first_row}")
         if self.combine not in ("union", "intersection", "fail"):
             raise ValueError(f"Unknown combine mode {self.combine!r}")
 
@@ -91,7 +93,7 @@ class ReadOptions:
         if self.row_id not in (None, "generated"):
             rid = _col_idx(self.row_id, -1)
             if rid < 0:
-                raise ValueError("The row ID column is invalid. It must be a number >= 1 or a name starting with A.")
+                raise ValueError(f"row_id={self.row_id!r} is no column (letters, or a number from 1)")
         lc = _col_idx(self.last_col, -1)
         return ooxml.ScanOptions(
             first_row=(self.first_row - 1) if self.first_row else 0,
@@ -417,8 +419,53 @@ def _positions(so: ooxml.ScanOptions, hidden: set[int], width: int) -> list[int]
     return out
 
 
-def _decode_files(batches, opts: ReadOptions, so: ooxml.ScanOptions):
-    """Yield per file: (path, wb, sheet, iterator over data rows).
+class _Source:
+    """One sheet being decoded: names first, then data rows.
+
+    ``rows()`` yields (row_idx, seq, hidden, cells, rowid); ``namer`` knows all column names by
+    the time the first row comes out. Rows above a header row wait for it (at most as many as
+    stand above the header).
+    """
+
+    def __init__(self, path, wb, sheet, opts: ReadOptions, so: ooxml.ScanOptions):
+        self.path, self.wb, self.sheet, self.opts, self.so = path, wb, sheet, opts, so
+        self.hidden: set[int] = set()
+        self.namer = _Namer(opts, so, self.hidden)
+        self.width = 0
+        self.items = iter(())
+
+    def _hidden(self, cols):
+        self.hidden = set(cols)
+        self.namer = _Namer(self.opts, self.so, self.hidden)
+
+    def rows(self):
+        pending = []
+        for item in self.items:
+            if item[0] == "hidden_cols":
+                self._hidden(item[1])
+                continue
+            r, seq, is_hidden, cells, rowid, is_header = item
+            if cells:
+                self.width = max(self.width, cells[-1][0] + 1)
+            if is_header:
+                self.namer.set_header(cells)
+                yield from pending
+                pending = []
+            elif self.so.header_row is not None and r < self.so.header_row:
+                pending.append((r, seq, is_hidden, cells, rowid))
+            else:
+                yield r, seq, is_hidden, cells, rowid
+        yield from pending
+
+
+def _open_sheet(zf, path, opts: ReadOptions, so: ooxml.ScanOptions):
+    wb = ooxml.open_workbook(zf)
+    sheet = _select_sheet(zf, wb, opts.sheet)
+    return _Source(path, wb, sheet, opts, so), ooxml.load_shared_strings(zf, wb.shared_strings_part)
+
+
+def _whole_files(batches, opts: ReadOptions, so: ooxml.ScanOptions):
+    """A source per file of (path, content) batches.
 
     With ``on_corrupt="skip"`` a file that cannot be opened or whose sheet XML is corrupt is
     left out (``rejects`` lists such files with the reason); otherwise the error names the path.
@@ -427,50 +474,100 @@ def _decode_files(batches, opts: ReadOptions, so: ooxml.ScanOptions):
         for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
             try:
                 zf = ooxml.open_zip(content)
-                wb = ooxml.open_workbook(zf)
-                sheet = _select_sheet(zf, wb, opts.sheet)
-                sst = ooxml.load_shared_strings(zf, wb.shared_strings_part)
+                src, sst = _open_sheet(zf, p, opts, so)
+                if opts.on_corrupt == "skip":
+                    # a corrupt sheet must not leave half a file behind: check it whole first
+                    for _ in ooxml.scan_sheet(zf, src.wb, src.sheet, so, sst):
+                        pass
             except Exception as exc:  # noqa: BLE001 - reported with the path
                 if opts.on_corrupt == "skip":
                     continue
                 raise type(exc)(f"{p}: {exc}") from exc
-            rows = ooxml.iter_data_rows(zf, wb, sheet, so, sst)
-            if opts.on_corrupt == "skip":
-                try:
-                    rows = list(rows)  # a corrupt sheet must not leave half a file behind
-                except Exception:  # noqa: BLE001
+            src.items = ooxml.iter_data_rows(zf, src.wb, src.sheet, so, sst)
+            yield src
+
+
+def _file_splits(batches, opts: ReadOptions, so: ooxml.ScanOptions):
+    """A source per (path, split, n_splits): one byte range of a big sheet.
+
+    The task opens the file itself (seekable zip), inflates the sheet up to the end of its range
+    and parses only rows starting inside it. Sheets whose rows carry no number can't be cut:
+    their first split reads them whole.
+    """
+    import zipfile
+    from dataclasses import replace
+
+    from ..sinks import fsio
+
+    for b in batches:
+        for path, split, n_splits in zip(b.column("path").to_pylist(), b.column("split").to_pylist(),
+                                         b.column("n_splits").to_pylist()):
+            with fsio.open_input_file(path) as fh:
+                zf = zipfile.ZipFile(fh)
+                src, sst = _open_sheet(zf, path, opts, so)
+                if not ooxml.rows_are_numbered(zf, src.sheet):
+                    if split == 0:
+                        src.items = ooxml.iter_data_rows(zf, src.wb, src.sheet, so, sst)
+                        yield src
                     continue
-            yield p, wb, sheet, rows
+                header = []
+                if so.header_row is not None:
+                    for item in ooxml.scan_sheet(zf, src.wb, src.sheet, replace(so, last_row=so.header_row), sst):
+                        if item[0] == so.header_row:
+                            header = item[2]
+                src.items = _range_rows(zf, src, sst, split, n_splits, header)
+                yield src
+
+
+def _range_rows(zf, src: _Source, sst, split: int, n_splits: int, header: list):
+    so = src.so
+    size = zf.getinfo(src.sheet.part).file_size
+    lo = split * size // n_splits
+    hi = (split + 1) * size // n_splits if split < n_splits - 1 else None
+    local = 0
+    for item in ooxml.scan_sheet(zf, src.wb, src.sheet, so, sst, byte_range=(lo, hi)):
+        if item[0] == "hidden_cols":
+            yield item
+            if so.header_row is not None:
+                yield so.header_row, -1, False, header, None, True
+            continue
+        r, is_hidden, cells, rowid = item
+        if r == so.header_row or r < so.first_row:
+            continue
+        if so.last_row is not None and r > so.last_row:
+            break
+        if (not cells and rowid is None) or (is_hidden and so.skip_hidden_rows):
+            continue
+        yield r, (split << SEQ_SPLIT_SHIFT) | local, is_hidden, cells, rowid, False
+        local += 1
+
 
+#: Cells that an inference task holds before it hands them on.
+SAMPLE_CELLS = 1 << 16
 
-def _sample_fn(opts_dict: dict):
+
+def _sample_fn(opts_dict: dict, sources):
     opts = ReadOptions(**opts_dict)
     so = opts.scan_options(opts.scan_limit)
 
     def fn(batches):
         records = []
-        for path, wb, sheet, rows in _decode_files(batches, opts, so):
-            hidden: set[int] = set()
-            namer = None
+        for src in sources(batches, opts, so):
             cols: dict[int, list] = {}
-            width = 0
-            header_cells = []
-            for item in rows:
-                if item[0] == "hidden_cols":
-                    hidden = set(item[1])
-                    continue
-                r, seq, is_hidden, cells, rowid, is_header = item
+            held, seen = 0, set()
+            for _, _, _, cells, _ in src.rows():
                 for c in cells:
-                    width = max(width, c[0] + 1)
-                if is_header:
-                    header_cells = cells
-                    continue
-                for c in cells:
-                    cols.setdefault(c[0], []).append((c[1], c[2], c[3]))
-            namer = _Namer(opts, so, hidden)
-            namer.set_header(header_cells)
-            for pos in _positions(so, hidden, width):
-                records.append((path, pos, namer.name_of(pos), wb.date1904, cols.get(pos, [])))
+                    if src.namer.is_column(c[0]):
+                        cols.setdefault(c[0], []).append((c[1], c[2], c[3]))
+                held += len(cells)
+                if held >= SAMPLE_CELLS:
+                    yield sample_batch([(src.path, pos, src.namer.name_of(pos), src.wb.date1904, got)
+                                        for pos, got in cols.items()])
+                    seen.update(cols)
+                    cols, held = {}, 0
+            for pos in _positions(so, src.hidden, src.width):
+                if pos in cols or pos not in seen:
+                    records.append((src.path, pos, src.namer.name_of(pos), src.wb.date1904, cols.get(pos, [])))
             if len(records) >= 4096:
                 yield sample_batch(records)
                 records = []
@@ -480,159 +577,68 @@ def _sample_fn(opts_dict: dict):
     return fn
 
 
-def _rows_fn(opts_dict: dict, ordinals: dict[str, int] | None, emit_names: bool = False):
+def _rows_fn(opts_dict: dict, ordinals: dict[str, int] | None, sources=_whole_files):
     """Full decode; cells are re-keyed to the final column ordinal (or kept by position).
 
-    With ``emit_names`` (position keys), each file also gets one record with ``seq = -1``
-    whose cells hold the file's column names by position.
+    A column that has no ordinal because it only begins after an explicit scan limit fails the
+    read: it is never dropped without a word.
     """
     opts = ReadOptions(**opts_dict)
     so = opts.scan_options(None)
+    strict = (opts.scan_limit is not None and not opts.schema and opts.combine == "union"
+              and not opts.skip_empty_cols and not opts.select)
 
     def fn(batches):
         out = RowsBuilder()
-        for path, wb, sheet, rows in _decode_files(batches, opts, so):
-            hidden: set[int] = set()
-            namer = None
+        for src in sources(batches, opts, so):
             rekey: dict[int, int | None] = {}
-            pending = []  # data rows seen before the header row
-            width = 0
-            for item in rows:
-                if item[0] == "hidden_cols":
-                    hidden = set(item[1])
-                    namer = _Namer(opts, so, hidden)
-                    continue
-                r, seq, is_hidden, cells, rowid, is_header = item
-                if emit_names and cells:
-                    width = max(width, cells[-1][0] + 1)
-                if is_header:
-                    namer.set_header(cells)
-                    rekey = {}
-                    for it in pending:
-                        _emit(out, path, sheet, wb, it, namer, rekey, ordinals)
-                    pending = []
-                    continue
-                if so.header_row is not None and r < so.header_row:
-                    pending.append(item)
-                    continue
-                _emit(out, path, sheet, wb, item, namer, rekey, ordinals)
+            for r, seq, is_hidden, cells, rowid in src.rows():
+                if ordinals is not None:
+                    new_cells = []
+                    for c in cells:
+                        pos = c[0]
+                        if pos not in rekey:
+                            name = src.namer.name_of(pos) if src.namer.is_column(pos) else None
+                            rekey[pos] = ordinals.get(name)
+                            if strict and name is not None and rekey[pos] is None:
+                                raise ValueError(f"{src.path}: column {name!r} begins in row {r + 1}, after the "
+                                                 f"scan limit of {opts.scan_limit} rows")
+                        if rekey[pos] is not None:
+                            new_cells.append((rekey[pos], c[1], c[2], c[3]))
+                    cells = new_cells
+                out.add(src.path, src.sheet.name, r, seq, is_hidden, src.wb.date1904, rowid, cells)
                 if out.full():
                     yield out.flush()
-            for it in pending:
-                _emit(out, path, sheet, wb, it, namer, rekey, ordinals)
-            if emit_names and namer is not None:
-                names = [(pos, "s", None, namer.name_of(pos)) for pos in _positions(so, hidden, width)]
-                out.add(path, sheet.name, -1, -1, False, wb.date1904, None, names)
-            if out.full():
-                yield out.flush()
         if len(out):
             yield out.flush()
 
     return fn
 
 
-def _emit(out: RowsBuilder, path, sheet, wb, item, namer: _Namer, rekey, ordinals):
-    r, seq, is_hidden, cells, rowid, _ = item
-    if ordinals is not None:
-        new_cells = []
-        for c in cells:
-            pos = c[0]
-            if pos in rekey:
-                j = rekey[pos]
-            else:
-                j = ordinals.get(namer.name_of(pos)) if namer.is_column(pos) else None
-                rekey[pos] = j
-            if j is not None:
-                new_cells.append((j, c[1], c[2], c[3]))
-        cells = new_cells
-    out.add(path, sheet.name, r, seq, is_hidden, wb.date1904, rowid, cells)
-
-
 SPLIT_BYTES = 8 << 20  # compressed bytes of a workbook per parallel split of its sheet
-MAX_SPLITS = 256
 SEQ_SPLIT_SHIFT = 40  # seq of a split row = split << 40 | position in the split
 
 
-def _split_rows_fn(opts_dict: dict, ordinals: dict[str, int] | None):
-    """Decode one byte range of a big sheet. The task opens the file itself (seekable zip),
-    inflates the sheet up to the end of its range and parses only rows starting inside it."""
-    from dataclasses import replace
-
-    from ..sinks import fsio
-
-    opts = ReadOptions(**opts_dict)
-    so = opts.scan_options(None)
-
-    def fn(batches):
-        out = RowsBuilder()
-        for b in batches:
-            for path, split, n_splits in zip(b.column("path").to_pylist(), b.column("split").to_pylist(),
-                                             b.column("n_splits").to_pylist()):
-                with fsio.open_input_file(path) as fh:
-                    import zipfile
-
-                    zf = zipfile.ZipFile(fh)
-                    wb = ooxml.open_workbook(zf)
-                    sheet = _select_sheet(zf, wb, opts.sheet)
-                    sst = ooxml.load_shared_strings(zf, wb.shared_strings_part)
-                    size = zf.getinfo(sheet.part).file_size
-                    lo = split * size // n_splits
-                    hi = (split + 1) * size // n_splits if split < n_splits - 1 else None
-                    hidden: set[int] = set()
-                    header_cells = []
-                    if so.header_row is not None:
-                        for item in ooxml.scan_sheet(zf, wb, sheet, replace(so, last_row=so.header_row), sst):
-                            if item[0] == "hidden_cols":
-                                hidden = set(item[1])
-                            elif item[0] == so.header_row:
-                                header_cells = item[2]
-                    namer = None
-                    rekey: dict = {}
-                    local = 0
-                    for item in ooxml.scan_sheet(zf, wb, sheet, so, sst, byte_range=(lo, hi)):
-                        if item[0] == "hidden_cols":
-                            hidden = set(item[1])
-                            namer = _Namer(opts, so, hidden)
-                            namer.set_header(header_cells)
-                            continue
-                        r, is_hidden, cells, rowid = item
-                        if (so.header_row is not None and r == so.header_row) or r < so.first_row:
-                            continue
-                        if so.last_row is not None and r > so.last_row:
-                            break
-                        if not cells and rowid is None:
-                            continue
-                        if is_hidden and so.skip_hidden_rows:
-                            continue
-                        seq = (split << SEQ_SPLIT_SHIFT) | local
-                        local += 1
-                        _emit(out, path, sheet, wb, (r, seq, is_hidden, cells, rowid, False), namer, rekey, ordinals)
-                        if out.full():
-                            yield out.flush()
-        if len(out):
-            yield out.flush()
-
-    return fn
+def _decode(files: DataFrame, opts: ReadOptions, make, ddl: str) -> DataFrame:
+    """``make(sources)`` run over all files: files up to the split size one task each (content
+    from ``binaryFile``), bigger ones as parallel byte-range splits."""
+    spark = files.sparkSession
+    split_bytes = int(spark.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
+    if not opts.skip_empty_rows or opts.on_corrupt == "skip" or opts.scan_limit is not None:
+        # empty rows, whole-file skipping and a row limit need the file in one task
+        return files.select("path", "content").mapInArrow(make(_whole_files), ddl)
+    small = files.filter(F.col("length") <= split_bytes).select("path", "content").mapInArrow(make(_whole_files), ddl)
+    n = F.ceil(F.col("length") / split_bytes).cast("int")
+    big = files.filter(F.col("length") > split_bytes).select(
+        "path", n.alias("n_splits"), F.explode(F.sequence(F.lit(0), n - 1)).alias("split"))
+    par = spark.sparkContext.defaultParallelism
+    return small.unionByName(big.repartition(par * 2).mapInArrow(make(_file_splits), ddl))
 
 
 def decode_rows(files: DataFrame, opts: ReadOptions, ordinals: dict[str, int] | None) -> DataFrame:
-    """Decoded rows of all files: small files one task each (content from ``binaryFile``),
-    big ones as parallel byte-range splits (when empty rows are skipped, the default)."""
-    from dataclasses import asdict as _asdict
-
-    od = _asdict(opts)
-    split_bytes = int(files.sparkSession.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
-    if not opts.skip_empty_rows or opts.on_corrupt == "skip":
-        # empty-row materialisation and whole-file skipping need the file in one task
-        return files.select("path", "content").mapInArrow(_rows_fn(od, ordinals), ROWS_DDL)
-    small = files.filter(F.col("length") <= split_bytes).select("path", "content")
-    rows_small = small.mapInArrow(_rows_fn(od, ordinals), ROWS_DDL)
-    n = F.least(F.ceil(F.col("length") / split_bytes), F.lit(MAX_SPLITS)).cast("int")
-    big = files.filter(F.col("length") > split_bytes).select(
-        "path", n.alias("n_splits"), F.explode(F.sequence(F.lit(0), n - 1)).alias("split"))
-    par = files.sparkSession.sparkContext.defaultParallelism
-    rows_big = big.repartition(par * 2).mapInArrow(_split_rows_fn(od, ordinals), ROWS_DDL)
-    return rows_small.unionByName(rows_big)
+    """Decoded rows of all files, cells keyed by column ordinal."""
+    od = asdict(opts)
+    return _decode(files, opts, lambda sources: _rows_fn(od, ordinals, sources), ROWS_DDL)
 
 
 # ---------------------------------------------------------------- schema inference
@@ -645,6 +651,7 @@ class ColumnSpec:
     has_type: bool = True
     files: int = 0
     order: tuple = field(default_factory=tuple)
+    forced: bool = False  # the type is the caller's, not inferred
 
 
 def _lattice_col(opts: ReadOptions):
@@ -652,8 +659,9 @@ def _lattice_col(opts: ReadOptions):
 
 
 def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
-    """A1-A4 + U1-U4: the combined schema, computed by Spark from the sampled cells."""
-    sample = files.select("path", "content").mapInArrow(_sample_fn(asdict(opts)), SAMPLE_DDL)
+    """A1-A4 + U1-U4: the combined schema, computed by Spark from the files' cells."""
+    od = asdict(opts)
+    sample = _decode(files, opts, lambda sources: _sample_fn(od, sources), SAMPLE_DDL)
     err = opts.error_pattern
     per_col = sample.select(
         "path", "col", "name",
@@ -709,7 +717,7 @@ def read_rows(spark: SparkSession, paths, opts: ReadOptions | None = None, ordin
     """Decoded sheet rows (path, sheet, row_idx, seq, hidden, date1904, rowid, cells)."""
     opts = opts or ReadOptions()
     files = list_files(spark, paths, **file_opts)
-    return files.select("path", "content").mapInArrow(_rows_fn(asdict(opts), ordinals), ROWS_DDL)
+    return decode_rows(files, opts, ordinals)
 
 
 def read_excel(spark: SparkSession, paths, opts: ReadOptions | None = None, **kw) -> DataFrame:
@@ -719,17 +727,39 @@ def read_excel(spark: SparkSession, paths, opts: ReadOptions | None = None, **kw
     opts = opts or ReadOptions(**kw)
     opts.validate()
     files = list_files(spark, paths, **file_opts)
-    if not opts.schema and _decode_once_pays(files, opts):
-        return _read_decode_once(files, opts)
     if opts.schema:
         specs = [ColumnSpec(n, t.upper()) for n, t in opts.schema.items()]
     else:
         specs = infer_schema(files, opts)
-    if len(specs) > XLSX_MAX_COLS * 64:
-        raise ValueError("too many columns")
+    specs = transform_columns(specs, opts)
     ordinals = {s.name: j for j, s in enumerate(specs)}
     rows = decode_rows(files, opts, ordinals)
-    return project(rows, specs, opts)
+    out = project(rows, specs, opts)
+    names = {old: new for old, new in (opts.select or {}).items() if new is not None and new != old}
+    return out.withColumnsRenamed(names) if names else out
+
+
+def transform_columns(specs: list[ColumnSpec], opts: ReadOptions) -> list[ColumnSpec]:
+    """pick, drop, order and retype columns before anything is decoded for them.
+
+    ``select`` names the columns to keep, in order, with their new names; columns mapped to
+    ``None`` go. If it only drops, the others stay as they are. Unknown names fail.
+    """
+    known = {s.name: s for s in specs}
+    unknown = [n for n in [*(opts.select or {}), *(opts.types or {})] if n not in known]
+    if unknown:
+        raise ValueError(f"no such columns: {unknown}")
+    if opts.select:
+        kept = [n for n, new in opts.select.items() if new is not None]
+        dropped = {n for n, new in opts.select.items() if new is None}
+        specs = [known[n] for n in kept] if kept else [s for s in specs if s.name not in dropped]
+        new = [opts.select.get(s.name) or s.name for s in specs]
+        if len(set(new)) != len(new):
+            raise ValueError(f"columns with one name: {sorted(n for n in set(new) if new.count(n) > 1)}")
+    for s in specs:
+        if s.name in (opts.types or {}):
+            s.type, s.forced = opts.types[s.name].upper(), True
+    return specs
 
 
 def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions, pick=None) -> DataFrame:
@@ -751,7 +781,8 @@ def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions, pick=No
                                   opts.error_pattern, opts.blank_to_missing)
     cols = []
     for s, v in zip(specs, views):
-        cols.append(C.value_typed(v, s.type, opts.error_pattern, opts.on_misfit, where).alias(s.name))
+        misfit = opts.on_misfit if not s.forced else "failfast" if opts.enforce_types else "permissive"
+        cols.append(C.value_typed(v, s.type, opts.error_pattern, misfit, where).alias(s.name))
     lead = []
     if opts.raw:
         lead.append((F.col("row_idx") + 1).cast("int").alias("row"))
@@ -780,67 +811,3 @@ def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions, pick=No
 
 def spark_type(type_name: str) -> T.DataType:
     return _spark_type(type_name)
-
-
-# ---------------------------------------------------------------- decode once (many small files)
-
-
-def _decode_once_pays(files: DataFrame, opts: ReadOptions) -> bool:
-    """Many small files: the inference sample would decode most of them anyway."""
-    if opts.decode_once is not None:
-        return opts.decode_once
-    split_bytes = int(files.sparkSession.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
-    row = files.agg(F.count(F.lit(1)).alias("n"), F.max("length").alias("mx")).collect()[0]  # listing only
-    return (row["n"] or 0) >= 2 and (row["mx"] or 0) <= split_bytes
-
-
-def _read_decode_once(files: DataFrame, opts: ReadOptions) -> DataFrame:
-    """Decode every file once (cells keyed by position, plus one names record per file), keep
-    the result as a table in the shared checkpoint folder, infer the schema from its first
-    ``scan_limit`` data rows per file and project it through a per-file position map."""
-    from ..session import scratch_dir
-
-    spark = files.sparkSession
-    decoded = files.select("path", "content").mapInArrow(_rows_fn(asdict(opts), None, emit_names=True), ROWS_DDL)
-    folder = scratch_dir(spark, "decoded") + "/rows"
-    decoded.write.parquet(folder)
-    ir = spark.read.parquet(folder)
-    names = ir.filter(F.col("seq") == -1).select("path", F.explode("cells").alias("pos", "c")).select(
-        "path", "pos", F.col("c.s").alias("name"))
-    data = ir.filter(F.col("seq") >= 0)
-    sample = data if opts.scan_limit is None else data.filter(F.col("seq") < opts.scan_limit)
-    ex = sample.select("path", "date1904", F.explode("cells").alias("pos", "c"))
-    ex, (v,) = C.staged_typing(ex, ["c"], F.col("date1904"), opts.error_pattern, opts.blank_to_missing)
-    masks = ex.groupBy("path", "pos").agg(F.bit_or(v.b).alias("mask"))
-    per_col = names.join(masks, ["path", "pos"], "left").fillna(0, ["mask"])
-    n_files = files.select("path").count()
-    agg = per_col.groupBy("name").agg(
-        F.bit_or("mask").alias("mask"), F.min(F.struct("path", "pos")).alias("first"),
-        F.countDistinct("path").alias("files"), F.countDistinct("pos").alias("n_pos"), F.min("pos").alias("pos"))
-    got = sorted(agg.collect(), key=lambda r: (r["first"]["path"], r["first"]["pos"]))  # one row per column
-    specs = [ColumnSpec(r["name"], _lattice_py(int(r["mask"]), opts.lattice), r["mask"] != 0, r["files"])
-             for r in got]
-    specs = _combine_specs(specs, n_files, opts)
-    pos_of = {r["name"]: r["pos"] for r in got}
-    if all(r["n_pos"] == 1 for r in got if r["name"] in {s.name for s in specs}):
-        return project(data, specs, opts, pick=lambda j: F.element_at(F.col("cells"), F.lit(pos_of[specs[j].name])))
-    # files disagree on positions: a per-file map (ordinal -> position), one small row per file
-    ords = spark.createDataFrame([(s.name, j) for j, s in enumerate(specs)], "name string, j int")
-    posmap = names.join(F.broadcast(ords), "name").groupBy("path").agg(
-        F.map_from_entries(F.collect_list(F.struct("j", "pos"))).alias("__pos"))
-    side = F.broadcast(posmap) if n_files <= 1_000_000 else posmap
-    joined = data.join(side, "path", "left")
-    return project(joined, specs, opts,
-                   pick=lambda j: F.element_at(F.col("cells"), F.element_at(F.col("__pos"), F.lit(j))))
-
-
-def _combine_specs(specs: list[ColumnSpec], n_files: int, opts: ReadOptions) -> list[ColumnSpec]:
-    if opts.combine == "intersection":
-        specs = [s for s in specs if s.files == n_files]
-    elif opts.combine == "fail":
-        odd = [s.name for s in specs if s.files != n_files]
-        if odd:
-            raise ValueError(f"The files have different columns: {odd[:20]}")
-    if opts.skip_empty_cols:
-        specs = [s for s in specs if s.has_type]
-    return specs

@@ -155,8 +155,7 @@ def _parse_small(zf: zipfile.ZipFile, name: str):
     from xml.etree.ElementTree import fromstring
 
     data = zf.read(name)
-    if b"<!DOCTYPE" in data[:4096]:
-        raise CorruptWorkbook(f"DTD is not allowed in {name}")
+    _refuse_dtd(data, name)
     return fromstring(data)
 
 
@@ -290,9 +289,14 @@ def load_shared_strings(zf: zipfile.ZipFile, part: str | None) -> list[str]:
     return out
 
 
+_PROLOG = re.compile(rb"(?:\xef\xbb\xbf)?(?:\s+|<\?.*?\?>|<!--.*?-->)*", re.S)
+
+
 def _refuse_dtd(head: bytes, part: str) -> None:
-    """A DOCTYPE in part XML is refused (entity expansion guard)."""
-    if b"<!DOCTYPE" in head[:4096] or b"<!doctype" in head[:4096]:
+    """A DOCTYPE before the root element is refused (entity expansion guard), whatever
+    comments stand in front of it; so is a prolog that does not end within the first piece."""
+    rest = head[_PROLOG.match(head).end():]
+    if rest[:9].upper() == b"<!DOCTYPE" or rest.startswith((b"<!--", b"<?")):
         raise CorruptWorkbook(f"DTD is not allowed in {part}")
 
 
@@ -524,8 +528,7 @@ def scan_sheet(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, opts: ScanOpt
                         col = _col_of(letters)
                     if col <= cur_col:
                         raise CorruptWorkbook(
-                            f'Unexpected cell reference "{letters.decode()}" which references already processed '
-                            f'column index "{cur_col}".')
+                            f"cell references out of order: {letters.decode()} after column {cur_col}")
                     cur_col = col
                     is_rowid = rowid_col is not None and col == rowid_col
                     if not is_rowid:
@@ -584,8 +587,7 @@ def scan_sheet(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, opts: ScanOpt
                         col = _col_of(ref)
                         if col <= cur_col:
                             raise CorruptWorkbook(
-                                f'Unexpected cell reference "{ref.decode()}" which references already processed '
-                                f'column index "{cur_col}".')
+                                f"cell references out of order: {ref.decode()} after column {cur_col}")
                         cur_col = col
                     else:
                         cur_col += 1
@@ -799,6 +801,19 @@ def sheet_has_data(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, sst_loade
                 return False
 
 
+def rows_are_numbered(zf: zipfile.ZipFile, sheet: SheetRef) -> bool:
+    """Whether the sheet's first row has an ``r`` attribute (needed to read it in byte ranges)."""
+    with zf.open(sheet.part) as stream:
+        buf = b""
+        while chunk := stream.read(_CHUNK):
+            buf += chunk
+            m = re.search(rb"<(?:[A-Za-z_][\w.-]*:)?row\b([^>]*)>", buf)
+            if m:
+                return b' r="' in m.group(1)
+            buf = buf[-4096:]
+    return True
+
+
 def hidden_columns(zf: zipfile.ZipFile, sheet: SheetRef) -> set[int]:
     """A5: hidden column indexes of a sheet, from the XML head only."""
     if not sheet.part:

@@ -60,7 +60,7 @@ def test_patches(spark):
     got = {(r["row"], r["col"]): (r["k"], r["n"], r["s"]) for r in out.collect()}
     assert got == {(0, 0): ("n", 1.0, None), (0, 1): ("s", None, "newer"), (2, 2): ("n", 7.0, None)}
     two = spark.createDataFrame([("A1", "x", 1.0, 1)], "addr string, txt string, num double, seq long")
-    with pytest.raises(Exception, match="second non-missing"):
+    with pytest.raises(Exception, match="more than one value"):
         J.apply_patches(base, J.patches_from_table(two, "addr", sheet="S", seq_col="seq")).collect()
     with pytest.raises(ValueError):
         J.require_sheets(J.patches_from_table(pt, "addr", sheet="T", seq_col="seq"), base)

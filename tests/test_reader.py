@@ -140,7 +140,7 @@ def test_shared_strings_and_1904(spark, tmp):
 def test_corrupt_and_dtd(spark, tmp):
     bad = X.sheet_xml([X.row(1, X.num("B1", 1), X.num("A1", 2))])
     p = X.build(os.path.join(tmp, "corrupt.xlsx"), [("s", bad)])
-    with pytest.raises(Exception, match="already processed"):
+    with pytest.raises(Exception, match="out of order"):
         read_excel(spark, p, header_row=None).collect()
     dtd = X.sheet_xml([X.row(1, X.num("A1", 1))], doctype=True)
     p2 = X.build(os.path.join(tmp, "dtd.xlsx"), [("s", dtd)])
@@ -242,11 +242,11 @@ def test_corrupt_skip_and_rejects(spark, tmp):
     with open(os.path.join(d, "junk.xlsx"), "w") as fh:
         fh.write("junk")
     with pytest.raises(Exception):
-        read_excel(spark, d, decode_once=False).collect()
-    ok = read_excel(spark, d, on_corrupt="skip", decode_once=False)
+        read_excel(spark, d).collect()
+    ok = read_excel(spark, d, on_corrupt="skip")
     assert [r["v"] for r in ok.collect()] == [1]
     rej = {os.path.basename(r["path"]): r["reason"] for r in rejects(list_files(spark, d)).collect()}
-    assert set(rej) == {"bad.xlsx", "junk.xlsx"} and "already processed" in rej["bad.xlsx"]
+    assert set(rej) == {"bad.xlsx", "junk.xlsx"} and "out of order" in rej["bad.xlsx"]
 
 
 def test_unique_row_ids_from_column(spark, tmp):

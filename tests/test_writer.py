@@ -70,11 +70,11 @@ def test_checks(spark, tmp):
     with pytest.raises(TypeError):
         write_excel({"e": emb}, os.path.join(tmp, "e.xlsx"))
     inf = spark.createDataFrame([(float("inf"),)], "x double")
-    with pytest.raises(Exception, match="infinity"):
+    with pytest.raises(Exception, match="finite numbers"):
         write_excel({"i": inf}, os.path.join(tmp, "i.xlsx")).collect()
     with pytest.raises(ValueError):
         write_excel({"bad/name": _sample(spark)}, os.path.join(tmp, "b.xlsx"))
-    with pytest.raises(Exception, match="too long sheet name"):
+    with pytest.raises(Exception, match="continuation sheet"):
         write_excel({"a" * 29: spark.range(30).select("id")}, os.path.join(tmp, "c.xlsx"), order_by=["id"],
                     max_rows=10)
 
