@@ -54,8 +54,8 @@ def release(spark: SparkSession) -> None:
 
 def crc32_mod(doc_id: Column | str, mod: int) -> Column:
     """``crc32`` of the id as text, modulo ``mod``; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string")
-                   .cast("binary")) % mod
+    text = (F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % mod
 
 
 # ---------------------------------------------------------------- texts as bytes

@@ -129,6 +129,8 @@ class Blocks(HTMLParser):
 def leaf_blocks(html: str | None) -> list[tuple[str, tuple, int]]:
     parser = Blocks()
     parser.feed(html or "")
+    # an open comment hides the rest of the page
+    parser.rawdata = parser.rawdata.split("<!--")[0]
     parser.close()
     parser.flush()
     return parser.blocks
@@ -144,6 +146,10 @@ def _path_features(path: tuple) -> list[str]:
         out.add(f"in {tag}")
         # the mark of labelled layouts is no feature
         out.update(f"word {w}" for w in _WORD.findall(words.lower().replace(MARK, "")))
+    aside = not _NOT_MAIN.isdisjoint(t for t, _ in path) or not _ASIDE_WORDS.isdisjoint(
+        w for _, words in path for w in _WORD.findall(words.lower().replace(MARK, "")))
+    held = any(t in _MAIN for t, _ in path)
+    out.add(f"held {held} aside {aside}")
     tags = [t for t, _ in path if t in BLOCK_TAGS]
     out.add(f"leaf {tags[-1] if tags else ''}")
     out.add(f"leaf {' '.join(tags[-2:])}")

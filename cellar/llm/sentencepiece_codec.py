@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellar.llm.common import pieces, string_bytes
 
@@ -363,7 +364,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", end_id: int
     out = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
                     + ([("ids", pa.list_(pa.int32()))] if keep_ids else []))
     schema = docs.select(*kept).schema
-    for name, kind in zip(new, ["long", "string", "string", "array<int>"], strict=False):
+    for name, kind in zip(new, [T.LongType(), T.StringType(), T.StringType(), T.ArrayType(T.IntegerType())], strict=False):
         schema = schema.add(name, kind)
 
     def run(batches):
