@@ -14,10 +14,11 @@ that only anchors are counted for all text:
 2. Runs around the remaining anchors, each with its bytes. A bit table of fixed size keeps most
    finished anchors out; a full table only lets more through. Of equal runs within a piece of
    input the first is sent on, the others are already known to repeat it. Anchors that are in
-   very many documents (``HOT``) are not a grouping key of their own: their windows are, one by
-   one, so no task gets all rows of a frequent phrase.
-3. Within a key the remaining digits, eight bytes each, are sorted in passes. A window found in a
-   smaller document is removed; neighbouring windows join to spans.
+   very many documents (``HOT``) are not a grouping key of their own: what is left of their
+   windows is, one by one, so no task gets all rows of a frequent phrase.
+3. Within a key equal runs are settled at once, then the remaining digits of the windows of
+   distinct runs, eight bytes each, are sorted in passes. A window found in a smaller document
+   is removed; neighbouring windows join to spans.
 
 Windows are bytes of UTF-8 and never cross documents. A null text counts as empty. A null or
 repeated ``doc_id``: rows with one id count as one document for the test "in a smaller
@@ -108,7 +109,7 @@ def _ids(column: pa.Array) -> np.ndarray:
 
 def _parts(data: np.ndarray, off: np.ndarray, window: int):
     """Pieces of rows; a row beyond 8 MiB comes in parts that overlap by a window."""
-    for begin, end in pieces(data, off):
+    for begin, end in pieces(data, off, 4 << 20):
         part = off[begin:end + 1]
         if part[-1] - part[0] <= 8 << 20:
             yield begin, 0, data[part[0]:part[-1]], part - part[0]
@@ -126,17 +127,57 @@ def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
             ids = _ids(batch.column(0))
             for begin, _, text, rows in _parts(data, off, window):
                 row, _, _, _, h = anchors(text, rows, window, gram)
-                pair = np.stack([h.view(np.int64), ids[begin + row]], 1)
-                order = np.lexsort((pair[:, 1], pair[:, 0]))
-                pair = pair[order]
-                new = np.ones(len(pair), bool)
-                new[1:] = (pair[1:] != pair[:-1]).any(1)
-                pair = pair[new]
-                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["h", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[begin + row])], ["h", "id"])
 
     return docs.mapInArrow(run, "h long, id long")
 
 
+def _known(h, first, last, place, doc, whole) -> np.ndarray:
+    """Which runs of a piece equal one of a smaller document in it.
+
+    A run is told by its length, its anchor's place and the hashes of its first and last window,
+    which between them cover all its bytes.
+    """
+    keys = (doc, place - first, last - first, whole[last], whole[first])
+    order = np.lexsort(keys)
+    same = np.ones(len(order), bool)
+    for k in keys[1:]:
+        k = k[order]
+        same[1:] &= k[1:] == k[:-1]
+    same[:1] = False
+    start = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+    out = np.zeros(len(order), bool)
+    out[order] = doc[order] > doc[order][start]
+    return out
+
+
+def _gather(text: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Binary array of the slices of ``text`` that begin at ``first``."""
+    off = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+    data = text[np.repeat(first - off[:-1], size) + np.arange(off[-1])]
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(off), pa.py_buffer(data.tobytes())])
+
+
+def _send(text, kept, again, h, doc, first, last, place, base, window) -> pa.RecordBatch:
+    # neighbouring known runs of a document go as one
+    k = np.flatnonzero(again)
+    k = k[np.lexsort((first[k], doc[k]))]
+    joins = np.zeros(len(k), bool)
+    joins[1:] = (doc[k][1:] == doc[k][:-1]) & (base[k][1:] == base[k][:-1]) & (first[k][1:] == last[k][:-1] + 1)
+    begin = np.flatnonzero(~joins)
+    end = np.append(begin[1:], len(k)) - 1 if len(k) else begin
+    head, tail = k[begin], k[end]
+    s = np.flatnonzero(kept)
+    runs = _gather(text, first[s], last[s] - first[s] + window)
+    none = pa.array([b""] * len(head), pa.binary())
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.repeat(np.array([0, 1], np.int32), [len(s), len(head)])),
+        pa.array(np.concatenate([h[s], h[head]]).view(np.int64)), pa.array(np.concatenate([doc[s], doc[head]])),
+        pa.array(np.concatenate([(first - base)[s], (first - base)[head]])), pa.concat_arrays([runs, none]),
+        pa.array(np.concatenate([(place - first)[s], (last[tail] - first[head] + 1)]).astype(np.int32))],
+        ["kind", "key", "id", "at", "run", "lead"])
+
+
 _RUN = "kind int, key long, id long, at long, run binary, lead int"
 
 
@@ -156,76 +197,80 @@ def _run_rows(docs: DataFrame, bits: np.ndarray, hot: np.ndarray, window: int, g
                 row, first, last, place, h = row[keep], first[keep], last[keep], place[keep], h[keep]
                 if not len(row):
                     continue
-                base = rows[row] - shift
-                # two windows with one anchor lie alike if their ends do
-                many = np.isin(h, frequent)
+                base, doc = rows[row] - shift, ids[begin + row]
+                whole = gram_hashes(text, window)
+                again = _known(h, first, last, place, doc, whole)
+                kept = ~again
+                # an anchor of very many documents: its windows one by one
+                many = kept & np.isin(h, frequent)
                 if many.any():
                     count = (last - first + 1)[many]
                     index = np.repeat(np.flatnonzero(many), count)
                     single = first[index] + np.arange(len(index)) - np.repeat(np.cumsum(count) - count, count)
-                    whole = gram_hashes(text, window)
-                    row = np.concatenate([row[~many], row[index]])
-                    h = np.concatenate([h[~many], whole[single]])
-                    first = np.concatenate([first[~many], single])
-                    last = np.concatenate([last[~many], single])
-                    place = np.concatenate([place[~many], single])
-                    base = np.concatenate([base[~many], base[index]])
-                runs = [text[a:b].tobytes() for a, b in zip(first.tolist(), (last + window).tolist(), strict=True)]
-                doc = ids[begin + row]
-                lead = place - first
-                # equal runs within this piece: the smallest document's is sent on
-                seen: dict[tuple, int] = {}
-                order = np.argsort(doc, kind="stable")
-                kind = np.zeros(len(row), np.int32)
-                size = last - first + 1
-                for i, d, key, n in zip(order.tolist(), doc[order].tolist(), h[order].tolist(), lead[order].tolist(),
-                                        strict=True):
-                    if seen.setdefault((key, n, runs[i]), d) != d:
-                        kind[i] = 1
-                again = kind == 1
-                for i in np.flatnonzero(again).tolist():
-                    runs[i] = b""
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(kind), pa.array(h.view(np.int64)), pa.array(doc), pa.array(first - base),
-                     pa.array(runs, pa.binary()), pa.array(np.where(again, size, lead).astype(np.int32))],
-                    ["kind", "key", "id", "at", "run", "lead"])
+                    kept &= ~many
+                    first, last = np.concatenate([first, single]), np.concatenate([last, single])
+                    place = np.concatenate([place, single])
+                    h, base, doc = (np.concatenate([x, y]) for x, y in ((h, whole[single]), (base, base[index]),
+                                                                        (doc, doc[index])))
+                    kept = np.concatenate([kept, np.ones(len(single), bool)])
+                    known = _known(h[-len(single):], single, single, single, doc[-len(single):], whole)
+                    kept[-len(single):] = ~known
+                    again = np.concatenate([again, known])
+                yield _send(text, kept, again, h, doc, first, last, place, base, window)
 
     return docs.mapInArrow(run, _RUN)
 
 
-def repeated(key: np.ndarray, doc: np.ndarray, at: np.ndarray, runs: list[bytes], window: int) -> np.ndarray:
+def repeated(key: np.ndarray, doc: np.ndarray, at: np.ndarray, lead: np.ndarray, runs: list[bytes],
+             window: int) -> np.ndarray:
     """(doc, first window, windows) of runs of windows that are in a smaller document too.
 
-    Rows are whole keys. Most-significant-digit passes over the windows of all runs.
+    Rows are whole keys, in key order. Equal runs are settled at once; the windows of the distinct
+    ones are sorted in most-significant-digit passes.
     """
-    size = np.array([len(r) for r in runs], np.int64)
+    least: dict[tuple, int] = {}
+    for name, d in zip(zip(key.tolist(), lead.tolist(), runs, strict=True), doc.tolist(), strict=True):
+        if least.setdefault(name, d) > d:
+            least[name] = d
+    names = zip(key.tolist(), lead.tolist(), runs, strict=True)
+    first_doc = np.fromiter((least[n] for n in names), np.int64, len(runs))
+    size = np.fromiter(map(len, runs), np.int64, len(runs))
+    later = doc > first_doc
+    whole = np.stack([doc[later], at[later], size[later] - window + 1], 1)
+    _, group = np.unique(key, return_inverse=True)
+    # only keys with several distinct runs can have more repeated windows
+    live = ~later
+    other = np.zeros(int(group.max()) + 2 if len(group) else 1, bool)
+    low, high = np.full(len(other), _LAST), np.full(len(other), -_LAST - 1)
+    np.minimum.at(low, group[live], doc[live])
+    np.maximum.at(high, group[live], doc[live])
+    other = low < high
+    rows = np.flatnonzero(live & other[group])
+    if not len(rows):
+        return whole
+    group, doc, at, size = group[rows], doc[rows], at[rows], size[rows]
+    text = np.frombuffer(b"".join([runs[i] for i in rows.tolist()]) + bytes(8), np.uint8)
     count = size - window + 1
-    text = np.frombuffer(b"".join(runs) + bytes(8), np.uint8)
     begin = np.cumsum(size) - size
-    run = np.repeat(np.arange(len(runs)), count)
+    run = np.repeat(np.arange(len(rows)), count)
     offset = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
     place = begin[run] + offset
     digits = np.ndarray((len(text) - 7,), ">u8", text.tobytes(), strides=(1,))
-    # groups after the first digit: the keys
-    alive = np.arange(len(run))
-    _, group = np.unique(key, return_inverse=True)
-    group = group[run]
-    owner = doc[run]
-
-    def prune(alive, group):
-        """Leave out the groups that lie within one document."""
-        least = np.full(int(group.max()) + 1, _LAST)
-        most = np.full(len(least), -_LAST - 1)
-        np.minimum.at(least, group, owner[alive])
-        np.maximum.at(most, group, owner[alive])
-        keep = (least < most)[group]
-        return alive[keep], group[keep], least
-
+    alive, group, owner = np.arange(len(run)), group[run], doc[run]
+    gone = []
     depth = 0
-    least = None
-    while len(alive):
-        alive, group, least = prune(alive, group)
-        if depth >= window or not len(alive):
+    while True:
+        # leave out the groups that lie within one document
+        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        who = owner[alive]
+        least_, most = np.minimum.reduceat(who, starts), np.maximum.reduceat(who, starts)
+        width = np.diff(np.append(starts, len(group)))
+        keep = np.repeat(least_ < most, width)
+        if depth >= window:
+            gone = alive[keep & (who > np.repeat(least_, width))]
+            break
+        alive, group = alive[keep], group[keep]
+        if not len(alive):
             break
         digit = digits[place[alive] + depth].astype(np.uint64)
         if window - depth < 8:
@@ -236,16 +281,15 @@ def repeated(key: np.ndarray, doc: np.ndarray, at: np.ndarray, runs: list[bytes]
         new[1:] = (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])
         group = np.cumsum(new)
         depth += 8
-    if not len(alive):
-        return np.zeros((0, 3), np.int64)
-    later = np.sort(alive[least[group] < owner[alive]])
-    if not len(later):
-        return np.zeros((0, 3), np.int64)
-    new = np.ones(len(later), bool)
-    new[1:] = (later[1:] != later[:-1] + 1) | (run[later[1:]] != run[later[:-1]])
+    if not len(gone):
+        return whole
+    gone = np.sort(gone)
+    new = np.ones(len(gone), bool)
+    new[1:] = (gone[1:] != gone[:-1] + 1) | (run[gone[1:]] != run[gone[:-1]])
     cuts = np.flatnonzero(new)
-    first = later[cuts]
-    return np.stack([owner[first], at[run[first]] + offset[first], np.diff(np.append(cuts, len(later)))], 1)
+    first = gone[cuts]
+    parts = np.stack([owner[first], at[run[first]] + offset[first], np.diff(np.append(cuts, len(gone)))], 1)
+    return np.concatenate([whole, parts])
 
 
 #: Bytes of runs that one sort takes at least, where keys allow.
@@ -262,7 +306,7 @@ def _spans(runs: DataFrame, window: int) -> DataFrame:
             known = rows.filter(pc.equal(rows.column("kind"), 1))
             rows = rows.filter(pc.equal(rows.column("kind"), 0))
             got = repeated(rows.column("key").to_numpy(), rows.column("id").to_numpy(), rows.column("at").to_numpy(),
-                           rows.column("run").to_pylist(), window)
+                           rows.column("lead").to_numpy(), rows.column("run").to_pylist(), window)
             got = np.concatenate([got, np.stack([known.column(c).to_numpy() for c in ("id", "at", "lead")], 1)
                                   .astype(np.int64).reshape(-1, 3)])
             return pa.RecordBatch.from_arrays([pa.array(got[:, i]) for i in range(3)], ["id", "at", "windows"])
