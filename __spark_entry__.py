@@ -25,7 +25,7 @@ from cellar.operators import profile as P  # noqa: E402
 from cellar.operators.ordinal import stable_partitions, with_ordinals  # noqa: E402
 from cellar.plans import cells as C  # noqa: E402
 from cellar.session import scratch_dir  # noqa: E402
-from cellar.sinks.excel import write_excel, write_excel_by_key  # noqa: E402
+from cellar.sinks.excel import column_widths, sheets_needed, write_excel, write_excel_by_key  # noqa: E402
 from cellar.sources.excel import ReadOptions, list_sheets, read_excel  # noqa: E402
 from cellar.streaming.stream import read_excel_stream  # noqa: E402
 
@@ -360,7 +360,7 @@ WITH {_LI_BITS_SQL.replace("CAST(l_orderkey * 8 + l_linenumber AS INTEGER)", "CA
 x AS (SELECT path, row_idx, col, b,
              lag(row_idx) OVER (PARTITION BY path, col ORDER BY row_idx) AS prev_r,
              lag(b) OVER (PARTITION BY path, col ORDER BY row_idx) AS prev_b
-      FROM cells),
+      FROM cells WHERE b <> 0),
 y AS (SELECT *, sum(CASE WHEN prev_r IS NULL OR row_idx <> prev_r + 1 OR b <> prev_b THEN 1 ELSE 0 END)
                 OVER (PARTITION BY path, col ORDER BY row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g
       FROM x)
@@ -433,10 +433,11 @@ WHERE o_orderkey <> 0 AND o_orderkey BETWEEN 99 AND 11999 AND o_orderstatus <> '
 
 
 def q_generated_row_ids(spark, sf):
+    """Every return flag is a file; rows are numbered within it, ids go on over the files."""
     li = _t(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
-    staged = stable_partitions(li, ["l_returnflag", "l_orderkey", "l_linenumber"])
-    num = with_ordinals(staged, "__n")
-    return num.select("l_orderkey", "l_linenumber", F.concat(F.lit("Row"), F.col("__n").cast("string")).alias("RowID"))
+    staged = stable_partitions(li, ["l_orderkey", "l_linenumber"], group="l_returnflag")
+    rows = with_ordinals(staged, "seq", group="l_returnflag")
+    return W.generated_row_ids(rows, "l_returnflag", "seq").select("l_orderkey", "l_linenumber", "RowID")
 
 
 SQL_GENERATED_ROW_IDS = """
@@ -487,16 +488,12 @@ FROM o CROSS JOIN t LEFT JOIN c ON c.free > 0 AND o.n >= c.lo AND o.n < c.lo + c
 
 
 def q_sheets_needed(spark, sf):
-    parts = []
+    """A8 for the row counts of four tables (four numbers reach the driver)."""
+    out = []
     for name in ("orders", "lineitem", "customer", "part"):
-        parts.append(_t(spark, sf, name).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    cap = CF.XLS_MAX_ROWS - 1
-    return out.select("table_name", "n_rows", F.greatest(F.ceil(F.col("n_rows") / cap), F.lit(1)).cast("long")
-                      .alias("sheets"))
+        n = _t(spark, sf, name).count()
+        out.append((name, n, sheets_needed(n, header=True, max_rows=CF.XLS_MAX_ROWS)))
+    return spark.createDataFrame(out, "table_name string, n_rows long, sheets long")
 
 
 SQL_SHEETS_NEEDED = """
@@ -530,16 +527,9 @@ SELECT c_custkey, CASE WHEN k = 0 THEN c_mktsegment ELSE c_mktsegment || '_' ||
 
 
 def q_column_widths(spark, sf):
-    c = _t(spark, sf, "customer")
     cols = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
-    exprs = []
-    for name in cols:
-        w = F.least(F.greatest(F.max(F.length(F.col(name).cast("string"))), F.lit(len(name))) + 2, F.lit(255))
-        exprs.append(w.cast("double").alias(name))
-    wide = c.agg(*exprs)
-    stack = "stack({}, {}) as (column_name, width)".format(
-        len(cols), ", ".join(f"'{n}', {n}" for n in cols))
-    return wide.selectExpr(stack)
+    widths = column_widths(_t(spark, sf, "customer").select(*cols), cols, header=True)
+    return spark.createDataFrame(list(zip(cols, widths)), "column_name string, width double")
 
 
 SQL_COLUMN_WIDTHS = """
@@ -844,6 +834,104 @@ SELECT conv_id, turn, role, text FROM conversations
 """
 
 
+# ---------------------------------------------------------------- files that differ, rows without order
+
+
+def _late(spark, sf):
+    top = _t(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
+    return F.when(F.col("o_orderkey") > F.lit(top) * 0.9, F.col("o_orderpriority"))
+
+
+def q_union_files(spark, sf):
+    """S1 + U1 + A1: three workbooks of the orders, with different columns at the same position and
+    a column that only has values in the last rows, read together by name."""
+    folder = scratch_dir(spark, "differ")
+    o = _t(spark, sf, "orders").withColumn("late", _late(spark, sf))
+    key = F.col("o_orderkey").alias("k")
+    for name, status, cols in (("a", "O", ["o_totalprice"]), ("b", "F", ["o_custkey"]),
+                               ("c", "P", ["o_custkey", "o_totalprice", "late"])):
+        write_excel({"s": o.filter(F.col("o_orderstatus") == status).select(key, *cols)}, f"{folder}/{name}.xlsx",
+                    order_by=["k"])
+    got = read_excel(spark, folder)
+    return got.select(F.col("k").cast("long").alias("k"), F.col("o_totalprice").cast("double").alias("price"),
+                      F.col("o_custkey").cast("long").alias("cust"), F.col("late").cast("string").alias("late"))
+
+
+SQL_UNION_FILES = """
+SELECT o_orderkey AS k, CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS price,
+       CASE WHEN o_orderstatus <> 'O' THEN o_custkey END AS cust,
+       CASE WHEN o_orderstatus = 'P' AND o_orderkey > 0.9 * (SELECT max(o_orderkey) FROM orders)
+            THEN o_orderpriority END AS late
+FROM orders WHERE o_orderstatus IN ('O', 'F', 'P')
+"""
+
+
+def q_select_columns(spark, sf):
+    """F14 + F15: columns picked, renamed, ordered and retyped on read."""
+    path = scratch_dir(spark, "select") + "/orders.xlsx"
+    write_excel({"o": _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")}, path,
+                order_by=["o_orderkey"])
+    return read_excel(spark, path, select={"o_totalprice": "price", "o_orderkey": "key_text", "o_custkey": "cust"},
+                      types={"o_orderkey": "STRING", "o_custkey": "LONG", "o_totalprice": "DOUBLE"})
+
+
+SQL_SELECT_COLUMNS = """
+SELECT o_totalprice AS price, CAST(o_orderkey AS VARCHAR) AS key_text, o_custkey AS cust FROM orders
+"""
+
+
+def q_unordered_write(spark, sf):
+    """N1 + W7 without an order: every row has a row of its own, over several sheets."""
+    path = scratch_dir(spark, "unordered") + "/orders.xlsx"
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    n_sheets = write_excel({"o": o.repartition(5)}, path, max_rows=6000).first()["sheets"]
+    parts = [read_excel(spark, path, sheet=i, row_id="A") for i in range(n_sheets)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select(F.col("RowID").cast("long").alias("o_orderkey"), F.col("o_totalprice").cast("double")
+                      .alias("o_totalprice"))
+
+
+SQL_UNORDERED_WRITE = """
+SELECT o_orderkey, o_totalprice FROM orders
+"""
+
+
+def q_nullable_keys(spark, sf):
+    """N2 + W5 + K2 over a key that is NULL for every order of one priority: no row is lost."""
+    folder = scratch_dir(spark, "nullable")
+    o = _t(spark, sf, "orders").select(F.nullif("o_orderpriority", F.lit("5-LOW")).alias("p"), "o_orderkey")
+    write_excel_by_key(o, "p", folder, order_by=["o_orderkey"])
+    files = read_excel(spark, folder, path_column="Path").groupBy("Path").agg(F.count(F.lit(1)).alias("n_rows"))
+    named = W.make_unique(o, "p", "o_orderkey").groupBy(F.col("p").isNull().alias("no_id")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("p").alias("n_ids"))
+    return files.select(F.lit("file").alias("what"), "n_rows", F.lit(0).cast("long").alias("n_ids")).unionByName(
+        named.select(F.concat(F.lit("ids, none: "), F.col("no_id").cast("string")).alias("what"), "n_rows", "n_ids"))
+
+
+SQL_NULLABLE_KEYS = """
+WITH o AS (SELECT nullif(o_orderpriority, '5-LOW') AS p FROM orders)
+SELECT 'file' AS what, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_ids FROM o GROUP BY p
+UNION ALL
+SELECT 'ids, none: ' || CASE WHEN p IS NULL THEN 'true' ELSE 'false' END, count(*), CASE WHEN p IS NULL THEN 0 ELSE count(*) END
+FROM o GROUP BY p IS NULL
+"""
+
+
+def q_colliding_ids(spark, sf):
+    """W5 on ids that look like numbered copies of each other: all come out different."""
+    o = _t(spark, sf, "orders").select("o_orderkey", F.concat(
+        F.lit("a"), F.repeat(F.lit("_1"), (F.col("o_orderkey") % 3).cast("int"))).alias("uid"))
+    got = W.make_unique(o, "uid", "o_orderkey")
+    return got.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("uid").alias("n_ids"))
+
+
+SQL_COLLIDING_IDS = """
+SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_ids FROM orders
+"""
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -883,6 +971,11 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "append_workbook": (q_append_workbook, SQL_APPEND_WORKBOOK),
     "update_workbook": (q_update_workbook, SQL_UPDATE_WORKBOOK),
     "stream_to_workbooks": (q_stream_to_workbooks, SQL_STREAM_TO_WORKBOOKS),
+    "union_files": (q_union_files, SQL_UNION_FILES),
+    "select_columns": (q_select_columns, SQL_SELECT_COLUMNS),
+    "unordered_write": (q_unordered_write, SQL_UNORDERED_WRITE),
+    "nullable_keys": (q_nullable_keys, SQL_NULLABLE_KEYS),
+    "colliding_ids": (q_colliding_ids, SQL_COLLIDING_IDS),
     "roundtrip_pages": (q_roundtrip_pages, SQL_ROUNDTRIP_PAGES),
     "roundtrip_conversations": (q_roundtrip_conversations, SQL_ROUNDTRIP_CONVERSATIONS),
 }

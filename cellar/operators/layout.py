@@ -5,11 +5,12 @@ Ordinals come from ``operators.ordinal`` (no single-partition window).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.address import XLSX_MAX_ROWS
 from ..functions.text import MAX_SHEET_NAME
+from .ordinal import _bucket_expr
 
 
 def assign_sheets(df: DataFrame, ordinal: str, base_name: str, header: bool = True,
@@ -43,26 +44,34 @@ def append_chain(df: DataFrame, ordinal: str, chain: DataFrame, max_rows: int, h
     Each existing sheet takes ``max_rows - (last_row + 1)`` more rows after its own last row
     (a full sheet is passed over); rows beyond the chain open new sheets with a header.
     The chain holds one row per existing sheet of one workbook (bounded by the sheets a
-    workbook can hold), so it is broadcast and matched with a range join.
+    workbook can hold): its bounds become literals that each row is compared with in a balanced
+    tree, so there is no join.
     """
-    free = F.greatest(F.lit(max_rows) - (F.col("last_row") + 1), F.lit(0))
-    w = Window.orderBy("sheet_no").rowsBetween(Window.unboundedPreceding, -1)
-    bounds = chain.select("sheet_no", "last_row", free.alias("__free")).withColumn(
-        "__lo", F.coalesce(F.sum("__free").over(w), F.lit(0))).withColumn("__hi", F.col("__lo") + F.col("__free"))
-    tot = bounds.agg(F.coalesce(F.sum("__free"), F.lit(0)).alias("total"),
-                     F.coalesce(F.max("sheet_no") + 1, F.lit(0)).alias("k")).collect()[0]
-    b = F.broadcast(bounds.filter(F.col("__free") > 0).select(
-        F.col("sheet_no").alias("__s"), F.col("last_row").alias("__last"), "__lo", "__hi"))
+    sheets = sorted((r["sheet_no"], r["last_row"]) for r in chain.select("sheet_no", "last_row").collect())
+    free = [(no, last, max(0, max_rows - (last + 1))) for no, last in sheets]
+    total, k = sum(f for *_, f in free), (sheets[-1][0] + 1 if sheets else 0)
+    lows, at = [], 0
+    for _, _, f in free:
+        lows.append(at)
+        at += f
+    open_ = [(no, last, lo, lo + f - 1) for (no, last, f), lo in zip(free, lows) if f]
     n = F.col(ordinal)
-    inside = df.join(b, (n >= F.col("__lo")) & (n < F.col("__hi")), "left")
-    total, k = int(tot["total"]), int(tot["k"])
     cap = max_rows - (1 if header else 0)
     beyond = n - F.lit(total)
-    res = inside.withColumn(
-        sheet_col, F.when(F.col("__s").isNotNull(), F.col("__s")).otherwise(
-            F.lit(k) + (beyond / cap).cast("long")).cast("long")
-    ).withColumn(
-        row_col, F.when(F.col("__s").isNotNull(), F.col("__last") + 1 + (n - F.col("__lo"))).otherwise(
-            beyond % cap + (1 if header else 0)).cast("long")
-    )
-    return res.drop("__s", "__last", "__lo", "__hi")
+    new_no, new_row = F.lit(k) + (beyond / cap).cast("long"), beyond % cap + (1 if header else 0)
+    if not open_:
+        return df.withColumn(sheet_col, new_no.cast("long")).withColumn(row_col, new_row.cast("long"))
+    which = _bucket_expr(n, n_type(df, ordinal), [hi for *_, hi in open_], 0, len(open_))
+
+    def pick(values: list[int]) -> Column:
+        return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("__which") + 1)
+
+    inside = F.col("__which") < len(open_)
+    out = df.withColumn("__which", which.cast("int"))
+    out = out.withColumn(sheet_col, F.when(inside, pick([no for no, *_ in open_])).otherwise(new_no).cast("long"))
+    start = pick([last + 1 - lo for _, last, lo, _ in open_])
+    return out.withColumn(row_col, F.when(inside, start + n).otherwise(new_row).cast("long")).drop("__which")
+
+
+def n_type(df: DataFrame, name: str):
+    return df.schema[name].dataType

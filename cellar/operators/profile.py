@@ -60,8 +60,8 @@ RUN_BLOCK = 1 << 16  # rows of a column that one window sorts
 def type_runs(rows: DataFrame, cols: list[int] | None = None) -> DataFrame:
     """Run-length type profile: maximal runs of equal cell type per (file, column).
 
-    A run breaks where the type changes or rows are skipped; the skipped rows between two
-    cells form a run of type 0 (missing). Runs are found within blocks of ``RUN_BLOCK`` rows, so
+    A run breaks where the type changes or rows are skipped; the rows between two typed cells
+    that have no cell or a blank one form a run of type 0 (missing). Runs are found within blocks of ``RUN_BLOCK`` rows, so
     a long column is spread over many tasks; what touches a block's edges (two runs at most) is
     joined with its neighbours in a second pass over these edge runs alone.
     """
@@ -69,7 +69,7 @@ def type_runs(rows: DataFrame, cols: list[int] | None = None) -> DataFrame:
         keep = F.array(*[F.lit(c) for c in cols])
         rows = rows.withColumn("cells", F.map_filter("cells", lambda k, v: F.array_contains(keep, k)))
     cells = long_cells(rows).select("path", "row_idx", "col", F.col("cell.b").alias("b"),
-                                    F.shiftright("row_idx", 16).alias("blk"))
+                                    F.shiftright("row_idx", 16).alias("blk")).filter("b <> 0")
     block = ["path", "col", "blk"]
     w = Window.partitionBy(*block).orderBy("row_idx")
     up, up_b = F.lag("row_idx").over(w), F.lag("b").over(w)

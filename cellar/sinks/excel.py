@@ -188,8 +188,9 @@ def _file_for(key: str) -> str:
 
     key = "" if key is None else str(key)
     safe = re.sub(r"[^A-Za-z0-9._-]+", "_", key)
-    if safe != key or not safe or safe.startswith("."):
-        safe = f"{safe or '_'}-{hashlib.sha1(key.encode('utf-8')).hexdigest()[:8]}"
+    if safe != key or not safe or safe.startswith((".", "_")):
+        # names that begin with a dot or an underscore are hidden from file listings
+        safe = f"key{safe}-{hashlib.sha1(key.encode('utf-8')).hexdigest()[:8]}"
     return f"{safe}.xlsx"
 
 
