@@ -24,7 +24,7 @@ from cellar.operators import patch as J  # noqa: E402
 from cellar.operators import profile as P  # noqa: E402
 from cellar.operators.ordinal import stable_partitions, with_ordinals  # noqa: E402
 from cellar.plans import cells as C  # noqa: E402
-from cellar.session import scratch_dir  # noqa: E402
+from cellar.session import scratch_dir, ship_package  # noqa: E402
 from cellar.sinks.excel import column_widths, sheets_needed, write_excel, write_excel_by_key  # noqa: E402
 from cellar.sources.excel import ReadOptions, list_sheets, read_excel  # noqa: E402
 from cellar.streaming.stream import read_excel_stream  # noqa: E402
@@ -997,7 +997,14 @@ def _training_data() -> dict[str, tuple[Callable, str | None]]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v[0] for k, v in (_QUERIES | _training_data()).items()}
+    def shipped(query: Callable) -> Callable:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return query(spark, sf_dir)
+
+        return run
+
+    return {k: shipped(v[0]) for k, v in (_QUERIES | _training_data()).items()}
 
 
 def oracle_sql() -> dict[str, str]:

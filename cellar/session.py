@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -35,18 +36,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (tests, a laptop) a folder of our own is made and set.
+    Only a local session (tests, a laptop) gets a folder of its own when the setting is absent;
+    on a cluster a driver's temporary folder could not be seen by the executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    root = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cellar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
+        return root
+    # below the context's own folder there is one of a session; its parent is the shared one
+    return spark.conf.get("spark.checkpoint.dir", None) or root
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that tasks can import it
+    wherever the driver was started. A local session shares the driver's files already."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED or context.master.startswith(("local[", "local-cluster")) or context.master == "local":
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="cellar-code-")
+    archive = os.path.join(folder, "cellar.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for top, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(top, name)
+                    z.write(path, os.path.join("cellar", os.path.relpath(path, here)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
 
 
 def scratch_dir(spark: SparkSession, label: str = "scratch") -> str:
