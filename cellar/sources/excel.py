@@ -577,15 +577,15 @@ def _sample_fn(opts_dict: dict, sources):
     return fn
 
 
-def _rows_fn(opts_dict: dict, ordinals: dict[str, int] | None, sources=_whole_files):
+def _rows_fn(opts_dict: dict, ordinals: dict[str, int] | None, sources=_whole_files, known_only: bool = False):
     """Full decode; cells are re-keyed to the final column ordinal (or kept by position).
 
-    A column that has no ordinal because it only begins after an explicit scan limit fails the
-    read: it is never dropped without a word.
+    A column that has no ordinal because it only begins after an explicit scan limit, or (with
+    ``known_only``) in a file that came later, fails the read: it is never dropped without a word.
     """
     opts = ReadOptions(**opts_dict)
     so = opts.scan_options(None)
-    strict = (opts.scan_limit is not None and not opts.schema and opts.combine == "union"
+    strict = ((known_only or opts.scan_limit is not None) and not opts.schema and opts.combine == "union"
               and not opts.skip_empty_cols and not opts.select)
 
     def fn(batches):
@@ -601,8 +601,8 @@ def _rows_fn(opts_dict: dict, ordinals: dict[str, int] | None, sources=_whole_fi
                             name = src.namer.name_of(pos) if src.namer.is_column(pos) else None
                             rekey[pos] = ordinals.get(name)
                             if strict and name is not None and rekey[pos] is None:
-                                raise ValueError(f"{src.path}: column {name!r} begins in row {r + 1}, after the "
-                                                 f"scan limit of {opts.scan_limit} rows")
+                                raise ValueError(f"{src.path}: column {name!r} (row {r + 1}) is not among the columns "
+                                                 "inferred so far; raise the scan limit or give a schema")
                         if rekey[pos] is not None:
                             new_cells.append((rekey[pos], c[1], c[2], c[3]))
                     cells = new_cells

@@ -3,7 +3,8 @@
 G1: workbooks dropped into a folder are a Structured Streaming source: ``readStream``
 of ``binaryFile`` with the fixed file schema, decoded by the same Arrow map as the batch
 reader and projected with a schema inferred once from the files present at start (or
-given by the user). All map-side; no state.
+given by the user). A later file with a column that is not among them fails the stream unless
+the user gave a schema. All map-side; no state.
 
 G2: a stream of rows appended to workbooks with ``foreachBatch``: every micro-batch is
 written as its own workbook named after the batch id, so a re-run batch overwrites its
@@ -34,7 +35,7 @@ def read_excel_stream(spark: SparkSession, folder: str, opts: ReadOptions | None
     ordinals = {s.name: j for j, s in enumerate(specs)}
     files = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("pathGlobFilter", glob)
              .load(folder))
-    rows = files.select("path", "content").mapInArrow(_rows_fn(asdict(opts), ordinals), ROWS_DDL)
+    rows = files.select("path", "content").mapInArrow(_rows_fn(asdict(opts), ordinals, known_only=True), ROWS_DDL)
     return project(rows, specs, opts)
 
 
