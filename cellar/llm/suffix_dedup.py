@@ -14,7 +14,7 @@ that only anchors are counted for all text:
 2. Runs around the remaining anchors, each with its bytes. A bit table of fixed size keeps most
    finished anchors out; a full table only lets more through. Of equal runs within a piece of
    input the first is sent on, the others are already known to repeat it. Anchors that are in
-   very many documents (``HOT``) are not a grouping key of their own: what is left of their
+   very many places (``HOT``) are not a grouping key of their own: what is left of their
    windows is, one by one, so no task gets all rows of a frequent phrase.
 3. Within a key equal runs are settled at once, then the remaining digits of the windows of
    distinct runs, eight bytes each, are sorted in passes. A window found in a smaller document
@@ -41,8 +41,8 @@ from cellar.llm.common import bit_filter, cut, in_filter, mix, pieces, release,
 WINDOW = 50
 ANCHOR = 20
 FILTER_BITS = 27
-#: An anchor in more documents than this is grouped by its windows instead.
-HOT = 20_000
+#: An anchor that occurs more often than this is grouped by its windows instead.
+HOT = 250_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.iinfo(np.int64).max
 
@@ -340,11 +340,11 @@ def removed(docs: DataFrame, window: int = WINDOW, gram: int = ANCHOR) -> DataFr
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     seen = cut(_anchor_rows(src, window, gram).groupBy("h").agg(
-        F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("docs"))
-        .where("least < most").select("h", "docs"))
+        F.min("id").alias("least"), F.max("id").alias("most"), F.count(F.lit(1)).alias("times"))
+        .where("least < most").select("h", "times"))
     bits = bit_filter(seen, "h", FILTER_BITS)
     # at most (anchors / HOT) rows
-    hot = np.array([r[0] for r in seen.where(F.col("docs") > HOT).select("h").collect()], np.int64).view(np.uint64)
+    hot = np.array([r[0] for r in seen.where(F.col("times") > HOT).select("h").collect()], np.int64).view(np.uint64)
     release(spark)
     spans = _spans(_run_rows(src, bits, hot, window, gram), window)
     return spans.groupBy("id").agg(F.collect_list(F.struct("at", "windows")).alias("spans"))
