@@ -57,9 +57,11 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application, so that tasks can import it
-    wherever the driver was started. A local session shares the driver's files already."""
+    wherever the driver was started (Python workers don't see the driver's ``sys.path``)."""
     context = spark.sparkContext
-    if context.applicationId in _SHIPPED or context.master.startswith(("local[", "local-cluster")) or context.master == "local":
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if context.applicationId in _SHIPPED or (root in known and context.master.startswith("local")):
         return
     here = os.path.dirname(os.path.abspath(__file__))
     folder = tempfile.mkdtemp(prefix="cellar-code-")
