@@ -100,7 +100,8 @@ def _bounds(vals: list[tuple], n: int) -> list[tuple]:
     out: list[tuple] = []
     for i in range(1, n) if vals else ():
         b = vals[min(len(vals) - 1, (i * len(vals)) // n)]
-        if (not out or order(b) > order(out[-1])) and all(x is not None for x in b):
+        # structs compare field by field, NULL first; a single NULL does not compare
+        if (not out or order(b) > order(out[-1])) and (len(b) > 1 or b[0] is not None):
             out.append(b)
     return out
 

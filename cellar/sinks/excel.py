@@ -252,12 +252,13 @@ def column_widths(df: DataFrame, names: list[str], header: bool) -> list[float]:
 def write_excel(tables, path: str, order_by=None, header: bool = True, missing: str | None = None,
                 fmt: str = "xlsx", row_key: str | None = None, mode: str = "overwrite", autosize: bool = False,
                 orientation: str | None = None, paper: str | None = None, max_rows: int | None = None,
-                sheet_exists: str = "fail") -> DataFrame:
+                sheet_exists: str = "fail", create_folders: bool = True) -> DataFrame:
     """Write one or more DataFrames to one workbook, one sheet each (split by capacity).
 
     ``mode`` (file exists, N4): "overwrite", "errorifexists" or "append" (write into the
     existing workbook); ``sheet_exists`` (N3, with append): "fail", "overwrite" (replace the
     sheet in place) or "append" (after its last used row, over its continuation sheets).
+    Without ``create_folders`` a missing target folder fails the write.
 
     ``tables`` is a DataFrame (sheet ``default_1``) or a dict / list of (sheet name, DataFrame).
     ``order_by`` gives the row order (a DataFrame has none of its own). Returns a one-row
@@ -274,6 +275,8 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
         tables, order_by = _merge_same_sheet(tables, order_by)
     if fmt == "xls":
         raise ValueError("The binary xls format is not supported for writing (see README); use xlsx.")
+    if not create_folders and "/" in path and not fsio.exists(path.rsplit("/", 1)[0]):
+        raise FileNotFoundError(f"folder of '{path}'")
     cap_rows = max_rows or XLSX_MAX_ROWS
     spark = tables[0][1].sparkSession
     layout = None

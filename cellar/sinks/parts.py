@@ -10,7 +10,8 @@ FORMAT_DATETIME = "yyyy-mm-dd hh:mm:ss"
 FORMAT_TIME = "hh:mm:ss;@"
 
 # Paper size codes of <pageSetup paperSize=...>.
-PAPER_SIZES = {"letter": 1, "legal": 5, "a3": 8, "a4": 9, "a5": 11, "b4": 12, "b5": 13, "executive": 7}
+PAPER_SIZES = {"letter": 1, "legal": 5, "a3": 8, "a4": 9, "a5": 11, "b4": 12, "b5": 13, "executive": 7,
+               "envelope_10": 20, "envelope_dl": 27, "envelope_c5": 28, "envelope_monarch": 37}
 
 _MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"

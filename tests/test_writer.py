@@ -79,6 +79,42 @@ def test_checks(spark, tmp):
                     max_rows=10)
 
 
+def test_folder_and_number_checks(spark, tmp):
+    one = spark.range(1).select("id")
+    with pytest.raises(FileNotFoundError):
+        write_excel({"s": one}, os.path.join(tmp, "no", "x.xlsx"), create_folders=False)
+    nan = spark.createDataFrame([(float("nan"),)], "x double")
+    with pytest.raises(Exception, match="finite numbers"):
+        write_excel({"s": nan}, os.path.join(tmp, "n.xlsx"))
+    # control characters come back as they went in
+    p = os.path.join(tmp, "control.xlsx")
+    odd = spark.createDataFrame([("a\x01b_x0041_c",)], "x string")
+    write_excel({"s": odd}, p, paper="envelope_c5")
+    assert [r["x"] for r in read_excel(spark, p).collect()] == ["a\x01b_x0041_c"]
+
+
+def test_files_with_other_columns_at_one_position(spark, tmp):
+    write_excel({"s": spark.createDataFrame([(1, 11)], "a int, b int")}, os.path.join(tmp, "f1.xlsx"))
+    write_excel({"s": spark.createDataFrame([(2, 22)], "a int, c int")}, os.path.join(tmp, "f2.xlsx"))
+    rows = sorted(tuple(r) for r in read_excel(spark, tmp).select("a", "b", "c").collect())
+    assert rows == [(1, 11, None), (2, None, 22)]
+
+
+def test_unordered_rows_and_hot_key(spark, tmp):
+    from cellar.operators.ordinal import stable_partitions, with_ordinals
+
+    p = os.path.join(tmp, "u.xlsx")
+    write_excel({"s": spark.range(0, 40, 1, 4)}, p)
+    assert sorted(r["id"] for r in read_excel(spark, p).collect()) == list(range(40))
+    hot = spark.range(4000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), "id")
+    staged = stable_partitions(hot, ["k"], partitions=8)
+    got = with_ordinals(staged, "n").collect()
+    assert sorted(r["n"] for r in got) == list(range(4000))
+    # NULL keys come first, and the hot one spans several buckets
+    assert {r["n"] for r in got if r["k"] is None} == set(range(3600))
+    assert staged.where("k IS NULL").select("__b").distinct().count() > 1
+
+
 def test_many_tables_one_workbook_and_by_key(spark, tmp):
     a = spark.range(5).select(F.col("id").alias("x"))
     b = spark.range(3).select(F.col("id").alias("y"))
