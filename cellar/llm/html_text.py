@@ -346,8 +346,11 @@ def fit(pages: list[str]) -> np.ndarray | None:
 
 
 def train(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> np.ndarray | None:
-    sample = (pages.select(F.col(page_id).alias("i"), F.col(html).alias("h"))
-              .where(F.length("h").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("i"), "i", F.xxhash64("h")).limit(SAMPLE_PAGES))
+    rows = pages.select(F.col(page_id).alias("i"), F.col(html).alias("h")).where(F.length("h").between(1, SAMPLE_CHARS))
+    # ids first: of the pages only the chosen ones leave their task
+    chosen = rows.select("i").orderBy(F.xxhash64("i"), "i").limit(SAMPLE_PAGES).distinct().withColumnRenamed("i", "c")
+    sample = (rows.join(F.broadcast(chosen), F.col("i").eqNullSafe(F.col("c")))
+              .orderBy(F.xxhash64("i"), "i", F.xxhash64("h")).limit(SAMPLE_PAGES))
     return fit([r["h"] for r in sample.collect()])
 
 
