@@ -100,7 +100,8 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int):
     last = np.append(first[1:], starts) - 1
     keep = inside[first]
     first, last = first[keep], last[keep]
-    return row[first], first, last, place[first], grams[place[first]]
+    # anchors are minima, so their hashes crowd at the low end: mix again before any use by value
+    return row[first], first, last, place[first], mix(grams[place[first]] ^ _BASE)
 
 
 def _ids(column: pa.Array) -> np.ndarray:
