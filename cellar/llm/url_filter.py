@@ -27,6 +27,8 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.6
+#: A combination needs at least so many labelled URLs.
+LEAST_URLS = 10
 #: Tokens of a rule; longer combinations rarely add to their parts.
 MOST_TOKENS = 3
 _LABEL = "label="
@@ -74,7 +76,9 @@ def tokens(host_: Column, path: Column, rest: Column) -> Column:
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(rule, items, label, confidence, support): association rules from (items, label) rows."""
     baskets = labelled.select(F.concat("items", F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    # a few URLs alone support nothing (and would make every subset of their tokens frequent)
+    least = max(min_support, min(1.0, LEAST_URLS / max(1, baskets.count())))
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
     found = (model.associationRules.where(F.size("consequent") == 1)
              .select(F.array_sort("antecedent").alias("items"), F.col("consequent")[0].alias("label"),
                      "confidence", "support")
