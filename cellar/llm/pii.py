@@ -4,8 +4,9 @@ Regular expressions propose spans, checksums confirm them (Luhn for cards, mod-9
 and words near a span adjust its score:
 
 * base kinds (``email``, ``ip``, ``card``, ``phone``) are kept whenever they are well-formed;
-* added kinds need more. ``iban``: country letters, the usual lengths and mod-97. ``ssn``: the
-  US form with a possible area, group and serial number, and a context word before it.
+* added kinds need more. ``iban``: country letters, the length of that country and mod-97
+  (letters without a known length: the whole run, 15 to 34 characters). ``ssn``: the US form
+  with a possible area, group and serial number, and a context word before it.
   Their score is 0.5 for the form, 0.5 for a passed checksum and 0.4 for a context word in the
   ``CONTEXT_CHARS`` characters before the span; spans from ``MIN_SCORE`` on stay.
 
@@ -32,6 +33,28 @@ CONTEXT_WORDS = {
     "ssn": "ssn|social security|social-security|taxpayer|tax id",
 }
 
+#: Characters of an IBAN by country: the registry, and countries that use the form without it.
+IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Groups of four with or without a space, up to the length of the country."""
+    group, ways = r"\x20?[A-Z0-9]", []
+    for size, countries in IBAN_SIZES.items():
+        fours, rest = divmod(size - 4, 4)
+        tail = f"{group}{{{rest}}}" if rest else ""
+        ways.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:{group}{{4}}){{{fours}}}{tail}")
+    known = "|".join(IBAN_SIZES.values()).replace(" ", "|")
+    ways.append(f"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:{group}{{4}}){{2,7}}(?:{group}{{1,3}})?")
+    return f"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(ways)})(?![A-Za-z0-9])"
+
+
 _LOCAL = "[A-Za-z0-9._%+-]"
 # A match starts where the run starts or where the match before ended (\G).
 PATTERNS = {
@@ -40,7 +63,7 @@ PATTERNS = {
     # runs of fewer than 14 digits can't pass, so they are not marked
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban(),
     "ssn": r"(?<![A-Za-z0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![A-Za-z0-9-])",
 }
 #: Cheap tests that every text with a match of the kind passes.
