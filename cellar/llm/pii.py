@@ -8,7 +8,8 @@ and words near a span adjust its score:
   (letters without a known length: the whole run, 15 to 34 characters). ``ssn``: the US form
   with a possible area, group and serial number, and a context word before it.
   Their score is 0.5 for the form, 0.5 for a passed checksum and 0.4 for a context word in the
-  ``CONTEXT_CHARS`` characters before the span; spans from ``MIN_SCORE`` on stay.
+  ``CONTEXT_CHARS`` characters before the span, other spans included; spans from ``MIN_SCORE``
+  on stay.
 
 Each pattern marks its matches in one ``regexp_replace``; the text is then split at the marks,
 so that positions are running sums of lengths (code points, end exclusive). Patterns use
@@ -138,7 +139,7 @@ def spans(text: Column, kind: str) -> Column:
         spill = F.size(acc["some"]) >= _CHUNK
         return F.struct(
             end.alias("at"), (~acc["inside"]).alias("inside"),
-            (F.when(acc["inside"], F.lit("")).otherwise(F.right(part, F.lit(CONTEXT_CHARS)))
+            (F.right(F.concat(acc["before"], F.right(part, F.lit(CONTEXT_CHARS))), F.lit(CONTEXT_CHARS))
              if kind in ADDED_KINDS else F.lit("")).alias("before"),
             F.when(hit, F.when(spill, span).otherwise(F.concat(acc["some"], span)))
             .otherwise(acc["some"]).alias("some"),

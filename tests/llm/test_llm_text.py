@@ -133,6 +133,17 @@ def test_pii_added_kinds_and_redaction(spark):
     assert pii.digest(frame(spark, [])).count() == 0
 
 
+def test_context_reaches_over_spans(spark):
+    lists = ["SSNs/ssn: 123-45-6789, 234-56-7890", "ssn 123-45-6789\n000-45-6789 234-56-7890", "ssn 123-45-6789 345-67-8901 456-78-9012",
+             "ssn" + "." * 13 + "123-45-6789, 234-56-7890", "ssn" + "." * 25 + "123-45-6789, 234-56-7890", "123-45-6789 ssn"]
+    got = {r.doc_id: r.spans for r in pii.digest(frame(spark, list(enumerate(lists)))).collect()}
+    for i, text in enumerate(lists):
+        want = [m for m in re.finditer(r"(?!000)\d{3}-\d{2}-\d{4}", text) if re.search(r"(?<![a-z])ssn", text[max(0, m.start() - 40):m.start()])]
+        assert got[i] == ",".join(f"ssn:{m.start()}:{m.end()}" for m in want), text
+    clean = {r.doc_id: r.text for r in pii.redact(frame(spark, list(enumerate(lists)))).collect()}
+    assert clean[0] == "SSNs/ssn: [SSN], [SSN]" and clean[4].endswith("[SSN], 234-56-7890")
+
+
 def test_ibans_before_short_words(spark):
     known = ["NO93 8601 1117 947", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "GB29 NWBK 6016 1331 9268 19",
              "ES91 2100 0418 4502 0005 1332", "PL61 1090 1014 0000 0712 1981 2874", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
