@@ -9,8 +9,10 @@ look it up, and the rule fires if all its tokens are there. The rule with the hi
 (then support, then fewer tokens, then block) decides; without any the URL is allowed.
 
 Labelled URLs are those that a fixed rule fits (the rule's verdict), or any table of
-(url, label) given by the caller. Mining depends on relative support, so the number of rules
-doesn't grow with the input; the index join is an equi-join on tokens of distinct token sets.
+(url, label) given by the caller. Mining depends on relative support alone, at every size and for
+combinations of any length, so the number of rules doesn't grow with the input; the index join is
+an equi-join on tokens of distinct token sets. FP-growth gets one token of each set that always
+occurs together, and none whose combinations can be no surer than the token alone.
 
 A null URL, or one without ``://``, has an empty host and path, no tokens and no rule: allowed.
 Repeated rows give repeated results.
@@ -18,19 +20,19 @@ Repeated rows give repeated results.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellar.llm.common import cut
+
 #: (host, path, verdict): the fixed rules of the query contract.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.6
-#: A combination needs at least so many labelled URLs.
-LEAST_URLS = 10
-#: Tokens of a rule; longer combinations rarely add to their parts.
-MOST_TOKENS = 3
 _LABEL = "label="
 
 
@@ -73,29 +75,94 @@ def tokens(host_: Column, path: Column, rest: Column) -> Column:
         tag("query:", F.transform(names, lambda n: F.substring_index(n, "=", 1)))))
 
 
+def _classes(sets: DataFrame, least: int, total: int) -> DataFrame:
+    """(token, rep, counts, alone) of the tokens with ``least`` rows or more.
+
+    ``sets`` has a row per token set, with its rows and a map of rows by label. Tokens of equal
+    rows share a ``rep``. ``alone``: combinations with the token are no surer than without it, as
+    all its rows have one label, or as it is in every row.
+    """
+    seen = sets.select(F.xxhash64("items").alias("a"), F.xxhash64(F.lit(1), "items").alias("b"), "label", "n",
+                       F.explode("items").alias("token"))
+    by_label = seen.groupBy("token", "label").agg(
+        F.sum("n").alias("n"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+    tokens_ = (by_label.groupBy("token").agg(
+        F.sum("n").alias("n"),
+        F.array_sort(F.collect_list(F.struct("label", "n", "a", "b"))).alias("rows"))
+        .where(F.col("n") >= least))
+    return (tokens_.groupBy("rows", "n").agg(F.min("token").alias("rep"), F.collect_list("token").alias("members"))
+            .select("rep", "members", "n", F.transform("rows", lambda r: F.struct(r["label"], r["n"])).alias("counts"),
+                    ((F.size("rows") == 1) | (F.col("n") == total)).alias("alone")))
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(rule, items, label, confidence, support): association rules from (items, label) rows."""
-    baskets = labelled.select(F.concat("items", F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
-    # a few URLs alone support nothing (and would make every subset of their tokens frequent)
-    least = max(min_support, min(1.0, LEAST_URLS / max(1, baskets.count())))
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(baskets)
-    found = (model.associationRules.where(F.size("consequent") == 1)
-             .select(F.array_sort("antecedent").alias("items"), F.col("consequent")[0].alias("label"),
-                     "confidence", "support")
-             .where(F.col("label").startswith(_LABEL) & (F.size("items") <= MOST_TOKENS)
-                    & ~F.exists("items", lambda i: i.startswith(_LABEL)))
-             .withColumn("label", F.expr(f"substring(label, {len(_LABEL) + 1})"))
-             .withColumn("rule", F.array_join("items", " ")))
-    # a rule is superfluous if one of its parts implies the label as surely
-    parts = found.select("rule", "label", F.col("confidence").alias("mine"), F.size("items").alias("n"),
-                         F.explode("items").alias("item"))
-    shorter = found.select(F.col("rule").alias("part"), F.col("label").alias("l"), F.col("confidence").alias("theirs"),
-                           F.size("items").alias("m"), "items")
-    index = shorter.withColumn("item", F.explode("items"))
-    covered = (parts.join(index, (parts["item"] == index["item"]) & (parts["label"] == index["l"])
-                          & (F.col("m") < F.col("n")) & (F.col("theirs") >= F.col("mine")))
-               .groupBy("rule", "label", "part", "m").count().where("count = m").select("rule", "label").distinct())
-    return found.join(covered, ["rule", "label"], "left_anti")
+    """(rule, items, label, confidence, support): association rules from (items, label) rows.
+
+    Tokens that always occur together are mined as one and told apart again at the end.
+    """
+    labelled = labelled.select("items", "label")
+    total = labelled.count()
+    least = max(1, math.ceil(min_support * total))
+    sets = cut(labelled.groupBy("items", "label").agg(F.count("*").alias("n")))
+    classes = cut(_classes(sets, least, total))
+    mates = classes.where("NOT alone").select("rep", F.explode("members").alias("token"))
+    reps = (sets.select("items").distinct().select("items", F.explode("items").alias("token")).join(mates, "token")
+            .groupBy("items").agg(F.array_sort(F.collect_set("rep")).alias("reps")))
+    none = F.array().cast("array<string>")
+    baskets = labelled.join(reps, "items", "left").select(F.concat(
+        F.coalesce("reps", none), F.array(F.concat(F.lit(_LABEL), "label"))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    frequent = model.freqItemsets.select(
+        F.array_sort(F.filter("items", lambda i: ~i.startswith(_LABEL))).alias("items"),
+        F.filter("items", lambda i: i.startswith(_LABEL)).alias("label"), "freq").where(F.size("items") > 0)
+    whole = frequent.where(F.size("label") == 0).select("items", F.col("freq").alias("all"))
+    implied = (frequent.where(F.size("label") == 1).join(whole, "items")
+               .select("items", F.substring(F.col("label")[0], len(_LABEL) + 1, F.lit(2147483647)).alias("label"),
+                       "freq", "all"))
+    single = (classes.where("alone").select(F.array("rep").alias("items"), F.col("n").alias("all"), F.explode("counts").alias("c"))
+              .select("items", F.col("c.label").alias("label"), F.col("c.n").alias("freq"), "all").where(F.col("freq") >= least))
+    found = cut(implied.unionByName(single).select(
+        "items", "label", (F.col("freq") / F.col("all")).alias("confidence"), (F.col("freq") / total).alias("support")))
+    kept = _surer_than_parts(found.withColumn("valid", F.col("confidence") >= min_confidence))
+    # one rule for every choice of one token of each class
+    members = classes.select(F.col("rep").alias("item"), "members")
+    chosen = (kept.withColumn("item", F.explode("items")).join(members, "item")
+              .groupBy("items", "label", "confidence", "support").agg(F.collect_list("members").alias("of"))
+              .select("label", "confidence", "support", F.explode(F.aggregate(
+                  "of", F.array(none), lambda acc, more: F.flatten(F.transform(acc, lambda got: F.transform(
+                      more, lambda x: F.concat(got, F.array(x))))))).alias("items")))
+    items = F.array_sort("items")
+    return chosen.select(F.array_join(items, " ").alias("rule"), items.alias("items"), "label", "confidence", "support")
+
+
+def _surer_than_parts(found: DataFrame) -> DataFrame:
+    """The valid rows of ``found`` without those that a valid part implies as surely.
+
+    Size by size, a combination takes over the best confidence of its parts from those that
+    lack one item; these are all in ``found``, as they are as frequent.
+    """
+    longest = found.agg(F.max(F.size("items"))).first()[0] or 0
+    out, before = [], None
+    for size in range(1, longest + 1):
+        level = found.where(F.size("items") == size)
+        if before is None:
+            level = level.withColumn("parts", F.lit(0.0))
+        else:
+            less = level.select("items", "label", F.explode("items").alias("gone")).withColumn(
+                "part", F.array_remove("items", F.col("gone")))
+            best = (less.join(before, (less["part"] == before["p"]) & (less["label"] == before["l"]))
+                    .groupBy("items", "label").agg(F.max("best").alias("parts")))
+            level = level.join(best, ["items", "label"], "left").withColumn("parts", F.coalesce("parts", F.lit(0.0)))
+        level = cut(level)
+        out.append(level.where(F.col("valid") & (F.col("confidence") > F.col("parts"))))
+        before = level.select(F.col("items").alias("p"), F.col("label").alias("l"), F.greatest(
+            "parts", F.when(F.col("valid"), F.col("confidence")).otherwise(0.0)).alias("best"))
+    if not out:
+        out = [found]
+    kept = out[0]
+    for level in out[1:]:
+        kept = kept.unionByName(level, allowMissingColumns=True)
+    return kept.select("items", "label", "confidence", "support")
 
 
 def judge(urls: DataFrame, rules: DataFrame) -> DataFrame:

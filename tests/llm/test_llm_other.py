@@ -148,6 +148,38 @@ def test_mined_rules_by_hand(spark):
         assert judged.get(frozenset(b)) == (max(fired)[3] if fired else None)
 
 
+def brute_rules(baskets, least, sure):
+    """Rules by trying every part of every basket, without those that a part implies as surely."""
+    from collections import Counter
+    from itertools import combinations
+
+    whole, with_label = Counter(), Counter()
+    for items, label in baskets:
+        for k in range(1, len(items) + 1):
+            for part in combinations(sorted(items), k):
+                whole[part] += 1
+                with_label[part, label] += 1
+    rules = {key: n / whole[key[0]] for key, n in with_label.items() if n >= least and n / whole[key[0]] >= sure}
+    return {key: c for key, c in rules.items() if not any(
+        rules.get((part, key[1]), 0) >= c for k in range(1, len(key[0])) for part in combinations(key[0], k))}
+
+
+@pytest.mark.parametrize("n, support", [(6, 0.002), (60, 0.002), (60, 0.1)])
+def test_mined_rules_are_all_rules(spark, n, support):
+    rng = random.Random(n)
+    baskets = []
+    for i in range(n):
+        four = {x for x in "abcd" if rng.random() < 0.7}
+        # four tokens imply the label, no three of them do; m and n are always together, u in every row
+        items = four | {"u", f"id{i}"} | ({"m", "n"} if rng.random() < 0.4 else set())
+        baskets.append((items, "block" if len(four) == 4 and rng.random() < 0.95 else "allow"))
+    df = spark.createDataFrame([(sorted(b), x) for b, x in baskets], "items array<string>, label string")
+    got = {(tuple(r["items"]), r.label): (r.confidence, r.support) for r in url_filter.mine(df, support, 0.6).collect()}
+    want = brute_rules(baskets, support * n, 0.6)
+    assert {k: v[0] for k, v in got.items()} == pytest.approx(want)
+    assert any(len(k[0]) > 3 for k in want) or (n, support) != (60, 0.1)
+
+
 # ---------------------------------------------------------------- pages
 
 
