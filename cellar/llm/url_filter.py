@@ -9,7 +9,10 @@ look it up, and the rule fires if all its tokens are there. The rule with the hi
 (then support, then fewer tokens, then block) decides; without any the URL is allowed.
 
 Labelled URLs are those that a fixed rule fits (the rule's verdict), or any table of
-(url, label) given by the caller. Mining depends on relative support alone, at every size and for
+(url, label) given by the caller. Fixed rules only look at hosts and path starts, so what is mined
+from their verdicts must say more than the rules do: their own tokens and all first path parts are
+left out, and a combination needs several hosts whose mean share of the label is surer than that of all hosts
+beyond chance. Without such a combination a URL is allowed. Mining depends on relative support alone, at every size and for
 combinations of any length, so the number of rules doesn't grow with the input; the index join is
 an equi-join on tokens of distinct token sets. FP-growth gets one token of each set that always
 occurs together, and none whose combinations can be no surer than the token alone.
@@ -33,6 +36,10 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.6
+#: Where the labels are the fixed rules' verdicts, a combination counts if the labels of so many
+#: hosts with it are farther from all hosts' than chance explains (standard deviations).
+MIN_HOSTS = 3
+MIN_DEVIATIONS = 2.0
 _LABEL = "label="
 
 
@@ -95,12 +102,50 @@ def _classes(sets: DataFrame, least: int, total: int) -> DataFrame:
                     ((F.size("rows") == 1) | (F.col("n") == total)).alias("alone")))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def rule_tokens(rules=RULES) -> list[str]:
+    """The tokens that fixed rules consist of: their hosts, host labels and words, path parts."""
+    out = set()
+    for h, p, _ in rules:
+        out |= {f"host:{h}", *(f"domain:{x}" for x in h.split(".") if x), *(f"path:{x}" for x in p.split("/") if x)}
+        out |= {f"word:{x}" for x in h.replace("-", ".").replace("_", ".").split(".") if x}
+    return sorted(out)
+
+
+def beyond_chance(found: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(items, label) of ``found`` that hold over several hosts, beyond the labels of all hosts.
+
+    ``hosts`` has rows of (host, label, reps, n). Every host counts once, by its share of the label.
+    """
+    every = hosts.groupBy("host").agg(F.sum("n").alias("all"))
+    base = (hosts.groupBy("host", "label").agg(F.sum("n").alias("n")).join(every, "host")
+            .groupBy("label").agg(F.sum(F.col("n") / F.col("all")).alias("shares"))
+            .crossJoin(F.broadcast(every.agg(F.count("*").alias("hosts"))))
+            .select("label", (F.col("shares") / F.col("hosts")).alias("base")))
+    # look the combinations up by their rarest token
+    sets = hosts.groupBy("host", "label", "reps").agg(F.sum("n").alias("n"))
+    token = sets.select(F.explode("reps").alias("token")).groupBy("token").count()
+    filed = (found.select("items").distinct().select("items", F.explode("items").alias("token")).join(token, "token")
+             .groupBy("items").agg(F.min_by("token", F.struct("count", "token")).alias("token")))
+    hits = (sets.withColumn("token", F.explode("reps")).join(filed, "token")
+            .where(F.size(F.array_except("items", "reps")) == 0).groupBy("items", "host", "label").agg(F.sum("n").alias("n")))
+    all_of = hits.groupBy("items", "host").agg(F.sum("n").alias("all"))
+    held = all_of.groupBy("items").agg(F.count("*").alias("hosts"))
+    shares = (hits.join(all_of, ["items", "host"]).groupBy("items", "label")
+              .agg(F.sum(F.col("n") / F.col("all")).alias("shares")))
+    chance = F.sqrt(F.col("base") * (1 - F.col("base")) / F.col("hosts"))
+    return (shares.join(held, "items").join(F.broadcast(base), "label")
+            .where((F.col("hosts") >= MIN_HOSTS)
+                   & (F.col("shares") / F.col("hosts") - F.col("base") > MIN_DEVIATIONS * chance)).select("items", "label"))
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+         by_host: bool = False) -> DataFrame:
     """(rule, items, label, confidence, support): association rules from (items, label) rows.
 
     Tokens that always occur together are mined as one and told apart again at the end.
+    ``by_host``: the rows have a ``host``, and rules must hold over several (``beyond_chance``).
     """
-    labelled = labelled.select("items", "label")
+    hosted, labelled = labelled, labelled.select("items", "label")
     total = labelled.count()
     least = max(1, math.ceil(min_support * total))
     sets = cut(labelled.groupBy("items", "label").agg(F.count("*").alias("n")))
@@ -123,7 +168,18 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
               .select("items", F.col("c.label").alias("label"), F.col("c.n").alias("freq"), "all").where(F.col("freq") >= least))
     found = cut(implied.unionByName(single).select(
         "items", "label", (F.col("freq") / F.col("all")).alias("confidence"), (F.col("freq") / total).alias("support")))
-    kept = _surer_than_parts(found.withColumn("valid", F.col("confidence") >= min_confidence))
+    found = found.withColumn("valid", F.col("confidence") >= min_confidence)
+    if by_host:
+        # tokens that FP-growth did without stand alone in their combinations
+        alone = classes.where("alone").select("rep", F.explode("members").alias("token"))
+        named = (sets.select("items").distinct().select("items", F.explode("items").alias("token"))
+                 .join(mates.unionByName(alone), "token").groupBy("items").agg(F.collect_set("rep").alias("reps")))
+        hosts = (hosted.groupBy("items", "host", "label").agg(F.count("*").alias("n")).join(named, "items", "left")
+                 .select("host", "label", F.array_sort(F.coalesce("reps", none)).alias("reps"), "n"))
+        sure = beyond_chance(found.where("valid"), hosts).withColumn("sure", F.lit(True))
+        found = cut(found.join(sure, ["items", "label"], "left")
+                    .withColumn("valid", F.col("valid") & F.coalesce("sure", F.lit(False))).drop("sure"))
+    kept = _surer_than_parts(found)
     # one rule for every choice of one token of each class
     members = classes.select(F.col("rep").alias("item"), "members")
     chosen = (kept.withColumn("item", F.explode("items")).join(members, "item")
@@ -193,10 +249,15 @@ def classify(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES) -
 
     got = parsed(pages.select("page_id", "url")).withColumn("fixed", fitting_rule(F.col("host"), F.col("path"), rules))
     if labelled is None:
-        learn = got.where("fixed IS NOT NULL").select("items", F.col("fixed.verdict").alias("label"))
+        # nor the path start, as far as rules look
+        depth = max([sum(x != "" for x in p.split("/")) for _, p, _ in rules], default=0)
+        start = F.slice(F.filter(F.split("path", "/"), lambda x: x != ""), 1, depth)
+        own = F.concat(F.array(*[F.lit(x) for x in rule_tokens(rules)]).cast("array<string>"),
+                       F.transform(start, lambda x: F.concat(F.lit("path:"), x)))
+        mined = mine(got.where("fixed IS NOT NULL").select(
+            F.array_except("items", own).alias("items"), "host", F.col("fixed.verdict").alias("label")), by_host=True)
     else:
-        learn = parsed(labelled.where("label IS NOT NULL")).select("items", "label")
-    mined = mine(learn)
+        mined = mine(parsed(labelled.where("label IS NOT NULL")).select("items", "label"))
     said = judge(got.where("fixed IS NULL"), mined)
     return (got.join(said, "items", "left")
             .select("page_id", "url", "host", "path", F.col("fixed.rule").alias("rule"),

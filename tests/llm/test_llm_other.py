@@ -180,6 +180,23 @@ def test_mined_rules_are_all_rules(spark, n, support):
     assert any(len(k[0]) > 3 for k in want) or (n, support) != (60, 0.1)
 
 
+def test_mined_rules_say_more_than_fixed_rules(spark):
+    # every host of the first kind is labelled by its domain and language alone
+    plain = [f"http://h{i}.example.{tld}/{lang}/{j}" for i in range(4) for j in range(8)
+             for tld, lang in (("com", "de"), ("com", "en"), ("com", "fr"), ("org", "fr"), ("org", "en"), ("net", "en"),
+                               ("net", "es"), ("com", "es"), ("org", "es"))]
+    # /win/ is blocked on ten hosts by one rule, and /news/ allowed on as many by another
+    told = [f"http://w{i}.{tld}/{path}/{j}" for i in range(10) for j in range(4)
+            for tld, path in (("net", "en/win"), ("example.net", "en/news"), ("example.com", "en/win"), ("example.org", "en/news"))]
+    urls = plain + told
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.digest(df).collect()}
+    free = [got[i] for i in range(len(urls)) if got[i].rule is None]
+    assert {r.verdict for r in free if r.page_id < len(plain)} == {"allow"}
+    assert {r.verdict for r in free if "/win/" in r.path} == {"block"}
+    assert {r.verdict for r in free if "/news/" in r.path} == {"allow"}
+
+
 # ---------------------------------------------------------------- pages
 
 
