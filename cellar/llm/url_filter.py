@@ -179,7 +179,10 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         sure = beyond_chance(found.where("valid"), hosts).withColumn("sure", F.lit(True))
         found = cut(found.join(sure, ["items", "label"], "left")
                     .withColumn("valid", F.col("valid") & F.coalesce("sure", F.lit(False))).drop("sure"))
-    kept = _surer_than_parts(found)
+    longest = found.where("valid").agg(F.max(F.size("items"))).first()[0]
+    if longest is None:
+        return found.limit(0).select(F.lit("").alias("rule"), "items", "label", "confidence", "support")
+    kept = _surer_than_parts(found, longest)
     # one rule for every choice of one token of each class
     members = classes.select(F.col("rep").alias("item"), "members")
     chosen = (kept.withColumn("item", F.explode("items")).join(members, "item")
@@ -191,13 +194,13 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     return chosen.select(F.array_join(items, " ").alias("rule"), items.alias("items"), "label", "confidence", "support")
 
 
-def _surer_than_parts(found: DataFrame) -> DataFrame:
-    """The valid rows of ``found`` without those that a valid part implies as surely.
+def _surer_than_parts(found: DataFrame, longest: int) -> DataFrame:
+    """The valid rows of ``found``, of ``longest`` items at most, without those that a valid part
+    implies as surely.
 
     Size by size, a combination takes over the best confidence of its parts from those that
     lack one item; these are all in ``found``, as they are as frequent.
     """
-    longest = found.agg(F.max(F.size("items"))).first()[0] or 0
     out, before = [], None
     for size in range(1, longest + 1):
         level = found.where(F.size("items") == size)
@@ -213,8 +216,6 @@ def _surer_than_parts(found: DataFrame) -> DataFrame:
         out.append(level.where(F.col("valid") & (F.col("confidence") > F.col("parts"))))
         before = level.select(F.col("items").alias("p"), F.col("label").alias("l"), F.greatest(
             "parts", F.when(F.col("valid"), F.col("confidence")).otherwise(0.0)).alias("best"))
-    if not out:
-        out = [found]
     kept = out[0]
     for level in out[1:]:
         kept = kept.unionByName(level, allowMissingColumns=True)
