@@ -11,7 +11,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellar.llm import decontaminate, html_text, ngram_lm, pii, quality, sentencepiece_codec, simhash, suffix_dedup, topk, url_filter
+from cellar.llm import (
+    decontaminate,
+    html_text,
+    lexical_search,
+    merkle,
+    minhash,
+    ngram_lm,
+    pii,
+    quality,
+    sentencepiece_codec,
+    simhash,
+    suffix_dedup,
+    topk,
+    url_filter,
+)
 from cellar.llm.common import table
 
 #: Place of the SentencePiece model; a parameter of the deployment.
@@ -68,6 +82,18 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.digest(table(spark, sf_dir, "pages"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op1_suffix_dedup": (op1_suffix_dedup, None),
     "op2_pii": (op2_pii, None),
@@ -79,4 +105,7 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     "op8_simhash": (op8_simhash, None),
     "op9_url_filter": (op9_url_filter, None),
     "op10_html_text": (op10_html_text, None),
+    "op11_lexical_search": (op11_lexical_search, lexical_search.ORACLE_SQL),
+    "op12_merkle_manifest": (op12_merkle_manifest, merkle.ORACLE_SQL),
+    "op13_minhash": (op13_minhash, None),
 }
