@@ -10,13 +10,16 @@ Verification: the signatures of a candidate pair are compared batch by batch. Af
 comparisons with ``m`` agreements, under a uniform prior, the similarity reaches the threshold with
 the posterior probability ``P(Bin(n + 1, t) <= m)``; below ``MISS`` the pair is pruned. Signatures
 are cut to one byte a minimum, whose chance agreements only let more pairs through. Survivors are
-confirmed on their full sets, computed again from the texts.
+confirmed on their full sets; only the sets of classes that share a bucket are computed again.
 
 Buckets never emit all their pairs. First every member is compared with the bucket's smallest and
 largest member, which joins true groups (linear in the members). Where the members of a bucket
 are then still of several components, those of different components are compared in a second
-step: large buckets are dealt to chunks, two chunks meet in a task, members of the largest
-component there are not compared with each other, and only survivors leave the task. So every
+step: large buckets are dealt to chunks and two chunks meet in a task, which looks at a pair in
+the first band only that it shares, prunes it by the posterior and by an upper bound of its
+similarity (sets cut to 16 bits a shingle), and lets out one link between two components as it knows
+them then. If a link so let out is not confirmed, links left out on its account may be missing:
+then the step is run again over what is still apart and lets out all its survivors. So every
 candidate pair is either compared or already connected.
 
 Rows: null, empty and wordless texts have an empty set and are linked with nothing. The component
@@ -50,8 +53,8 @@ FILTER_BITS = 24
 CHUNK = 1024
 _PART = 1 << 12
 
-_SEEDS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_XOR, _TIMES = _SEEDS[::2], _SEEDS[1::2] | np.uint64(1)
+_SEEDS = (mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+_XOR, _TIMES = _SEEDS[::2], _SEEDS[1::2] | np.uint32(1)
 _NEXT, _ALONE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -81,13 +84,16 @@ def shingle_sets(texts, shingle: int = SHINGLE):
 
 
 def signature(found: np.ndarray, count: int = BANDS * ROWS) -> np.ndarray:
-    """Minima of ``count`` permutations of a set's hashes."""
-    least = np.full(count, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(found), _PART):
-        h = found[i:i + _PART, None] ^ _XOR[None, :count]
-        h *= _TIMES[:count]
-        np.minimum(least, h.min(0), out=least)
-    return least
+    """One byte of the minimum of each of ``count`` permutations of a set's hashes (32 bits of them)."""
+    least = np.full(count, np.iinfo(np.uint32).max, np.uint32)
+    values = (found >> np.uint64(32)).astype(np.uint32)
+    for i in range(0, len(values), _PART):
+        h = values[None, i:i + _PART] ^ _XOR[:count, None]
+        h *= _TIMES[:count, None]
+        np.minimum(least, h.min(1), out=least)
+    # minima are small numbers: mix them before a byte is taken
+    least = (least ^ (least >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+    return ((least ^ (least >> np.uint32(13))) * np.uint32(0xC2B2AE35) >> np.uint32(24)).astype(np.uint8)
 
 
 def set_id(found: np.ndarray) -> bytes:
@@ -98,37 +104,21 @@ def set_id(found: np.ndarray) -> bytes:
     return np.concatenate([mix(low + n), mix(high + n)]).astype(">u8").tobytes()
 
 
-def _bands(least: np.ndarray) -> np.ndarray:
-    h = np.zeros(BANDS, np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        h = mix(h * _NEXT + row)
-    return mix(h + np.arange(BANDS, dtype=np.uint64) * _ALONE)
-
-
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, n, cid, sig, bands): set size, set identity, one byte a minimum, bucket keys. One map."""
+    """(doc_id, n, cid, sig): set size, set identity, one byte a minimum. One map."""
 
     def run(batches):
         for batch in batches:
-            n, cid, sig, keys = [], [], [], []
+            n, cid, sig = [], [], []
             for found in shingle_sets(batch.column(1), shingle):
                 n.append(len(found))
-                if len(found):
-                    least = signature(found)
-                    cid.append(set_id(found))
-                    sig.append((least >> np.uint64(40)).astype(np.uint8).tobytes())
-                    keys.append(_bands(least).view(np.int64))
-                else:
-                    cid.append(None)
-                    sig.append(None)
-                    keys.append(np.zeros(0, np.int64))
-            at = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            bands = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
+                cid.append(set_id(found) if len(found) else None)
+                sig.append(signature(found).tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(cid, pa.binary()),
-                                              pa.array(sig, pa.binary()), bands], ["doc_id", "n", "cid", "sig", "bands"])
+                                              pa.array(sig, pa.binary())], ["doc_id", "n", "cid", "sig"])
 
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, n long, cid binary, sig binary, bands array<long>")
+    return src.mapInArrow(run, "doc_id long, n long, cid binary, sig binary")
 
 
 # ---------------------------------------------------------------- sequential verification
@@ -189,88 +179,132 @@ def _prune(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """The pairs whose full sets reach the similarity. Only sets of their classes leave their task,
-    found by a bit table of fixed size, and each once a task."""
-    nodes = pairs.select(F.col("a").alias("cid")).union(pairs.select("b"))
-    table = bit_filter(nodes.select(F.conv(F.hex(F.substring("cid", 1, 8)), 16, -10).cast("long").alias("h")).distinct(),
-                       "h", FILTER_BITS)
+def _sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """(cid, items): the full sets of the classes ``members`` (cid, rep), computed again from one of
+    their documents. Others are left out in the map, by a bit table of fixed size over the ids."""
+    known = F.coalesce(F.xxhash64("doc_id"), F.lit(0))
+    ids = members.select(F.col("rep").alias("doc_id")).distinct().select(known.alias("h"))
+    table = bit_filter(ids, "h", FILTER_BITS)
 
     def run(batches):
-        # a task emits a set once in a while only: the seen ones are remembered in a bounded set
-        seen: set[bytes] = set()
         for batch in batches:
-            cids, sets = [], []
-            for found in shingle_sets(batch.column(0), shingle):
-                if not len(found):
-                    continue
-                cid = set_id(found)
-                if cid in seen or not in_filter(table, FILTER_BITS, np.array([int.from_bytes(cid[:8], "big")], np.uint64))[0]:
-                    continue
-                if len(seen) >= 1 << 16:
-                    seen.clear()
-                seen.add(cid)
-                cids.append(cid)
-                sets.append(found.view(np.int64))
+            h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            texts = batch.column(1).filter(pa.array(in_filter(table, FILTER_BITS, h)))
+            sets = [s for s in shingle_sets(texts, shingle) if len(s)]
             at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
-            values = pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))
-            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.binary()), pa.LargeListArray.from_arrays(
+            values = pa.array(np.concatenate([np.zeros(0, np.int64), *(s.view(np.int64) for s in sets)]))
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.binary()), pa.LargeListArray.from_arrays(
                 pa.array(at), values).cast(pa.list_(pa.int64()))], ["cid", "items"])
 
-    found = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "cid binary, items array<long>")
-    found = found.dropDuplicates(["cid"])
-    one = found.select(F.col("cid").alias("a"), F.col("items").alias("ia"))
-    two = found.select(F.col("cid").alias("b"), F.col("items").alias("ib"))
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    found = src.select(known.alias("h"), "text").mapInArrow(run, "cid binary, items array<long>")
+    return found.join(members.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the similarity."""
+    one = sets.select(F.col("cid").alias("a"), F.col("items").alias("ia"))
+    two = sets.select(F.col("cid").alias("b"), F.col("items").alias("ib"))
     shared = F.size(F.array_intersect("ia", "ib")).cast("long")
-    both = pairs.join(one, "a").join(two, "b").withColumn("shared", shared)
-    total = F.size("ia") + F.size("ib") - F.col("shared")
-    return both.where(100 * F.col("shared") >= percent * total).select("a", "b")
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", shared.alias("shared"), (F.size("ia") + F.size("ib")).alias("sum"))
+    return both.where(100 * F.col("shared") >= percent * (F.col("sum") - F.col("shared"))).select("a", "b")
 
 
 # ---------------------------------------------------------------- candidates
 
 
 def _shared_buckets(classes: DataFrame) -> DataFrame:
-    """(key, cid, members, low, high): classes in buckets of two or more."""
-    rows = classes.select("cid", F.explode("bands").alias("key"))
+    """(key, band, cid, members, low, high): classes in buckets of two or more."""
+    keys = F.array(*[F.struct(F.lit(i).alias("band"), F.xxhash64(F.lit(i), F.substring("sig", ROWS * i + 1, ROWS)).alias("key"))
+                     for i in range(BANDS)])
+    rows = classes.select("cid", F.explode(keys).alias("k")).select("cid", "k.key", "k.band")
     ends = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("cid").alias("low"),
                                    F.max("cid").alias("high")).where("members > 1")
     return rows.join(ends, "key")
 
 
-def _mixed_buckets(buckets: DataFrame, links: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Survivors among the members of different components of a bucket. Buckets of up to three
-    members have no pair left."""
-    left = buckets.where("members > 3").select("key", "cid", "members")
-    joined = components(links)
+class _Members:
+    """Members of a bucket (or of two of its chunks) in a task."""
+
+    def __init__(self, group: pa.Table, percent: int):
+        self.percent = percent
+        self.cid, self.n = group.column("cid").to_pylist(), group.column("n").to_numpy()
+        self.chunk, self.label = group.column("chunk").to_numpy(), group.column("component").to_numpy().copy()
+        self.band = group.column("band")[0].as_py()
+        self.sig = _matrix(group.column("sig").combine_chunks())
+        sketch = group.column("sketch").combine_chunks()
+        self.off = np.concatenate([[0], np.cumsum(sketch.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+        code = sketch.flatten().to_numpy(zero_copy_only=False).view(np.uint16).astype(np.int64)
+        # equal values of a set stand side by side: number them, so that a set has no code twice
+        new = np.ones(len(code), bool)
+        new[1:] = code[1:] != code[:-1]
+        new[self.off[:-1]] = True
+        at = np.arange(len(code))
+        self.code = code + ((at - np.maximum.accumulate(np.where(new, at, 0))) << 16)
+        self.table = np.zeros(int(self.code.max(initial=0)) + 1, bool)
+
+    def near(self, i: int, rest: np.ndarray) -> np.ndarray:
+        """Members of ``rest`` that may be as similar to member i as is asked, and share this band first."""
+        n, p = self.n, self.percent
+        rest = rest[np.minimum(n[rest], n[i]) * 100 >= np.maximum(n[rest], n[i]) * p]
+        if not len(rest):
+            return rest
+        rest = rest[survivors(np.broadcast_to(self.sig[i], (len(rest), self.sig.shape[1])), self.sig[rest], p)]
+        bands = (self.sig[rest] == self.sig[i]).reshape(len(rest), BANDS, ROWS).all(2)
+        rest = rest[bands[:, self.band] & ~bands[:, :self.band].any(1)]
+        if not len(rest):
+            return rest
+        # no fewer codes are shared than shingles
+        own = self.code[self.off[i]:self.off[i + 1]]
+        self.table[own] = True
+        size = self.off[rest + 1] - self.off[rest]
+        first = np.cumsum(size) - size
+        at = np.arange(size.sum()) + np.repeat(self.off[rest] - first, size)
+        shared = np.add.reduceat(self.table[self.code[at]].astype(np.int64), first)
+        self.table[own] = False
+        return rest[100 * shared >= p * (n[rest] + n[i] - shared)]
+
+    def links(self, forest: bool) -> list[tuple[bytes, bytes]]:
+        # the largest component last: its members need not be compared with each other
+        _, of, size = np.unique(self.label, return_inverse=True, return_counts=True)
+        order = np.argsort(size[of], kind="stable")
+        out, apart = [], len(np.unique(self.chunk)) > 1
+        for k, i in enumerate(order.tolist()):
+            rest = order[k + 1:]
+            rest = rest[self.label[rest] != self.label[i]]
+            if apart:
+                rest = rest[self.chunk[rest] != self.chunk[i]]
+            found = self.near(i, rest) if len(rest) else rest
+            if forest and len(found):
+                found = found[np.unique(self.label[found], return_index=True)[1]]
+                self.label[np.isin(self.label, self.label[found])] = self.label[i]
+            out += [(min(self.cid[i], self.cid[j]), max(self.cid[i], self.cid[j])) for j in found.tolist()]
+        return out
+
+
+def _mixed_buckets(buckets: DataFrame, joined: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
+                   forest: bool) -> DataFrame:
+    """Survivors among the members of different components (``joined``) of a bucket. Buckets of up
+    to three members have no pair left."""
+    left = buckets.where("members > 3").select("key", "band", "cid", "members")
     named = left.join(joined.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
     mixed = named.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
-    rows = named.join(mixed.select("key"), "key").join(classes.select("cid", "n", "sig"), "cid")
+    sketch = sets.select("cid", F.transform("items", lambda x: F.shiftright(x, 48).cast("short")).alias("sketch"))
+    rows = (named.join(mixed.select("key"), "key").join(classes.select("cid", "n", "sig"), "cid").join(sketch, "cid"))
     # chunk i of a bucket meets every chunk j >= i, in the group (i, j)
     chunks = F.ceil(F.col("members") / F.lit(CHUNK)).cast("long")
     rows = rows.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     rows = rows.select(F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("g"), "cid",
-                       "chunk", "n", "sig", F.xxhash64("component").alias("component"))
+                       "band", "chunk", "n", "sig", "sketch", F.xxhash64("component").alias("component"))
 
-    def compare(group: pa.Table) -> list[tuple[bytes, bytes]]:
-        cid, n = group.column("cid").to_pylist(), group.column("n").to_numpy()
-        chunk, part = group.column("chunk").to_numpy(), group.column("component").to_numpy()
-        sig = _matrix(group.column("sig").combine_chunks())
-        # the largest component last: its members need not be compared with each other
-        _, of, size = np.unique(part, return_inverse=True, return_counts=True)
-        order = np.argsort(size[of], kind="stable")
-        out, apart = [], len(np.unique(chunk)) > 1
-        for k, i in enumerate(order.tolist()):
-            rest = order[k + 1:]
-            rest = rest[(part[rest] != part[i]) & (np.minimum(n[rest], n[i]) * 100 >= np.maximum(n[rest], n[i]) * percent)]
-            if apart:
-                rest = rest[chunk[rest] != chunk[i]]
-            if len(rest):
-                kept = rest[survivors(np.broadcast_to(sig[i], (len(rest), sig.shape[1])), sig[rest], percent)]
-                out += [(min(cid[i], cid[j]), max(cid[i], cid[j])) for j in kept.tolist()]
-        return out
+    def compare(group: pa.Table):
+        pairs = _Members(group, percent).links(forest)
+        for i in range(0, len(pairs), 1 << 16):
+            part = pairs[i:i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in part], pa.binary()),
+                                              pa.array([b for _, b in part], pa.binary())], ["a", "b"])
 
     def run(batches):
         # rows come sorted by group, which has two chunks at most; the last one waits
@@ -281,16 +315,10 @@ def _mixed_buckets(buckets: DataFrame, links: DataFrame, classes: DataFrame, per
             g = rest.column("g").to_numpy()
             cuts = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
             for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                yield from batches_of(compare(rest.slice(begin, end - begin)))
+                yield from compare(rest.slice(begin, end - begin))
             rest = rest.slice(int(cuts[-1])) if len(cuts) else rest
         if rest is not None and rest.num_rows:
-            yield from batches_of(compare(rest))
-
-    def batches_of(pairs):
-        for i in range(0, len(pairs), 1 << 16):
-            part = pairs[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in part], pa.binary()),
-                                              pa.array([b for _, b in part], pa.binary())], ["a", "b"])
+            yield from compare(rest)
 
     parts = int(buckets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(run, "a binary, b binary").distinct()
@@ -300,18 +328,26 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
                     shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: the smallest ``doc_id`` reachable over links."""
     rows = cut(signatures(docs, doc_id, text, shingle))
-    worded = rows.where("cid IS NOT NULL")
-    least = worded.groupBy("cid").agg(F.min("doc_id").alias("rep"))
-    classes = cut(worded.select("cid", "n", "sig", "bands").dropDuplicates(["cid"]))
+    classes = cut(rows.where("cid IS NOT NULL").groupBy("cid").agg(
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")))
     buckets = cut(_shared_buckets(classes))
+    members = classes.join(buckets.select("cid").distinct(), "cid", "left_semi").select("cid", "rep")
+    sets = cut(_sets(docs, members, doc_id, text, shingle))
     star = buckets.select(F.col("low").alias("a"), F.col("cid").alias("b")).union(
         buckets.select("cid", "high")).where("a <> b").distinct()
-    links = cut(_confirm(cut(_prune(star, classes, percent)), docs, percent, doc_id, text, shingle))
-    late = cut(_mixed_buckets(buckets, links, classes, percent))
-    if late.limit(1).count():
-        links = cut(links.union(_confirm(late, docs, percent, doc_id, text, shingle)))
-    joined = components(links)
-    named = least.join(joined.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
+    links = cut(_confirm(_prune(star, classes, percent), sets, percent))
+    joined = cut(components(links))
+    for forest in (True, False):
+        late = cut(_mixed_buckets(buckets, joined, classes, sets, percent, forest))
+        found = late.count()
+        if not found:
+            break
+        more = cut(_confirm(late, sets, percent))
+        links = links.union(more)
+        joined = cut(components(links))
+        if more.count() == found:
+            break
+    named = classes.select("cid", "rep").join(joined.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
     first = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     label = cut(named.join(first, "component").select("cid", "component_id"))
