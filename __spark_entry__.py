@@ -356,11 +356,20 @@ def q_type_runs(spark, sf):
 
 
 SQL_TYPE_RUNS = f"""
-WITH {_LI_BITS_SQL.replace("CAST(l_orderkey * 8 + l_linenumber AS INTEGER)", "CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY " + LI_ORDER_SQL + ") - 1 AS INTEGER)")},
-x AS (SELECT path, row_idx, col, b,
-             lag(row_idx) OVER (PARTITION BY path, col ORDER BY row_idx) AS prev_r,
-             lag(b) OVER (PARTITION BY path, col ORDER BY row_idx) AS prev_b
-      FROM cells WHERE b <> 0),
+WITH li AS MATERIALIZED (
+  SELECT *, l_returnflag AS path, CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY {LI_ORDER_SQL}) - 1 AS INTEGER) AS row_idx
+  FROM lineitem),
+cells AS MATERIALIZED (
+  SELECT path, row_idx, unnest(range(10)) AS col, unnest([
+    {_numbit_sql('l_orderkey')}, {_numbit_sql('l_quantity')}, {_numbit_sql('l_extendedprice')},
+    CASE WHEN l_shipdate = date_trunc('day', l_shipdate) THEN 16 ELSE 32 END, 128,
+    {_numbit_sql('CASE WHEN l_linenumber = 1 THEN l_orderkey * 10000000000.0 ELSE l_quantity END')},
+    CASE WHEN l_linenumber > 2 THEN 32 ELSE 16 END,
+    CASE WHEN l_returnflag = 'R' THEN {_numbit_sql('l_quantity')} ELSE 8 END, 0,
+    CASE WHEN l_tax = 0 THEN 128 ELSE {_numbit_sql('l_tax')} END]) AS b
+  FROM li),
+x AS (SELECT path, row_idx, col, b, lag(row_idx) OVER w AS prev_r, lag(b) OVER w AS prev_b
+      FROM cells WHERE b <> 0 WINDOW w AS (PARTITION BY path, col ORDER BY row_idx)),
 y AS (SELECT *, sum(CASE WHEN prev_r IS NULL OR row_idx <> prev_r + 1 OR b <> prev_b THEN 1 ELSE 0 END)
                 OVER (PARTITION BY path, col ORDER BY row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g
       FROM x)
@@ -920,15 +929,64 @@ FROM o GROUP BY p IS NULL
 
 
 def q_colliding_ids(spark, sf):
-    """W5 on ids that look like numbered copies of each other: all come out different."""
-    o = _t(spark, sf, "orders").select("o_orderkey", F.concat(
-        F.lit("a"), F.repeat(F.lit("_1"), (F.col("o_orderkey") % 3).cast("int"))).alias("uid"))
-    got = W.make_unique(o, "uid", "o_orderkey")
-    return got.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("uid").alias("n_ids"))
+    """W5 on ids that look like numbered copies of each other, several levels deep: every name."""
+    key = F.col("o_orderkey")
+    uid = F.when(key % 5 < 3, F.concat(F.lit("a"), F.repeat(F.lit("_1"), (key % 5).cast("int")))).when(
+        key % 5 == 3, F.lit("b")).otherwise(F.concat(F.lit("b_"), ((key / 5).cast("long") % 40 + 1).cast("string")))
+    o = _t(spark, sf, "orders").select("o_orderkey", uid.alias("uid"))
+    return W.make_unique(o, "uid", "o_orderkey", "name").select("o_orderkey", "uid", "name")
+
+
+SQL_COLLIDING_IDS = r"""
+WITH RECURSIVE n AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY o_orderkey) - 1 AS k FROM (
+    SELECT o_orderkey, CASE WHEN o_orderkey % 5 < 3 THEN 'a' || repeat('_1', CAST(o_orderkey % 5 AS INTEGER))
+                            WHEN o_orderkey % 5 = 3 THEN 'b' ELSE 'b_' || CAST(o_orderkey // 5 % 40 + 1 AS VARCHAR) END AS uid
+    FROM orders)),
+ids AS MATERIALIZED (SELECT uid, count(*) AS c FROM n GROUP BY uid),
+child AS MATERIALIZED (
+  SELECT x.uid, stem, j FROM (
+    SELECT uid, regexp_extract(uid, '^(.*)_([1-9][0-9]*)$', 1) AS stem,
+           TRY_CAST(regexp_extract(uid, '^(.*)_([1-9][0-9]*)$', 2) AS BIGINT) AS j FROM ids) x
+  JOIN ids s ON s.uid = x.stem AND j <= s.c),
+visit(uid, t, before) AS (
+  SELECT c.uid, r.o_orderkey, (SELECT count(*) FROM n b WHERE b.uid = c.uid AND b.o_orderkey < r.o_orderkey)
+  FROM child c LEFT JOIN n r ON r.uid = c.stem AND r.k = c.j WHERE c.stem NOT IN (SELECT uid FROM child)
+  UNION ALL
+  SELECT y.uid, y.t, (SELECT count(*) FROM n b WHERE b.uid = y.uid AND b.o_orderkey < y.t) FROM (
+    SELECT c.uid, CASE WHEN v.t IS NOT NULL AND c.j = v.before THEN v.t ELSE r.o_orderkey END AS t
+    FROM visit v JOIN child c ON c.stem = v.uid LEFT JOIN n r
+      ON r.uid = c.stem AND r.k = CASE WHEN v.t IS NULL OR c.j < v.before THEN c.j ELSE c.j - 1 END) y),
+stays AS (
+  SELECT t, name FROM (SELECT t, before, CASE WHEN before = 0 THEN uid ELSE uid || '_' || CAST(before AS VARCHAR) END AS name
+                       FROM visit WHERE t IS NOT NULL)
+  WHERE before = 0 OR name NOT IN (SELECT uid FROM child)),
+i AS (SELECT n.*, k + CASE WHEN v.t < n.o_orderkey THEN 1 ELSE 0 END AS nth
+      FROM n LEFT JOIN visit v ON v.uid = n.uid)
+SELECT o_orderkey, uid, coalesce(s.name, CASE WHEN nth = 0 THEN uid ELSE uid || '_' || CAST(nth AS VARCHAR) END) AS name
+FROM i LEFT JOIN stays s ON s.t = i.o_orderkey
+"""
 
 
-SQL_COLLIDING_IDS = """
-SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_ids FROM orders
+def q_clashing_names(spark, sf):
+    """N1 + W7: a table whose columns are named like a writer's helpers, over several sheets, read back whole."""
+    path = scratch_dir(spark, "names") + "/orders.xlsx"
+    o = _t(spark, sf, "orders")
+    named = o.select(F.col("o_orderkey").alias("__n"), (F.col("o_orderkey") * 100).alias("__b"),
+                     F.col("o_orderpriority").alias("__tie"), F.col("o_custkey").alias("__tno"),
+                     F.col("o_totalprice").alias("__sheet"), F.col("o_orderstatus").alias("__xml"),
+                     F.col("o_custkey").alias("path"), F.col("o_orderkey").alias("__pid"))
+    n_sheets = write_excel({"o": named}, path, order_by=["__n"], max_rows=9000, row_key="__pid").first()["sheets"]
+    back = read_excel(spark, path, row_id="A")
+    for i in range(1, n_sheets):
+        back = back.unionByName(read_excel(spark, path, sheet=i, row_id="A"))
+    return back.select("RowID", *[F.col(c).cast("long").alias(c) for c in ("__n", "__b", "__tno", "path")], "__tie",
+                       F.col("__sheet").cast("double").alias("__sheet"), "__xml")
+
+
+SQL_CLASHING_NAMES = """
+SELECT CAST(o_orderkey AS VARCHAR) AS "RowID", o_orderkey AS "__n", o_orderkey * 100 AS "__b", o_custkey AS "__tno",
+       o_custkey AS path, o_orderpriority AS "__tie", o_totalprice AS "__sheet", o_orderstatus AS "__xml" FROM orders
 """
 
 
@@ -976,6 +1034,7 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "unordered_write": (q_unordered_write, SQL_UNORDERED_WRITE),
     "nullable_keys": (q_nullable_keys, SQL_NULLABLE_KEYS),
     "colliding_ids": (q_colliding_ids, SQL_COLLIDING_IDS),
+    "clashing_names": (q_clashing_names, SQL_CLASHING_NAMES),
     "roundtrip_pages": (q_roundtrip_pages, SQL_ROUNDTRIP_PAGES),
     "roundtrip_conversations": (q_roundtrip_conversations, SQL_ROUNDTRIP_CONVERSATIONS),
 }

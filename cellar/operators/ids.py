@@ -12,18 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from .ordinal import prefix_sum, small_side, stable_partitions, with_ordinals
+from .ordinal import fresh, prefix_sum, quoted, small_side, stable_partitions, with_ordinals
 
 
 def file_offsets(df: DataFrame, file_col: str, seq_col: str, order_col: str | None = None) -> DataFrame:
-    """(file, offset): rows of earlier files (in ``order_col`` or file order) before this file."""
-    per_file = df.groupBy(file_col).agg(
-        (F.max(seq_col) + 1).alias("__rows"), *([F.min(order_col).alias("__ord")] if order_col else []))
-    return prefix_sum(per_file, ["__ord" if order_col else file_col], "__rows").select(file_col, "__off")
-
-
-def _join_small(df: DataFrame, side: DataFrame, on) -> DataFrame:
-    return df.join(small_side(side), on)
+    """(file, __off): rows of earlier files (in ``order_col`` or file order) before this file."""
+    per_file = df.groupBy(quoted(file_col).alias("__file")).agg(
+        (F.max(quoted(seq_col)) + 1).alias("__rows"), *([F.min(quoted(order_col)).alias("__ord")] if order_col else []))
+    return prefix_sum(per_file, ["__ord" if order_col else "__file"], "__rows").select(
+        F.col("__file").alias(file_col), "__off")
 
 
 SEQ_SPLIT_SHIFT = 40
@@ -35,35 +32,38 @@ def running_index(df: DataFrame, file_col: str, seq_col: str, out: str = "__ord"
     ``seq`` may carry a split number in its high bits (split << 40 | position in split):
     offsets are then taken per (file, split) from the small table of split sizes.
     """
-    split = F.shiftright(F.col(seq_col), SEQ_SPLIT_SHIFT)
-    local = F.col(seq_col).bitwiseAND(F.lit((1 << SEQ_SPLIT_SHIFT) - 1))
-    parts = df.select(F.col(file_col), split.alias("__split"), local.alias("__local")).groupBy(
-        file_col, "__split").agg((F.max("__local") + 1).alias("__rows"))
+    split = F.shiftright(quoted(seq_col), SEQ_SPLIT_SHIFT)
+    local = quoted(seq_col).bitwiseAND(F.lit((1 << SEQ_SPLIT_SHIFT) - 1))
+    parts = df.select(quoted(file_col).alias("__file"), split.alias("__split"), local.alias("__local")).groupBy(
+        "__file", "__split").agg((F.max("__local") + 1).alias("__rows"))
     # one row per (file, split): a prefix sum over range buckets, no single-partition window
-    offs = prefix_sum(parts, [file_col, "__split"], "__rows").select(file_col, "__split", "__off")
-    joined = _join_small(df.withColumn("__split", split), offs, [file_col, "__split"])
-    return joined.withColumn(out, F.col("__off") + local).drop("__off", "__split")
+    offs = prefix_sum(parts, ["__file", "__split"], "__rows")
+    f, s, o = fresh(df, "__file", "__split", "__off")
+    offs = small_side(offs.select(F.col("__file").alias(f), F.col("__split").alias(s), F.col("__off").alias(o)))
+    joined = df.join(offs, quoted(file_col).eqNullSafe(F.col(f)) & (split == F.col(s)))
+    return joined.withColumn(out, F.col(o) + local).drop(f, s, o)
 
 
 def generated_row_ids(df: DataFrame, file_col: str, seq_col: str, out: str = "RowID", prefix: str = "Row") -> DataFrame:
     """Row0, Row1, ... continuous over all files (file order, then row order)."""
-    df = running_index(df, file_col, seq_col, "__ord")
-    return df.withColumn(out, F.concat(F.lit(prefix), F.col("__ord").cast("string"))).drop("__ord")
+    (n,) = fresh(df, "__ord")
+    df = running_index(df, file_col, seq_col, n)
+    return df.withColumn(out, F.concat(F.lit(prefix), F.col(n).cast("string"))).drop(n)
 
 
 def index_row_ids(df: DataFrame, file_col: str, row_idx_col: str, file_no_col: str, out: str = "RowID") -> DataFrame:
     """Ids from the sheet row index plus the offset of earlier files (added once: Q10)."""
-    per_file = df.groupBy(file_col).agg(F.min(file_no_col).alias("__fno"), (F.max(row_idx_col) + 1).alias("__rows"))
-    offs = prefix_sum(per_file, ["__fno"], "__rows").select(file_col, "__off")
-    out_df = _join_small(df, offs, file_col)
-    return out_df.withColumn(out, F.concat(F.lit("Row"), (F.col("__off") + F.col(row_idx_col)).cast("string"))).drop(
-        "__off")
+    f, o = fresh(df, "__file", "__off")
+    offs = file_offsets(df, file_col, row_idx_col, file_no_col).toDF(f, o)
+    joined = df.join(small_side(offs), quoted(file_col).eqNullSafe(F.col(f)))
+    return joined.withColumn(out, F.concat(F.lit("Row"), (F.col(o) + quoted(row_idx_col)).cast("string"))).drop(f, o)
 
 
 def plain_row_ids(df: DataFrame, file_col: str, seq_col: str, out: str = "RowID") -> DataFrame:
     """Running index + 1, no prefix."""
-    df = running_index(df, file_col, seq_col, "__ord")
-    return df.withColumn(out, (F.col("__ord") + 1).cast("string")).drop("__ord")
+    (n,) = fresh(df, "__ord")
+    df = running_index(df, file_col, seq_col, n)
+    return df.withColumn(out, (F.col(n) + 1).cast("string")).drop(n)
 
 
 def empty_id_to_generated(id_col: Column, generated: Column) -> Column:
@@ -72,28 +72,84 @@ def empty_id_to_generated(id_col: Column, generated: Column) -> Column:
 
 
 def make_unique(df: DataFrame, id_col: str, order_col, out: str | None = None) -> DataFrame:
-    """The first occurrence keeps its id; later ones get _1, _2, ... (in ``order_col`` order).
-
-    A new id may itself be taken, by a row that has it or got it before: then it loses again and
-    gets a further suffix, round by round until all ids differ. The copy numbers of a round are
-    distributed ordinals per id (range buckets over (id, order)), so a hot id is spread over many
-    tasks. Rows without an id keep none.
+    """Ids in ``order_col`` order; the first of an id keeps it, later ones get _1, _2, ...
+
+    A row that comes to a name already given goes on to that name's next suffix, wherever the name
+    came from: from another row's number or from an id of its own. So a name with suffix j has
+    the row of arrival j (from 0) at its stem as its only visitor besides the rows of that very id,
+    and only ids that look like a numbered copy of another id depend on one another. Those
+    (``children``: one row per such id) are settled stem before copy, a round per nesting level
+    (a, a_1, a_1_1: two rounds); all other names follow from the rows' numbers within their id.
+    These are distributed ordinals, so a hot id is spread over many tasks. Rows without an id keep none.
     """
     out = out or id_col
     order = [order_col] if isinstance(order_col, str) else list(order_col)
     checkpoint_root(df.sparkSession)
-    rows = df.filter(F.col(id_col).isNotNull()).withColumn("__cand", F.col(id_col)).withColumn("__late", F.lit(0))
+    t, k = fresh(df, "__t", "__k")
+    given = stable_partitions(df.filter(quoted(id_col).isNotNull()), order)
+    timed = with_ordinals(given, t)
+    # (id, k): the row's number within its id, in order
+    rows = with_ordinals(stable_partitions(timed, [t], group=id_col), k, group=id_col)
+    name, num = quoted(id_col), F.col(k)
+    numbered = rows.select(name.cast("string").alias("id"), num.alias("k"), F.col(t).alias("t"))
+    moved = _moved(numbered)
+    if moved is None:
+        label = F.when(num == 0, name).otherwise(F.concat(name, F.lit("_"), num.cast("string")))
+        named = rows.withColumn(out, label)
+    else:
+        visits, names = moved
+        vid, vt, mt, new = fresh(rows, "__vid", "__vt", "__mt", "__new")
+        visits = small_side(visits.select(F.col("id").alias(vid), F.col("t").alias(vt)))
+        names = small_side(names.select(F.col("t").alias(mt), F.col("name").alias(new)))
+        both = rows.join(visits, name == F.col(vid), "left").join(names, F.col(t) == F.col(mt), "left")
+        at = num + F.coalesce((F.col(vt) < F.col(t)).cast("long"), F.lit(0))
+        label = F.when(F.col(new).isNotNull(), F.col(new)).when(at == 0, name).otherwise(
+            F.concat(name, F.lit("_"), at.cast("string")))
+        named = both.withColumn(out, label)
+    named = named.select(*[quoted(c) for c in dict.fromkeys([*df.columns, out])])
+    without = df.filter(quoted(id_col).isNull()).withColumn(out, F.lit(None).cast("string"))
+    return named.unionByName(without.select(*[quoted(c) for c in named.columns]))
+
+
+def _moved(numbered: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """For rows (id, k, t): the visitors of ids, (id, t), and the names of rows that visit, (t, name).
+
+    None where no id is a numbered copy of another one that gets so far.
+    """
+    nodes = numbered.groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    copy = r"^(?s)(.*)_([1-9][0-9]{0,17})$"
+    stem = nodes.filter(F.col("id").rlike(copy)).select(
+        "id", F.regexp_extract("id", copy, 1).alias("stem"), F.regexp_extract("id", copy, 2).cast("long").alias("j"))
+    # arrival j exists for j up to the stem's rows (its visitor included)
+    children = stem.join(nodes.withColumnRenamed("id", "stem"), "stem").filter("j <= rows").select("id", "stem", "j").checkpoint()
+    if not children.limit(1).count():
+        return None
+    rank = numbered.select(F.col("id").alias("of"), F.col("k").alias("rank"), F.col("t").alias("rank_t"))
+    later = children.select(F.col("id").alias("above"))
+    todo = children.join(later, F.col("stem") == F.col("above"), "left_anti").withColumn("vt", F.lit(None).cast("long")).withColumn(
+        "before", F.lit(None).cast("long"))
+    done = None
     while True:
-        ranked = with_ordinals(stable_partitions(rows, ["__late", *order], group="__cand"), "__k", group="__cand")
-        lost = F.col("__k") > 0
-        ranked = ranked.withColumn("__late", lost.cast("int")).withColumn(
-            "__cand", F.when(lost, F.concat_ws("_", "__cand", F.col("__k").cast("string"))).otherwise(F.col("__cand")))
-        rows = ranked.drop("__k").checkpoint(eager=True)
-        if not rows.filter(F.col("__late") == 1).limit(1).count():
+        # the stem's arrival j: its visitor comes after ``before`` rows of its own
+        want = F.when(F.col("before").isNull() | (F.col("j") < F.col("before")), F.col("j")).when(
+            F.col("j") > F.col("before"), F.col("j") - 1)
+        asked = todo.withColumn("want", want)
+        found = asked.join(rank, (F.col("stem") == F.col("of")) & (F.col("want") == F.col("rank")), "left")
+        visits = found.select("id", F.when(F.col("want").isNull(), F.col("vt")).otherwise(F.col("rank_t")).alias("t"))
+        earlier = visits.join(rank, (F.col("id") == F.col("of")) & (F.col("rank_t") < F.col("t")), "left")
+        level = earlier.groupBy("id", "t").agg(F.count("of").alias("before")).checkpoint()
+        done = level if done is None else done.unionByName(level)
+        above = level.select(F.col("id").alias("stem"), F.col("t").alias("vt"),
+                             F.when(F.col("t").isNotNull(), F.col("before")).alias("before"))
+        todo = children.join(above, "stem").checkpoint()
+        if not todo.limit(1).count():
             break
-    named = rows.withColumn(out, F.col("__cand")).select(*dict.fromkeys([*df.columns, out]))
-    without = df.filter(F.col(id_col).isNull()).withColumn(out, F.lit(None).cast("string"))
-    return named.unionByName(without)
+    visits = done.filter("t IS NOT NULL")
+    # where a visitor stays: at the id, or at its next suffix unless that is an id to visit as well
+    name = F.when(F.col("before") == 0, F.col("id")).otherwise(F.concat("id", F.lit("_"), F.col("before").cast("string")))
+    ends = visits.select("t", "before", name.alias("name")).join(
+        children.select(F.col("id").alias("name")).withColumn("goes_on", F.lit(True)), "name", "left")
+    return visits.select("id", "t"), ends.filter("before = 0 OR goes_on IS NULL").select("t", "name")
 
 
 def duplicate_ids(df: DataFrame, id_col: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.address import XLSX_MAX_ROWS
 from ..functions.text import MAX_SHEET_NAME
-from .ordinal import _bucket_expr
+from .ordinal import fresh
 
 
 def assign_sheets(df: DataFrame, ordinal: str, base_name: str, header: bool = True,
@@ -36,6 +36,14 @@ def last_used_rows(cells: DataFrame, sheet_col: str = "sheet", row_col: str = "r
     return cells.groupBy(sheet_col).agg(F.max(row_col).alias("last_row"))
 
 
+def _which(n: Column, highs: list[int], lo: int, hi: int) -> Column:
+    """Number of the first of the sorted ``highs`` that ``n`` does not exceed: a balanced tree."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(n <= highs[mid], _which(n, highs, lo, mid)).otherwise(_which(n, highs, mid + 1, hi))
+
+
 def append_chain(df: DataFrame, ordinal: str, chain: DataFrame, max_rows: int, header: bool = True,
                  sheet_col: str = "sheet_no", row_col: str = "row") -> DataFrame:
     """Rows (0-based ``ordinal``) appended over an existing chain of sheets.
@@ -61,17 +69,16 @@ def append_chain(df: DataFrame, ordinal: str, chain: DataFrame, max_rows: int, h
     new_no, new_row = F.lit(k) + (beyond / cap).cast("long"), beyond % cap + (1 if header else 0)
     if not open_:
         return df.withColumn(sheet_col, new_no.cast("long")).withColumn(row_col, new_row.cast("long"))
-    which = _bucket_expr(n, n_type(df, ordinal), [hi for *_, hi in open_], 0, len(open_))
+    which = _which(n, [hi for *_, hi in open_], 0, len(open_))
+
+    (slot,) = fresh(df, "__which")
 
     def pick(values: list[int]) -> Column:
-        return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("__which") + 1)
+        return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col(slot) + 1)
 
-    inside = F.col("__which") < len(open_)
-    out = df.withColumn("__which", which.cast("int"))
+    inside = F.col(slot) < len(open_)
+    out = df.withColumn(slot, which.cast("int"))
     out = out.withColumn(sheet_col, F.when(inside, pick([no for no, *_ in open_])).otherwise(new_no).cast("long"))
     start = pick([last + 1 - lo for _, last, lo, _ in open_])
-    return out.withColumn(row_col, F.when(inside, start + n).otherwise(new_row).cast("long")).drop("__which")
-
+    return out.withColumn(row_col, F.when(inside, start + n).otherwise(new_row).cast("long")).drop(slot)
 
-def n_type(df: DataFrame, name: str):
-    return df.schema[name].dataType

@@ -1,191 +1,124 @@
-"""Distributed row ordinals without a single-partition window.
+"""Distributed row ordinals without a single-partition window.
 
 A global ``row_number()`` pulls every row into one task. Instead:
 
-1. split the key space into ``n`` ranges whose bounds come from a *fixed-seed* sample of
-   the ordering key (a bounded number of rows reaches the driver). Spark's own range
-   partitioner seeds its sample with the RDD id, so two jobs over the same data may cut
-   different ranges; fixed bounds make every job and every re-run task agree;
-2. give each row its bucket id (a balanced CASE tree over the bounds, O(log n) per row),
-   hash-partition by bucket id and sort within partitions by (bucket, key) -- a hot key
-   value spans several buckets: when the sample's bounds repeat, a hash of the row is added to
-   the key; NULL keys come first;
-3. count rows per bucket (a tiny aggregate), turn the counts into offsets on the driver;
-4. ordinal = offset[bucket] + position in the partition - first position of the bucket,
-   where the position comes from ``monotonically_increasing_id`` (partition id << 33 | position).
-
-When no ordering key is given, the input order is all there is: the input is cut off with a
-reliable checkpoint in ``spark.checkpoint.dir`` so that partition contents cannot change.
+1. Spark range-partitions the rows by (keys, a hash of the row, the input partition) and sorts
+   within partitions: a hot key value, and even a row that repeats, spans several partitions;
+   NULL keys come first. The sorted partitions are cut off with a reliable ``checkpoint()`` in
+   ``spark.checkpoint.dir``, so that no later job and no re-run task sees other contents
+   (Spark's range bounds may differ between two plans over the same data);
+2. the rows of each partition are counted (one row per partition) and the counts become offsets
+   by ``running_sum``, a prefix scan in levels of ``SCAN_BLOCK`` rows a task;
+3. ordinal = offset of the partition + position in the partition, where the position comes from
+   ``monotonically_increasing_id`` (partition id << 33 | position).
+
+No bound and no count passes through the driver as a literal or a collected table. When no
+ordering key is given, the input order is all there is and step 1 is the checkpoint alone.
+Helper columns get names that the table does not have.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
-# broadcast small per-group tables only below this many bytes; else shuffle-join
+# small tables (one row per partition, group or file) are broadcast below so many measured bytes, else shuffle-joined
 BROADCAST_OFFSETS_BYTES = 64 << 20
-ROWS_PER_BUCKET = 2_000_000
-TIE = "__tie"
-SAMPLE_PER_BUCKET = 64
-SAMPLE_SEED = 20240611
-
-
-def _lit_key(v, dtype) -> Column:
-    lit = F.struct(*[F.lit(x) for x in v]) if isinstance(v, tuple) else F.lit(v)
-    return lit.cast(dtype)
-
-
-def _bucket_expr(key: Column, dtype, bounds: list, lo: int, hi: int) -> Column:
-    """Balanced CASE tree over sorted bounds: bucket b holds keys in (bounds[b-1], bounds[b]]."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key <= _lit_key(bounds[mid], dtype), _bucket_expr(key, dtype, bounds, lo, mid)).otherwise(
-        _bucket_expr(key, dtype, bounds, mid + 1, hi))
+SCAN_BLOCK = 1024
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
-def _key_col(keys: list[str]) -> Column:
-    return F.col(keys[0]) if len(keys) == 1 else F.struct(*[F.col(k) for k in keys])
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def stable_partitions(df: DataFrame, order_by: list[str] | None = None, group: str | None = None,
                       partitions: int | None = None) -> DataFrame:
-    """Partitions whose contents do not change between jobs or task re-runs.
-
-    Adds ``__b`` (bucket id); rows are hash-partitioned by bucket and sorted by (bucket, key).
-    """
-    spark = df.sparkSession
+    """The rows in (group, order) order, in partitions whose contents never change."""
+    checkpoint_root(df.sparkSession)
     keys = ([group] if group else []) + list(order_by or [])
     if not keys:
-        checkpoint_root(spark)
-        # the stored partitions are the buckets
-        return df.checkpoint(eager=True).withColumn("__b", F.spark_partition_id())
-    total = df.count()
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_BUCKET))
-    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()
-             and "variant" not in f.dataType.simpleString()]
-    tied = df.withColumn(TIE, F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
-    want = n * SAMPLE_PER_BUCKET
-    frac = 1.0 if total <= want else min(1.0, 2.0 * want / total)
-    sample = tied.select(*keys, TIE).sample(withReplacement=False, fraction=frac, seed=SAMPLE_SEED).collect()
-    bounds = _bounds([tuple(r)[:-1] for r in sample], n)
-    if len(bounds) < min(n, len(sample)) - 1:
-        # a hot key: equal keys are told apart by their rows
-        keys = [*keys, TIE]
-        bounds = _bounds([tuple(r) for r in sample], n)
-    if len(keys) == 1:
-        bounds = [b[0] for b in bounds]
-    key = _key_col(keys)
-    dtype = tied.select(key.alias("k")).schema[0].dataType
-    bucket = _bucket_expr(key, dtype, bounds, 0, len(bounds)) if bounds else F.lit(0)
-    if len(keys) == 1 and bounds and bounds[0] is not None:
-        bucket = F.when(key.isNull(), 0).otherwise(bucket)
-    nb = len(bounds) + 1
-    out = tied.withColumn("__b", bucket.cast("int"))
-    # one bucket per partition: a key per bucket that Spark's own hash sends to that partition
-    pkeys = F.array(*[F.lit(k) for k in _partition_keys(spark, nb)])
-    out = out.withColumn("__pk", F.element_at(pkeys, F.col("__b") + 1))
-    return out.repartition(nb, "__pk").sortWithinPartitions("__b", *keys).drop("__pk", TIE)
-
-
-def _bounds(vals: list[tuple], n: int) -> list[tuple]:
-    """Distinct upper bounds of up to ``n`` buckets; NULLs sort first, as Spark has them."""
-    def order(v: tuple):
-        return tuple((x is not None, _no_nan(x)) if x is not None else (False,) for x in v)
-
-    vals = sorted(vals, key=order)
-    out: list[tuple] = []
-    for i in range(1, n) if vals else ():
-        b = vals[min(len(vals) - 1, (i * len(vals)) // n)]
-        # structs compare field by field, NULL first; a single NULL does not compare
-        if (not out or order(b) > order(out[-1])) and (len(b) > 1 or b[0] is not None):
-            out.append(b)
-    return out
-
+        return df.checkpoint(eager=True)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tie, pid = fresh(df, "__tie", "__pid")
+    plain = [f.name for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    tied = df.withColumn(tie, F.xxhash64(*[quoted(c) for c in plain])).withColumn(pid, F.spark_partition_id())
+    by = [quoted(k) for k in keys] + [quoted(tie), quoted(pid)]
+    return tied.repartitionByRange(n, *by).sortWithinPartitions(*by).drop(tie, pid).checkpoint(eager=True)
 
-def _no_nan(x):
-    """NaN is larger than any number, as in Spark."""
-    return (1, 0.0) if isinstance(x, float) and x != x else (0, x) if isinstance(x, float) else x
 
+def running_sum(df: DataFrame, index: str, value: str, out: str) -> DataFrame:
+    """Exclusive running sum of ``value`` over the distinct, not negative numbers ``index``.
 
-_PKEY_CACHE: dict[int, list[int]] = {}
+    A window sees ``SCAN_BLOCK`` consecutive indices at most; the sums of the blocks are summed in
+    the same way, level by level. One number per level count (the largest index) reaches the driver.
+    """
+    most = df.agg(F.max(index)).first()[0] or 0
+    block, base = fresh(df, "__block", "__base")
+    marked = df.withColumn(block, (F.col(index) / SCAN_BLOCK).cast("long"))
+    w = Window.partitionBy(block).orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    inner = marked.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long"))
+    if most < SCAN_BLOCK:
+        return inner.drop(block)
+    totals = running_sum(marked.groupBy(block).agg(F.sum(value).alias("v")).select(F.col(block).alias("i"), "v"), "i", "v", base)
+    totals = totals.select(F.col("i").alias(block), base)
+    return inner.join(totals, block).withColumn(out, F.col(out) + F.col(base)).drop(block, base)
 
 
-def _partition_keys(spark, n: int) -> list[int]:
-    """For p in 0..n-1 a long whose hash partition among n is p (Spark's Murmur3, seed 42)."""
-    got = _PKEY_CACHE.get(n)
-    if got is not None:
-        return got
-    span = 64 * n
-    while True:
-        rows = (spark.range(0, span).select("id", F.expr(f"pmod(hash(id), {n})").alias("p"))
-                .groupBy("p").agg(F.min("id").alias("id")).collect())
-        keys = {r["p"]: r["id"] for r in rows}
-        if len(keys) == n:
-            _PKEY_CACHE[n] = [keys[p] for p in range(n)]
-            return _PKEY_CACHE[n]
-        span *= 4
+def _offsets(staged: DataFrame, value: Column, part: str, offset: str) -> DataFrame:
+    """(part, offset): sum of ``value`` over the partitions before each partition."""
+    sums = staged.groupBy(F.spark_partition_id().alias(part)).agg(F.sum(value).cast("long").alias("v")).checkpoint(eager=True)
+    return small_side(running_sum(sums, part, "v", offset).select(part, offset))
 
 
 def with_ordinals(staged: DataFrame, out: str = "__n", group: str | None = None) -> DataFrame:
-    """Add a 0-based ordinal (per ``group`` when given) in (bucket, key) order."""
-    pid, mono = "__pid", "__mono"
-    df = staged.withColumn(pid, F.spark_partition_id()).withColumn(mono, F.monotonically_increasing_id())
-    local = F.col(mono) - F.shiftleft(F.col(pid).cast("long"), 33)
-    counts = df.groupBy(pid, "__b").agg(F.count(F.lit(1)).alias("c")).collect()
-    per_bucket: dict[int, int] = {}
-    by_pid: dict[int, list[tuple[int, int]]] = {}
-    for r in counts:
-        per_bucket[r["__b"]] = per_bucket.get(r["__b"], 0) + r["c"]
-        by_pid.setdefault(r[pid], []).append((r["__b"], r["c"]))
-    n_buckets = (max(per_bucket) + 1) if per_bucket else 1
-    offset, acc = [0] * n_buckets, 0
-    for b in range(n_buckets):
-        offset[b] = acc
-        acc += per_bucket.get(b, 0)
-    first_pos = [0] * n_buckets  # position of the bucket's first row inside its partition
-    for items in by_pid.values():
-        pos = 0
-        for b, c in sorted(items):
-            first_pos[b] = pos
-            pos += c
-    arr = F.array(*[F.lit(offset[b] - first_pos[b]).cast("long") for b in range(n_buckets)])
-    res = df.withColumn(out, F.element_at(arr, F.col("__b") + 1) + local).drop(pid, mono)
+    """Add a 0-based ordinal (per ``group`` when given) to rows from ``stable_partitions``, in their order."""
+    part, mono, offset, key, start = fresh(staged, "__part", "__mono", "__offset", "__key", "__start")
+    df = staged.withColumn(part, F.spark_partition_id()).withColumn(mono, F.monotonically_increasing_id())
+    local = F.col(mono) - F.shiftleft(F.col(part).cast("long"), 33)
+    joined = df.join(_offsets(staged, F.lit(1), part, offset), part)
+    joined = joined.withColumn(out, F.col(offset) + local).drop(part, mono, offset)
     if group is None:
-        return res.drop("__b")
-    starts = res.groupBy(group).agg(F.min(out).alias("__start"))
-    side = small_side(starts).withColumnRenamed(group, "__g")
+        return joined
+    starts = joined.groupBy(quoted(group).alias(key)).agg(F.min(quoted(out)).alias(start))
+    small = is_small(starts)
     # null-safe: rows without a group form a group of their own
-    return (res.join(side, F.col(group).eqNullSafe(F.col("__g"))).withColumn(out, F.col(out) - F.col("__start"))
-            .drop("__start", "__b", "__g"))
+    numbered = (joined.join(F.broadcast(starts) if small else starts, quoted(group).eqNullSafe(F.col(key)))
+                .withColumn(out, quoted(out) - F.col(start)).drop(start, key))
+    # a shuffle join loses the order of the rows, which writers rely on
+    return numbered if small else numbered.sortWithinPartitions(quoted(group), quoted(out))
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether the measured size of ``df`` allows a broadcast."""
+    width = sum((F.coalesce(F.octet_length(quoted(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
+    return (df.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_OFFSETS_BYTES
 
 
 def small_side(df: DataFrame) -> DataFrame:
     """``df`` with a broadcast hint if its measured size allows one."""
-    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
-    size = df.agg(F.sum(width)).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_OFFSETS_BYTES else df
+    return F.broadcast(df) if is_small(df) else df
 
 
 def prefix_sum(df: DataFrame, order_by: list[str], value: str, out: str = "__off") -> DataFrame:
     """Exclusive running sum of ``value`` in ``order_by`` order, without a single-partition window.
 
-    Range buckets as for ordinals; bucket totals (one number per bucket) become offsets on the
-    driver, and a window inside each bucket (bounded by the bucket size) adds the rest.
+    Ordinals number the rows; the running sum over them goes level by level.
     """
-    from pyspark.sql import Window
-
-    staged = stable_partitions(df, order_by)
-    totals = {r["__b"]: r["t"] for r in staged.groupBy("__b").agg(F.sum(value).alias("t")).collect()}
-    n_buckets = (max(totals) + 1) if totals else 1
-    offs, acc = [], 0
-    for b in range(n_buckets):
-        offs.append(acc)
-        acc += totals.get(b) or 0
-    arr = F.array(*[F.lit(o).cast("long") for o in offs])
-    w = Window.partitionBy("__b").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
-    inner = F.coalesce(F.sum(value).over(w), F.lit(0))
-    return staged.withColumn(out, (F.element_at(arr, F.col("__b") + 1) + inner).cast("long")).drop("__b")
+    (n,) = fresh(df, "__n")
+    numbered = with_ordinals(stable_partitions(df, order_by), n)
+    return running_sum(numbered, n, value, out).drop(n)

@@ -1,8 +1,6 @@
 """Column profiles over the cell form (A4, A11, A12) and sheet-level row rules.
 
-Windows here are partitioned by (file, column) or (file): one sheet holds at most
-1 048 576 rows, so every window partition is bounded by the format's capacity.
-Empty-row materialisation avoids windows entirely: a block grid per file is exploded in
+The only windows here see the runs at the edges of row segments (``type_runs``). Empty-row materialisation has none: a block grid per file is exploded in
 parallel and left-joined to the present rows on (path, row_idx).
 """
 
@@ -12,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.cells import staged_typing
+from ..session import checkpoint_root
 
 BLOCK_ROWS = 65536
 
@@ -34,8 +33,7 @@ def column_masks(rows: DataFrame, cols: list[int] | None = None, date1904=False)
     OR-ed per file (partial + final hash aggregate); the small result is unpivoted.
     """
     if cols is None:
-        width = rows.agg(F.max(F.array_max(F.map_keys("cells")))).collect()[0][0]
-        cols = list(range((width if width is not None else -1) + 1))
+        cols = _columns(rows)
     picked = rows.select("path", *[F.element_at("cells", F.lit(j)).alias(f"__c{j}") for j in cols])
     picked, views = staged_typing(picked, [f"__c{j}" for j in cols], date1904)
     aggs = []
@@ -54,49 +52,109 @@ def sheet_width(rows: DataFrame) -> DataFrame:
         (F.max("col") + 1).alias("width"))
 
 
-RUN_BLOCK = 1 << 16  # rows of a column that one window sorts
+RUN_BLOCK_BITS = 16  # rows of a file that are sorted together: 2**16
+
+
+def _segment_runs(path, row_idx, blk, bits):
+    """Runs of every column in rows sorted by (path, blk, row_idx), as arrays
+    (row, col, b, first_row, last_row, seg, head, edge); ``row`` is a row number of the run's file.
+
+    A segment is what one call sees of a block. Blanks between two typed cells of a segment are
+    runs of type 0. The first typed run of a segment (``head``) and the last one may go on in
+    the neighbouring segments: both are ``edge`` runs.
+    """
+    import numpy as np
+
+    n = len(row_idx)
+    new = np.ones(n, bool)
+    new[1:] = (blk[1:] != blk[:-1]) | (path[1:] != path[:-1])
+    seg = row_idx[np.maximum.accumulate(np.where(new, np.arange(n), 0))]
+    number = np.cumsum(new)
+    out = []
+    for j in range(bits.shape[1]):
+        at = np.flatnonzero(bits[:, j])
+        if not len(at):
+            continue
+        b, r, s = bits[at, j], row_idx[at], number[at]
+        fresh_seg = np.ones(len(at), bool)
+        fresh_seg[1:] = s[1:] != s[:-1]
+        begin = fresh_seg.copy()
+        begin[1:] |= (r[1:] != r[:-1] + 1) | (b[1:] != b[:-1])
+        first = np.flatnonzero(begin)
+        last = np.append(first[1:], len(at)) - 1
+        head = fresh_seg[first]
+        edge = head | np.append(head[1:], True)
+        out.append((at[first], np.full(len(first), j), b[first], r[first], r[last], seg[at[first]], head, edge))
+        # blanks before a run that is not the first of its segment
+        gap = np.flatnonzero(~head & (r[first] > r[first - 1] + 1))
+        if len(gap):
+            k = first[gap]
+            no = np.zeros(len(gap), bool)
+            out.append((at[k], np.full(len(gap), j), np.zeros(len(gap), b.dtype), r[k - 1] + 1, r[k] - 1, seg[at[k]], no, no))
+    return [np.concatenate(c) for c in zip(*out, strict=True)] if out else None
 
 
 def type_runs(rows: DataFrame, cols: list[int] | None = None) -> DataFrame:
     """Run-length type profile: maximal runs of equal cell type per (file, column).
 
     A run breaks where the type changes or rows are skipped; the rows between two typed cells
-    that have no cell or a blank one form a run of type 0 (missing). Runs are found within blocks of ``RUN_BLOCK`` rows, so
-    a long column is spread over many tasks; what touches a block's edges (two runs at most) is
-    joined with its neighbours in a second pass over these edge runs alone.
+    that have no cell or a blank one form a run of type 0 (missing).
+
+    Runs are a mergeable aggregate: each segment of a block of 2**16 rows folds to its closed
+    runs and the two at its edges (one pass over all columns, no explode, no sort but by row), and
+    the edge runs of neighbouring segments are joined by a scan over these alone. As row
+    numbers are ints, a column has a few 100,000 edge runs at most, however long the file.
     """
-    if cols is not None:
-        keep = F.array(*[F.lit(c) for c in cols])
-        rows = rows.withColumn("cells", F.map_filter("cells", lambda k, v: F.array_contains(keep, k)))
-    cells = long_cells(rows).select("path", "row_idx", "col", F.col("cell.b").alias("b"),
-                                    F.shiftright("row_idx", 16).alias("blk")).filter("b <> 0")
-    block = ["path", "col", "blk"]
-    w = Window.partitionBy(*block).orderBy("row_idx")
-    up, up_b = F.lag("row_idx").over(w), F.lag("b").over(w)
-    marked = cells.withColumn("__new", (up.isNull() | (up + 1 != F.col("row_idx")) | (up_b != F.col("b"))).cast("int"))
-    runs = marked.withColumn("__run", F.sum("__new").over(w)).groupBy(*block, "__run").agg(
-        F.first("b").alias("b"), F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"))
-    in_block = Window.partitionBy(*block).orderBy("first_row")
-    runs = runs.withColumn("__prev", F.lag("last_row").over(in_block)).withColumn(
-        "__edge", F.col("__prev").isNull() | F.lead("first_row").over(in_block).isNull())
-    # the second pass: at most two runs a block
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if cols is None:
+        cols = _columns(rows)
+    picked = rows.select("path", "row_idx", *[F.element_at("cells", F.lit(j)).alias(f"__c{j}") for j in cols])
+    picked, views = staged_typing(picked, [f"__c{j}" for j in cols])
+    block = F.shiftright("row_idx", RUN_BLOCK_BITS)
+    typed = picked.select("path", block.alias("blk"), F.col("row_idx").cast("long").alias("row_idx"),
+                          F.array(*[v.b.cast("short") for v in views]).alias("bits"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = typed.repartition(parts, "path", "blk").sortWithinPartitions("path", "blk", "row_idx")
+    width, number = len(cols), np.array(cols, np.int64)
+
+    def fold(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bits = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            code = pc.dictionary_encode(batch.column(0), null_encoding="encode").indices.to_numpy()
+            got = _segment_runs(code, batch.column(2).to_numpy(), batch.column(1).to_numpy(), bits)
+            if got is None:
+                continue
+            at, j, b, first, last, seg, head, edge = got
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(at)), pa.array(number[j].astype(np.int32)), pa.array(b.astype(np.int32)),
+                 pa.array(first), pa.array(last), pa.array(seg), pa.array(head), pa.array(edge)],
+                ["path", "col", "b", "first_row", "last_row", "seg", "head", "edge"])
+
+    checkpoint_root(rows.sparkSession)
+    runs = dealt.mapInArrow(fold, f"path {rows.schema['path'].dataType.simpleString()}, col int, b int, first_row long, "
+                                  "last_row long, seg long, head boolean, edge boolean").checkpoint(eager=True)
     along = Window.partitionBy("path", "col").orderBy("first_row")
-    before = F.when(F.col("__prev").isNull(), F.lag("last_row").over(along))
-    edge = runs.filter("__edge").withColumn("__before", before).withColumn("__before_b", F.lag("b").over(along))
-    goes_on = (F.col("__before") + 1 == F.col("first_row")) & (F.col("__before_b") == F.col("b"))
-    edge = edge.withColumn("__run", F.sum(F.when(goes_on, 0).otherwise(1)).over(along))
-    whole = edge.groupBy("path", "col", "__run").agg(
-        F.first("b").alias("b"), F.min("first_row").alias("first_row"), F.max("last_row").alias("last_row"))
+    edge = runs.filter("edge").withColumn("before", F.lag("last_row").over(along)).withColumn(
+        "goes_on", F.col("head") & (F.col("before") + 1 == F.col("first_row")) & (F.lag("b").over(along) == F.col("b")))
+    edge = edge.withColumn("run", F.sum(F.when(F.col("goes_on"), 0).otherwise(1)).over(along))
+    joined = edge.groupBy("path", "col", "run").agg(F.first("b").alias("b"), F.min("first_row").alias("first_row"),
+                                                   F.max("last_row").alias("last_row"))
+    gaps = edge.filter("head AND first_row > before + 1").select(
+        "path", "col", F.lit(0).alias("b"), (F.col("before") + 1).alias("first_row"), (F.col("first_row") - 1).alias("last_row"))
     out = ["path", "col", "b", "first_row", "last_row"]
+    found = runs.filter("NOT edge").select(*out).unionByName(joined.select(*out)).unionByName(gaps)
+    return found.withColumn("n_rows", F.col("last_row") - F.col("first_row") + 1)
 
-    def gaps(df: DataFrame, end: str) -> DataFrame:
-        return df.filter(F.col("first_row") > F.col(end) + 1).select(
-            "path", "col", F.lit(0).alias("b"), (F.col(end) + 1).alias("first_row"),
-            (F.col("first_row") - 1).alias("last_row"))
 
-    found = (runs.filter("NOT __edge").select(*out).unionByName(whole.select(*out))
-             .unionByName(gaps(runs, "__prev")).unionByName(gaps(edge, "__before")))
-    return found.withColumn("n_rows", F.col("last_row") - F.col("first_row") + 1)
+def _columns(rows: DataFrame) -> list[int]:
+    """Column numbers up to the last one with a cell (one number reaches the driver)."""
+    width = rows.agg(F.max(F.array_max(F.map_keys("cells")))).first()[0]
+    return list(range((width if width is not None else -1) + 1))
 
 
 def empty_columns(rows: DataFrame, first_row: int = 0, last_row: int | None = None, header_row: int | None = None,

@@ -24,6 +24,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.timeType.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # checkpoints go when the tables cut off with them do
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # generated methods over 8 KB of bytecode are never JIT-compiled by the JVM; the typing
         # expressions of many columns get there, so let Spark fall back to split codegen
         .config("spark.sql.codegen.hugeMethodLimit", "8000")

@@ -2,8 +2,9 @@
 
 Plan of a write:
 
-1. ``stable_partitions``: optional range partitioning by the caller's order, then a reliable
-   checkpoint so partition contents are fixed (executor loss cannot reshuffle rows);
+1. columns are renamed to their positions, so that no name of the caller's meets one of the
+   writer's; ``stable_partitions``: optional range partitioning by the caller's order, then a
+   reliable checkpoint so partition contents are fixed (executor loss cannot reshuffle rows);
 2. ordinals from per-partition counts (``operators.ordinal``), sheet assignment (W7):
    ``sheet = n div capacity``, ``row = n mod capacity + header``;
 3. ``<row>`` XML rendered by Spark expressions; each task deflates its run of rows per
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.address import XLS_MAX_COLS, XLS_MAX_ROWS, XLSX_MAX_COLS, XLSX_MAX_ROWS
 from ..functions.text import ILLEGAL_SHEET_CHARS, MAX_SHEET_NAME
-from ..operators.ordinal import stable_partitions, with_ordinals
+from ..operators.ordinal import fresh, quoted, stable_partitions, with_ordinals
 from ..session import remove_tree, scratch_dir
 from . import fsio, parts
 from .render import check_types, header_xml, row_xml, xml_escape_py
@@ -58,11 +59,11 @@ def continuation_name(name: str, i: int) -> str:
     return out
 
 
-def _fragment_fn(stage: str, table_no: int | None, group: bool, by_bucket: bool = False):
+def _fragment_fn(stage: str, table_no: int | None, group: bool, sparse: bool = False):
     """Deflate runs of consecutive rows into fragment files.
 
-    A run ends at a new (workbook, table, sheet), and where the ordinals jump (dense ordinals)
-    or the bucket changes (``by_bucket``: sparse row numbers, one bucket = one key range).
+    A run ends at a new (workbook, table, sheet), and where dense ordinals jump. ``sparse`` row
+    numbers ascend within a partition, which holds one range of them.
     """
 
     def fn(batches):
@@ -100,11 +101,10 @@ def _fragment_fn(stage: str, table_no: int | None, group: bool, by_bucket: bool
             ns = b.column("__n").to_pylist()
             xmls = b.column("__xml").to_pylist()
             tnos = b.column("__t").to_pylist() if table_no is None else [table_no] * b.num_rows
-            bks = b.column("__b").to_pylist() if by_bucket else [0] * b.num_rows
-            for wb, sh, n, x, t, bk in zip(wbs, sheets, ns, xmls, tnos, bks):
-                key = (wb, sh, t, bk)
-                if key != cur or (not by_bucket and first_n is not None and n != first_n + count):
-                    # a new sheet, or a jump in the ordinals (next bucket of this partition)
+            for wb, sh, n, x, t in zip(wbs, sheets, ns, xmls, tnos):
+                key = (wb, sh, t)
+                if key != cur or (not sparse and first_n is not None and n != first_n + count):
+                    # a new sheet, or a jump in the ordinals
                     flush()
                     cur = key
                 if first_n is None:
@@ -195,21 +195,30 @@ def _file_for(key: str) -> str:
 
 
 def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, max_rows: int, max_cols: int,
-                   row_key: str | None, group: str | None, autosize: bool, cached: list, chain: list[int] | None = None,
-                   styles: tuple[int, int, int] = (1, 2, 3)):
+                   row_key: str | None, group: str | None, autosize: bool, chain: list[int] | None = None,
+                   styles: tuple[int, int, int] = (1, 2, 3), helper: str | None = None):
+    """Rendered rows and the sheet's specification. ``helper``: a column that is not written."""
     validate_sheet_name(sheet)
-    data_cols = [f for f in df.schema.fields if f.name not in (group, "__tno")]
-    schema = T.StructType(data_cols)
+    names = df.columns
+    at = {c: f"c{j}" for j, c in enumerate(names)}
+    lower = {c.lower(): p for c, p in at.items()}
+
+    def place(name: str) -> str:
+        if name not in at and name.lower() not in lower:
+            raise ValueError(f"The table of sheet '{sheet}' has no column '{name}'.")
+        return at.get(name) or lower[name.lower()]
+
+    df = df.toDF(*[f"c{j}" for j in range(len(names))])
+    order = [place(c) for c in order_by or []]
+    key, wb = (place(c) if c is not None else None for c in (row_key, group))
+    hidden = {p for p in (wb, place(helper) if helper is not None else None) if p}
+    schema = T.StructType([f for f in df.schema.fields if f.name not in hidden])
+    shown = {f"c{j}": c for j, c in enumerate(names)}
     if len(schema.fields) > max_cols:
         raise ValueError(f"The table has {len(schema.fields)} columns; a sheet holds at most {max_cols}.")
-    check_types(schema)
-    # cached between the counts job and the render job (one shuffle instead of two); a lost
-    # block is recomputed from fixed bucket bounds, so contents and counts stay the same
-    from pyspark import StorageLevel
-
-    staged = stable_partitions(df, order_by, group).persist(StorageLevel.MEMORY_AND_DISK)
-    cached.append(staged)
-    numbered = with_ordinals(staged, "__n", group)
+    check_types(schema, shown)
+    staged = stable_partitions(df, order, wb)
+    numbered = with_ordinals(staged, "__n", wb)
     if chain:
         # Append after the last used row of each existing sheet of the chain
         from ..operators.layout import append_chain
@@ -221,24 +230,23 @@ def _prepare_table(df: DataFrame, sheet: str, order_by, header: bool, missing, m
     else:
         cap = max_rows - (1 if header else 0)
         sheet_col, row0 = (F.col("__n") / cap).cast("long"), (F.col("__n") % cap) + (1 if header else 0)
-    cols = [F.col("__n"), sheet_col.alias("__sheet"), row_xml(schema, row0, missing, row_key, styles).alias("__xml")]
-    if group:
-        cols.insert(0, F.col(group).cast("string").alias("__wb"))
-    names = [f.name for f in schema.fields]
-    if row_key is not None:
-        names = ["RowID"] + [n for n in names if n != row_key]
-    widths = None
-    if autosize:
-        # in the order of the rendered cells: the row key is the first of them
-        shown = [f.name for f in schema.fields if f.name != row_key]
-        widths = column_widths(staged.select(*([row_key] if row_key is not None else []), *shown), names, header)
-    return numbered.select(*cols), {"sheet": sheet, "names": names, "header": header, "widths": widths,
+    xml = row_xml(schema, row0, missing, key, styles, shown)
+    cols = [F.col("__n"), sheet_col.alias("__sheet"), xml.alias("__xml")]
+    if wb:
+        cols.insert(0, F.col(wb).cast("string").alias("__wb"))
+    # in the order of the rendered cells: the row key is the first of them
+    cells = [f.name for f in schema.fields if f.name != key]
+    titles = [shown[c] for c in cells]
+    if key is not None:
+        cells, titles = [key, *cells], ["RowID", *titles]
+    widths = column_widths(staged.select(*cells), titles, header) if autosize else None
+    return numbered.select(*cols), {"sheet": sheet, "names": titles, "header": header, "widths": widths,
                                     "chain": len(chain or [])}
 
 
 def column_widths(df: DataFrame, names: list[str], header: bool) -> list[float]:
     """Longest rendered value per column (header included) -> column widths."""
-    aggs = [F.max(F.length(F.col(f"`{c}`").cast("string"))).alias(f"w{j}") for j, c in enumerate(df.columns)]
+    aggs = [F.max(F.length(quoted(c).cast("string"))).alias(f"w{j}") for j, c in enumerate(df.columns)]
     row = df.agg(*aggs).collect()[0]
     out = []
     for j, name in enumerate(names[: len(df.columns)]):
@@ -269,10 +277,11 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
     elif isinstance(tables, dict):
         tables = list(tables.items())
     names = [n for n, _ in tables]
+    helpers: dict[str, str] = {}
     if len(set(names)) != len(names):
         if sheet_exists != "append":
-            raise ValueError("The sheet names must be unique.")
-        tables, order_by = _merge_same_sheet(tables, order_by)
+            raise ValueError("Two tables go to one sheet; give each a sheet of its own or sheet_exists='append'.")
+        tables, order_by, helpers = _merge_same_sheet(tables, order_by)
     if fmt == "xls":
         raise ValueError("The binary xls format is not supported for writing (see README); use xlsx.")
     if not create_folders and "/" in path and not fsio.exists(path.rsplit("/", 1)[0]):
@@ -292,7 +301,6 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
     existing = {s["name"]: s for s in layout["sheets"]} if layout else {}
     frags = []
     specs = []
-    cached: list = []
     for t_no, (sheet, df) in enumerate(tables):
         ob = order_by.get(sheet) if isinstance(order_by, dict) else order_by
         chain = []
@@ -305,7 +313,7 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
                     chain.append(existing[sheet if i == 0 else f"{sheet} ({i})"]["last_row"])
                     i += 1
         rendered, spec = _prepare_table(df, sheet, ob, header, missing, cap_rows, XLSX_MAX_COLS, row_key, None,
-                                        autosize, cached, chain, styles)
+                                        autosize, chain, styles, helpers.get(sheet))
         spec["action"] = "append" if chain else ("replace" if sheet in existing else "new")
         frags.append(rendered.mapInArrow(_fragment_fn(stage, t_no, False), _FRAG_DDL))
         specs.append(spec)
@@ -319,28 +327,32 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
         [("", t_no, 0, 0, 0, None, 0, 0, 0) for t_no in range(len(specs))], _FRAG_DDL)
     meta = meta.unionByName(placeholder)
     result = meta.groupBy("wb").applyInPandas(_commit_fn(spec), "wb string, path string, sheets int, rows long")
-    return _materialize(result, stage, cached)
+    return _materialize(result, stage)
 
 
 def _merge_same_sheet(tables, order_by):
-    """Tables sharing a sheet name are written into that sheet one after the other."""
+    """Tables sharing a sheet name are written into that sheet one after the other.
+
+    Their number is a column of its own, which orders the rows and is not written.
+    """
     merged: dict[str, list] = {}
     for name, df in tables:
         merged.setdefault(name, []).append(df)
-    out, orders = [], {}
+    out, orders, helpers = [], {}, {}
     for name, dfs in merged.items():
         ob = order_by.get(name) if isinstance(order_by, dict) else order_by
         if len(dfs) == 1:
             out.append((name, dfs[0]))
             orders[name] = ob
             continue
-        parts = [df.withColumn("__tno", F.lit(i)) for i, df in enumerate(dfs)]
+        (number,) = fresh(dfs[0], "__tno")
+        parts = [df.withColumn(number, F.lit(i)) for i, df in enumerate(dfs)]
         u = parts[0]
         for part in parts[1:]:
             u = u.unionByName(part)
         out.append((name, u))
-        orders[name] = ["__tno"] + list(ob or [])
-    return out, orders
+        orders[name], helpers[name] = [number, *(ob or [])], number
+    return out, orders, helpers
 
 
 def write_excel_by_key(df: DataFrame, key: str, folder: str, sheet: str = "default_1", order_by=None,
@@ -353,25 +365,19 @@ def write_excel_by_key(df: DataFrame, key: str, folder: str, sheet: str = "defau
     """
     cap_rows = max_rows or XLSX_MAX_ROWS
     stage = scratch_dir(df.sparkSession, "xlsx-stage")
-    cached: list = []
-    rendered, spec_t = _prepare_table(df, sheet, order_by, header, missing, cap_rows, XLSX_MAX_COLS, None, key,
-                                      False, cached)
+    rendered, spec_t = _prepare_table(df, sheet, order_by, header, missing, cap_rows, XLSX_MAX_COLS, None, key, False)
     meta = rendered.mapInArrow(_fragment_fn(stage, 0, True), _FRAG_DDL).filter(F.col("file").isNotNull())
     spec = {"folder": folder, "group": True, "tables": [spec_t], "mode": mode}
     result = meta.groupBy("wb").applyInPandas(_commit_fn(spec), "wb string, path string, sheets int, rows long")
-    return _materialize(result, stage, cached)
+    return _materialize(result, stage)
 
 
-def _materialize(result: DataFrame, stage: str, cached: list | None = None) -> DataFrame:
+def _materialize(result: DataFrame, stage: str) -> DataFrame:
     """Run the commit once; its report (one row per workbook) goes to the shared folder, not to
     the driver. The staged fragments are removed once the workbooks are in place."""
     spark = result.sparkSession
     report = scratch_dir(spark, "report") + "/rows"
-    try:
-        result.write.parquet(report)
-    finally:
-        for df in cached or []:
-            df.unpersist()
+    result.write.parquet(report)
     remove_tree(spark, stage)
     return spark.read.parquet(report)
 
@@ -515,7 +521,7 @@ def write_cells(cells: DataFrame, path: str, sheets: list[str] | None = None, mo
         F.concat(F.lit('<row r="'), (F.col("row") + 1).cast("string"), F.lit('">'),
                  F.array_join(F.transform("__cs", lambda c: c["__x"]), ""), F.lit("</row>")).alias("__xml"))
     staged = stable_partitions(rows, ["__n"], group="__t")
-    meta = staged.mapInArrow(_fragment_fn(stage, None, False, by_bucket=True), _FRAG_DDL)
+    meta = staged.mapInArrow(_fragment_fn(stage, None, False, sparse=True), _FRAG_DDL)
     placeholder = spark.createDataFrame([("", t, 0, 0, 0, None, 0, 0, 0) for t in range(len(sheets))], _FRAG_DDL)
     spec = {"path": path, "mode": mode,
             "tables": [{"sheet": nm, "names": [], "header": False, "widths": None} for nm in sheets]}

@@ -93,13 +93,15 @@ def cell_xml(c: Column, dtype: T.DataType, ref: Column, missing: str | None, nam
     return F.when(c.isNull(), empty).otherwise(body)
 
 
-def check_types(schema: T.StructType) -> None:
+def check_types(schema: T.StructType, shown: dict[str, str] | None = None) -> None:
+    """``shown``: names for messages, where columns go by other names."""
     for f in schema.fields:
-        cell_xml(F.col(f"`{f.name}`"), f.dataType, F.lit("A1"), None, f.name)
+        cell_xml(F.col(f"`{f.name}`"), f.dataType, F.lit("A1"), None, (shown or {}).get(f.name, f.name))
 
 
 def row_xml(schema: T.StructType, row0: Column, missing: str | None, row_key: str | None = None,
-            styles: tuple[int, int, int] = (STYLE_DATE, STYLE_DATETIME, STYLE_TIME)) -> Column:
+            styles: tuple[int, int, int] = (STYLE_DATE, STYLE_DATETIME, STYLE_TIME),
+            shown: dict[str, str] | None = None) -> Column:
     """``<row r="n">`` + cells; ``row0`` is the 0-based sheet row."""
     from ..sources.excel import col_label_py
 
@@ -111,7 +113,7 @@ def row_xml(schema: T.StructType, row0: Column, missing: str | None, row_key: st
         fields = [f for f in fields if f.name == row_key] + [f for f in fields if f.name != row_key]
     for f in fields:
         ref = F.concat(F.lit(col_label_py(j)), rn)
-        parts.append(cell_xml(F.col(f"`{f.name}`"), f.dataType, ref, missing, f.name, styles))
+        parts.append(cell_xml(F.col(f"`{f.name}`"), f.dataType, ref, missing, (shown or {}).get(f.name, f.name), styles))
         j += 1
     parts.append(F.lit("</row>"))
     return F.concat(*parts)

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from ..functions.text import ERROR_PATTERN, unique_names
 from ..functions.types import lattice_name
 from ..functions.types import spark_type as _spark_type
+from ..operators.ordinal import fresh, quoted
 from ..plans import cells as C
 from .arrowrows import ROWS_DDL, SAMPLE_DDL, RowsBuilder, sample_batch
 from . import ooxml
@@ -791,22 +792,21 @@ def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions, pick=No
     tail = []
     if opts.path_column:
         tail.append(F.col("path").alias(opts.path_column))
-    keep = []
-    if opts.row_id == "generated" or (opts.row_id is not None and opts.unique_ids):
-        keep = [F.col("path").alias("__path"), F.col("seq").alias("__seq")]
-    out = rows.select(*lead, *cols, *tail, *keep)
+    out = rows.select(*lead, *cols, *tail)
+    if opts.row_id is None or (opts.row_id != "generated" and not opts.unique_ids):
+        return out
+    path, seq = fresh(out, "__path", "__seq")
+    out = rows.select(*lead, *cols, *tail, F.col("path").alias(path), F.col("seq").alias(seq))
     if opts.row_id == "generated":
         from ..operators.ids import generated_row_ids
 
-        out = generated_row_ids(out, "__path", "__seq", "RowID").drop("__path", "__seq")
-        out = out.select("RowID", *[c for c in out.columns if c != "RowID"])
-    elif opts.row_id is not None and opts.unique_ids:
+        out = generated_row_ids(out, path, seq, "RowID").drop(path, seq)
+    else:
         # Repeated ids get _1, _2, ... in file then row order
         from ..operators.ids import make_unique
 
-        out = make_unique(out, "RowID", ["__path", "__seq"]).drop("__path", "__seq")
-        out = out.select("RowID", *[c for c in out.columns if c != "RowID"])
-    return out
+        out = make_unique(out, "RowID", [path, seq]).drop(path, seq)
+    return out.select("RowID", *[quoted(c) for c in out.columns if c != "RowID"])
 
 
 def spark_type(type_name: str) -> T.DataType:

@@ -1,5 +1,7 @@
 """Table operators checked against brute force on small inputs."""
 
+import random
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from cellar.operators import ids as W
 from cellar.operators import layout as L
 from cellar.operators import patch as J
 from cellar.operators import profile as P
-from cellar.operators.ordinal import stable_partitions, with_ordinals
+from cellar.operators.ordinal import running_sum, stable_partitions, with_ordinals
 from cellar.plans import cells as C
 
 
@@ -32,6 +34,85 @@ def test_hot_key_spread_over_buckets(spark):
     assert max(sizes) < 1000
 
 
+def test_running_sum_over_100000_partitions(spark):
+    df = spark.range(0, 100_000).select(((F.col("id") * 7919) % 100_000).alias("i"), (F.col("id") % 5).alias("v"))
+    got = running_sum(df, "i", "v", "s")
+    want = df.withColumn("w", F.sum("v").over(Window.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)))
+    assert got.join(want, "i").filter("s <> coalesce(w, 0)").count() == 0 and got.count() == 100_000
+
+
+def test_repeated_rows_spread_over_partitions(spark):
+    df = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"))
+    staged = stable_partitions(df, ["k"], partitions=8)
+    assert staged.groupBy(F.spark_partition_id()).count().count() > 1
+    assert sorted(r["n"] for r in with_ordinals(staged, "n").collect()) == list(range(4000))
+
+
+def _replay(ids):
+    """Names one row after the other, with a counter per name."""
+    counter, out = {}, []
+    for name in ids:
+        while name in counter:
+            counter[name] += 1
+            name = f"{name}_{counter[name]}"
+        counter[name] = 0
+        out.append(name)
+    return out
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_unique_ids_like_a_replay(spark, seed):
+    rng = random.Random(seed)
+    ids = []
+    for _ in range(400):
+        name = rng.choice(["a", "b", "", "x_0", "x_01", "n\nl"])
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+            name += f"_{rng.choice([1, 1, 1, 2, 3, 5, 40])}"
+        ids.append(name)
+    if seed == 2:
+        ids = ["a", "a_1", "a", "a_1", "a_1_1"]
+    rows = [(i, name, 0, 0) for i, name in enumerate(ids)] + [(1000, None, 0, 0)]
+    df = spark.createDataFrame(rows, "o int, id string, __t int, __new int").repartition(5)
+    got = {r["o"]: r["u"] for r in W.make_unique(df, "id", "o", "u").collect()}
+    assert got.pop(1000) is None
+    assert [got[i] for i in range(len(ids))] == _replay(ids)
+
+
+def test_type_runs_over_segments(spark):
+    rng = random.Random(4)
+    kinds = [("n", 1.0, None), ("n", 1.5, None), ("s", None, "x"), ("s", None, " "), ("b", 1.0, None)]
+    rows, want = [], {}
+    for f in ("f", None, "g"):
+        r = 65500
+        last = {}
+        while r < 65700:
+            cells = {}
+            for j in (0, 2, 3):
+                k = rng.choice([kinds[0]] * 6 + kinds + [None]) if j else kinds[0]
+                if k:
+                    cells[j] = {"k": k[0], "n": k[1], "s": k[2]}
+                    bit = {1.0: 1, 1.5: 4}[k[1]] if k[0] == "n" else 8 if k[0] == "b" else 128 if k[2] == "x" else 0
+                    if bit:
+                        runs = want.setdefault((f, j), [])
+                        if runs and runs[-1][2] == r - 1 and runs[-1][0] == bit:
+                            runs[-1] = (bit, runs[-1][1], r)
+                        else:
+                            if runs and runs[-1][2] < r - 1:
+                                runs.append((0, runs[-1][2] + 1, r - 1))
+                            runs.append((bit, r, r))
+            rows.append((f, r, False, cells))
+            r += rng.choice([1, 1, 1, 1, 1, 1, 4])
+    df = spark.createDataFrame(rows, f"path string, row_idx int, hidden boolean, cells map<int,{C.CELL_STRUCT}>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = P.type_runs(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(((r["path"], r["col"], r["b"], r["first_row"], r["last_row"]) for r in got), key=repr) == sorted(
+        ((f, j, *run) for (f, j), runs in want.items() for run in runs), key=repr)
+    assert P.type_runs(df.limit(0)).count() == 0
+
+
 def test_append_chain_brute_force(spark):
     chain = spark.createDataFrame([(0, 5), (1, 9), (2, 2)], "sheet_no long, last_row long")  # cap 10
     df = spark.range(0, 30).select(F.col("id").alias("n"))

@@ -24,8 +24,11 @@ def _rows(spark):
 
 def test_ordinals_have_no_single_partition(spark):
     df = spark.range(0, 2000).select((F.col("id") * 7 % 2000).alias("k"))
-    plan = _plan(with_ordinals(stable_partitions(df, ["k"]), "n"))
-    assert "SinglePartition" not in plan and "Window" not in plan
+    df = with_ordinals(stable_partitions(df, ["k"]), "n")
+    plan = _plan(df)
+    # neither one task for all rows nor range bounds as literals; the window is over one row per partition
+    assert "SinglePartition" not in plan and "CASE WHEN" not in plan and "element_at" not in plan
+    assert plan.index("BroadcastExchange") < plan.index("Window")
 
 
 def test_profiles_and_ids_have_no_single_partition(spark):
