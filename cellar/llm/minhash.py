@@ -12,15 +12,13 @@ the posterior probability ``P(Bin(n + 1, t) <= m)``; below ``MISS`` the pair is
 are cut to one byte a minimum, whose chance agreements only let more pairs through. Survivors are
 confirmed on their full sets; only the sets of classes that share a bucket are computed again.
 
-Buckets never emit all their pairs. First every member is compared with the bucket's smallest and
-largest member, which joins true groups (linear in the members). Where the members of a bucket
-are then still of several components, those of different components are compared in a second
-step: large buckets are dealt to chunks and two chunks meet in a task, which looks at a pair in
-the first band only that it shares, prunes it by the posterior and by an upper bound of its
-similarity (sets cut to 16 bits a shingle), and lets out one link between two components as it knows
-them then. If a link so let out is not confirmed, links left out on its account may be missing:
-then the step is run again over what is still apart and lets out all its survivors. So every
-candidate pair is either compared or already connected.
+Buckets never emit all their pairs. Buckets of two or three members are pairs with their smallest
+and largest member. Larger ones are dealt to chunks and two chunks meet in a task, which looks at
+a pair in the first band only that it shares, prunes it by the posterior and by an upper bound of
+its similarity (sets cut to 16 bits a shingle), and lets out one link between two components as
+it knows them then. If a link so let out is not confirmed, links left out on its account may be
+missing: then the step is run again over what is still apart and lets out all its survivors. So
+every candidate pair is either compared or already connected.
 
 Rows: null, empty and wordless texts have an empty set and are linked with nothing. The component
 of a class without any ``doc_id`` is null. Repeated rows give repeated results. Other columns are
@@ -282,16 +280,28 @@ class _Members:
         return out
 
 
-def _mixed_buckets(buckets: DataFrame, joined: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
-                   forest: bool) -> DataFrame:
-    """Survivors among the members of different components (``joined``) of a bucket. Buckets of up
-    to three members have no pair left."""
+def _pairs(buckets: DataFrame) -> DataFrame:
+    """All pairs of the buckets of two or three members, each once."""
+    few = buckets.where("members <= 3")
+    return few.select(F.col("low").alias("a"), F.col("cid").alias("b")).union(few.select("cid", "high")).where(
+        "a <> b").distinct()
+
+
+def _large_buckets(buckets: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
+                   joined: DataFrame | None = None) -> DataFrame:
+    """Survivors among the members of the buckets of more than three: one between two components
+    of a task, or, if components are given (``joined``), all between different ones."""
+    forest = joined is None
     left = buckets.where("members > 3").select("key", "band", "cid", "members")
-    named = left.join(joined.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
-        "component", F.coalesce("component", "cid"))
-    mixed = named.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+    if forest:
+        named = left.withColumn("component", F.col("cid"))
+    else:
+        named = left.join(joined.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
+            "component", F.coalesce("component", "cid"))
+        mixed = named.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
+        named = named.join(mixed.select("key"), "key")
     sketch = sets.select("cid", F.transform("items", lambda x: F.shiftright(x, 48).cast("short")).alias("sketch"))
-    rows = (named.join(mixed.select("key"), "key").join(classes.select("cid", "n", "sig"), "cid").join(sketch, "cid"))
+    rows = named.join(classes.select("cid", "n", "sig").join(sketch, "cid"), "cid")
     # chunk i of a bucket meets every chunk j >= i, in the group (i, j)
     chunks = F.ceil(F.col("members") / F.lit(CHUNK)).cast("long")
     rows = rows.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")))
@@ -333,20 +343,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
     buckets = cut(_shared_buckets(classes))
     members = classes.join(buckets.select("cid").distinct(), "cid", "left_semi").select("cid", "rep")
     sets = cut(_sets(docs, members, doc_id, text, shingle))
-    star = buckets.select(F.col("low").alias("a"), F.col("cid").alias("b")).union(
-        buckets.select("cid", "high")).where("a <> b").distinct()
-    links = cut(_confirm(_prune(star, classes, percent), sets, percent))
+    late = cut(_prune(_pairs(buckets), classes, percent).union(_large_buckets(buckets, classes, sets, percent)).distinct())
+    links = cut(_confirm(late, sets, percent))
     joined = cut(components(links))
-    for forest in (True, False):
-        late = cut(_mixed_buckets(buckets, joined, classes, sets, percent, forest))
-        found = late.count()
-        if not found:
-            break
-        more = cut(_confirm(late, sets, percent))
-        links = links.union(more)
-        joined = cut(components(links))
-        if more.count() == found:
-            break
+    if links.count() < late.count():
+        more = cut(_confirm(_large_buckets(buckets, classes, sets, percent, joined), sets, percent))
+        if more.limit(1).count():
+            joined = cut(components(links.union(more)))
     named = classes.select("cid", "rep").join(joined.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
     first = named.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -311,7 +311,7 @@ def test_mixed_buckets_find_all_across_components(spark, monkeypatch, members_):
     want = {(j, i) for i in range(members_) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
 
     def found(forest):
-        late = minhash._mixed_buckets(buckets, none, alike, full, 80, forest).collect()
+        late = minhash._large_buckets(buckets, alike, full, 80, None if forest else none).collect()
         return {tuple(sorted((ids[bytes(r["a"])], ids[bytes(r["b"])]))) for r in late}
 
     def groups(links):
