@@ -109,6 +109,51 @@ FROM lineitem
 """
 
 
+# Format codes and the lineitem number that each shows
+NUMBER_FORMATS = {
+    "f_whole": ("0", "price"), "f_cents": ("0.00", "price"), "f_grouped": ("#,##0", "price"),
+    "f_grouped_cents": ("#,##0.00", "price"), "f_percent": ("0%", "discount"), "f_percent_part": ("0.0##%", "discount"),
+    "f_scientific": ("0.00E+00", "price"), "f_sections": ('#,##0.00;(#,##0.00);"none"', "left"),
+    "f_money": ('[Red]"USD "#,##0.0##', "price"), "f_padded": ("0000000", "key"),
+    "f_thousands": ('0.0,"k"', "price"), "f_signed": ("0.0", "left"),
+}
+
+
+def q_number_text(spark, sf):
+    """Displayed text of numbers in twelve number formats."""
+    li = _t(spark, sf, "lineitem")
+    of = {"price": F.col("l_extendedprice"), "discount": F.col("l_discount"), "key": F.col("l_orderkey").cast("double"),
+          "left": (F.col("l_quantity") - 25) * F.col("l_extendedprice").cast("decimal(18,2)").cast("double")}
+    return li.select("l_orderkey", "l_linenumber",
+                     *[CF.number_text(of[what], code).alias(name) for name, (code, what) in NUMBER_FORMATS.items()])
+
+
+SQL_NUMBER_TEXT = """
+WITH l AS (
+  SELECT l_orderkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT) AS c, CAST(round(l_discount * 100) AS BIGINT) AS d,
+         CAST(round((l_quantity - 25) * CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS q FROM lineitem),
+m AS (SELECT *, length(CAST(c AS VARCHAR)) AS n, lpad(CAST(c % 100 AS VARCHAR), 2, '0') AS cc FROM l),
+e AS (SELECT *, (c + 5 * CAST(10 ** (n - 4) AS BIGINT)) // CAST(10 ** (n - 3) AS BIGINT) AS m3 FROM m)
+SELECT l_orderkey, l_linenumber,
+       CAST((c + 50) // 100 AS VARCHAR) AS f_whole,
+       CAST(c // 100 AS VARCHAR) || '.' || cc AS f_cents,
+       format('{:,}', (c + 50) // 100) AS f_grouped,
+       format('{:,}', c // 100) || '.' || cc AS f_grouped_cents,
+       CAST(d AS VARCHAR) || '%' AS f_percent,
+       CAST(d AS VARCHAR) || '.0%' AS f_percent_part,
+       CASE WHEN m3 = 1000 THEN '1.00E+' || lpad(CAST(n - 2 AS VARCHAR), 2, '0')
+            ELSE CAST(m3 // 100 AS VARCHAR) || '.' || lpad(CAST(m3 % 100 AS VARCHAR), 2, '0') || 'E+' || lpad(CAST(n - 3 AS VARCHAR), 2, '0')
+       END AS f_scientific,
+       CASE WHEN q = 0 THEN 'none' WHEN q > 0 THEN format('{:,}', q // 100) || '.' || lpad(CAST(q % 100 AS VARCHAR), 2, '0')
+            ELSE '(' || format('{:,}', -q // 100) || '.' || lpad(CAST(-q % 100 AS VARCHAR), 2, '0') || ')' END AS f_sections,
+       'USD ' || format('{:,}', c // 100) || '.' || CASE WHEN cc LIKE '_0' THEN cc[1:1] ELSE cc END AS f_money,
+       CASE WHEN l_orderkey < 1000000 THEN lpad(CAST(l_orderkey AS VARCHAR), 7, '0') ELSE CAST(l_orderkey AS VARCHAR) END AS f_padded,
+       CAST((c + 5000) // 10000 // 10 AS VARCHAR) || '.' || CAST((c + 5000) // 10000 % 10 AS VARCHAR) || 'k' AS f_thousands,
+       CASE WHEN q < 0 THEN '-' ELSE '' END || CAST((abs(q) + 5) // 10 // 10 AS VARCHAR) || '.' || CAST((abs(q) + 5) // 10 % 10 AS VARCHAR) AS f_signed
+FROM e
+"""
+
+
 def q_narrow_type(spark, sf):
     li = _t(spark, sf, "lineitem")
     return li.select("l_orderkey", "l_linenumber",
@@ -997,6 +1042,7 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "col_label": (q_col_label, SQL_COL_LABEL),
     "cell_address": (q_cell_address, SQL_CELL_ADDRESS),
     "round15": (q_round15, SQL_ROUND15),
+    "number_text": (q_number_text, SQL_NUMBER_TEXT),
     "narrow_type": (q_narrow_type, SQL_NARROW_TYPE),
     "serial_dates": (q_serial_dates, SQL_SERIAL_DATES),
     "serial_datetimes": (q_serial_datetimes, SQL_SERIAL_DATETIMES),

@@ -1,4 +1,4 @@
-"""Scalar functions returning Spark Columns (plus one Arrow-batched pandas UDF, round15)."""
+"""Scalar functions returning Spark Columns."""
 
 from .address import (
     XLS_MAX_COLS,
@@ -21,6 +21,7 @@ from .dates import (
     serial_datable,
     serial_to_datetime,
 )
+from .display import displayed, number_text
 from .numbers import narrow_bit, narrow_type, round15, round15_value
 from .text import (
     ERROR_PATTERN,

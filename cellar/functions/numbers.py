@@ -4,11 +4,8 @@ from __future__ import annotations
 
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .types import BIT_DOUBLE, BIT_INT, BIT_LONG
 
@@ -30,25 +27,95 @@ def round15_value(x: float) -> float:
     return float("%.14e" % x)
 
 
-def round15_series(s: pd.Series) -> pd.Series:
-    arr = s.to_numpy(dtype="float64", na_value=np.nan)
-    out = arr.copy()
-    # fast path: whole numbers below 1e15 already have <= 15 significant digits
-    slow = ~(np.isnan(arr) | ((np.abs(arr) < 1e15) & (arr == np.floor(arr))))
-    idx = np.flatnonzero(slow)
-    if idx.size:
-        out[idx] = [round15_value(v) for v in arr[idx].tolist()]
-    return pd.Series(out, index=s.index)
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once (and written once into the plan)."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-@F.pandas_udf(T.DoubleType())
-def _round15_udf(s: pd.Series) -> pd.Series:
-    return round15_series(s)
+# ---- C6 as Column expressions
+
+_LEAST, _MOST = 1e-7, 1e15  # where x * 10**s needs no more than two doubles to be exact
+
+
+def _high(v: Column) -> Column:
+    """The upper half of a double's digits (Veltkamp's splitting)."""
+    c = v * 134217729.0
+    return c - (c - v)
+
+
+def _round15_common(a: Column) -> Column:
+    """``a`` in [1e-7, 1e15): scaled to 15 digits before the point as an exact sum of two doubles."""
+    k = F.floor(F.log10(a))
+    s = F.lit(14) - k + (a < F.pow(F.lit(10.0), k)).cast("long")
+    b = F.pow(F.lit(10.0), s)  # exact, as s is in 0 .. 22
+    p = a * b
+    ah, bh = _high(a), _high(b)
+    al, bl = a - ah, b - bh
+    # the product's rounding error, exactly (Dekker)
+    err = ((ah * bh - p) + ah * bl + al * bh) + al * bl
+    whole = F.floor(p)
+    up = (p - whole) - 0.5 >= -err
+    # both numbers are exact, so the quotient is the double nearest to the rounded decimal
+    return (whole + up.cast("long")).cast("double") / b
+
+
+_LIMB = 10**9
+
+
+def _div(a: Column, b) -> Column:
+    """Whole quotient of longs, rounded down."""
+    b = b if isinstance(b, Column) else F.lit(b)
+    return F.call_function("div", a - F.pmod(a, b), b)
+
+
+def _times(limbs: Column, factor: Column) -> Column:
+    """A number in base 10**9, lowest limb first, times a factor below 2**31."""
+    start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("long").alias("carry"))
+
+    def step(st: Column, limb: Column) -> Column:
+        v = limb * factor + st["carry"]
+        return F.struct(F.concat(st["out"], F.array(v % _LIMB)).alias("out"), _div(v, _LIMB).alias("carry"))
+
+    return F.aggregate(limbs, start, step, lambda st: F.when(
+        st["carry"] > 0, F.concat(st["out"], F.array(st["carry"]))).otherwise(st["out"]))
+
+
+def _round15_any(a: Column) -> Column:
+    """Any positive finite double: m * 2**q has the digits of the whole number m * 5**-q (q < 0) or
+    m * 2**q, computed limb by limb; the 16th digit decides."""
+
+    def parts(e: Column) -> Column:
+        half = F.shiftright(F.lit(53) - e, 1)
+        # powers of two: exact, in two steps within the range of doubles
+        m = (a * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), F.lit(53) - e - half)).cast("long")
+        return bind(F.struct(m.alias("m"), (e - 53).alias("q")), digits)
+
+    def digits(v: Column) -> Column:
+        m, q = v["m"], v["q"]
+        base, chunk = F.when(q < 0, F.lit(5)).otherwise(F.lit(2)), F.when(q < 0, F.lit(12)).otherwise(F.lit(24))
+        n = F.abs(q)
+        limbs = F.array(m % _LIMB, _div(m, _LIMB) % _LIMB, _div(m, _LIMB * _LIMB))
+        steps = F.filter(F.sequence(F.lit(0), (n / chunk).cast("int")), lambda i: i * chunk < n)
+        grown = F.aggregate(steps, limbs, lambda acc, i: _times(acc, F.pow(base, F.least(chunk, n - i * chunk)).cast("long")))
+        text = F.array_join(F.transform(F.reverse(grown), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+        # digits * 10**point
+        return bind(F.ltrim(text, F.lit("0")), lambda t: rounded(t, F.least(q, F.lit(0))))
+
+    def rounded(t: Column, point: Column) -> Column:
+        lead = F.substring(t, 1, 15).cast("long") + (F.substring(t, 16, 1) >= "5").cast("long")
+        text = F.concat(lead.cast("string"), F.lit("E"), (F.length(t) - 15 + point).cast("string"))
+        return F.when(F.length(t) > 15, text.cast("double"))
+
+    return F.coalesce(bind(F.greatest(F.floor(F.log2(a)), F.lit(-1022)).cast("int"), parts), a)
 
 
 def round15(x) -> Column:
-    """Arrow-batched pandas UDF; the exact-tie rule needs decimal arithmetic."""
-    return _round15_udf(F.col(x) if isinstance(x, str) else x)
+    """The exact binary value rounded half up to 15 significant digits, as built-in functions only."""
+    v = (F.col(x) if isinstance(x, str) else x).cast("double")
+    a = F.abs(v)
+    kept = F.isnan(v) | (a == float("inf")) | (a == 0) | ((a < _MOST) & (a == F.floor(a).cast("double")))
+    rounded = F.when((a >= _LEAST) & (a < _MOST), _round15_common(a)).otherwise(_round15_any(a))
+    return F.when(v.isNull() | kept, v).otherwise(F.when(v < 0, -rounded).otherwise(rounded))
 
 
 def narrow_bit(x) -> Column:

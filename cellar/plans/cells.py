@@ -25,6 +25,7 @@ from ..functions.dates import (
     serial_datable,
     serial_to_datetime,
 )
+from ..functions.display import displayed
 from ..functions.numbers import narrow_bit
 from ..functions.text import ERROR_PATTERN, is_blank
 from ..functions.types import (
@@ -206,12 +207,17 @@ def _time_of(ts: Column) -> Column:
     return F.date_format(ts, "HH:mm:ss.SSSSSS").cast(tt)
 
 
-def render_typed(e, error_pattern: str | None = ERROR_PATTERN) -> Column:
-    """Text of a typed cell (struct or CellView), as used for STRING columns."""
+def render_typed(e, error_pattern: str | None = ERROR_PATTERN, formats: list[str] | None = None) -> Column:
+    """Text of a typed cell (struct or CellView), as used for STRING columns.
+
+    C32: with ``formats``, a number cell carries its format code in ``s`` and shows as that format does.
+    """
     k, n, s, ts, b = e["k"], e["n"], e["s"], e["ts"], e["b"]
     nb = narrow_bit(n)
     num_text = F.when((nb == BIT_INT) | (nb == BIT_LONG), n.cast("decimal(20,0)").cast("string")).otherwise(
         n.cast("string"))
+    if formats:
+        num_text = displayed(n, s, formats)
     date_text = (
         F.when(ts.isNull(), n.cast("string"))
         .when(b == BIT_TIME, render_time(ts))
@@ -235,7 +241,7 @@ def render_cell(cell: Column, date1904=False, error_pattern: str | None = ERROR_
 
 
 def value_typed(e, type_name: str, error_pattern: str | None = ERROR_PATTERN, on_misfit: str = "failfast",
-                where: Column | None = None) -> Column:
+                where: Column | None = None, formats: list[str] | None = None) -> Column:
     """Value of a typed cell in a column of ``type_name``; a misfit fails (reference rule) or gives NULL."""
     n, ts, bit = e["n"], e["ts"], e["b"]
     if type_name == "INT":
@@ -253,7 +259,7 @@ def value_typed(e, type_name: str, error_pattern: str | None = ERROR_PATTERN, on
     elif type_name == "TIME":
         val = _time_of(ts)
     else:
-        val = render_typed(e, error_pattern)
+        val = render_typed(e, error_pattern, formats)
     spark_type_ = spark_type(type_name)
     fits = _bits(bit, ACCEPTS[type_name]) != 0
     if type_name == "STRING":

@@ -72,6 +72,7 @@ class ReadOptions:
     select: dict | None = None  # {name: new name or None} picks, renames and orders; None drops
     types: dict | None = None  # {name: type name} overrides inferred types
     enforce_types: bool = True  # a cell that misfits its ``types`` entry fails (else it is missing)
+    displayed: bool = False  # C32: numbers in text columns as their number format shows them
     on_corrupt: str = "failfast"  # S12: "failfast" raises with the path, "skip" leaves the file out
 
     def validate(self) -> None:
@@ -110,6 +111,7 @@ class ReadOptions:
             blank_to_missing=self.blank_to_missing,
             error_as_missing=self.error_pattern is None,
             max_data_rows=max_rows,
+            number_formats=self.displayed,
         )
 
 
@@ -653,6 +655,7 @@ class ColumnSpec:
     files: int = 0
     order: tuple = field(default_factory=tuple)
     forced: bool = False  # the type is the caller's, not inferred
+    formats: list | None = None  # C32: number format codes that occur
 
 
 def _lattice_col(opts: ReadOptions):
@@ -667,6 +670,8 @@ def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
     per_col = sample.select(
         "path", "col", "name",
         C.mask_of_array(F.col("cells"), F.col("date1904"), err, opts.blank_to_missing).alias("mask"),
+        F.array_distinct(F.transform(F.filter("cells", lambda c: (c["k"] == "n") & c["s"].isNotNull()), lambda c: c["s"]))
+        .alias("formats"),
     )
     # column order = first appearance in (path, position) order; no file numbering needed
     n_files = files.select("path").count()  # listing only, no content read
@@ -674,12 +679,13 @@ def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
         F.bit_or("mask").alias("mask"),
         F.min(F.struct("path", "col")).alias("first"),
         F.countDistinct("path").alias("files"),
+        F.array_distinct(F.flatten(F.collect_set("formats"))).alias("formats"),
     )
     rows = agg.collect()
     specs = []
     for r in sorted(rows, key=lambda x: (x["first"]["path"], x["first"]["col"])):
         specs.append(ColumnSpec(r["name"], _lattice_py(int(r["mask"]), opts.lattice), r["mask"] != 0, r["files"],
-                                (r["first"]["path"], r["first"]["col"])))
+                                (r["first"]["path"], r["first"]["col"]), formats=sorted(r["formats"])))
     if opts.combine == "intersection":
         specs = [s for s in specs if s.files == n_files]
     elif opts.combine == "fail":
@@ -783,7 +789,7 @@ def project(rows: DataFrame, specs: list[ColumnSpec], opts: ReadOptions, pick=No
     cols = []
     for s, v in zip(specs, views):
         misfit = opts.on_misfit if not s.forced else "failfast" if opts.enforce_types else "permissive"
-        cols.append(C.value_typed(v, s.type, opts.error_pattern, misfit, where).alias(s.name))
+        cols.append(C.value_typed(v, s.type, opts.error_pattern, misfit, where, s.formats).alias(s.name))
     lead = []
     if opts.raw:
         lead.append((F.col("row_idx") + 1).cast("int").alias("row"))

@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from xml.etree.ElementTree import XMLPullParser
 
+from ..functions.display import BUILTIN_NUMBER_FORMATS
 from ..functions.numbers import round15_value
 
 # Namespaces of transitional and strict OOXML.
@@ -147,6 +148,7 @@ class Workbook:
     date1904: bool
     style_kind: list[str] = field(default_factory=list)  # per xf index: 'n' | 'd' | 'b'
     style_bool: dict = field(default_factory=dict)  # xf index -> bool converter
+    style_code: dict = field(default_factory=dict)  # xf index -> format code of numbers, without the general one
     shared_strings_part: str | None = None
 
 
@@ -247,6 +249,9 @@ def _load_styles(zf: zipfile.ZipFile, part: str, wb: Workbook) -> None:
                 if is_date_format(fid, code):
                     kinds.append("d")
                 else:
+                    shown = code or BUILTIN_NUMBER_FORMATS.get(fid)
+                    if shown and shown.lower() != "general":
+                        wb.style_code[i] = shown
                     conv = bool_format(code)
                     if conv is not None:
                         wb.style_bool[i] = conv
@@ -342,6 +347,7 @@ class ScanOptions:
     blank_to_missing: bool = True
     error_as_missing: bool = False
     max_data_rows: int | None = None  # stop after this many data rows (inference sample)
+    number_formats: bool = False  # number cells carry their format code as text
     corrupt: str = "failfast"  # or "skip"
 
 
@@ -448,6 +454,7 @@ def scan_sheet(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, opts: ScanOpt
     stream = zf.open(part)
     style_kind = wb.style_kind
     style_bool = wb.style_bool
+    code_of = (wb.style_code if opts.number_formats else {}).get
     date1904 = wb.date1904
     n_styles = len(style_kind)
     last_row = opts.last_row
@@ -548,7 +555,7 @@ def scan_sheet(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, opts: ScanOpt
                                     x = round15_value(x)
                                 conv = style_bool.get(si) if (x == 0.0 or x == 1.0) else None
                                 bv = conv(x) if conv is not None else None
-                                cell = (col, "n", x, None) if bv is None else (col, "b", 1.0 if bv else 0.0, None)
+                                cell = (col, "n", x, code_of(si)) if bv is None else (col, "b", 1.0 if bv else 0.0, None)
                     elif ty == b"inlineStr":
                         txt = _unescape(itext.decode("utf-8")) if itext else ""
                         if not (blank_to_missing and blank(txt)):
@@ -623,7 +630,7 @@ def scan_sheet(zf: zipfile.ZipFile, wb: Workbook, sheet: SheetRef, opts: ScanOpt
                                 if bv is not None:
                                     cell = (col, "b", 1.0 if bv else 0.0, None)
                                 else:
-                                    cell = (col, "n", x, None)
+                                    cell = (col, "n", x, code_of(si))
                     elif ty == b"s":
                         vm = v_re.search(cbody)
                         if vm and vm.group(1).strip():

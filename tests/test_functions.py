@@ -1,7 +1,9 @@
 """Scalar functions against hand-computed values and brute force."""
 
 import datetime as dt
+import math
 import random
+import struct
 from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
@@ -114,3 +116,36 @@ def test_legacy_value_rules(spark):
                     CF.legacy_time_as_datetime("t").alias("t")).collect()
     assert (got[0]["a"], got[0]["b"], got[0]["t"]) == (None, 12, dt.datetime(1900, 1, 1, 10, 30))
     assert (got[1]["a"], got[1]["b"], got[1]["t"]) == ("x", None, None)
+
+
+def test_round15_over_all_doubles(spark):
+    rnd = random.Random(3)
+    vals = [struct.unpack("<d", struct.pack("<Q", rnd.getrandbits(64)))[0] for _ in range(60)]
+    vals += [rnd.choice([1, -1]) * rnd.random() * 10.0 ** rnd.randint(-9, 17) for _ in range(3000)]
+    for k in range(-8, 17):
+        lo = hi = 10.0**k
+        for _ in range(5):
+            vals += [lo, hi]
+            lo, hi = math.nextafter(lo, 0), math.nextafter(hi, math.inf)
+    # exact ties
+    vals += [(rnd.randint(10**14, 10**15 - 1) + 0.5) / 2 ** rnd.randint(0, 20) for _ in range(500)]
+    vals += [5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, 0.0, -0.0, 999999999999999.9, 1e22, 1e23]
+    vals = [v for v in vals if math.isfinite(v)]
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,), (math.inf,)], "x double")
+    out = df.select(CF.round15("x"))
+    assert [r[0] for r in out.collect()] == [_round15_decimal(v) for v in vals] + [None, math.inf]
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_number_text(spark):
+    cases = [("0", 2.5, "3"), ("0", -2.5, "-3"), ("0.00", 2.675, "2.68"), ("0.00", 1.005, "1.01"), ("#,##0", 1234567.4, "1,234,567"),
+             ("#,##0.00", 999.995, "1,000.00"), ("0%", 0.125, "13%"), ("0.0#%", 0.12345, "12.35%"), ("0.00E+00", 12345.0, "1.23E+04"),
+             ("0.00E+00", 0.000999999, "1.00E-03"), ("0.0E-0", 12345.0, "1.2E4"), ("0.00E+00", 0.0, "0.00E+00"), ("#.##", 0.5, ".5"),
+             ("#.##", 3.0, "3"), ("0;(0)", -7.0, "(7)"), ('0;-0;"nil"', 0.0, "nil"), ('"a;b"0', 4.0, "a;b4"), ("\\#0", 4.0, "#4"),
+             ("[Red]0.0", 1.25, "1.3"), ("[$€-407]#,##0", 1500.0, "€1,500"), ("0.0,,", 12345678.0, "12.3"), ("00000", 42.0, "00042"),
+             ("General", 42.0, "42"), ("General", 1.5, "1.5"), ("# ?/?", 1.5, "1.5"), ("[<10]0;0.0", 3.25, "3.25"), ("##0.0E+0", 5.0, "5"),
+             ("0_)", 3.0, "3 "), ("0*x", 3.0, "3"), ("@", 3.0, "3"), ("0.00", 1e18, "1000000000000000000"), ("0", None, None),
+             ("0.0", -0.04, "-0.0"), ("", 7.0, "7"), ('"only text"', 7.0, "only text"), ("0.000", 0.1 + 0.2, "0.300")]
+    df = spark.createDataFrame([(i, c, x) for i, (c, x, _) in enumerate(cases)], "i int, code string, x double")
+    got = {r["i"]: r["t"] for r in df.select("i", CF.displayed(F.col("x"), F.col("code"), sorted({c for c, *_ in cases})).alias("t")).collect()}
+    assert [(c, x, got[i]) for i, (c, x, _) in enumerate(cases)] == cases

@@ -285,3 +285,17 @@ def test_skip_mode_reads_big_files_whole(spark, tmp):
         assert read_excel(spark, p, on_corrupt="skip").count() == 500
     finally:
         spark.conf.unset("cellar.read.splitBytes")
+
+
+def test_numbers_as_displayed_in_text_columns(spark, tmp):
+    # style 5 of this workbook: two decimals and groups; 6: a built-in percent format
+    p = X.build(os.path.join(tmp, "d.xlsx"), [("s", X.sheet_xml([
+        X.row(1, X.text("A1", "t"), X.text("B1", "n")),
+        X.row(2, X.num("A2", 1234.5, 5), X.num("B2", 0.25, 6)),
+        X.row(3, X.num("A3", 7), X.num("B3", 1)),
+        X.row(4, X.text("A4", "x"))]))], styles=X.STYLES.replace('count="2">', 'count="3"><numFmt numFmtId="166" formatCode="#,##0.00"/>')
+        .replace('count="5">', 'count="7">').replace("</cellXfs>", '<xf numFmtId="166"/><xf numFmtId="9"/></cellXfs>'))
+    assert [tuple(r) for r in read_excel(spark, p).collect()] == [("1234.5", 0.25), ("7", 1.0), ("x", None)]
+    assert [tuple(r) for r in read_excel(spark, p, displayed=True).collect()] == [("1,234.50", 0.25), ("7", 1.0), ("x", None)]
+    got = read_excel(spark, p, displayed=True, types={"n": "STRING"}).collect()
+    assert [r["n"] for r in got] == ["25%", "1", None]

@@ -55,7 +55,7 @@ def sheet_xml(rows, hidden_cols=(), doctype=False):
     return f'<?xml version="1.0" encoding="UTF-8"?>{dt}<worksheet xmlns="{MAIN}">{cols}<sheetData>{"".join(rows)}</sheetData></worksheet>'
 
 
-def build(path, sheets, date1904=False, strings=None):
+def build(path, sheets, date1904=False, strings=None, styles=STYLES):
     """sheets: list of (name, sheet XML)."""
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         over = "".join(
@@ -80,7 +80,7 @@ def build(path, sheets, date1904=False, strings=None):
             sst = "".join(f"<si><t>{escape(s)}</t></si>" for s in strings)
             z.writestr("xl/sharedStrings.xml", f'<?xml version="1.0"?><sst xmlns="{MAIN}">{sst}</sst>')
         z.writestr("xl/_rels/workbook.xml.rels", f'<?xml version="1.0"?><Relationships xmlns="{PKG}">{rels}</Relationships>')
-        z.writestr("xl/styles.xml", STYLES)
+        z.writestr("xl/styles.xml", styles)
         for i, (_, xml) in enumerate(sheets):
             z.writestr(f"xl/worksheets/sheet{i + 1}.xml", xml)
     return path
