@@ -21,8 +21,8 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
-from html import escape
-from html.parser import HTMLParser
+from functools import lru_cache
+from html import escape, unescape
 
 import numpy as np
 import pyarrow as pa
@@ -56,122 +56,230 @@ MARK = "*main-text*"
 _WORD = re.compile(r"[a-z]+")
 
 
-class Blocks(HTMLParser):
-    """Leaf blocks of a page: (text, ancestors, characters in links)."""
+class Element:
+    """An open element with its ancestors: shared by all that is in it, never copied."""
+
+    __slots__ = ("tag", "known", "aside", "held", "spoilt", "marked", "linked", "leaf", "upper", "_features")
+
+    def __init__(self, tag: str, words: str, parent: Element | None):
+        self.tag = tag
+        # the mark of labelled layouts is no feature
+        found = _WORD.findall(words.lower().replace(MARK, "")) if words else ()
+        names = {_number(f"in {tag}"), *(_number(f"word {w}") for w in found)}
+        above = parent.known if parent else frozenset()
+        self.known = above if names <= above else above | names
+        beside = not _ASIDE_WORDS.isdisjoint(found)
+        #: aside: something beside the text (by tag, by words); held: within a main element;
+        #: spoilt: beside the text within the main element
+        tag_aside, word_aside = parent.aside if parent else (False, False)
+        self.aside = (tag_aside or tag in _NOT_MAIN, word_aside or beside)
+        self.held = tag in _MAIN or bool(parent and parent.held)
+        self.spoilt = bool(parent and parent.spoilt) or (self.held and tag in _NOT_MAIN)
+        self.marked = words == MARK or bool(parent and parent.marked)
+        self.linked = tag == "a" or bool(parent and parent.linked)
+        self.leaf, self.upper = (parent.leaf, parent.upper) if parent else ("", "")
+        if tag in BLOCK_TAGS:
+            self.leaf, self.upper = tag, self.leaf
+        self._features: np.ndarray | None = None
+
+    def features(self) -> np.ndarray:
+        if self._features is None:
+            own = {_number(f"held {self.held} aside {any(self.aside)}"), _number(f"leaf {self.leaf}"),
+                   _number(f"leaf {self.upper} {self.leaf}" if self.upper else f"leaf {self.leaf}")}
+            self._features = np.array(sorted(self.known | own), np.int32)
+        return self._features
+
+
+class Blocks:
+    """Leaf blocks of a page: (text, innermost element, characters in links).
+
+    One pass over the page. Open elements are found by the places of their tag, so that neither
+    unclosed tags nor deep nesting are searched again and again.
+    """
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str]] = []
+        self.open: list[Element] = [Element("", "", None)]
+        self.places: dict[str, list[int]] = {}
+        self.last_block: list[int] = []
+        self.last_container: list[int] = []
         self.hidden = 0
-        self.blocks: list[tuple[str, tuple, int]] = []
+        self.blocks: list[tuple[str, Element, int]] = []
         self._text: list[str] = []
-        self._path: tuple = ()
+        self._at: Element = self.open[0]
         self._linked = 0
 
     def flush(self) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
-                self.blocks.append((text, self._path, self._linked))
+                self.blocks.append((text, self._at, self._linked))
             self._text, self._linked = [], 0
 
     def _pop(self, index: int) -> None:
-        for tag, _ in self.open[index:]:
+        while len(self.open) > index:
+            tag = self.open.pop().tag
+            self.places[tag].pop()
             self.hidden -= tag in HIDDEN_TAGS
-        del self.open[index:]
+            if tag in BLOCK_TAGS:
+                self.last_block.pop()
+            if tag in _CONTAINERS:
+                self.last_container.pop()
+
+    def _last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else 0
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str, words: str) -> None:
         if tag in BLOCK_TAGS:
             self.flush()
-            ended = ENDED_BY.get(tag, ())
-            for i in range(len(self.open) - 1, -1, -1):
-                name = self.open[i][0]
-                if name == "p" or name in ended:
-                    self._pop(i)
-                    break
-                if name in _CONTAINERS:
-                    break
+            ended = max(self._last(t) for t in ("p", *ENDED_BY.get(tag, ())))
+            if ended > (self.last_container[-1] if self.last_container else 0):
+                self._pop(ended)
         elif tag == "br" and self._text:
             self._text.append(" ")
         if tag in VOID_TAGS:
             return
-        words = " ".join(v for k, v in attrs if k in ("class", "id", "role", "data-mark") and v)
-        self.open.append((tag, words))
+        place = len(self.open)
+        self.places.setdefault(tag, []).append(place)
+        if tag in BLOCK_TAGS:
+            self.last_block.append(place)
+        if tag in _CONTAINERS:
+            self.last_container.append(place)
+        self.open.append(Element(tag, words, self.open[-1]))
         self.hidden += tag in HIDDEN_TAGS
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        if tag in BLOCK_TAGS:
+    def end(self, tag: str) -> None:
+        block = tag in BLOCK_TAGS
+        if block:
             self.flush()
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._pop(i)
-                break
-            if tag not in BLOCK_TAGS and self.open[i][0] in BLOCK_TAGS and not self.hidden:
-                break
-
-    def handle_data(self, data):
+        place = self._last(tag)
+        # the end of an inline element does not reach beyond the innermost block
+        if place and (block or self.hidden or place > (self.last_block[-1] if self.last_block else 0)):
+            self._pop(place)
+
+    def data(self, data: str) -> None:
         if self.hidden:
             return
         if not self._text:
             if not data.strip():
                 return
-            self._path = tuple(self.open)
+            self._at = self.open[-1]
         self._text.append(data)
-        if any(t == "a" for t, _ in self.open):
+        if self.open[-1].linked:
             self._linked += len(data)
 
-
-def leaf_blocks(html: str | None) -> list[tuple[str, tuple, int]]:
-    parser = Blocks()
-    parser.feed(html or "")
-    # an open comment hides the rest of the page
-    parser.rawdata = parser.rawdata.split("<!--")[0]
-    parser.close()
-    parser.flush()
-    return parser.blocks
+    def feed(self, html: str) -> None:
+        """Take a page apart in one pass. What a tag or comment leaves open at the end of the page is no text."""
+        at, size = 0, len(html)
+        while at < size:
+            found = html.find("<", at)
+            if found < 0:
+                found = size
+            if found > at:
+                self.data(unescape(html[at:found]))
+            if found == size:
+                return
+            at = self._markup(html, found)
+
+    def _markup(self, html: str, at: int) -> int:
+        """What begins with ``<`` at ``at``; the place behind it."""
+        size = len(html)
+        if html.startswith("<!--", at):
+            if html.startswith((">", "->"), at + 4):
+                return html.index(">", at) + 1
+            end = _COMMENT_END.search(html, at + 4)
+            return end.end() if end else size
+        if html.startswith(("<!", "<?"), at):
+            end = html.find(">", at)
+            return end + 1 if end >= 0 else size
+        name = _TAG.match(html, at)
+        if not name:
+            if html.startswith("</", at) and at + 2 < size:
+                end = html.find(">", at)  # a bogus comment
+                return end + 1 if end >= 0 else size
+            self.data("<")
+            return at + 1
+        closing, tag = name.group(1), name.group(2).lower()
+        at, words, closed = self._attributes(html, name.end())
+        if at < 0:
+            return size
+        if closing:
+            self.end(tag)
+            return at
+        self.start(tag, words)
+        if closed:
+            if tag not in VOID_TAGS:
+                self.end(tag)
+        elif tag in _RAW_TAGS:
+            end = _RAW_TAGS[tag].search(html, at)
+            return end.start() if end else size
+        return at
+
+    @staticmethod
+    def _attributes(html: str, at: int) -> tuple[int, str, bool]:
+        """(place behind the tag or -1, words of the telling attributes, whether it closes itself)."""
+        words, size = [], len(html)
+        while True:
+            space = _BETWEEN.match(html, at)
+            at = space.end()
+            if at >= size:
+                return -1, "", False
+            if html[at] == ">":
+                return at + 1, " ".join(words), space.group().endswith("/")
+            name = _NAME.match(html, at)
+            at = name.end()
+            value, equals = "", _EQUALS.match(html, at)
+            if equals:
+                at = equals.end()
+                quote = html[at:at + 1]
+                if quote in ('"', "'") and quote:
+                    end = html.find(quote, at + 1)
+                    if end < 0:
+                        return -1, "", False
+                    value, at = html[at + 1:end], end + 1
+                else:
+                    bare = _BARE.match(html, at)
+                    value, at = bare.group(), bare.end()
+            if value and name.group().lower() in _TELLING:
+                words.append(unescape(value))
+
+
+_TELLING = frozenset(("class", "id", "role", "data-mark"))
+_COMMENT_END = re.compile(r"--!?>")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_BETWEEN = re.compile(r"[\s/]*")
+_NAME = re.compile(r"=?[^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
+#: Elements whose content is text up to their end tag.
+_RAW_TAGS = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style", "textarea", "title", "iframe")}
+
+
+def leaf_blocks(html: str | None) -> list[tuple[str, Element, int]]:
+    page = Blocks()
+    page.feed(html or "")
+    page.flush()
+    return page.blocks
+
+
+@lru_cache(maxsize=1 << 16)
+def _number(name: str) -> int:
+    return xxhash.xxh64_intdigest(name, 0) % DIMENSIONS
 
 
 def _level(x: float, edges: tuple) -> int:
     return sum(x >= e for e in edges)
 
 
-def _path_features(path: tuple) -> list[str]:
-    out = set()
-    for tag, words in path:
-        out.add(f"in {tag}")
-        # the mark of labelled layouts is no feature
-        out.update(f"word {w}" for w in _WORD.findall(words.lower().replace(MARK, "")))
-    aside = not _NOT_MAIN.isdisjoint(t for t, _ in path) or not _ASIDE_WORDS.isdisjoint(
-        w for _, words in path for w in _WORD.findall(words.lower().replace(MARK, "")))
-    held = any(t in _MAIN for t, _ in path)
-    out.add(f"held {held} aside {aside}")
-    tags = [t for t, _ in path if t in BLOCK_TAGS]
-    out.add(f"leaf {tags[-1] if tags else ''}")
-    out.add(f"leaf {' '.join(tags[-2:])}")
-    return sorted(out)
-
-
-_PATHS: dict[tuple, np.ndarray] = {}
-
-
 def _hashed(names: list[str]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(n, 0) % DIMENSIONS for n in names], np.int32)
+    return np.array([_number(n) for n in names], np.int32)
 
 
-def features(blocks: list[tuple[str, tuple, int]]) -> list[np.ndarray]:
+def features(blocks: list[tuple[str, Element, int]]) -> list[np.ndarray]:
     """Feature numbers of every block of a page."""
     out = []
-    for i, (text, path, linked) in enumerate(blocks):
-        known = _PATHS.get(path)
-        if known is None:
-            if len(_PATHS) > 20_000:
-                _PATHS.clear()
-            known = _PATHS[path] = _hashed(_path_features(path))
+    for i, (text, element, linked) in enumerate(blocks):
+        known = element.features()
         n = len(text)
         words = text.count(" ") + 1
         stops = text.count(".") + text.count(",") + text.count(";")
@@ -195,15 +303,9 @@ _TEXT_NAMES = ("words", "links", "stops", "ends", "sign", "from top", "from end"
 
 def _labels(blocks: list) -> list[bool] | None:
     """Main text by the page's own elements; ``None`` where it has none."""
-    if not any(t in _MAIN for _, path, _ in blocks for t, _ in path):
+    if not any(e.held for _, e, _ in blocks):
         return None
-    out = []
-    for _, path, _ in blocks:
-        tags = [t for t, _ in path]
-        at = next((i for i, t in enumerate(tags) if t in _MAIN), None)
-        words = set(_WORD.findall(" ".join(w for _, w in path).lower()))
-        out.append(at is not None and not _NOT_MAIN.intersection(tags[at:]) and not words & _ASIDE_WORDS)
-    return out
+    return [e.held and not e.spoilt and not e.aside[1] for _, e, _ in blocks]
 
 
 #: Class and id words by what they usually hold.
@@ -310,7 +412,7 @@ def _training(pages: list[str]) -> Iterator[tuple[list[np.ndarray], list[bool]]]
     for article in articles:
         for _ in range(LAYOUTS):
             blocks = leaf_blocks(layout(article[:40], others, rng))
-            yield features(blocks), [any(w == MARK for _, w in path) for _, path, _ in blocks]
+            yield features(blocks), [e.marked for _, e, _ in blocks]
 
 
 def _node(rows: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
@@ -388,7 +490,8 @@ def extract(pages: DataFrame, weights: np.ndarray | None, keep: list[str], html:
                                               pa.array([len(t) for t in texts], pa.int64())],
                                              [*batch.schema.names[:-1], "text", "n_chars"])
 
-    return pages.select(*keep, F.col(html).alias("__html")).mapInArrow(run, schema)
+    # by its place: another column may have any name
+    return pages.select(*keep, F.col(html).cast("string")).mapInArrow(run, schema)
 
 
 def digest(pages: DataFrame) -> DataFrame:
