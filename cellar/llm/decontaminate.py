@@ -1,9 +1,11 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Tokens are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A document is
-contaminated by a benchmark item when ``WINDOW`` aligned tokens of both agree in all but
-``substitutions(WINDOW)`` places (0.8 or more alike); an item of fewer tokens counts as one
-window, one of fewer than ``MIN_TOKENS`` is not looked for.
+Tokens are runs of letters, digits and non-ASCII characters, A-Z lower-cased; a character of a
+script without spaces (``SCRIPTS``) is a token of its own. A document is contaminated by a
+benchmark item when ``WINDOW`` aligned tokens of both agree in all but ``substitutions(WINDOW)``
+places (0.8 or more alike); an item of fewer tokens counts as one window. An item of fewer than
+``MIN_TOKENS`` says too little within a sentence: it contaminates the documents that have it as a
+whole line (exact equality of the token sequences, found by a join; a text of one line is a line).
 
 Seeds: fixed masks ignore some positions. However the substitutions of a window fall, one of the
 ``MASKS`` has a place in the window where none of its positions is hit, so equal seed hashes
@@ -23,16 +25,22 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellar.llm.common import LOWER, bit_filter, cut, in_filter, mix, pieces, string_bytes, words
+from cellar.operators.ordinal import fresh, quoted
 
 WINDOW = 13
 MIN_TOKENS = 5
 #: Positions that count; together they survive any two substitutions in 13 tokens (tested).
 MASKS = ((0, 1, 3, 4, 5, 6), (0, 1, 2, 3, 7, 9))
 FILTER_BITS = 23
+#: Scripts written without spaces (fixed names of Unicode scripts).
+SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+_ALONE = "([" + "".join(f"\\p{{Is{s}}}" for s in SCRIPTS) + "])"
+_TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _CHARS = np.arange(256)
 SEPARATOR = ~(((_CHARS >= 48) & (_CHARS < 58)) | ((_CHARS >= 65) & (_CHARS < 91))
@@ -68,6 +76,29 @@ def seeds(tokens: np.ndarray, masks: list[tuple[int, tuple[int, ...]]]) -> list[
     return out
 
 
+def _spaced(text: Column) -> Column:
+    """The text with spaces around the characters that are tokens of their own."""
+    return F.when(text.rlike(_ALONE), F.regexp_replace(text, _ALONE, " $1 ")).otherwise(text)
+
+
+def _sequence(text: Column) -> Column:
+    """The tokens of a text as an array."""
+    return F.regexp_extract_all(F.translate(_spaced(text), _UPPER, _LOWER), F.lit(_TOKEN), F.lit(0))
+
+
+def _whole_lines(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """(doc_id, item_id, matched, compared) of the items that are too short for windows; None without such items."""
+    few = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _sequence(F.col("text").cast("string")).alias("t"))
+    few = few.where(F.size("t").between(1, MIN_TOKENS - 1)).select("item_id", F.array_join("t", " ").alias("line"),
+                                                                  F.size("t").alias("n")).distinct()
+    if not few.limit(1).count():
+        return None
+    line = F.explode(F.split(F.col("text").cast("string"), r"[\r\n]+"))
+    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), line.alias("l")).select("doc_id", _sequence(F.col("l")).alias("t"))
+    lines = lines.where(F.size("t").between(1, MIN_TOKENS - 1)).select("doc_id", F.array_join("t", " ").alias("line")).distinct()
+    return lines.join(few, "line").select("doc_id", "item_id", F.col("n").alias("matched"), F.col("n").alias("compared"))
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     """(item_id, tokens): token hashes of every item that is looked for."""
 
@@ -78,7 +109,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(
                 pa.array(first, pa.int32()), pa.array(hashes.view(np.int64)))], ["item_id", "tokens"])
 
-    src = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    src = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _spaced(F.col("text").cast("string")).alias("text"))
     return src.mapInArrow(run, "item_id long, tokens array<long>").where(F.size("tokens") >= MIN_TOKENS).distinct()
 
 
@@ -149,7 +180,7 @@ def _regions(docs: DataFrame, table_: np.ndarray, lengths: list[int]) -> DataFra
                  pa.array(out["tokens"], pa.list_(pa.int64())), pa.array(out["hits"], hit_type)],
                 ["doc_id", "start", "tokens", "hits"])
 
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _spaced(F.col("text").cast("string")).alias("text"))
     return src.mapInArrow(run, schema)
 
 
@@ -192,11 +223,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     candidates = (pairs.join(texts, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("start") == F.col("__s")))
                   .join(named, F.col("item_id").eqNullSafe(F.col("__i"))))
     got = _verify(candidates).where(F.expr("compared - matched <= floor(compared / 5)"))
+    whole = _whole_lines(docs, benchmark)
+    got = got if whole is None else got.union(whole)
     return got.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"), F.max("compared").alias("compared"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that overlap an item. Rows without an id can't be named as
     contaminated and stay."""
-    bad = cut(overlaps(docs, benchmark).select("doc_id").distinct())
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    (name,) = fresh(docs, "__bad")
+    bad = cut(overlaps(docs, benchmark).select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(bad, docs["doc_id"] == F.col(name), "left_anti").select(*map(quoted, docs.columns))
