@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellar.operators.ordinal import quoted
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("iban", "ssn")
 CONTEXT_CHARS = 40
@@ -184,7 +186,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     kind of the first. ``n_chars``, where there is one, is counted anew for changed texts."""
     kinds = BASE_KINDS + ADDED_KINDS
     kept = docs.columns
-    got = docs.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(kept)],
+    got = docs.select(*[quoted(c).alias(f"__{i}") for i, c in enumerate(kept)],
                       F.coalesce(F.col(text), F.lit("")).alias("__text"))
     got = find(got, "__text")
 

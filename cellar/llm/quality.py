@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellar.operators.ordinal import fresh, quoted
 from cellar.llm.common import LOWER, SPACE, crc32_mod, pieces, string_bytes, words
 from cellar.llm.crf import marginals
 
@@ -202,9 +203,9 @@ def score(docs: DataFrame, weights: np.ndarray | float, keep: list[str], text: s
     """Columns ``keep`` of every row and its score. One map over whole texts, no shuffle."""
     keep = [c for c in keep if c != name]
     extra = [] if text in keep else [text]
-    src = docs.select(*keep, *extra)
+    src = docs.select(*map(quoted, keep + extra))
     at = src.columns.index(text)
-    schema = docs.select(*keep).schema.add(name, "double")
+    schema = docs.select(*map(quoted, keep)).schema.add(name, "double")
 
     def run(batches):
         for batch in batches:
@@ -233,5 +234,6 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
-    got = score(docs, train(docs, labels), docs.columns, name="__quality_score")
-    return got.where(F.col("__quality_score") >= THRESHOLD).select(*docs.columns)
+    (name,) = fresh(docs, "__quality_score")
+    got = score(docs, train(docs, labels), docs.columns, name=name)
+    return got.where(F.col(name) >= THRESHOLD).select(*map(quoted, docs.columns))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellar.llm.common import pieces, string_bytes
+from cellar.operators.ordinal import quoted
 
 MARK = "▁"
 #: Piece types of the model format (fixed values): normal, unknown, control, byte.
@@ -360,10 +361,10 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", end_id: int
     """
     new = ["n_tokens", "ids_sha256", "decoded_sha256"] + (["ids"] if keep_ids else [])
     kept = [c for c in (docs.columns if keep is None else keep) if c not in new]
-    src = docs.select(*kept, F.col(text).alias("__text"))
+    src = docs.select(*map(quoted, kept), F.col(text).alias("__text"))
     out = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
                     + ([("ids", pa.list_(pa.int32()))] if keep_ids else []))
-    schema = docs.select(*kept).schema
+    schema = docs.select(*map(quoted, kept)).schema
     for name, kind in zip(new, [T.LongType(), T.StringType(), T.StringType(), T.ArrayType(T.IntegerType())], strict=False):
         schema = schema.add(name, kind)
 

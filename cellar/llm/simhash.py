@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from cellar.llm.common import cut
 from cellar.llm.components import components
+from cellar.operators.ordinal import fresh, quoted
 
 SEED = 42
 BLOCKS = 6
@@ -259,10 +260,13 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     can't be told apart and stay.
     """
     got = cut(near_duplicates(docs, shingle, max_bits))
-    gone = got.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = cut(got.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    gone, again, n = fresh(docs, "__gone", "__again", "__n")
+    columns = [quoted(c) for c in docs.columns]
+    lost = got.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    kept = docs.join(lost, docs["doc_id"] == F.col(gone), "left_anti")
+    twice = cut(got.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(again)).agg(F.count(F.lit(1)).alias(n))
+                .where(F.col(n) > 1).select(again))
     order = Window.partitionBy("doc_id").orderBy("text")
-    first = (kept.join(again, "doc_id", "left_semi").withColumn("__n", F.row_number().over(order))
-             .where("__n = 1").select(*docs.columns))
-    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).union(first)
+    first = (kept.join(twice, F.col("doc_id") == F.col(again), "left_semi").withColumn(n, F.row_number().over(order))
+             .where(F.col(n) == 1).select(*columns))
+    return kept.join(twice, F.col("doc_id") == F.col(again), "left_anti").select(*columns).union(first)

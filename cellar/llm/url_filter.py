@@ -258,7 +258,7 @@ def classify(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES) -
         mined = mine(got.where("fixed IS NOT NULL").select(
             F.array_except("items", own).alias("items"), "host", F.col("fixed.verdict").alias("label")), by_host=True)
     else:
-        mined = mine(parsed(labelled.where("label IS NOT NULL")).select("items", "label"))
+        mined = mine(parsed(labelled.where("label IS NOT NULL").select("url", "label")).select("items", "label"))
     said = judge(got.where("fixed IS NULL"), mined)
     return (got.join(said, "items", "left")
             .select("page_id", "url", "host", "path", F.col("fixed.rule").alias("rule"),

@@ -231,7 +231,7 @@ def test_held_out_layouts(page_weights):
     wrong = total = 0
     for x in texts:
         blocks = html_text.leaf_blocks(html_text.layout(x, others, rng))
-        truth = [any(w == html_text.MARK for _, w in path) for _, path, _ in blocks]
+        truth = [e.marked for _, e, _ in blocks]
         rows_ = html_text.features(blocks)
         good = html_text.viterbi(html_text._node(rows_, page_weights[:html_text.DIMENSIONS]) + page_weights[-5],
                                  np.array([0, len(rows_)]), page_weights[-4:])
@@ -306,11 +306,58 @@ def test_stages_keep_columns(spark):
         assert stage(spark, nothing, SF).count() == 0
 
 
+def test_stages_keep_columns_named_like_their_own(spark):
+    import corpus_pipeline
+
+    names = ["__quality_score", "__n", "__gone", "__again", "__bad", "__text", "__all", "__new", "__html", "fp", "sig"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    again = docs.where("doc_id < 20")
+    docs = docs.union(again)
+    named = docs.select("*", *[F.lit(-5.0 - j).alias(n) for j, n in enumerate(names)])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, named, SF)
+        assert out.dtypes == named.dtypes
+        want = sorted(r.doc_id for r in stage(spark, docs, SF).collect())
+        rows = out.collect()
+        assert sorted(r.doc_id for r in rows) == want
+        assert all(r[n] == -5.0 - j for r in rows for j, n in enumerate(names))
+
+
+@pytest.mark.parametrize("kind, page", [
+    ("open tags", "<a " * 350_000), ("open values", '<p x="' * 170_000), ("nested", "<div>x" * 60_000),
+    ("ends", "<i><div>" + "<b>" * 130_000 + "</i>" * 130_000), ("headings", "<b>" * 60_000 + "<h1>y" * 60_000),
+    ("signs", "<" * 1_000_000), ("comments", "<!--" * 250_000), ("words", "".join(f'<b id="w{chr(97 + i % 26) * (i % 40)}">t'
+                                                                                  for i in range(50_000)))])
+def test_broken_and_deep_pages_take_time_in_proportion(page_weights, kind, page):
+    import time
+
+    def seconds(html):
+        began = time.process_time()
+        html_text.main_text(html, page_weights)
+        return time.process_time() - began
+
+    seconds(page[:10_000])
+    half, whole = seconds(page[:len(page) // 2]), seconds(page)
+    assert whole < 20 and whole < 4 * half + 1
+
+
+def test_markup_at_odds():
+    def texts(html):
+        return [b[0] for b in html_text.leaf_blocks(html)]
+
+    assert texts("a < b &amp; c<p>d</p >e") == ["a < b & c", "d", "e"]
+    assert texts("<p class='x>y' id=z>t</p><p/>u<br/>v") == ["t", "u v"]
+    assert texts("<script>if (a<b) '</p>'</script>x<style>p{}</style>y<textarea><p>z</textarea>w") == ["xyw"]
+    assert texts("x<!-- <p>no --!>y<!-->z<!doctype html><?pi?>w</>v") == ["xyzwv"]
+    assert texts("<p>one<p>two<ul><li>a<li>b<ul><li>c</ul>d</ul>") == ["one", "two", "a", "b", "c", "d"]
+    assert texts("kept<p title=\"open") == ["kept"] and texts("kept<!-- open <p>x") == ["kept"]
+
+
 def test_registered():
     import __spark_entry__ as E
 
     names = set(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(bool(re.match(rf"op{n}_", x)) for x in names) == 1
-    assert "pipeline" in names and "op6_topk" in E.oracle_sql()
+    assert "pipeline" in names and {"op6_topk", "op11_lexical_search", "op12_merkle_manifest"} <= set(E.oracle_sql())
     assert {decontaminate, sentencepiece_codec, simhash}

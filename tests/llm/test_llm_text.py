@@ -307,7 +307,9 @@ def test_sentencepiece_columns(spark, piece_path):
 
 
 def doc_tokens(t):
-    return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    # Chinese, Japanese and Thai characters are tokens of their own
+    t = re.sub("([\u4e00-\u9fff\u3041-\u3096\u30a1-\u30fa\u0e01-\u0e3a])", r" \1 ", t or "")
+    return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m.group().lower(), t))
 
 
 def overlaps_by_hand(docs, items):
@@ -315,6 +317,8 @@ def overlaps_by_hand(docs, items):
     for i, t in items:
         y = doc_tokens(t)
         if len(y) < 5:
+            # short items: as a whole line
+            out |= {(d, i): len(y) for d, x in docs if y and any(doc_tokens(z) == y for z in re.split(r"[\r\n]+", x or ""))}
             continue
         n = min(13, len(y))
         for d, x in docs:
@@ -366,6 +370,26 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(frame(spark, docs), benchmark.where("false")).count() == 0
 
 
+def test_decontamination_of_short_items_and_scripts_without_spaces(spark):
+    rng = random.Random(8)
+    han = [chr(0x4e00 + i) for i in range(300)]
+    passage = "".join(rng.choices(han, k=40))
+    thai = "".join(chr(0x0e01 + rng.randrange(40)) for _ in range(30))
+    items = [(1, "Yes"), (2, "what is it?"), (3, "one two three four"), (4, passage), (5, thai), (6, "\u3042\u30a2"),
+             (7, "one two three four five"), (8, "?!"), (9, "Yes")]
+    near = list(passage)
+    near[7] = near[20] = "x"
+    docs = [(1, "yes"), (2, "Yes, it is"), (3, "a line\n- YES!\r\nmore"), (4, "What is it"), (5, "so what is it then"),
+            (6, "one, two\nthree four"), (7, "x\nOne Two Three Four."), (8, "".join(rng.choices(han, k=60)) + passage[5:30] + "y"),
+            (9, "".join(near)), (10, thai[3:20]), (11, "\u3042 \u30a2"), (12, "\u3042\u30a2\u3042"), (13, "one two three four five"),
+            (14, "".join(rng.choices(han, k=200))), (15, passage[:10]), (16, None), (None, "yes"), (17, "yes\nyes")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in decontaminate.overlaps(frame(spark, docs), benchmark).collect()}
+    assert got == overlaps_by_hand(docs, items)
+    assert {(1, 1), (1, 9), (3, 1), (4, 2), (7, 3), (8, 4), (9, 4), (10, 5), (11, 6), (13, 7), (None, 1)} <= set(got)
+    assert not {d for d, _ in got} & {2, 5, 6, 12, 14, 15}
+
+
 # ---------------------------------------------------------------- SimHash
 
 
