@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1093,11 +1094,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _training_data() -> dict[str, tuple[Callable, str | None]]:
     """Queries of the optional training-data subpackage; none when it is not installed."""
-    try:
-        import corpus_pipeline
-        from cellar.llm.queries import QUERIES
-    except ImportError:
+    if find_spec("corpus_pipeline") is None or find_spec("cellar.llm") is None or find_spec("cellar.llm.queries") is None:
         return {}
+    # an error within the subpackage is one
+    import corpus_pipeline
+    from cellar.llm.queries import QUERIES
+
     return QUERIES | {"pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}
 
 
