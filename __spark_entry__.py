@@ -815,7 +815,7 @@ SELECT c_custkey, CAST(2 AS BIGINT) AS copies, round(2 * c_acctbal, 2) AS acctba
 def q_update_workbook(spark, sf):
     """N10 + J1/J2: orders written to a workbook (row of order k = k + 2, keys are 0..n-1), every
     lineitem patches the priority cell of its order (last write wins in the total order)."""
-    from cellar.sinks.excel import update_workbook
+    from cellar.sinks.update import update_workbook
 
     folder = scratch_dir(spark, "update")
     src, out = folder + "/orders.xlsx", folder + "/orders_updated.xlsx"
@@ -837,6 +837,37 @@ FROM orders o LEFT JOIN p ON p.l_orderkey = o.o_orderkey
 """
 
 
+def q_update_styles(spark, sf):
+    """N10 + J6: cells patched in place keep their style, new ones have none here; every cell of the sheet
+    with its style id and text."""
+    from cellar.sinks.update import raw_rows, sheet_index, update_workbook
+
+    path = scratch_dir(spark, "styles") + "/orders.xlsx"
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("d"), "o_orderstatus",
+                                       "o_custkey")
+    write_excel({"orders": o.select("o_orderkey", "o_orderpriority", "d")}, path, order_by=["o_orderkey"])
+    row = (F.col("o_orderkey") + 2).cast("string")
+    value = F.col("o_custkey").cast("double")
+    patches = o.where("o_orderstatus = 'P'").select(F.concat(F.lit("C"), row).alias("a"), value.alias("v")).unionByName(
+        o.where("o_orderstatus = 'F'").select(F.concat(F.lit("E"), row).alias("a"), value.alias("v"))).unionByName(
+        o.where("o_custkey % 7 = 0").select(F.concat(F.lit("B"), row).alias("a"), F.lit(None).cast("double").alias("v")))
+    update_workbook(spark, path, patches)
+    cells = raw_rows(path, sheet_index(spark, path)).where("row > 0").select("row", F.explode("cells").alias("c"))
+    text = F.regexp_extract("c.xml", r"<(?:v|t)(?: [^>]*)?>([^<]*)<", 1)
+    return cells.select("row", F.col("c.col").cast("int").alias("col"), F.col("c.style").cast("int").alias("style"),
+                        F.regexp_replace(text, r"\.0$", "").alias("said"))
+
+
+SQL_UPDATE_STYLES = """
+WITH o AS (SELECT o_orderkey + 1 AS row, * FROM orders)
+SELECT row, 0 AS col, 0 AS style, CAST(o_orderkey AS VARCHAR) AS said FROM o
+UNION ALL SELECT row, 1, 0, o_orderpriority FROM o WHERE o_custkey % 7 <> 0
+UNION ALL SELECT row, 2, 1, CASE WHEN o_orderstatus = 'P' THEN CAST(o_custkey AS VARCHAR)
+                                 ELSE CAST(date_diff('day', DATE '1899-12-30', CAST(o_orderdate AS DATE)) AS VARCHAR) END FROM o
+UNION ALL SELECT row, 4, 0, CAST(o_custkey AS VARCHAR) FROM o WHERE o_orderstatus = 'F'
+"""
+
+
 def q_stream_to_workbooks(spark, sf):
     """The customer table as a file stream; every micro-batch becomes its own workbook
     (named by batch id, so a re-run batch rewrites its file); the folder is read back."""
@@ -1075,6 +1106,7 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "stream_workbooks": (q_stream_workbooks, SQL_STREAM_WORKBOOKS),
     "append_workbook": (q_append_workbook, SQL_APPEND_WORKBOOK),
     "update_workbook": (q_update_workbook, SQL_UPDATE_WORKBOOK),
+    "update_styles": (q_update_styles, SQL_UPDATE_STYLES),
     "stream_to_workbooks": (q_stream_to_workbooks, SQL_STREAM_TO_WORKBOOKS),
     "union_files": (q_union_files, SQL_UNION_FILES),
     "select_columns": (q_select_columns, SQL_SELECT_COLUMNS),

@@ -11,7 +11,8 @@ updates as a distributed merge. Public entry points:
 * ``cellar.streaming`` -- workbook streams in and out
 """
 
-from .sinks.excel import update_workbook, write_cells, write_excel, write_excel_by_key
+from .sinks.excel import write_cells, write_excel, write_excel_by_key
+from .sinks.update import update_workbook
 from .sources.excel import (
     ReadOptions,
     inventory,

@@ -28,7 +28,7 @@ def patches_from_table(df: DataFrame, address_col: str | None = None, sheet: str
     or writes the ``missing`` text when given.
     """
     if address_col is None:
-        strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in ("sheet", seq_col)]
         if not strings:
             raise ValueError("The patch table has no string column for the addresses")
         address_col = strings[0]
@@ -80,7 +80,8 @@ def require_sheets(patches: DataFrame, sheets: DataFrame) -> None:
 
 
 def apply_patches(base: DataFrame, patches: DataFrame) -> DataFrame:
-    """Existing cells replaced, missing ones created, cleared ones removed (J4); style kept."""
+    """Existing cells replaced, missing ones created, cleared ones removed (J4). A ``style`` column
+    is carried along; ``sinks.update`` has the rule for cells of a workbook (J6)."""
     p = last_write_wins(patches).select(
         "sheet", "row", "col", F.col("k").alias("pk"), F.col("n").alias("pn"), F.col("s").alias("ps"))
     b = base
@@ -95,11 +96,3 @@ def apply_patches(base: DataFrame, patches: DataFrame) -> DataFrame:
         *([F.col("style")] if has_style else []),
     )
     return out.filter(F.col("k") != F.lit(CLEARED))
-
-
-def keep_style(cells: DataFrame, row_styles: DataFrame, col_styles: DataFrame) -> DataFrame:
-    """A cell's style: its own, else its row's, else its column's."""
-    out = cells.join(row_styles.withColumnRenamed("style", "row_style"), ["sheet", "row"], "left").join(
-        col_styles.withColumnRenamed("style", "col_style"), ["sheet", "col"], "left")
-    return out.withColumn("style", F.coalesce(F.col("style"), F.col("row_style"), F.col("col_style"))).drop(
-        "row_style", "col_style")

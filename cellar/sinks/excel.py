@@ -528,25 +528,3 @@ def write_cells(cells: DataFrame, path: str, sheets: list[str] | None = None, mo
     result = meta.unionByName(placeholder).groupBy("wb").applyInPandas(
         _commit_fn(spec), "wb string, path string, sheets int, rows long")
     return _materialize(result, stage)
-
-
-def update_workbook(spark, path: str, patches: DataFrame, out_path: str, address_col: str | None = None,
-                    seq_col: str | None = None, missing: str | None = None) -> DataFrame:
-    """N10 + J1-J5: apply addressed patches (column ``sheet`` or the first sheet) to a workbook and
-    write the updated workbook to ``out_path`` (cell values; styles are not carried)."""
-    from ..operators.patch import apply_patches, patches_from_table, require_sheets
-    from ..sources.excel import ReadOptions, list_sheets, read_rows
-
-    names = [r["Sheet"] for r in list_sheets(spark, path).orderBy("sheet_pos").collect()]  # one row per sheet
-    base = None
-    for i, nm in enumerate(names):
-        rows = read_rows(spark, path, ReadOptions(sheet=i, header_row=None, skip_hidden_rows=False,
-                                                  skip_hidden_cols=False, blank_to_missing=False, use15=False))
-        long = rows.select(F.lit(nm).alias("sheet"), F.col("row_idx").alias("row"),
-                           F.explode("cells").alias("col", "c")).select("sheet", "row", "col", "c.k", "c.n", "c.s")
-        base = long if base is None else base.unionByName(long)
-    p = patches_from_table(patches, address_col, sheet=None if "sheet" in patches.columns else names[0],
-                           seq_col=seq_col, missing=missing)
-    sheets_df = spark.createDataFrame([(nm,) for nm in names], "sheet string")
-    require_sheets(p, sheets_df)
-    return write_cells(apply_patches(base, p), out_path, names)

@@ -25,6 +25,20 @@ _XF = re.compile(rb"<(?:[A-Za-z_][\w.-]*:)?xf\b")
 _NUMFMT_ID = re.compile(rb"numFmtId=\"(\d+)\"")
 
 
+def style_counts(zf: zipfile.ZipFile) -> tuple[int, int]:
+    """(cell styles, highest number format id) of a workbook."""
+    n_xf, max_fmt = 1, 163
+    styles = [n for n in zf.namelist() if n.lower().endswith("styles.xml")]
+    if styles:
+        st = zf.read(styles[0])
+        m = _XF_COUNT.search(st)
+        if m:
+            end = st.find(b"cellXfs>", m.end())
+            n_xf = len(_XF.findall(st[m.end():end]))
+        max_fmt = max([163, *(int(x) for x in _NUMFMT_ID.findall(st))])
+    return n_xf, max_fmt
+
+
 def _layout_fn(batches):
     for b in batches:
         for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
@@ -40,16 +54,7 @@ def _layout_fn(batches):
                 names.append(sh.name)
                 parts.append(sh.part)
                 lasts.append(last)
-            n_xf, max_fmt = 1, 163
-            styles = [n for n in zf.namelist() if n.lower().endswith("styles.xml")]
-            if styles:
-                st = zf.read(styles[0])
-                m = _XF_COUNT.search(st)
-                if m:
-                    end = st.find(b"cellXfs>", m.end())
-                    n_xf = len(_XF.findall(st[m.end():end]))
-                ids = [int(x) for x in _NUMFMT_ID.findall(st)]
-                max_fmt = max([163] + ids)
+            n_xf, max_fmt = style_counts(zf)
             yield pa.RecordBatch.from_pydict(
                 {"path": [path] * len(names), "sheet_pos": list(range(len(names))), "sheet": names,
                  "part": parts, "last_row": lasts, "n_xf": [n_xf] * len(names), "max_fmt": [max_fmt] * len(names)},
@@ -70,10 +75,6 @@ def workbook_layout(spark: SparkSession, path: str) -> dict:
     }
 
 
-def _inflate(zf: zipfile.ZipFile, name: str) -> bytes:
-    return zf.read(name)
-
-
 def _deflated(data: bytes, level: int = 1):
     co = zlib.compressobj(level, zlib.DEFLATED, -15)
     out = co.compress(data) + co.flush(zlib.Z_SYNC_FLUSH)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 
 def resolve(uri: str):
     from pyarrow import fs
@@ -49,9 +51,23 @@ def open_output(uri: str):
 
 
 def move(src: str, dst: str) -> None:
+    """Rename, also onto an existing file. Where a file system refuses that, the old file is put
+    aside, and back again if the new one can't take its place."""
     fsys, s = resolve(src)
     _, d = resolve(dst)
-    fsys.move(s, d)
+    try:
+        fsys.move(s, d)
+    except OSError:
+        if not exists(dst) or not exists(src):
+            raise
+        aside = f"{d}.{uuid.uuid4().hex[:8]}.old"
+        fsys.move(d, aside)
+        try:
+            fsys.move(s, d)
+        except OSError:
+            fsys.move(aside, d)
+            raise
+        fsys.delete_file(aside)
 
 
 def delete_file(uri: str) -> None:

@@ -110,6 +110,25 @@ class ZipWriter:
 
         self._member(name, chunks(), crc, raw, comp)
 
+    def copy_member(self, src, fh, info, block: int = 1 << 20):
+        """Copy a member of another zip (``src`` over the seekable ``fh``) without inflating it."""
+        if info.compress_type != 8 or info.flag_bits & 1:
+            self.add_bytes(info.filename, src.read(info.filename))
+            return
+        fh.seek(info.header_offset)
+        head = fh.read(30)
+        at = info.header_offset + 30 + int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little")
+
+        def chunks():
+            left = info.compress_size
+            fh.seek(at)
+            while left:
+                data = fh.read(min(block, left))
+                left -= len(data)
+                yield data
+
+        self._member(info.filename, chunks(), info.CRC, info.file_size, info.compress_size)
+
     def _member(self, name, chunks, crc, raw, comp):
         bname = name.encode("utf-8")
         zip64 = raw >= 0xFFFFFFFF or comp >= 0xFFFFFFFF

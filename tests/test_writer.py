@@ -2,11 +2,13 @@
 
 import datetime as dt
 import os
+import re
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+import xlsxbuild as X
 from cellar import list_sheets, read_excel, write_excel, write_excel_by_key
 from cellar.sinks.excel import sheets_needed
 
@@ -164,7 +166,7 @@ def test_write_into_existing_workbook(spark, tmp):
 
 
 def test_update_workbook_cells(spark, tmp):
-    from cellar.sinks.excel import update_workbook
+    from cellar import update_workbook
 
     src = os.path.join(tmp, "base.xlsx")
     write_excel({"Sheet1": spark.range(0, 10).select(F.col("id").alias("n"), F.lit("t").alias("txt"))}, src,
@@ -222,3 +224,65 @@ def test_columns_named_like_the_writers_own(spark, tmp):
     write_excel_by_key(df.withColumn("__k", F.col("`__n`") % 2), "__k", tmp + "/keys", order_by=["__n"])
     back = read_excel(spark, tmp + "/keys")
     assert sorted(map(tuple, back.collect())) == want
+
+
+def test_update_in_place_keeps_styles_and_parts(spark, tmp):
+    from cellar import update_workbook
+
+    rows = ['<row r="1" spans="1:3">' + X.num("A1", 1, 4) + X.text("B1", "keep") + "</row>",
+            '<row r="2" s="3" customFormat="1" ht="20">' + X.num("A2", 2) + '<c r="B2" s="2"/><c r="D2" t="s"><v>0</v></c></row>',
+            '<row r="4"><c r="A4"><f>A1+1</f><v>2</v></c></row>', '<row r="6"/>']
+    xml = X.sheet_xml(rows).replace("<sheetData>", '<dimension ref="A1:D4"/><cols><col min="1" max="2" style="1"/>'
+                                    '<col min="3" max="9" width="4"/><col min="5" max="16384" style="2"/></cols><sheetData>')
+    xml = xml.replace("</sheetData>", '</sheetData><mergeCells count="1"><mergeCell ref="F1:G1"/></mergeCells>')
+    p = X.build(os.path.join(tmp, "u.xlsx"), [("s", xml), ("t", X.sheet_xml([X.row(1, X.text("A1", "other"))]))], strings=["shared"])
+    with zipfile.ZipFile(p, "a", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("xl/media/image1.png", bytes(range(256)) * 40)
+        z.writestr("xl/calcChain.xml", "<calcChain/>")
+        z.writestr("docProps/app.xml", "<x/>", zipfile.ZIP_STORED)
+    with zipfile.ZipFile(p) as z:
+        before = {n: z.read(n) for n in z.namelist()}
+    patches = spark.createDataFrame(
+        [("A1", 10.0, None, None), ("B1", None, "new <b> & _x0041_", None), ("B2", 5.0, None, None), ("C2", 6.0, None, None),
+         ("A3", 7.0, None, None), ("C3", 8.0, None, None), ("K3", 9.0, None, None), ("D2", None, None, None), ("A6", None, None, True),
+         ("C9", None, None, False)], "a string, n double, t string, b boolean")
+    update_workbook(spark, p, patches)
+    with zipfile.ZipFile(p) as z:
+        assert z.testzip() is None
+        after = {n: z.read(n) for n in z.namelist()}
+    assert set(before) - set(after) == {"xl/calcChain.xml"}
+    assert all(after[n] == before[n] for n in after if n not in ("xl/worksheets/sheet1.xml", "xl/styles.xml"))
+    got = after["xl/worksheets/sheet1.xml"].decode()
+    cells = dict(re.findall(r'<c r="([A-Z]+[0-9]+)"((?: [a-z]+="[^"]*")*)', got))
+    assert {k: re.findall(r's="([0-9]+)"', v) for k, v in cells.items()} == {
+        "A1": ["4"], "B1": [], "A2": [], "B2": ["2"], "C2": ["3"], "A3": ["1"], "C3": [], "K3": ["2"], "A4": [], "A6": ["1"], "C9": []}
+    assert "<f>A1+1</f>" in got and '<row r="2" s="3" customFormat="1" ht="20">' in got and "mergeCells" in got
+    assert "dimension" not in got and '<col min="1" max="2" style="1"/>' in got
+    back = read_excel(spark, p, header_row=None, skip_empty_rows=False, use15=False).collect()
+    assert (back[0]["B"], back[5]["A"], back[8]["C"]) == ("new <b> & _x0041_", "true", "false")
+    # a second update into a new file, of the other sheet, with a date
+    out = os.path.join(tmp, "v.xlsx")
+    update_workbook(spark, p, spark.createDataFrame([("t", "B1", dt.date(2024, 2, 29))], "sheet string, a string, d date"), out)
+    (row,) = read_excel(spark, out, sheet="t", header_row=None).collect()
+    assert tuple(row) == ("other", dt.date(2024, 2, 29))
+    with zipfile.ZipFile(out) as z:
+        assert z.read("xl/worksheets/sheet1.xml").decode() == got
+
+
+def test_updates_of_prefixed_and_unnumbered_rows(spark, tmp):
+    from cellar import update_workbook
+    from cellar.sinks import update
+
+    xml = ('<x:worksheet xmlns:x="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><x:sheetData>'
+           + "".join(f"<x:row><x:c><x:v>{i}</x:v></x:c><x:c><x:v>{-i}</x:v></x:c></x:row>" for i in range(50))
+           + "</x:sheetData></x:worksheet>")
+    p = X.build(os.path.join(tmp, "x.xlsx"), [("s", xml), ("e", X.sheet_xml([]).replace("<sheetData></sheetData>", "<sheetData/>"))])
+    split = update.RAW_SPLIT
+    update.RAW_SPLIT = 500
+    try:
+        update_workbook(spark, p, spark.createDataFrame([("s", "B3", 77), ("e", "C2", 78)], "sheet string, a string, n int"))
+    finally:
+        update.RAW_SPLIT = split
+    back = read_excel(spark, p, header_row=None).collect()
+    assert [tuple(r) for r in back] == [(i, 77 if i == 2 else -i) for i in range(50)]
+    assert [tuple(r) for r in read_excel(spark, p, sheet="e", header_row=None).collect()] == [(None, None, 78)]
