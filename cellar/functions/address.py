@@ -41,7 +41,7 @@ def col_index(label, strict: bool = True) -> Column:
     value = F.aggregate(
         F.split(s, ""), F.lit(0).cast("long"), lambda acc, c: acc * 26 + (F.ascii(c) - 64)
     ) - 1
-    bad = F.raise_error(F.concat(F.lit("Invalid column '"), s, F.lit("'."))) if strict else F.lit(None)
+    bad = F.raise_error(F.concat(F.lit("no column (capital letters or a number): "), s)) if strict else F.lit(None)
     return (
         F.when(s.isNull(), F.lit(None).cast("long"))
         .when(s == "", F.lit(-1).cast("long"))

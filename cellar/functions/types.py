@@ -68,24 +68,3 @@ KIND_ERROR = "e"  # error value such as #DIV/0!
 
 CELL_STRUCT = "struct<k:string,n:double,s:string>"
 CELLS_MAP = f"map<int,{CELL_STRUCT}>"
-
-
-def lattice_name(mask: int) -> str:
-    """Python twin of plans.infer.lattice_type for driver-side use (schema building)."""
-    if mask == 0:
-        return "STRING"
-    if mask & BIT_STRING:
-        return "STRING"
-    if mask & ~(BIT_INT | BIT_LONG | BIT_DOUBLE) == 0:
-        if mask & BIT_DOUBLE:
-            return "DOUBLE"
-        if mask & BIT_LONG:
-            return "LONG"
-        return "INT"
-    if mask == BIT_BOOLEAN:
-        return "BOOLEAN"
-    if mask & ~(BIT_DATE | BIT_DATETIME) == 0:
-        return "DATETIME" if mask & BIT_DATETIME else "DATE"
-    if mask == BIT_TIME:
-        return "TIME"
-    return "STRING"

@@ -1,4 +1,4 @@
-"""Where written rows land: sheet assignment (W7), append over partly filled sheets.
+"""Where written rows land: sheet assignment (W7), append over partly filled sheets.
 
 Ordinals come from ``operators.ordinal`` (no single-partition window).
 """
@@ -31,11 +31,6 @@ def continuation_name_col(base: Column, i: Column) -> Column:
         F.raise_error(F.concat(F.lit("sheet name too long: "), name)))
 
 
-def last_used_rows(cells: DataFrame, sheet_col: str = "sheet", row_col: str = "row_idx") -> DataFrame:
-    """Last used row index per sheet (-1 for none)."""
-    return cells.groupBy(sheet_col).agg(F.max(row_col).alias("last_row"))
-
-
 def _which(n: Column, highs: list[int], lo: int, hi: int) -> Column:
     """Number of the first of the sorted ``highs`` that ``n`` does not exceed: a balanced tree."""
     if lo >= hi:

@@ -46,10 +46,12 @@ def column_masks(rows: DataFrame, cols: list[int] | None = None, date1904=False)
     return per_file.selectExpr("path", stack).filter(F.col("cells") > 0).drop("cells")
 
 
-def sheet_width(rows: DataFrame) -> DataFrame:
-    """A4: number of columns per file (max key + 1)."""
-    return rows.select("path", F.explode(F.map_keys("cells")).alias("col")).groupBy("path").agg(
-        (F.max("col") + 1).alias("width"))
+def sheet_profile(rows: DataFrame) -> DataFrame:
+    """A4 + A6: (path, sheet, width, last_row, n_rows) of decoded rows with cells: the columns up to the last
+    one that holds a cell, and the last row that does. One partial aggregate over the splits."""
+    return rows.where(F.size("cells") > 0).groupBy("path", "sheet").agg(
+        (F.max(F.array_max(F.map_keys("cells"))) + 1).alias("width"), F.max("row_idx").alias("last_row"),
+        F.count(F.lit(1)).alias("n_rows"))
 
 
 RUN_BLOCK_BITS = 16  # rows of a file that are sorted together: 2**16
@@ -194,17 +196,19 @@ def filter_rows(rows: DataFrame, first_row: int = 0, last_row: int | None = None
 
 
 def materialise_empty_rows(rows: DataFrame, first_row: int = 0, last_row: int | None = None,
-                           skip_hidden: bool = True) -> DataFrame:
+                           skip_hidden: bool = True, all_present: bool = False, files: DataFrame | None = None) -> DataFrame:
     """F6 + F7 + Q5: with empty rows kept, every index from ``first_row`` to the last non-empty
     row (or to ``last_row`` when given) exists; synthesised and empty rows are visible.
 
     The index grid is generated per (file, block of BLOCK_ROWS) in parallel, then left-joined
-    to the non-empty rows on (path, row_idx) -- a balanced equi-join, no window.
+    to the non-empty rows on (path, row_idx) -- a balanced equi-join, no window. With
+    ``all_present`` no row given is empty; ``files`` (path) are all files, also those without rows.
     """
-    nonempty = rows.filter(~is_empty_row(F.col("cells"))).filter(F.col("row_idx") >= first_row)
+    nonempty = rows if all_present else rows.filter(~is_empty_row(F.col("cells")))
+    nonempty = nonempty.filter(F.col("row_idx") >= first_row)
     if last_row is not None:
         nonempty = nonempty.filter(F.col("row_idx") <= last_row)
-        bounds = rows.select("path").distinct().withColumn("hi", F.lit(last_row))
+        bounds = (rows if files is None else files).select("path").distinct().withColumn("hi", F.lit(last_row))
     else:
         bounds = nonempty.groupBy("path").agg(F.max("row_idx").alias("hi"))
     lo = F.lit(first_row)

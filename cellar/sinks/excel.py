@@ -34,7 +34,7 @@ from ..operators.ordinal import fresh, quoted, stable_partitions, with_ordinals
 from ..session import remove_tree, scratch_dir
 from . import fsio, parts
 from .render import check_types, header_xml, row_xml, xml_escape_py
-from .zipout import ZipWriter, deflate_fragment
+from .zipout import ZipWriter, deflate_fragment, with_marks
 
 FRAGMENT_BYTES = 8 << 20  # raw XML per fragment before it is deflated and stored
 
@@ -165,7 +165,7 @@ def _commit_fn(spec: dict):
                 tc, tcrc, traw = deflate_fragment(tail.encode())
                 pieces.append((tc, tcrc, traw, len(tc)))
                 z.add_pieces(f"xl/worksheets/sheet{i + 1}.xml", pieces)
-            z.close()
+            z.close(with_marks(b"", spec.get("marks")))
         if spec.get("mode") == "errorifexists" and fsio.exists(target):
             fsio.delete_file(tmp)
             raise FileExistsError(f"{target} exists")
@@ -260,13 +260,14 @@ def column_widths(df: DataFrame, names: list[str], header: bool) -> list[float]:
 def write_excel(tables, path: str, order_by=None, header: bool = True, missing: str | None = None,
                 fmt: str = "xlsx", row_key: str | None = None, mode: str = "overwrite", autosize: bool = False,
                 orientation: str | None = None, paper: str | None = None, max_rows: int | None = None,
-                sheet_exists: str = "fail", create_folders: bool = True) -> DataFrame:
+                sheet_exists: str = "fail", create_folders: bool = True, marks: dict[str, int] | None = None) -> DataFrame:
     """Write one or more DataFrames to one workbook, one sheet each (split by capacity).
 
     ``mode`` (file exists, N4): "overwrite", "errorifexists" or "append" (write into the
     existing workbook); ``sheet_exists`` (N3, with append): "fail", "overwrite" (replace the
     sheet in place) or "append" (after its last used row, over its continuation sheets).
-    Without ``create_folders`` a missing target folder fails the write.
+    Without ``create_folders`` a missing target folder fails the write. ``marks`` (stream name: batch
+    number) are stored in the file itself, so that they and the rows appear at once (G2).
 
     ``tables`` is a DataFrame (sheet ``default_1``) or a dict / list of (sheet name, DataFrame).
     ``order_by`` gives the row order (a DataFrame has none of its own). Returns a one-row
@@ -293,7 +294,7 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
         if mode == "errorifexists":
             raise FileExistsError(f"The file '{path}' exists.")
         if mode == "append":
-            from .existing import workbook_layout
+            from .update import workbook_layout
 
             layout = workbook_layout(spark, path)
     stage = scratch_dir(spark, "xlsx-stage")
@@ -321,7 +322,7 @@ def write_excel(tables, path: str, order_by=None, header: bool = True, missing:
     for f in frags[1:]:
         meta = meta.unionByName(f)
     spec = {"path": path, "tables": specs, "mode": mode, "orientation": orientation, "paper": paper,
-            "layout": layout}
+            "layout": layout, "marks": marks}
     # the commit sees fragment descriptors only (one per sheet part), never rows
     placeholder = meta.sparkSession.createDataFrame(
         [("", t_no, 0, 0, 0, None, 0, 0, 0) for t_no in range(len(specs))], _FRAG_DDL)
@@ -438,12 +439,17 @@ def _commit_into_existing(spec: dict, pdf: pd.DataFrame) -> pd.DataFrame:
     max_id = max([int(x) for x in re.findall(rb'sheetId="(\d+)"', wb_xml)] + [0])
     add_sheets, add_rels, add_types = "", "", ""
     new_parts = []
+    # names that neither the workbook nor an earlier append has
+    taken, rels_xml, number = set(src.namelist()), src.read(rels_part), 0
     for k, (name, t_no, s_no) in enumerate(new_sheets):
-        part = f"{folder}/worksheets/cellar_sheet{k + 1}.xml"
+        number += 1
+        while f"{folder}/worksheets/cellar_sheet{number}.xml" in taken or f'"rIdCellar{number}"'.encode() in rels_xml:
+            number += 1
+        part = f"{folder}/worksheets/cellar_sheet{number}.xml"
         new_parts.append((part, t_no, s_no))
-        add_sheets += f'<sheet name="{xml_escape_py(name)}" sheetId="{max_id + k + 1}" r:id="rIdCellar{k + 1}"/>'
-        add_rels += (f'<Relationship Id="rIdCellar{k + 1}" Type="http://schemas.openxmlformats.org/officeDocument/'
-                     f'2006/relationships/worksheet" Target="worksheets/cellar_sheet{k + 1}.xml"/>')
+        add_sheets += f'<sheet name="{xml_escape_py(name)}" sheetId="{max_id + k + 1}" r:id="rIdCellar{number}"/>'
+        add_rels += (f'<Relationship Id="rIdCellar{number}" Type="http://schemas.openxmlformats.org/officeDocument/'
+                     f'2006/relationships/worksheet" Target="worksheets/cellar_sheet{number}.xml"/>')
         add_types += (f'<Override PartName="/{part}" ContentType="application/vnd.openxmlformats-officedocument.'
                       'spreadsheetml.worksheet+xml"/>')
     tmp = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
@@ -477,7 +483,7 @@ def _commit_into_existing(spec: dict, pdf: pd.DataFrame) -> pd.DataFrame:
                 z.add_bytes(name, src.read(name))
         for part, t_no, s_no in new_parts:
             z.add_pieces(part, new_sheet_pieces(t_no, s_no))
-        z.close()
+        z.close(with_marks(src.comment, spec.get("marks")))
     src.close()
     fsio.move(tmp, path)
     rows = int(pdf["n_rows"].fillna(0).sum())

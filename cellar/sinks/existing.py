@@ -1,8 +1,7 @@
 """Writing into an existing workbook (N3 sheet exists: fail / overwrite / append; N4 file exists).
 
 The existing workbook's layout -- sheets in order with their last used row (A6), the count
-of cell styles and the highest custom number format id -- is read by one small Spark task
-over that file. Rows are then rendered and deflated in parallel as for a new workbook; the
+of cell styles and the highest custom number format id -- comes from ``update.workbook_layout``. Rows are then rendered and deflated in parallel as for a new workbook; the
 commit task copies the untouched parts (author metadata included, N13), splices appended
 rows before ``</sheetData>`` of the existing sheet, and extends workbook, relationships,
 content types and styles with what is new.
@@ -14,12 +13,8 @@ import re
 import zipfile
 import zlib
 
-import pyarrow as pa
-from pyspark.sql import SparkSession
-
 from ..sources import ooxml
 
-_ROW_R = re.compile(rb"<(?:[A-Za-z_][\w.-]*:)?row\b[^>]*?\sr=\"(\d+)\"")
 _XF_COUNT = re.compile(rb"<(?:[A-Za-z_][\w.-]*:)?cellXfs\b[^>]*>")
 _XF = re.compile(rb"<(?:[A-Za-z_][\w.-]*:)?xf\b")
 _NUMFMT_ID = re.compile(rb"numFmtId=\"(\d+)\"")
@@ -39,42 +34,6 @@ def style_counts(zf: zipfile.ZipFile) -> tuple[int, int]:
     return n_xf, max_fmt
 
 
-def _layout_fn(batches):
-    for b in batches:
-        for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-            zf = ooxml.open_zip(content)
-            wb = ooxml.open_workbook(zf, with_styles=False)
-            names, parts, lasts = [], [], []
-            for sh in wb.sheets:
-                last = -1
-                if sh.part:
-                    data = zf.read(sh.part)
-                    for m in _ROW_R.finditer(data):
-                        last = max(last, int(m.group(1)) - 1)
-                names.append(sh.name)
-                parts.append(sh.part)
-                lasts.append(last)
-            n_xf, max_fmt = style_counts(zf)
-            yield pa.RecordBatch.from_pydict(
-                {"path": [path] * len(names), "sheet_pos": list(range(len(names))), "sheet": names,
-                 "part": parts, "last_row": lasts, "n_xf": [n_xf] * len(names), "max_fmt": [max_fmt] * len(names)},
-                schema=pa.schema([("path", pa.string()), ("sheet_pos", pa.int32()), ("sheet", pa.string()),
-                                  ("part", pa.string()), ("last_row", pa.int64()), ("n_xf", pa.int64()),
-                                  ("max_fmt", pa.int64())]))
-
-
-def workbook_layout(spark: SparkSession, path: str) -> dict:
-    """Sheets (name, part, last used row) and style counts of one existing workbook."""
-    df = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(
-        _layout_fn, "path string, sheet_pos int, sheet string, part string, last_row long, n_xf long, max_fmt long")
-    rows = sorted(df.collect(), key=lambda r: r["sheet_pos"])  # one small row per sheet
-    return {
-        "sheets": [{"name": r["sheet"], "part": r["part"], "last_row": r["last_row"]} for r in rows],
-        "n_xf": rows[0]["n_xf"] if rows else 1,
-        "max_fmt": rows[0]["max_fmt"] if rows else 163,
-    }
-
-
 def _deflated(data: bytes, level: int = 1):
     co = zlib.compressobj(level, zlib.DEFLATED, -15)
     out = co.compress(data) + co.flush(zlib.Z_SYNC_FLUSH)

@@ -109,10 +109,11 @@ def column_styles(path: str, sheets: DataFrame) -> DataFrame:
 _CELLS = "array<struct<col:int,style:int,xml:string>>"
 
 
-def raw_rows(path: str, sheets: DataFrame) -> DataFrame:
+def raw_rows(path: str, sheets: DataFrame, with_cells: bool = True) -> DataFrame:
     """(sheet_pos, row, attrs, style, cells): rows as they stand in the sheets' XML.
 
     ``attrs`` are the row's attributes but its number and spans, ``style`` its style or null.
+    Without ``with_cells`` the cells are not looked at.
     """
     n = F.greatest(F.ceil(F.col("size") / F.lit(RAW_SPLIT)).cast("int"), F.lit(1))
     splits = sheets.select("sheet_pos", "part", n.alias("n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("split"))
@@ -161,7 +162,7 @@ def raw_rows(path: str, sheets: DataFrame) -> DataFrame:
                     number = int(attrs[i + 4:attrs.find(b'"', i + 4)]) - 1 if i >= 0 else number + 1
                     style = _ATTR_S.search(attrs)
                     yield (number, _SPANS.sub(b"", attrs).rstrip(b"/ ").decode("utf-8"), int(style.group(1)) if style else None,
-                           cells_of(m.group(2) or b"", tok))
+                           cells_of(m.group(2) or b"", tok) if with_cells else [])
                     at = m.end()
                 if end:
                     return
@@ -192,6 +193,23 @@ def raw_rows(path: str, sheets: DataFrame) -> DataFrame:
         run, f"sheet_pos int, row long, attrs string, style int, cells {_CELLS}")
 
 
+def last_used_rows(path: str, sheets: DataFrame) -> DataFrame:
+    """(sheet_pos, last_row) of every sheet, -1 for a sheet without rows; read in splits."""
+    used = raw_rows(path, sheets, with_cells=False).groupBy("sheet_pos").agg(F.max("row").alias("last_row"))
+    return sheets.select("sheet_pos").join(used, "sheet_pos", "left").select("sheet_pos", F.coalesce("last_row", F.lit(-1).cast("long"))
+                                                                              .alias("last_row"))
+
+
+def workbook_layout(spark: SparkSession, path: str) -> dict:
+    """Sheets (name, part, last used row) and style counts of one existing workbook."""
+    index = sheet_index(spark, path).collect()  # one small row per sheet
+    sheets = spark.createDataFrame(index, "sheet_pos int, sheet string, part string, size long, n_xf long, max_fmt long")
+    last = {r["sheet_pos"]: r["last_row"] for r in last_used_rows(path, sheets).collect()}
+    return {"sheets": [{"name": r["sheet"], "part": r["part"], "last_row": last[r["sheet_pos"]]}
+                       for r in sorted(index, key=lambda r: r["sheet_pos"])],
+            "n_xf": index[0]["n_xf"] if index else 1, "max_fmt": index[0]["max_fmt"] if index else 163}
+
+
 def _cell(ref, prefix, style, k, n, s):
     """XML of a patched cell."""
     tag = F.concat(prefix, F.lit("c"))
@@ -324,7 +342,7 @@ def _commit(spec: dict, pdf: pd.DataFrame) -> pd.DataFrame:
                                                    [parts.FORMAT_DATE, parts.FORMAT_DATETIME, parts.FORMAT_TIME]))
             else:
                 z.copy_member(src, fh, info)
-        z.close()
+        z.close(src.comment)
     fsio.move(tmp, spec["out"])
     return pd.DataFrame({"wb": [""], "path": [spec["out"]], "sheets": [len(spec["parts"])],
                          "rows": [int(pdf["n_rows"].fillna(0).sum())]})

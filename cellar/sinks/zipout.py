@@ -8,6 +8,7 @@ so the commit task only copies bytes.
 
 from __future__ import annotations
 
+import json
 import struct
 import time
 import zlib
@@ -68,6 +69,25 @@ def _dos_time(t: float | None = None):
     return dtime, ddate
 
 
+_MARK = b"cellar-batches:"
+
+
+def read_marks(comment: bytes) -> dict[str, int]:
+    """Stream names and the last batch of each that a workbook holds, from its zip comment."""
+    for line in comment.split(b"\n"):
+        if line.startswith(_MARK):
+            return json.loads(line[len(_MARK):])
+    return {}
+
+
+def with_marks(comment: bytes, marks: dict[str, int] | None) -> bytes:
+    """A zip comment with ``marks`` added; other comments stay."""
+    if not marks:
+        return comment
+    rest = [line for line in comment.split(b"\n") if line and not line.startswith(_MARK)]
+    return b"\n".join([*rest, _MARK + json.dumps(read_marks(comment) | marks, sort_keys=True).encode()])
+
+
 class ZipWriter:
     """Streams members into a binary file object; members may come as deflate pieces."""
 
@@ -160,7 +180,7 @@ class ZipWriter:
             raise IOError(f"zip member {name}: expected {comp} compressed bytes, wrote {written}")
         self.entries.append((bname, crc & 0xFFFFFFFF, comp, raw, header_offset))
 
-    def close(self):
+    def close(self, comment: bytes = b""):
         cd_start = self.offset
         for bname, crc, comp, raw, off in self.entries:
             need64 = comp >= 0xFFFFFFFF or raw >= 0xFFFFFFFF or off >= 0xFFFFFFFF
@@ -195,6 +215,7 @@ class ZipWriter:
             z64_off = self.offset
             self._write(struct.pack("<IQHHIIQQQQ", 0x06064B50, 44, 45, 45, 0, 0, n, n, cd_size, cd_start))
             self._write(struct.pack("<IIQI", 0x07064B50, 0, z64_off, 1))
-            self._write(struct.pack("<IHHHHIIH", 0x06054B50, 0, 0, 0xFFFF, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFF, 0))
+            self._write(struct.pack("<IHHHHIIH", 0x06054B50, 0, 0, 0xFFFF, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFF,
+                                    len(comment)) + comment)
         else:
-            self._write(struct.pack("<IHHHHIIH", 0x06054B50, 0, 0, n, n, cd_size, cd_start, 0))
+            self._write(struct.pack("<IHHHHIIH", 0x06054B50, 0, 0, n, n, cd_size, cd_start, len(comment)) + comment)

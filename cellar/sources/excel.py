@@ -21,18 +21,19 @@ decode is plain DataFrame code.
 from __future__ import annotations
 
 import fnmatch
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import ERROR_PATTERN, unique_names
-from ..functions.types import lattice_name
 from ..functions.types import spark_type as _spark_type
-from ..operators.ordinal import fresh, quoted
+from ..operators.ordinal import fresh, quoted, small_side, stable_partitions, with_ordinals
 from ..plans import cells as C
+from ..session import checkpoint_root
 from .arrowrows import ROWS_DDL, SAMPLE_DDL, RowsBuilder, sample_batch
 from . import ooxml
 
@@ -127,7 +128,7 @@ def _col_idx(text: str | int | None, default: int) -> int:
     except ValueError:
         pass
     if not s.isascii() or not s.isalpha() or not s.isupper():
-        raise ValueError(f"Invalid column '{s}'.")
+        raise ValueError(f"{s!r} is no column: capital letters or a number")
     v = 0
     for ch in s:
         v = v * 26 + (ord(ch) - 64)
@@ -435,6 +436,7 @@ class _Source:
         self.hidden: set[int] = set()
         self.namer = _Namer(opts, so, self.hidden)
         self.width = 0
+        self.split, self.take = 0, None  # a split's number, and how many of its rows are wanted
         self.items = iter(())
 
     def _hidden(self, cols):
@@ -442,6 +444,9 @@ class _Source:
         self.namer = _Namer(self.opts, self.so, self.hidden)
 
     def rows(self):
+        return self._all_rows() if self.take is None else islice(self._all_rows(), self.take)
+
+    def _all_rows(self):
         pending = []
         for item in self.items:
             if item[0] == "hidden_cols":
@@ -498,16 +503,14 @@ def _file_splits(batches, opts: ReadOptions, so: ooxml.ScanOptions):
     their first split reads them whole.
     """
     import zipfile
-    from dataclasses import replace
-
     from ..sinks import fsio
 
     for b in batches:
-        for path, split, n_splits in zip(b.column("path").to_pylist(), b.column("split").to_pylist(),
-                                         b.column("n_splits").to_pylist()):
+        for path, split, n_splits, take in zip(*[b.column(c).to_pylist() for c in ("path", "split", "n_splits", "take")]):
             with fsio.open_input_file(path) as fh:
                 zf = zipfile.ZipFile(fh)
                 src, sst = _open_sheet(zf, path, opts, so)
+                src.split, src.take = split, take
                 if not ooxml.rows_are_numbered(zf, src.sheet):
                     if split == 0:
                         src.items = ooxml.iter_data_rows(zf, src.wb, src.sheet, so, sst)
@@ -622,26 +625,113 @@ SPLIT_BYTES = 8 << 20  # compressed bytes of a workbook per parallel split of it
 SEQ_SPLIT_SHIFT = 40  # seq of a split row = split << 40 | position in the split
 
 
-def _decode(files: DataFrame, opts: ReadOptions, make, ddl: str) -> DataFrame:
-    """``make(sources)`` run over all files: files up to the split size one task each (content
-    from ``binaryFile``), bigger ones as parallel byte-range splits."""
-    spark = files.sparkSession
-    split_bytes = int(spark.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
-    if not opts.skip_empty_rows or opts.on_corrupt == "skip" or opts.scan_limit is not None:
-        # empty rows, whole-file skipping and a row limit need the file in one task
-        return files.select("path", "content").mapInArrow(make(_whole_files), ddl)
-    small = files.filter(F.col("length") <= split_bytes).select("path", "content").mapInArrow(make(_whole_files), ddl)
+def _splits(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files up to the split size, and (path, n_splits, split, take) of the bigger ones."""
+    split_bytes = int(files.sparkSession.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
     n = F.ceil(F.col("length") / split_bytes).cast("int")
     big = files.filter(F.col("length") > split_bytes).select(
-        "path", n.alias("n_splits"), F.explode(F.sequence(F.lit(0), n - 1)).alias("split"))
-    par = spark.sparkContext.defaultParallelism
-    return small.unionByName(big.repartition(par * 2).mapInArrow(make(_file_splits), ddl))
+        "path", n.alias("n_splits"), F.explode(F.sequence(F.lit(0), n - 1)).alias("split"), F.lit(None).cast("long").alias("take"))
+    return files.filter(F.col("length") <= split_bytes), big
+
+
+def _over_splits(splits: DataFrame, fn, ddl: str) -> DataFrame:
+    return splits.repartition(splits.sparkSession.sparkContext.defaultParallelism * 2).mapInArrow(fn, ddl)
+
+
+def _decode(files: DataFrame, opts: ReadOptions, make, ddl: str, limit: int | None = None) -> DataFrame:
+    """``make(sources)`` run over all files: files up to the split size one task each (content
+    from ``binaryFile``), bigger ones as parallel byte-range splits; ``limit``: the first data
+    rows of each file only."""
+    small, big = _splits(files)
+    if opts.on_corrupt == "skip":
+        big = _sound(big, opts)
+    if limit is not None:
+        big = _first_rows(big, opts, limit)
+    one = small.select("path", "content").mapInArrow(make(_whole_files), ddl)
+    return one.unionByName(_over_splits(big, make(_file_splits), ddl))
+
+
+def _sound(splits: DataFrame, opts: ReadOptions) -> DataFrame:
+    """The splits of files all of whose splits can be read. A file is judged by all its splits, each of
+    which is tried in a task of its own."""
+    so = opts.scan_options(None)
+
+    def votes(batches):
+        for b in batches:
+            bad = []
+            for i in range(b.num_rows):
+                try:
+                    for src in _file_splits([b.slice(i, 1)], opts, so):
+                        for _ in src.rows():
+                            pass
+                except Exception:  # noqa: BLE001 - the file is left out, ``rejects`` says why
+                    bad.append(b.column("path")[i].as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], ["path"])
+
+    checkpoint_root(splits.sparkSession)
+    bad = _over_splits(splits, votes, "path string").distinct().checkpoint()
+    return splits.join(bad, "path", "left_anti")
+
+
+def _first_rows(splits: DataFrame, opts: ReadOptions, limit: int) -> DataFrame:
+    """A2: the splits that hold the first ``limit`` data rows of their file, with the rows to take of each.
+
+    The first splits are counted alone, as they mostly hold enough; only files that are not done
+    with then have their other splits counted, in parallel, up to the limit each.
+    """
+    so = opts.scan_options(None)
+
+    def count(batches):
+        for src in _file_splits(batches, opts, so):
+            yield pa.RecordBatch.from_arrays([pa.array([src.path]), pa.array([src.split], pa.int32()),
+                                              pa.array([sum(1 for _ in src.rows())], pa.int64())], ["path", "split", "rows"])
+
+    def counted(some: DataFrame) -> DataFrame:
+        return _over_splits(some.withColumn("take", F.lit(limit).cast("long")), count, "path string, split int, rows long").checkpoint()
+
+    checkpoint_root(splits.sparkSession)
+    first = counted(splits.where("split = 0"))
+    short = first.where(F.col("rows") < limit).select("path")
+    rest = counted(splits.where("split > 0").join(short, "path", "left_semi"))
+    # one row per split of a file
+    w = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    known = first.unionByName(rest).withColumn("take", F.lit(limit) - F.coalesce(F.sum("rows").over(w), F.lit(0)))
+    wanted = known.where("take > 0 AND (rows > 0 OR split = 0)").select("path", "split", F.col("take").cast("long").alias("take"))
+    return splits.drop("take").join(wanted, ["path", "split"])
 
 
 def decode_rows(files: DataFrame, opts: ReadOptions, ordinals: dict[str, int] | None) -> DataFrame:
     """Decoded rows of all files, cells keyed by column ordinal."""
     od = asdict(opts)
-    return _decode(files, opts, lambda sources: _rows_fn(od, ordinals, sources), ROWS_DDL)
+    if opts.skip_empty_rows:
+        return _decode(files, opts, lambda sources: _rows_fn(od, ordinals, sources), ROWS_DDL)
+    small, big = _splits(files)
+    one = small.select("path", "content").mapInArrow(_rows_fn(od, ordinals, _whole_files), ROWS_DDL)
+    if big.isEmpty():
+        return one
+    return one.unionByName(_with_empty_rows(big, opts, ordinals))
+
+
+def _with_empty_rows(big: DataFrame, opts: ReadOptions, ordinals: dict[str, int] | None) -> DataFrame:
+    """F6 + F7 over splits: the rows with cells are decoded in parallel, the grid of all rows is joined to them."""
+    from ..operators.profile import materialise_empty_rows
+
+    so = opts.scan_options(None)
+    if opts.on_corrupt == "skip":
+        big = _sound(big, opts)
+    # hidden rows with cells must be known to be left out of the grid
+    od = asdict(replace(opts, skip_empty_rows=True, skip_hidden_rows=False, scan_limit=None))
+    rows = _over_splits(big, _rows_fn(od, ordinals, _file_splits), ROWS_DDL)
+    about = small_side(rows.groupBy("path").agg(F.max("sheet").alias("s"), F.max("date1904").alias("d")))
+    grid = materialise_empty_rows(rows, so.first_row, so.last_row, opts.skip_hidden_rows, all_present=True, files=big)
+    if so.header_row is not None:
+        grid = grid.where(F.col("row_idx") != so.header_row)
+    full = grid.join(about, "path", "left").select(
+        "path", F.coalesce("sheet", "s").alias("sheet"), "row_idx", "hidden", F.coalesce("date1904", "d", F.lit(False)).alias("date1904"),
+        "rowid", "cells")
+    # the rows are numbered anew, as empty ones count
+    numbered = with_ordinals(stable_partitions(full, ["row_idx"], group="path"), "seq", group="path")
+    return numbered.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema.fields])
 
 
 # ---------------------------------------------------------------- schema inference
@@ -656,6 +746,7 @@ class ColumnSpec:
     order: tuple = field(default_factory=tuple)
     forced: bool = False  # the type is the caller's, not inferred
     formats: list | None = None  # C32: number format codes that occur
+    mask: int = 0  # the lattice bits seen
 
 
 def _lattice_col(opts: ReadOptions):
@@ -664,8 +755,10 @@ def _lattice_col(opts: ReadOptions):
 
 def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
     """A1-A4 + U1-U4: the combined schema, computed by Spark from the files' cells."""
+    # empty rows have no types, and the scan limit counts rows alike in small and big files
+    opts = replace(opts, skip_empty_rows=True)
     od = asdict(opts)
-    sample = _decode(files, opts, lambda sources: _sample_fn(od, sources), SAMPLE_DDL)
+    sample = _decode(files, opts, lambda sources: _sample_fn(od, sources), SAMPLE_DDL, opts.scan_limit)
     err = opts.error_pattern
     per_col = sample.select(
         "path", "col", "name",
@@ -681,11 +774,11 @@ def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
         F.countDistinct("path").alias("files"),
         F.array_distinct(F.flatten(F.collect_set("formats"))).alias("formats"),
     )
-    rows = agg.collect()
+    rows = agg.withColumn("type", _lattice_col(opts)(F.col("mask"))).collect()
     specs = []
     for r in sorted(rows, key=lambda x: (x["first"]["path"], x["first"]["col"])):
-        specs.append(ColumnSpec(r["name"], _lattice_py(int(r["mask"]), opts.lattice), r["mask"] != 0, r["files"],
-                                (r["first"]["path"], r["first"]["col"]), formats=sorted(r["formats"])))
+        specs.append(ColumnSpec(r["name"], r["type"], r["mask"] != 0, r["files"],
+                                (r["first"]["path"], r["first"]["col"]), formats=sorted(r["formats"]), mask=int(r["mask"])))
     if opts.combine == "intersection":
         specs = [s for s in specs if s.files == n_files]
     elif opts.combine == "fail":
@@ -697,26 +790,6 @@ def infer_schema(files: DataFrame, opts: ReadOptions) -> list[ColumnSpec]:
     return specs
 
 
-def _lattice_py(mask: int, lattice: str) -> str:
-    from ..functions.types import BIT_BOOLEAN, BIT_DATE, BIT_DATETIME, BIT_INT, BIT_STRING, BIT_TIME
-
-    if lattice == "legacy":
-        if mask == 0 or mask & BIT_STRING:
-            return "STRING"
-        if mask & ~(1 | 2 | 4) == 0:
-            return "INT" if mask == BIT_INT else "DOUBLE"
-        if mask == BIT_BOOLEAN:
-            return "BOOLEAN"
-        if mask & ~(BIT_DATE | BIT_DATETIME | BIT_TIME) == 0:
-            return "DATETIME"
-        return "STRING"
-    if lattice == "oldest":
-        if mask == 0 or mask & (BIT_STRING | BIT_BOOLEAN | BIT_DATE | BIT_DATETIME | BIT_TIME):
-            return "STRING"
-        return "DOUBLE" if mask & (2 | 4) else "INT"
-    return lattice_name(mask)
-
-
 # ---------------------------------------------------------------- read
 
 

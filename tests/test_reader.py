@@ -299,3 +299,64 @@ def test_numbers_as_displayed_in_text_columns(spark, tmp):
     assert [tuple(r) for r in read_excel(spark, p, displayed=True).collect()] == [("1,234.50", 0.25), ("7", 1.0), ("x", None)]
     got = read_excel(spark, p, displayed=True, types={"n": "STRING"}).collect()
     assert [r["n"] for r in got] == ["25%", "1", None]
+
+
+def _gappy(path, rows=400, broken=False):
+    """Numbers in A, text in B from row 301 on, every seventh row hidden, gaps after every fifth."""
+    out, r = [X.row(1, X.text("A1", "n"), X.text("B1", "t"))], 2
+    for i in range(rows):
+        cells = [X.num(f"A{r}", i + (0.5 if i > 250 else 0))] + ([X.text(f"B{r}", f"x{i}")] if i >= 300 else [])
+        out.append(X.row(r, *cells, hidden=i % 7 == 3))
+        r += 4 if i % 5 == 4 else 1
+    if broken:
+        out.insert(-3, '<row r="9999"><c r="C9999"><v>1</v></c><c r="B9999"><v>2</v></c></row>')
+    return X.build(path, [("s", X.sheet_xml(out))])
+
+
+def _both(spark, read):
+    """A read in one piece and in many splits."""
+    out = []
+    for size in ("8388608", "500"):
+        spark.conf.set("cellar.read.splitBytes", size)
+        try:
+            out.append(sorted(map(tuple, read().collect()), key=repr))
+        finally:
+            spark.conf.unset("cellar.read.splitBytes")
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"last_row": 700}, {"first_row": 20, "last_row": 100}, {"skip_hidden_rows": False},
+                                     {"header_row": None}, {"row_id": "generated", "path_column": "P"}])
+def test_empty_rows_over_splits(spark, tmp, options):
+    _gappy(os.path.join(tmp, "a.xlsx"))
+    _gappy(os.path.join(tmp, "b.xlsx"), 60)
+    whole, split = _both(spark, lambda: read_excel(spark, tmp, skip_empty_rows=False, **options))
+    assert whole == split and len(whole) > 60
+
+
+def test_scan_limit_over_splits(spark, tmp):
+    p = _gappy(os.path.join(tmp, "a.xlsx"))
+    for limit, kinds in ((10, None), (250, None), (330, ["double", "string"]), (5000, ["double", "string"])):
+        for size in ("8388608", "500"):
+            spark.conf.set("cellar.read.splitBytes", size)
+            try:
+                # of all rows but hidden ones
+                if kinds:
+                    assert [t for _, t in read_excel(spark, p, scan_limit=limit).dtypes] == kinds
+                else:
+                    df = read_excel(spark, p, scan_limit=limit)
+                    assert df.columns == ["n", "t"] or df.columns == ["n"]
+                    assert df.dtypes[0] == ("n", "int" if limit == 10 else "double")
+                    with pytest.raises(Exception, match="raise the scan limit|not fit"):
+                        df.collect()
+            finally:
+                spark.conf.unset("cellar.read.splitBytes")
+
+
+def test_corrupt_files_are_left_out_over_splits(spark, tmp):
+    _gappy(os.path.join(tmp, "a.xlsx"), broken=True)
+    _gappy(os.path.join(tmp, "b.xlsx"), 200)
+    whole, split = _both(spark, lambda: read_excel(spark, tmp, on_corrupt="skip", path_column="P"))
+    assert whole == split and {r[-1][-6:] for r in whole} == {"b.xlsx"} and len(whole) > 150
+    whole, split = _both(spark, lambda: read_excel(spark, tmp, on_corrupt="skip", skip_empty_rows=False))
+    assert whole == split
