@@ -1222,6 +1222,126 @@ SELECT CAST(o_orderkey AS VARCHAR) AS "RowID", o_orderkey AS "__n", o_orderkey *
 """
 
 
+# ---------------------------------------------------------------- rules that only small parts of a read or write need
+
+
+def q_id_variants(spark, sf):
+    """Ids from the sheet row, plain numbers and empty ids over five files with gaps between rows."""
+    c = _t(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("file"))
+    rows = with_ordinals(stable_partitions(c, ["c_custkey"], group="file"), "seq", group="file").withColumn(
+        "row_idx", F.col("seq") * 3 + 2).withColumn("file_no", F.col("file"))
+    by_row = W.index_row_ids(rows, "file", "row_idx", "file_no", "by_row")
+    plain = W.plain_row_ids(by_row, "file", "seq", "plain")
+    own = F.when(F.col("c_custkey") % 4 == 0, F.lit("")).when(F.col("c_custkey") % 4 != 1, F.concat(F.lit("c"), "c_custkey"))
+    return plain.select("c_custkey", "by_row", "plain", W.empty_id_to_generated(own, F.col("by_row")).alias("filled"))
+
+
+SQL_ID_VARIANTS = """
+WITH r AS (SELECT c_custkey, c_mktsegment AS file, (row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1) AS seq,
+                  row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS plain FROM customer),
+o AS (SELECT file, coalesce(sum(n) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
+      FROM (SELECT file, max(seq * 3 + 2) + 1 AS n FROM r GROUP BY file)),
+i AS (SELECT c_custkey, 'Row' || CAST(off + seq * 3 + 2 AS VARCHAR) AS by_row, CAST(plain AS VARCHAR) AS plain FROM r JOIN o USING (file))
+SELECT *, CASE WHEN c_custkey % 4 < 2 THEN by_row ELSE 'c' || CAST(c_custkey AS VARCHAR) END AS filled FROM i
+"""
+
+
+def q_text_rules(spark, sf):
+    """Columns and rows given as text, missing patterns, lenient numbers, times as dates."""
+    p = _t(spark, sf, "part")
+    size = F.col("p_size").cast("int")
+    col = F.when(size % 3 == 0, size.cast("string")).when(size % 3 == 1, CF.col_label(size)).otherwise(F.lit("  "))
+    row = F.when(size % 2 == 0, F.concat(F.lit(" "), size.cast("string"))).otherwise(F.lit(""))
+    mixed = F.when(size % 5 == 0, F.lit("n/a")).when(size % 5 == 1, F.concat(size.cast("string"), F.lit(" kg"))).otherwise(size.cast("string"))
+    clock = F.format_string("%02d:%02d:00", size % 24, size)
+    return p.select("p_partkey", CF.parse_col(col, 9).cast("long").alias("col"), CF.parse_row(row, 7).cast("long").alias("row"),
+                    CF.missing_as(CF.nullif_pattern(mixed, "n/a"), "?").alias("shown"), CF.lenient(mixed, "int").alias("number"),
+                    CF.legacy_time_as_datetime(clock).alias("clock"))
+
+
+SQL_TEXT_RULES = """
+WITH p AS (SELECT p_partkey, CAST(p_size AS INTEGER) AS s FROM part),
+m AS (SELECT *, CASE s % 5 WHEN 0 THEN 'n/a' WHEN 1 THEN CAST(s AS VARCHAR) || ' kg' ELSE CAST(s AS VARCHAR) END AS x FROM p)
+SELECT p_partkey, CAST(CASE s % 3 WHEN 0 THEN s - 1 WHEN 1 THEN s ELSE 9 END AS BIGINT) AS col,
+       CAST(CASE s % 2 WHEN 0 THEN s - 1 ELSE 7 END AS BIGINT) AS row, CASE WHEN x = 'n/a' THEN '?' ELSE x END AS shown,
+       TRY_CAST(CASE WHEN s % 5 > 1 THEN x END AS INTEGER) AS number,
+       TIMESTAMP '1900-01-01' + to_hours(s % 24) + to_minutes(s) AS clock
+FROM m
+"""
+
+
+def q_header_rules(spark, sf):
+    """Blank and repeated headers, columns beyond the header, a column that is
+    empty throughout, short rows and the raw form, from one sheet over all customers."""
+    from cellar.sinks.excel import write_cells
+
+    path = scratch_dir(spark, "headers") + "/c.xlsx"
+    c = _t(spark, sf, "customer")
+    row = F.col("c_custkey").cast("int") + 1
+
+    def cells(col: int, kind: str, n=None, s=None):
+        return c.select(F.lit("s").alias("sheet"), row.alias("row"), F.lit(col).alias("col"), F.lit(kind).alias("k"),
+                        (n if n is not None else F.lit(None)).cast("double").alias("n"),
+                        (s if s is not None else F.lit(None)).cast("string").alias("s"))
+
+    key, late = F.col("c_custkey"), F.col("c_custkey") % 3 == 0
+    top = spark.createDataFrame([("s", 0, 0, "s", None, "k"), ("s", 0, 1, "s", None, "  "), ("s", 0, 2, "s", None, "k"),
+                                 ("s", 0, 3, "s", None, "void")], "sheet string, row int, col int, k string, n double, s string")
+    body = cells(0, "n", key).unionByName(cells(1, "s", s=F.col("c_name"))).unionByName(cells(2, "n", F.col("c_nationkey"))).unionByName(
+        cells(3, "s", s=F.lit(" "))).unionByName(cells(5, "n", F.when(late, key * 2)).where("n IS NOT NULL"))
+    write_cells(top.unionByName(body), path, ["s"])
+    named = read_excel(spark, path, skip_empty_cols=True)
+    raw = read_excel(spark, path, header_row=None, raw=True, column_names="index")
+    said = F.lit(", ".join(named.columns) + " / " + ", ".join(raw.columns))
+    k, k2 = named.columns[0], named.columns[2]
+    both = named.select(F.col(k).cast("long").alias("k"), F.col("empty_B").alias("name"), F.col(k2).cast("long").alias("nation"),
+                        F.col("empty_F").cast("long").alias("twice"))
+    rows = raw.where(F.col("row") > 1).select(F.col("Col0").cast("long").alias("k"), "row", F.col("Col5").cast("long").alias("raw_twice"))
+    return both.join(rows, "k").withColumn("columns", said)
+
+
+SQL_HEADER_RULES = """
+SELECT c_custkey AS k, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation, CASE WHEN c_custkey % 3 = 0 THEN c_custkey * 2 END AS twice,
+       CAST(c_custkey + 2 AS INTEGER) AS row, CASE WHEN c_custkey % 3 = 0 THEN c_custkey * 2 END AS raw_twice,
+       'k, empty_B, k_2, empty_F / row, Col0, Col1, Col2, Col3, Col4, Col5' AS columns
+FROM customer
+"""
+
+
+def q_combine_files(spark, sf):
+    """Files read for their common columns, differing ones refused, one sheet from two
+    tables, a saved schema, and cells that do not fit their type."""
+    folder = scratch_dir(spark, "combine")
+    o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("p"), "o_custkey", "o_orderstatus")
+    mixed = F.when(F.col("k") % 2 == 0, F.col("k").cast("string")).otherwise(F.concat(F.lit("x"), F.col("k").cast("string")))
+    f, p = o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'P'")
+    write_excel([("s", f.where("k % 3 = 0").select("k", "p", mixed.alias("m"))), ("s", f.where("k % 3 <> 0").select("k", "p", mixed.alias("m")))],
+                f"{folder}/a.xlsx", order_by=["k"], sheet_exists="append")
+    write_excel({"s": p.select("p", "o_custkey", "k")}, f"{folder}/b.xlsx", order_by=["k"])
+    common = read_excel(spark, folder, combine="intersection")
+    try:
+        read_excel(spark, folder, combine="fail")
+        refused = False
+    except ValueError:
+        refused = True
+    kept = U.check_names(read_excel(spark, f"{folder}/a.xlsx"), ["k", "m", "gone"], "saved")
+    whole = U.legacy_combine([kept.select(F.col("k").cast("long").alias("k")), common.select(F.col("k").cast("long").alias("k"))])
+    loose = read_excel(spark, f"{folder}/a.xlsx", types={"m": "LONG"}, enforce_types=False)
+    out = common.select(F.lit("common").alias("what"), F.col("k").cast("long").alias("k"), F.col("p").alias("text"))
+    out = out.unionByName(whole.groupBy("k").agg(F.count(F.lit(1)).cast("string").alias("text")).select(F.lit("both").alias("what"), "k", "text"))
+    out = out.unionByName(loose.select(F.lit("loose").alias("what"), F.col("k").cast("long").alias("k"), F.col("m").cast("string").alias("text")))
+    return out.withColumn("refused", F.lit(refused)).withColumn("columns", F.lit(", ".join(common.columns + kept.columns)))
+
+
+SQL_COMBINE_FILES = """
+WITH o AS (SELECT o_orderkey AS k, o_orderpriority AS p, o_orderstatus AS s FROM orders WHERE o_orderstatus IN ('F', 'P')),
+r AS (SELECT 'common' AS what, k, p AS text FROM o
+      UNION ALL SELECT 'both', k, CASE s WHEN 'F' THEN '2' ELSE '1' END FROM o
+      UNION ALL SELECT 'loose', k, NULL FROM o WHERE s = 'F')
+SELECT *, true AS refused, 'k, p, k, m' AS columns FROM r
+"""
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -1274,6 +1394,10 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "nullable_keys": (q_nullable_keys, SQL_NULLABLE_KEYS),
     "colliding_ids": (q_colliding_ids, SQL_COLLIDING_IDS),
     "clashing_names": (q_clashing_names, SQL_CLASHING_NAMES),
+    "id_variants": (q_id_variants, SQL_ID_VARIANTS),
+    "text_rules": (q_text_rules, SQL_TEXT_RULES),
+    "header_rules": (q_header_rules, SQL_HEADER_RULES),
+    "combine_files": (q_combine_files, SQL_COMBINE_FILES),
     "roundtrip_pages": (q_roundtrip_pages, SQL_ROUNDTRIP_PAGES),
     "roundtrip_conversations": (q_roundtrip_conversations, SQL_ROUNDTRIP_CONVERSATIONS),
 }

@@ -159,11 +159,15 @@ def list_files(spark: SparkSession, paths, extensions=EXCEL_EXTENSIONS, name_glo
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
+    exts = [e.lower().lstrip(".") for e in extensions or ()]
+    if exts and all(e.isalnum() for e in exts):
+        # other files are not even listed
+        any_case = ["".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e) for e in exts]
+        reader = reader.option("pathGlobFilter", "*.{" + ",".join(any_case) + "}")
     df = reader.load(paths)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     cmp_name = name if case_sensitive else F.lower(name)
-    if extensions:
-        exts = [e.lower().lstrip(".") for e in extensions]
+    if exts:
         df = df.filter(F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).isin(exts))
     if name_glob:
         pat = fnmatch.translate(name_glob if case_sensitive else name_glob.lower())
@@ -179,12 +183,14 @@ def inventory(files: DataFrame) -> DataFrame:
     """(path, format, reason) per file, from magic bytes; reason is NULL for readable files."""
 
     def fn(batches):
+        from ..sinks import fsio
+
         for b in batches:
             paths = b.column("path").to_pylist()
-            heads = b.column("head").to_pylist()
             fmts, reasons = [], []
-            for p, h in zip(paths, heads):
-                fmt, why = ooxml.sniff(h or b"", p)
+            for p in paths:
+                with fsio.open_input_file(p) as fh:
+                    fmt, why = ooxml.sniff(fh.read(8), p)
                 fmts.append(fmt)
                 reasons.append(why)
             yield pa.RecordBatch.from_arrays(
@@ -192,8 +198,7 @@ def inventory(files: DataFrame) -> DataFrame:
                 names=["path", "format", "reason"],
             )
 
-    heads = files.select("path", F.substring("content", 1, 8).alias("head"))
-    return heads.mapInArrow(fn, "path string, format string, reason string")
+    return files.select("path").mapInArrow(fn, "path string, format string, reason string")
 
 
 def rejects(files: DataFrame, opts: ReadOptions | None = None) -> DataFrame:
@@ -266,10 +271,15 @@ def sheets_table(files: DataFrame, with_data_flag: bool = True) -> DataFrame:
     """
 
     def fn(batches):
+        import zipfile
+
+        from ..sinks import fsio
+
         for b in batches:
             out = {k: [] for k in ("path", "sheet_pos", "sheet", "state", "date1904", "has_data", "hidden_cols")}
-            for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                zf = ooxml.open_zip(content)
+            for p in b.column("path").to_pylist():
+                # the zip directory, the workbook part and the head of each sheet: not the file's content
+                zf = zipfile.ZipFile(fsio.open_input_file(p))
                 wb = ooxml.open_workbook(zf, with_styles=False)
                 found = not with_data_flag
                 cache = {}
@@ -291,6 +301,7 @@ def sheets_table(files: DataFrame, with_data_flag: bool = True) -> DataFrame:
                     out["state"].append(sh.state)
                     out["date1904"].append(wb.date1904)
                     out["has_data"].append(flag)
+                zf.fp.close()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["path"], pa.string()), pa.array(out["sheet_pos"], pa.int32()),
                  pa.array(out["sheet"], pa.string()), pa.array(out["state"], pa.string()),
@@ -299,7 +310,7 @@ def sheets_table(files: DataFrame, with_data_flag: bool = True) -> DataFrame:
                 names=["path", "sheet_pos", "sheet", "state", "date1904", "has_data", "hidden_cols"],
             )
 
-    return files.select("path", "content").mapInArrow(
+    return files.select("path").mapInArrow(
         fn, "path string, sheet_pos int, sheet string, state string, date1904 boolean, has_data boolean, "
             "hidden_cols array<int>"
     )
