@@ -39,6 +39,8 @@ FILTER_BITS = 23
 #: Scripts written without spaces (fixed names of Unicode scripts).
 SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 _ALONE = "([" + "".join(f"\\p{{Is{s}}}" for s in SCRIPTS) + "])"
+#: Where these scripts lie: a quick look before the scripts themselves.
+_FAR = "[\u0e00-\u1fff\u2e80-\ud7ff\uf900-\ufaff\U00020000-\U0003ffff]"
 _TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -78,7 +80,7 @@ def seeds(tokens: np.ndarray, masks: list[tuple[int, tuple[int, ...]]]) -> list[
 
 def _spaced(text: Column) -> Column:
     """The text with spaces around the characters that are tokens of their own."""
-    return F.when(text.rlike(_ALONE), F.regexp_replace(text, _ALONE, " $1 ")).otherwise(text)
+    return F.when(text.rlike(_FAR), F.regexp_replace(text, _ALONE, " $1 ")).otherwise(text)
 
 
 def _sequence(text: Column) -> Column:
