@@ -171,14 +171,17 @@ def _send(text, kept, again, h, doc, first, last, place, base, window) -> pa.Rec
     s = np.flatnonzero(kept)
     runs = _gather(text, first[s], last[s] - first[s] + window)
     none = pa.array([b""] * len(head), pa.binary())
+    # known runs need no company: a key of their own spreads those of a frequent anchor
+    alone = mix(doc[head].astype(np.int64).view(np.uint64) * _SPREAD + (first - base)[head].astype(np.int64).view(np.uint64))
     return pa.RecordBatch.from_arrays([
         pa.array(np.repeat(np.array([0, 1], np.int32), [len(s), len(head)])),
-        pa.array(np.concatenate([h[s], h[head]]).view(np.int64)), pa.array(np.concatenate([doc[s], doc[head]])),
+        pa.array(np.concatenate([h[s], alone]).view(np.int64)), pa.array(np.concatenate([doc[s], doc[head]])),
         pa.array(np.concatenate([(first - base)[s], (first - base)[head]])), pa.concat_arrays([runs, none]),
         pa.array(np.concatenate([(place - first)[s], (last[tail] - first[head] + 1)]).astype(np.int32))],
         ["kind", "key", "id", "at", "run", "lead"])
 
 
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _RUN = "kind int, key long, id long, at long, run binary, lead int"
 
 
