@@ -105,17 +105,17 @@ def _ask(bits: int, order: int):
         for n in range(order):
             unique, own = block.unique[n], block.own[n]
             part = (unique >> np.uint64(64 - bits)).astype(np.int64)
-            cuts = np.searchsorted(part, np.arange((1 << bits) + 1))
+            # the slices that the block has something in, not all there are
+            cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else part
+            ends = np.append(cuts[1:], len(part))
             raw = (unique if not n else unique << np.uint64(bits)).astype(">u8").view(np.uint8).reshape(-1, 8)
             raw = raw if not n else np.ascontiguousarray(raw[:, :GRAM_BYTES])
-            for s in range(1 << bits):
-                a, b = int(cuts[s]), int(cuts[s + 1])
-                if a < b:
-                    out["n"].append(n + 1)
-                    out["slice"].append(s)
-                    out["block"].append(key[0].as_py())
-                    out["keys"].append(raw[a:b].tobytes())
-                    out["counts"].append(_packed(own[a:b]))
+            for a, b in zip(cuts.tolist(), ends.tolist()[:len(cuts)], strict=True):
+                out["n"].append(n + 1)
+                out["slice"].append(int(part[a]))
+                out["block"].append(key[0].as_py())
+                out["keys"].append(raw[a:b].tobytes())
+                out["counts"].append(_packed(own[a:b]))
         return pa.table(out, schema=pa.schema([("n", pa.int32()), ("slice", pa.int32()), ("block", pa.int64()),
                                                ("keys", pa.binary()), ("counts", pa.binary())]))
 
