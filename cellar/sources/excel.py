@@ -3,8 +3,8 @@
 Plan of ``read_excel`` (three Spark jobs, two of them tiny):
 
 1. ``binaryFile`` listing with the file filters (S5).
-2. Inference job: each task decodes the selected sheet of its files (big ones in byte-range
-   splits) and emits records of (file, column, name, a bounded number of cells). Spark
+2. Inference job: each task decodes the selected sheet of its files (the sheets of big ones are
+   first cut into pieces, once, in the shared folder) and emits records of (file, column, name, a bounded number of cells). Spark
    computes each cell's lattice bit and ``bit_or``s them by column name -- a partial + final
    hash aggregate (A1, U1-U4). All rows are looked at unless a scan limit is asked for. Only
    the resulting schema (one row per column) reaches the driver.
@@ -20,7 +20,13 @@ decode is plain DataFrame code.
 
 from __future__ import annotations
 
+import atexit
 import fnmatch
+import io
+import re
+import uuid
+import zipfile
+import zlib
 from dataclasses import asdict, dataclass, field, replace
 from itertools import islice
 
@@ -33,7 +39,7 @@ from ..functions.text import ERROR_PATTERN, unique_names
 from ..functions.types import spark_type as _spark_type
 from ..operators.ordinal import fresh, quoted, small_side, stable_partitions, with_ordinals
 from ..plans import cells as C
-from ..session import checkpoint_root
+from ..session import checkpoint_root, remove_tree, scratch_dir
 from .arrowrows import ROWS_DDL, SAMPLE_DDL, RowsBuilder, sample_batch
 from . import ooxml
 
@@ -271,8 +277,6 @@ def sheets_table(files: DataFrame, with_data_flag: bool = True) -> DataFrame:
     """
 
     def fn(batches):
-        import zipfile
-
         from ..sinks import fsio
 
         for b in batches:
@@ -506,43 +510,102 @@ def _whole_files(batches, opts: ReadOptions, so: ooxml.ScanOptions):
             yield src
 
 
+class _Piece:
+    """A piece of a sheet's XML in place of the zip that the sheet is in."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+
+    def open(self, part: str):
+        return io.BytesIO(self.data)
+
+
+def _cut_fn(opts_dict: dict, stage: str, piece_bytes: int):
+    """(path, split, piece): the XML of a file's sheet cut between rows into files of the shared folder.
+
+    A deflated sheet can only be read from its beginning, so it is inflated once here and not
+    once more for every split. Each piece has the sheet's head. Rows without numbers stay together.
+    """
+    opts = ReadOptions(**opts_dict)
+
+    def pieces(zf, part, cuttable):
+        head, held, size, tag = b"", [], 0, None
+        close = b""
+        with zf.open(part) as stream:
+            for chunk in ooxml._read_raw(stream, part):
+                if tag is None:
+                    head += chunk
+                    m = ooxml._SHEETDATA_RE.search(head)
+                    if not m:
+                        continue
+                    tag, close = re.compile(rb"<" + re.escape(m.group(1)) + rb"row[\s/>]"), b"</" + m.group(1) + b"sheetData>"
+                    head, chunk = head[:m.end()], head[m.end():]
+                held.append(chunk)
+                size += len(chunk)
+                if cuttable and size >= piece_bytes:
+                    data = b"".join(held)
+                    at = [m.start() for m in tag.finditer(data)]
+                    if len(at) > 1:
+                        yield head + data[:at[-1]] + close
+                        data = data[at[-1]:]
+                    held, size = [data], len(data)
+        yield head + b"".join(held)
+
+    def fn(batches):
+        from ..sinks import fsio
+
+        for b in batches:
+            for path in b.column("path").to_pylist():
+                written = []
+                try:
+                    with fsio.open_input_file(path) as fh:
+                        zf = zipfile.ZipFile(fh)
+                        sheet = _select_sheet(zf, ooxml.open_workbook(zf, with_styles=False), opts.sheet)
+                        for data in pieces(zf, sheet.part, ooxml.rows_are_numbered(zf, sheet)):
+                            written.append(f"{stage}/{uuid.uuid4().hex}.xml")
+                            fsio.write_bytes(written[-1], zlib.compress(data, 1))
+                except Exception as exc:  # noqa: BLE001 - reported with the path
+                    if opts.on_corrupt == "skip":
+                        continue
+                    raise type(exc)(f"{path}: {exc}") from exc
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(written)), pa.array(range(len(written)), pa.int32()),
+                                                  pa.array(written, pa.string())], ["path", "split", "piece"])
+
+    return fn
+
+
 def _file_splits(batches, opts: ReadOptions, so: ooxml.ScanOptions):
-    """A source per (path, split, n_splits): one byte range of a big sheet.
+    """A source per (path, split, piece, take): one piece of a big sheet.
 
-    The task opens the file itself (seekable zip), inflates the sheet up to the end of its range
-    and parses only rows starting inside it. Sheets whose rows carry no number can't be cut:
-    their first split reads them whole.
+    The task opens the file itself for its small parts and parses the piece. Sheets whose rows carry
+    no number are one piece.
     """
-    import zipfile
     from ..sinks import fsio
 
     for b in batches:
-        for path, split, n_splits, take in zip(*[b.column(c).to_pylist() for c in ("path", "split", "n_splits", "take")]):
+        for path, split, piece, take in zip(*[b.column(c).to_pylist() for c in ("path", "split", "piece", "take")]):
             with fsio.open_input_file(path) as fh:
                 zf = zipfile.ZipFile(fh)
                 src, sst = _open_sheet(zf, path, opts, so)
                 src.split, src.take = split, take
-                if not ooxml.rows_are_numbered(zf, src.sheet):
-                    if split == 0:
-                        src.items = ooxml.iter_data_rows(zf, src.wb, src.sheet, so, sst)
-                        yield src
+                rows = _Piece(zlib.decompress(fsio.read_bytes(piece)))
+                if not ooxml.rows_are_numbered(rows, src.sheet):
+                    src.items = ooxml.iter_data_rows(rows, src.wb, src.sheet, so, sst)
+                    yield src
                     continue
                 header = []
                 if so.header_row is not None:
                     for item in ooxml.scan_sheet(zf, src.wb, src.sheet, replace(so, last_row=so.header_row), sst):
                         if item[0] == so.header_row:
                             header = item[2]
-                src.items = _range_rows(zf, src, sst, split, n_splits, header)
+                src.items = _piece_rows(rows, src, sst, split, header)
                 yield src
 
 
-def _range_rows(zf, src: _Source, sst, split: int, n_splits: int, header: list):
+def _piece_rows(zf: _Piece, src: _Source, sst, split: int, header: list):
     so = src.so
-    size = zf.getinfo(src.sheet.part).file_size
-    lo = split * size // n_splits
-    hi = (split + 1) * size // n_splits if split < n_splits - 1 else None
     local = 0
-    for item in ooxml.scan_sheet(zf, src.wb, src.sheet, so, sst, byte_range=(lo, hi)):
+    for item in ooxml.scan_sheet(zf, src.wb, src.sheet, so, sst):
         if item[0] == "hidden_cols":
             yield item
             if so.header_row is not None:
@@ -636,13 +699,36 @@ SPLIT_BYTES = 8 << 20  # compressed bytes of a workbook per parallel split of it
 SEQ_SPLIT_SHIFT = 40  # seq of a split row = split << 40 | position in the split
 
 
-def _splits(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Files up to the split size, and (path, n_splits, split, take) of the bigger ones."""
-    split_bytes = int(files.sparkSession.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
-    n = F.ceil(F.col("length") / split_bytes).cast("int")
-    big = files.filter(F.col("length") > split_bytes).select(
-        "path", n.alias("n_splits"), F.explode(F.sequence(F.lit(0), n - 1)).alias("split"), F.lit(None).cast("long").alias("take"))
-    return files.filter(F.col("length") <= split_bytes), big
+#: Bytes of XML per compressed byte, about: sets the size of pieces.
+INFLATION = 8
+
+
+def _splits(files: DataFrame, opts: ReadOptions) -> tuple[DataFrame, DataFrame]:
+    """Files up to the split size, and (path, split, piece, take) of the bigger ones.
+
+    Pieces are cut once for ``files``, whatever is then read from them, and go when the driver ends.
+    """
+    spark = files.sparkSession
+    split_bytes = int(spark.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
+    small, large = files.filter(F.col("length") <= split_bytes), files.filter(F.col("length") > split_bytes)
+    known = files.__dict__.setdefault("_cellar_pieces", {})
+    key = (opts.sheet, opts.on_corrupt, split_bytes)
+    if key not in known:
+        ddl = "path string, split int, piece string"
+        if large.select("path").isEmpty():
+            known[key] = spark.createDataFrame([], ddl)
+        else:
+            stage = scratch_dir(spark, "pieces")
+            atexit.register(_drop, spark, stage)
+            par = spark.sparkContext.defaultParallelism
+            cut = large.select("path").repartition(par * 2).mapInArrow(_cut_fn(asdict(opts), stage, split_bytes * INFLATION), ddl)
+            known[key] = cut.checkpoint()
+    return small, known[key].withColumn("take", F.lit(None).cast("long"))
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session ended before
+        remove_tree(spark, folder)
 
 
 def _over_splits(splits: DataFrame, fn, ddl: str) -> DataFrame:
@@ -651,9 +737,9 @@ def _over_splits(splits: DataFrame, fn, ddl: str) -> DataFrame:
 
 def _decode(files: DataFrame, opts: ReadOptions, make, ddl: str, limit: int | None = None) -> DataFrame:
     """``make(sources)`` run over all files: files up to the split size one task each (content
-    from ``binaryFile``), bigger ones as parallel byte-range splits; ``limit``: the first data
+    from ``binaryFile``), bigger ones as parallel pieces; ``limit``: the first data
     rows of each file only."""
-    small, big = _splits(files)
+    small, big = _splits(files, opts)
     if opts.on_corrupt == "skip":
         big = _sound(big, opts)
     if limit is not None:
@@ -716,7 +802,7 @@ def decode_rows(files: DataFrame, opts: ReadOptions, ordinals: dict[str, int] |
     od = asdict(opts)
     if opts.skip_empty_rows:
         return _decode(files, opts, lambda sources: _rows_fn(od, ordinals, sources), ROWS_DDL)
-    small, big = _splits(files)
+    small, big = _splits(files, opts)
     one = small.select("path", "content").mapInArrow(_rows_fn(od, ordinals, _whole_files), ROWS_DDL)
     if big.isEmpty():
         return one

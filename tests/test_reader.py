@@ -336,18 +336,18 @@ def test_empty_rows_over_splits(spark, tmp, options):
 
 def test_scan_limit_over_splits(spark, tmp):
     p = _gappy(os.path.join(tmp, "a.xlsx"))
-    for limit, kinds in ((10, None), (250, None), (330, ["double", "string"]), (5000, ["double", "string"])):
+    for limit, kinds in ((10, None), (250, ["double", "string"]), (5000, ["double", "string"])):
         for size in ("8388608", "500"):
             spark.conf.set("cellar.read.splitBytes", size)
             try:
                 # of all rows but hidden ones
                 if kinds:
-                    assert [t for _, t in read_excel(spark, p, scan_limit=limit).dtypes] == kinds
+                    df = read_excel(spark, p, scan_limit=limit)
+                    assert [t for _, t in df.dtypes] == kinds and df.count() > 300
                 else:
                     df = read_excel(spark, p, scan_limit=limit)
-                    assert df.columns == ["n", "t"] or df.columns == ["n"]
-                    assert df.dtypes[0] == ("n", "int" if limit == 10 else "double")
-                    with pytest.raises(Exception, match="raise the scan limit|not fit"):
+                    assert df.dtypes[0] == ("n", "int")
+                    with pytest.raises(Exception, match="not fit"):
                         df.collect()
             finally:
                 spark.conf.unset("cellar.read.splitBytes")
