@@ -23,10 +23,8 @@ from __future__ import annotations
 import atexit
 import fnmatch
 import io
-import re
 import uuid
 import zipfile
-import zlib
 from dataclasses import asdict, dataclass, field, replace
 from itertools import islice
 
@@ -538,16 +536,17 @@ def _cut_fn(opts_dict: dict, stage: str, piece_bytes: int):
                     m = ooxml._SHEETDATA_RE.search(head)
                     if not m:
                         continue
-                    tag, close = re.compile(rb"<" + re.escape(m.group(1)) + rb"row[\s/>]"), b"</" + m.group(1) + b"sheetData>"
+                    tag, close = b"<" + m.group(1) + b"row ", b"</" + m.group(1) + b"sheetData>"
                     head, chunk = head[:m.end()], head[m.end():]
                 held.append(chunk)
                 size += len(chunk)
                 if cuttable and size >= piece_bytes:
                     data = b"".join(held)
-                    at = [m.start() for m in tag.finditer(data)]
-                    if len(at) > 1:
-                        yield head + data[:at[-1]] + close
-                        data = data[at[-1]:]
+                    # numbered rows have an attribute, so their tag goes on after a space
+                    at = data.rfind(tag)
+                    if at > 0:
+                        yield head + data[:at] + close
+                        data = data[at:]
                     held, size = [data], len(data)
         yield head + b"".join(held)
 
@@ -563,7 +562,7 @@ def _cut_fn(opts_dict: dict, stage: str, piece_bytes: int):
                         sheet = _select_sheet(zf, ooxml.open_workbook(zf, with_styles=False), opts.sheet)
                         for data in pieces(zf, sheet.part, ooxml.rows_are_numbered(zf, sheet)):
                             written.append(f"{stage}/{uuid.uuid4().hex}.xml")
-                            fsio.write_bytes(written[-1], zlib.compress(data, 1))
+                            fsio.write_bytes(written[-1], data)
                 except Exception as exc:  # noqa: BLE001 - reported with the path
                     if opts.on_corrupt == "skip":
                         continue
@@ -588,7 +587,7 @@ def _file_splits(batches, opts: ReadOptions, so: ooxml.ScanOptions):
                 zf = zipfile.ZipFile(fh)
                 src, sst = _open_sheet(zf, path, opts, so)
                 src.split, src.take = split, take
-                rows = _Piece(zlib.decompress(fsio.read_bytes(piece)))
+                rows = _Piece(fsio.read_bytes(piece))
                 if not ooxml.rows_are_numbered(rows, src.sheet):
                     src.items = ooxml.iter_data_rows(rows, src.wb, src.sheet, so, sst)
                     yield src
