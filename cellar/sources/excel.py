@@ -49,7 +49,9 @@ EXCEL_EXTENSIONS = ("xlsx", "xlsm")
 
 @dataclass
 class ReadOptions:
-    sheet: str | int | None = None  # None = first sheet with data (S7), str = name (S8), int = 0-based (S9)
+    # None = first sheet with data (S7), str = name (S8), int = 0-based (S9); a list of names or numbers = these
+    # sheets one below the other, columns matched by name
+    sheet: str | int | list | tuple | range | None = None
     header_row: int | None = 1  # 1-based row holding the names; None = no header row
     column_names: str = "letters"  # without header: "letters" (A, B, ...) or "index" (Col0, Col1, ...)
     empty_prefix: str = "empty_"  # blank header: prefix + suffix
@@ -94,6 +96,21 @@ class ReadOptions:
             raise ValueError(f"last_row={self.last_row} lies above first_row={self.first_row}")
         if self.combine not in ("union", "intersection", "fail"):
             raise ValueError(f"Unknown combine mode {self.combine!r}")
+        if self.many_sheets:
+            if not len(self.sheet):
+                raise ValueError("sheet=[] names no sheet")
+            if (self.scan_limit is not None or not self.skip_empty_rows or self.combine != "union"
+                    or self.on_corrupt != "failfast"):
+                raise ValueError("a list of sheets is read whole: no scan limit, kept empty rows, other combine mode "
+                                 "or corrupt files left out")
+
+    @property
+    def many_sheets(self) -> bool:
+        return isinstance(self.sheet, (list, tuple, range))
+
+    def sheets(self) -> list:
+        """The sheets to read of a file, in order."""
+        return list(self.sheet) if self.many_sheets else [self.sheet]
 
     def scan_options(self, max_rows: int | None) -> ooxml.ScanOptions:
         rid = None
@@ -220,10 +237,10 @@ def rejects(files: DataFrame, opts: ReadOptions | None = None) -> DataFrame:
                     try:
                         zf = ooxml.open_zip(content)
                         wb = ooxml.open_workbook(zf)
-                        sheet = _select_sheet(zf, wb, opts.sheet)
                         sst = ooxml.load_shared_strings(zf, wb.shared_strings_part)
-                        for _ in ooxml.scan_sheet(zf, wb, sheet, so, sst):
-                            pass
+                        for wanted in opts.sheets():
+                            for _ in ooxml.scan_sheet(zf, wb, _select_sheet(zf, wb, wanted), so, sst):
+                                pass
                     except Exception as exc:  # noqa: BLE001 - this is the report
                         why = f"{type(exc).__name__}: {exc}"
                 if why is not None:
@@ -441,11 +458,11 @@ class _Source:
 
     ``rows()`` yields (row_idx, seq, hidden, cells, rowid); ``namer`` knows all column names by
     the time the first row comes out. Rows above a header row wait for it (at most as many as
-    stand above the header).
+    stand above the header). ``part``: the number in front of the rows' ``seq``.
     """
 
-    def __init__(self, path, wb, sheet, opts: ReadOptions, so: ooxml.ScanOptions):
-        self.path, self.wb, self.sheet, self.opts, self.so = path, wb, sheet, opts, so
+    def __init__(self, path, wb, sheet, opts: ReadOptions, so: ooxml.ScanOptions, part: int = 0):
+        self.path, self.wb, self.sheet, self.opts, self.so, self.part = path, wb, sheet, opts, so, part
         self.hidden: set[int] = set()
         self.namer = _Namer(opts, so, self.hidden)
         self.width = 0
@@ -457,7 +474,10 @@ class _Source:
         self.namer = _Namer(self.opts, self.so, self.hidden)
 
     def rows(self):
-        return self._all_rows() if self.take is None else islice(self._all_rows(), self.take)
+        rows = self._all_rows() if self.take is None else islice(self._all_rows(), self.take)
+        if not self.part:
+            return rows
+        return ((r, (self.part << SEQ_SPLIT_SHIFT) | seq, *rest) for r, seq, *rest in rows)
 
     def _all_rows(self):
         pending = []
@@ -479,14 +499,44 @@ class _Source:
         yield from pending
 
 
-def _open_sheet(zf, path, opts: ReadOptions, so: ooxml.ScanOptions):
+def _open_sheets(zf, path, opts: ReadOptions, so: ooxml.ScanOptions):
+    """(sources of the sheets that are read, shared strings) of a workbook."""
     wb = ooxml.open_workbook(zf)
-    sheet = _select_sheet(zf, wb, opts.sheet)
-    return _Source(path, wb, sheet, opts, so), ooxml.load_shared_strings(zf, wb.shared_strings_part)
+    found = [_Source(path, wb, _select_sheet(zf, wb, wanted), opts, so, i) for i, wanted in enumerate(opts.sheets())]
+    return found, ooxml.load_shared_strings(zf, wb.shared_strings_part)
+
+
+class _LastWorkbook:
+    """The workbook that a task opened last: its sheets' pieces come one after the other, and what is common
+    to them is read once."""
+
+    def __init__(self):
+        self.path = self.fh = None
+
+    def open(self, path: str, **parts):
+        if path != self.path:
+            from ..sinks import fsio
+
+            self.close()
+            self.fh = fsio.open_input_file(path)
+            self.zf = zipfile.ZipFile(self.fh)
+            self.wb = ooxml.open_workbook(self.zf, **parts)
+            self.path, self.sst = path, None
+        return self.zf, self.wb
+
+    def strings(self) -> list[str]:
+        if self.sst is None:
+            self.sst = ooxml.load_shared_strings(self.zf, self.wb.shared_strings_part)
+        return self.sst
+
+    def close(self):
+        if self.fh is not None:
+            self.fh.close()
+        self.path = self.fh = None
 
 
 def _whole_files(batches, opts: ReadOptions, so: ooxml.ScanOptions):
-    """A source per file of (path, content) batches.
+    """The sources of the files of (path, content) batches.
 
     With ``on_corrupt="skip"`` a file that cannot be opened or whose sheet XML is corrupt is
     left out (``rejects`` lists such files with the reason); otherwise the error names the path.
@@ -495,17 +545,18 @@ def _whole_files(batches, opts: ReadOptions, so: ooxml.ScanOptions):
         for p, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
             try:
                 zf = ooxml.open_zip(content)
-                src, sst = _open_sheet(zf, p, opts, so)
+                found, sst = _open_sheets(zf, p, opts, so)
                 if opts.on_corrupt == "skip":
                     # a corrupt sheet must not leave half a file behind: check it whole first
-                    for _ in ooxml.scan_sheet(zf, src.wb, src.sheet, so, sst):
+                    for _ in ooxml.scan_sheet(zf, found[0].wb, found[0].sheet, so, sst):
                         pass
             except Exception as exc:  # noqa: BLE001 - reported with the path
                 if opts.on_corrupt == "skip":
                     continue
                 raise type(exc)(f"{p}: {exc}") from exc
-            src.items = ooxml.iter_data_rows(zf, src.wb, src.sheet, so, sst)
-            yield src
+            for src in found:
+                src.items = ooxml.iter_data_rows(zf, src.wb, src.sheet, so, sst)
+                yield src
 
 
 class _Piece:
@@ -519,7 +570,7 @@ class _Piece:
 
 
 def _cut_fn(opts_dict: dict, stage: str, piece_bytes: int):
-    """(path, split, piece): the XML of a file's sheet cut between rows into files of the shared folder.
+    """(path, nth, split, piece) of (path, nth): the XML of a file's sheet cut between rows into files of the shared folder.
 
     A deflated sheet can only be read from its beginning, so it is inflated once here and not
     once more for every split. Each piece has the sheet's head. Rows without numbers stay together.
@@ -553,52 +604,56 @@ def _cut_fn(opts_dict: dict, stage: str, piece_bytes: int):
     def fn(batches):
         from ..sinks import fsio
 
+        book, sheets = _LastWorkbook(), opts.sheets()
         for b in batches:
-            for path in b.column("path").to_pylist():
+            for path, nth in zip(b.column("path").to_pylist(), b.column("nth").to_pylist()):
                 written = []
                 try:
-                    with fsio.open_input_file(path) as fh:
-                        zf = zipfile.ZipFile(fh)
-                        sheet = _select_sheet(zf, ooxml.open_workbook(zf, with_styles=False), opts.sheet)
-                        for data in pieces(zf, sheet.part, ooxml.rows_are_numbered(zf, sheet)):
-                            written.append(f"{stage}/{uuid.uuid4().hex}.xml")
-                            fsio.write_bytes(written[-1], data)
+                    zf, wb = book.open(path, with_styles=False)
+                    sheet = _select_sheet(zf, wb, sheets[nth])
+                    for data in pieces(zf, sheet.part, ooxml.rows_are_numbered(zf, sheet)):
+                        written.append(f"{stage}/{uuid.uuid4().hex}.xml")
+                        fsio.write_bytes(written[-1], data)
                 except Exception as exc:  # noqa: BLE001 - reported with the path
                     if opts.on_corrupt == "skip":
                         continue
                     raise type(exc)(f"{path}: {exc}") from exc
-                yield pa.RecordBatch.from_arrays([pa.array([path] * len(written)), pa.array(range(len(written)), pa.int32()),
-                                                  pa.array(written, pa.string())], ["path", "split", "piece"])
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(written)), pa.array([nth] * len(written), pa.int32()),
+                                                  pa.array(range(len(written)), pa.int32()), pa.array(written, pa.string())],
+                                                 ["path", "nth", "split", "piece"])
+        book.close()
 
     return fn
 
 
 def _file_splits(batches, opts: ReadOptions, so: ooxml.ScanOptions):
-    """A source per (path, split, piece, take): one piece of a big sheet.
+    """A source per (path, nth, split, piece, take): one piece of a big file's sheet.
 
     The task opens the file itself for its small parts and parses the piece. Sheets whose rows carry
     no number are one piece.
     """
     from ..sinks import fsio
 
+    book, sheets = _LastWorkbook(), opts.sheets()
     for b in batches:
-        for path, split, piece, take in zip(*[b.column(c).to_pylist() for c in ("path", "split", "piece", "take")]):
-            with fsio.open_input_file(path) as fh:
-                zf = zipfile.ZipFile(fh)
-                src, sst = _open_sheet(zf, path, opts, so)
-                src.split, src.take = split, take
-                rows = _Piece(fsio.read_bytes(piece))
-                if not ooxml.rows_are_numbered(rows, src.sheet):
-                    src.items = ooxml.iter_data_rows(rows, src.wb, src.sheet, so, sst)
-                    yield src
-                    continue
-                header = []
-                if so.header_row is not None:
-                    for item in ooxml.scan_sheet(zf, src.wb, src.sheet, replace(so, last_row=so.header_row), sst):
-                        if item[0] == so.header_row:
-                            header = item[2]
-                src.items = _piece_rows(rows, src, sst, split, header)
+        for path, nth, split, piece, take in zip(*[b.column(c).to_pylist() for c in ("path", "nth", "split", "piece", "take")]):
+            zf, wb = book.open(path)
+            src = _Source(path, wb, _select_sheet(zf, wb, sheets[nth]), opts, so)
+            sst = book.strings()
+            src.split, src.take = split, take
+            rows = _Piece(fsio.read_bytes(piece))
+            if not ooxml.rows_are_numbered(rows, src.sheet):
+                src.items, src.part = ooxml.iter_data_rows(rows, src.wb, src.sheet, so, sst), split
                 yield src
+                continue
+            header = []
+            if so.header_row is not None:
+                for item in ooxml.scan_sheet(zf, src.wb, src.sheet, replace(so, last_row=so.header_row), sst):
+                    if item[0] == so.header_row:
+                        header = item[2]
+            src.items = _piece_rows(rows, src, sst, split, header)
+            yield src
+    book.close()
 
 
 def _piece_rows(zf: _Piece, src: _Source, sst, split: int, header: list):
@@ -630,7 +685,7 @@ def _sample_fn(opts_dict: dict, sources):
     so = opts.scan_options(opts.scan_limit)
 
     def fn(batches):
-        records = []
+        records, kept = [], 0
         for src in sources(batches, opts, so):
             cols: dict[int, list] = {}
             held, seen = 0, set()
@@ -647,9 +702,10 @@ def _sample_fn(opts_dict: dict, sources):
             for pos in _positions(so, src.hidden, src.width):
                 if pos in cols or pos not in seen:
                     records.append((src.path, pos, src.namer.name_of(pos), src.wb.date1904, cols.get(pos, [])))
-            if len(records) >= 4096:
+            kept += held
+            if len(records) >= 4096 or kept >= SAMPLE_CELLS:
                 yield sample_batch(records)
-                records = []
+                records, kept = [], 0
         if records:
             yield sample_batch(records)
 
@@ -703,7 +759,7 @@ INFLATION = 8
 
 
 def _splits(files: DataFrame, opts: ReadOptions) -> tuple[DataFrame, DataFrame]:
-    """Files up to the split size, and (path, split, piece, take) of the bigger ones.
+    """Files up to the split size, and (path, nth, split, piece, take) of the bigger ones.
 
     Pieces are cut once for ``files``, whatever is then read from them, and go when the driver ends.
     """
@@ -711,16 +767,21 @@ def _splits(files: DataFrame, opts: ReadOptions) -> tuple[DataFrame, DataFrame]:
     split_bytes = int(spark.conf.get("cellar.read.splitBytes", str(SPLIT_BYTES)))
     small, large = files.filter(F.col("length") <= split_bytes), files.filter(F.col("length") > split_bytes)
     known = files.__dict__.setdefault("_cellar_pieces", {})
-    key = (opts.sheet, opts.on_corrupt, split_bytes)
+    key = (opts.many_sheets, tuple(opts.sheets()), opts.on_corrupt, split_bytes)
     if key not in known:
-        ddl = "path string, split int, piece string"
+        ddl = "path string, nth int, split int, piece string"
         if large.select("path").isEmpty():
             known[key] = spark.createDataFrame([], ddl)
         else:
             stage = scratch_dir(spark, "pieces")
             atexit.register(_drop, spark, stage)
             par = spark.sparkContext.defaultParallelism
-            cut = large.select("path").repartition(par * 2).mapInArrow(_cut_fn(asdict(opts), stage, split_bytes * INFLATION), ddl)
+            each = large.select("path", F.explode(F.sequence(F.lit(0), F.lit(len(opts.sheets()) - 1))).alias("nth"))
+            cut = each.repartition(par * 2).mapInArrow(_cut_fn(asdict(opts), stage, split_bytes * INFLATION), ddl)
+            if opts.many_sheets:
+                # a file's pieces are numbered on over its sheets; one row per piece
+                order = Window.partitionBy("path").orderBy("nth", "split")
+                cut = cut.checkpoint().withColumn("split", F.row_number().over(order) - 1)
             known[key] = cut.checkpoint()
     return small, known[key].withColumn("take", F.lit(None).cast("long"))
 
@@ -798,6 +859,8 @@ def _first_rows(splits: DataFrame, opts: ReadOptions, limit: int) -> DataFrame:
 
 def decode_rows(files: DataFrame, opts: ReadOptions, ordinals: dict[str, int] | None) -> DataFrame:
     """Decoded rows of all files, cells keyed by column ordinal."""
+    if opts.many_sheets:
+        opts.validate()
     od = asdict(opts)
     if opts.skip_empty_rows:
         return _decode(files, opts, lambda sources: _rows_fn(od, ordinals, sources), ROWS_DDL)

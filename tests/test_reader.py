@@ -360,3 +360,46 @@ def test_corrupt_files_are_left_out_over_splits(spark, tmp):
     assert whole == split and {r[-1][-6:] for r in whole} == {"b.xlsx"} and len(whole) > 150
     whole, split = _both(spark, lambda: read_excel(spark, tmp, on_corrupt="skip", skip_empty_rows=False))
     assert whole == split
+
+
+@pytest.mark.parametrize("split", [None, "16"])
+def test_sheets_of_a_list_are_read_in_one_go(spark, tmp, split):
+    """Types over all sheets, columns by name, rows in the order of the sheets; no more jobs for more sheets."""
+    many = 40
+    sheets = []
+    for i in range(many):
+        names = [X.text("A1", "k"), X.text("B1", "v")] if i % 2 else [X.text("A1", "v"), X.text("B1", "k")]
+        rows = [X.row(1, *names)]
+        for r in range(2, 5):
+            k, v = X.num(f"{'A' if i % 2 else 'B'}{r}", 10 * i + r), X.num(f"{'B' if i % 2 else 'A'}{r}", r + (0.5 if i == 7 else 0))
+            rows.append(X.row(r, *((k, v) if i % 2 else (v, k))))
+        sheets.append((f"s{i}", X.sheet_xml(rows)))
+    X.build(f"{tmp}/many.xlsx", sheets)
+    if split:
+        spark.conf.set("cellar.read.splitBytes", split)
+    try:
+        tracker = spark.sparkContext.statusTracker()
+
+        def read(wanted):
+            spark.sparkContext.setJobGroup(f"{tmp}{len(wanted)}{split}", "sheets")
+            got = read_excel(spark, f"{tmp}/many.xlsx", sheet=wanted, row_id="generated")
+            rows = got.collect()
+            jobs = len(tracker.getJobIdsForGroup(f"{tmp}{len(wanted)}{split}"))
+            return got, rows, jobs
+
+        got, rows, jobs = read(range(many))
+        assert dict(got.dtypes) == {"RowID": "string", "v": "double", "k": "int"}
+        assert {r["RowID"]: (r["k"], r["v"]) for r in rows} == {
+            f"Row{3 * i + r - 2}": (10 * i + r, r + (0.5 if i == 7 else 0)) for i in range(many) for r in range(2, 5)}
+        assert jobs == read(["s3", "s1"])[2]
+        assert [r["k"] for r in sorted(read(["s3", 1])[1], key=lambda r: int(r["RowID"][3:]))] == [32, 33, 34, 12, 13, 14]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        if split:
+            spark.conf.unset("cellar.read.splitBytes")
+    with pytest.raises(ValueError):
+        read_excel(spark, f"{tmp}/many.xlsx", sheet=[0, 1], scan_limit=5)
+    with pytest.raises(ValueError):
+        read_excel(spark, f"{tmp}/many.xlsx", sheet=[])
+    with pytest.raises(Exception, match="does not exist"):
+        read_excel(spark, f"{tmp}/many.xlsx", sheet=[0, many]).count()
