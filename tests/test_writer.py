@@ -286,3 +286,16 @@ def test_updates_of_prefixed_and_unnumbered_rows(spark, tmp):
     back = read_excel(spark, p, header_row=None).collect()
     assert [tuple(r) for r in back] == [(i, 77 if i == 2 else -i) for i in range(50)]
     assert [tuple(r) for r in read_excel(spark, p, sheet="e", header_row=None).collect()] == [(None, None, 78)]
+
+
+def test_texts_longer_than_a_cell_go_through_a_workbook(spark, tmp):
+    from cellar.operators import longtext as X
+
+    long = "ab_x0041_<&>" * 6000 + " " * 40000 + "end\n"
+    rows = [(1, "u", long), (1, "u", long), (None, "v", "short"), (2, None, None), (3, "w" * 32768, "x" * 32767), (4, "z", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    cut = X.continued(df, ["url", "html"], "row", "part", "parts", ["page_id"])
+    write_excel({"p": cut}, f"{tmp}/p.xlsx", order_by=["row", "part"])
+    back = X.whole(read_excel(spark, f"{tmp}/p.xlsx", blank_to_missing=False), ["url", "html"], "row", "part", "parts")
+    got = [(r["page_id"], r["url"], r["html"]) for r in back.collect()]
+    assert sorted(got, key=repr) == sorted(rows, key=repr)
