@@ -208,3 +208,21 @@ def test_legacy_ids(spark):
     e = spark.createDataFrame([("",), ("x",)], "i string").select(
         W.empty_id_to_generated(F.col("i"), F.lit("Row9")).alias("o")).collect()
     assert [r["o"] for r in e] == ["Row9", "x"]
+
+
+def test_masks_do_not_generate_more_code_for_more_columns(spark):
+    """Every column's typing in one projection made methods that the JVM does not compile."""
+    def wide(n):
+        cells = {j: {"k": "n", "n": j + (0.5 if j % 2 else 0.0), "s": None} for j in range(n)}
+        return spark.createDataFrame([("f", 0, False, cells)], f"path string, row_idx int, hidden boolean, cells map<int,{C.CELL_STRUCT}>")
+
+    def plan(n):
+        return P.column_masks(wide(n))._jdf.queryExecution().optimizedPlan().toString()
+
+    assert plan(60).count("timestampadd") == plan(3).count("timestampadd")
+    got = {r["col"]: r["mask"] for r in P.column_masks(wide(60)).collect()}
+    assert got == {j: 4 if j % 2 else 1 for j in range(60)}
+    assert {r["col"] for r in P.column_masks(wide(60), [1, 5]).collect()} == {1, 5}
+    empty = spark.createDataFrame([("f", 0, False, {0: None}), ("f", 1, False, None)],
+                                  f"path string, row_idx int, hidden boolean, cells map<int,{C.CELL_STRUCT}>")
+    assert P.column_masks(empty).count() == 0 and P.type_runs(empty).count() == 0
