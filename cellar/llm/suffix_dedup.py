@@ -20,6 +20,10 @@ that only anchors are counted for all text:
    distinct runs, eight bytes each, are sorted in passes. A window found in a smaller document
    is removed; neighbouring windows join to spans.
 
+Temporary arrays are made for ``STEP_BYTES`` of text or runs at a time, and the windows of a key with
+many runs are sorted by their distance from the anchor, one distance after another: equal windows
+have the same.
+
 Windows are bytes of UTF-8 and never cross documents. A null text counts as empty. A null or
 repeated ``doc_id``: rows with one id count as one document for the test "in a smaller
 document"; a null id is larger than all others. Every row is returned, with the spans of its own
@@ -43,6 +47,11 @@ ANCHOR = 20
 FILTER_BITS = 27
 #: An anchor that occurs more often than this is grouped by its windows instead.
 HOT = 250_000
+#: Bytes of text within which equal runs are looked for before they are sent.
+SCOPE = 4 << 20
+#: Bytes of text or runs, and windows, that a task has temporary arrays for at a time.
+STEP_BYTES = 1 << 19
+STEP_WINDOWS = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.iinfo(np.int64).max
 
@@ -108,38 +117,49 @@ def _ids(column: pa.Array) -> np.ndarray:
     return column.fill_null(_LAST).to_numpy(zero_copy_only=False)
 
 
-def _parts(data: np.ndarray, off: np.ndarray, window: int):
-    """Pieces of rows; a row beyond 8 MiB comes in parts that overlap by a window."""
-    for begin, end in pieces(data, off, 4 << 20):
+def _parts(data: np.ndarray, off: np.ndarray, window: int, size: int):
+    """Pieces of rows of about ``size`` bytes; a row beyond twice that comes in parts that overlap
+    by a window."""
+    for begin, end in pieces(data, off, size):
         part = off[begin:end + 1]
-        if part[-1] - part[0] <= 8 << 20:
+        if part[-1] - part[0] <= 2 * size:
             yield begin, 0, data[part[0]:part[-1]], part - part[0]
             continue
         lo, hi = int(part[0]), int(part[-1])
-        for at in range(lo, hi, 4 << 20):
-            stop = min(at + (4 << 20) + window - 1, hi)
+        for at in range(lo, hi, size):
+            stop = min(at + size + window - 1, hi)
             yield begin, at - lo, data[at:stop], np.array([0, stop - at])
 
 
+def _slices(weights: np.ndarray, limit: int):
+    """Ranges of items of about ``limit`` in all; a heavier item is a range of its own."""
+    total = np.concatenate([[0], np.cumsum(weights)])
+    at = 0
+    while at < len(weights):
+        end = max(int(np.searchsorted(total, total[at] + limit, side="right")) - 1, at + 1)
+        yield at, end
+        at = end
+
+
 def _anchor_rows(docs: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, off = string_bytes(batch.column(1))
             ids = _ids(batch.column(0))
-            for begin, _, text, rows in _parts(data, off, window):
+            for begin, _, text, rows in _parts(data, off, window, STEP_BYTES):
                 row, _, _, _, h = anchors(text, rows, window, gram)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[begin + row])], ["h", "id"])
 
     return docs.mapInArrow(run, "h long, id long")
 
 
-def _known(h, first, last, place, doc, whole) -> np.ndarray:
+def _known(doc, lead, count, head, tail) -> np.ndarray:
     """Which runs of a piece equal one of a smaller document in it.
 
-    A run is told by its length, its anchor's place and the hashes of its first and last window,
-    which between them cover all its bytes.
+    A run is told by its windows' number, those before its anchor's place and the hashes of its
+    first and last window, which between them cover all its bytes.
     """
-    keys = (doc, place - first, last - first, whole[last], whole[first])
+    keys = (doc, lead, count, tail, head)
     order = np.lexsort(keys)
     same = np.ones(len(order), bool)
     for k in keys[1:]:
@@ -152,37 +172,77 @@ def _known(h, first, last, place, doc, whole) -> np.ndarray:
     return out
 
 
-def _gather(text: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.Array:
-    """Binary array of the slices of ``text`` that begin at ``first``."""
-    off = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-    data = text[np.repeat(first - off[:-1], size) + np.arange(off[-1])]
-    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(off), pa.py_buffer(data.tobytes())])
+def _gather(text: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of the slices of ``text`` that begin at ``first``."""
+    off = np.concatenate([[0], np.cumsum(size)])
+    return text[np.repeat(first - off[:-1], size) + np.arange(off[-1])], off
+
 
+def _sorted_rows(text, h, doc, first, at, count, lead, window):
+    """Rows of kind 0, in batches of about ``STEP_BYTES`` of runs."""
+    size = count + window - 1
+    for i, j in _slices(size, STEP_BYTES):
+        run, off = _gather(text, first[i:j], size[i:j])
+        runs = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(run)])
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.zeros(j - i, np.int32)), pa.array(h[i:j].view(np.int64)), pa.array(doc[i:j]),
+            pa.array(at[i:j]), runs, pa.array(lead[i:j].astype(np.int32))], _RUN_NAMES)
 
-def _send(text, kept, again, h, doc, first, last, place, base, window) -> pa.RecordBatch:
-    # neighbouring known runs of a document go as one
-    k = np.flatnonzero(again)
-    k = k[np.lexsort((first[k], doc[k]))]
+
+def _known_rows(doc, at, count):
+    """Rows of kind 1; neighbouring runs of a document go as one."""
+    k = np.lexsort((at, doc))
+    doc, at, count = doc[k], at[k], count[k]
     joins = np.zeros(len(k), bool)
-    joins[1:] = (doc[k][1:] == doc[k][:-1]) & (base[k][1:] == base[k][:-1]) & (first[k][1:] == last[k][:-1] + 1)
+    joins[1:] = (doc[1:] == doc[:-1]) & (at[1:] == at[:-1] + count[:-1])
     begin = np.flatnonzero(~joins)
-    end = np.append(begin[1:], len(k)) - 1 if len(k) else begin
-    head, tail = k[begin], k[end]
-    s = np.flatnonzero(kept)
-    runs = _gather(text, first[s], last[s] - first[s] + window)
-    none = pa.array([b""] * len(head), pa.binary())
+    if not len(begin):
+        return
+    doc, at, count = doc[begin], at[begin], np.add.reduceat(count, begin)
     # known runs need no company: a key of their own spreads those of a frequent anchor
-    alone = mix(doc[head].astype(np.int64).view(np.uint64) * _SPREAD + (first - base)[head].astype(np.int64).view(np.uint64))
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.repeat(np.array([0, 1], np.int32), [len(s), len(head)])),
-        pa.array(np.concatenate([h[s], alone]).view(np.int64)), pa.array(np.concatenate([doc[s], doc[head]])),
-        pa.array(np.concatenate([(first - base)[s], (first - base)[head]])), pa.concat_arrays([runs, none]),
-        pa.array(np.concatenate([(place - first)[s], (last[tail] - first[head] + 1)]).astype(np.int32))],
-        ["kind", "key", "id", "at", "run", "lead"])
+    alone = mix(doc.astype(np.int64).view(np.uint64) * _SPREAD + at.astype(np.int64).view(np.uint64))
+    yield pa.RecordBatch.from_arrays([
+        pa.array(np.ones(len(doc), np.int32)), pa.array(alone.view(np.int64)), pa.array(doc), pa.array(at),
+        pa.array([b""] * len(doc), pa.binary()), pa.array(count.astype(np.int32))], _RUN_NAMES)
+
+
+def _taken_apart(text, h, doc, first, at, count, window):
+    """The windows of runs of frequent anchors one by one, in steps of about ``STEP_WINDOWS``."""
+    order = np.argsort(h, kind="stable")  # equal windows have equal anchors: one step has most of them
+    for i, j in _slices(count[order], STEP_WINDOWS):
+        k = order[i:j]
+        run, off = _gather(text, first[k], count[k] + window - 1)
+        index = np.repeat(np.arange(len(k)), count[k])
+        inner = np.arange(len(index)) - np.repeat(np.cumsum(count[k]) - count[k], count[k])
+        single = off[index] + inner
+        whole = gram_hashes(run, window)[single]
+        who, place, one = doc[k][index], at[k][index] + inner, np.ones(len(index), np.int64)
+        known = _known(who, one, one, whole, whole)
+        yield from _known_rows(who[known], place[known], one[known])
+        new = ~known
+        yield from _sorted_rows(run, whole[new], who[new], single[new], place[new], one[new], np.zeros(int(new.sum()), np.int64),
+                                window)
 
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _RUN = "kind int, key long, id long, at long, run binary, lead int"
+_RUN_NAMES = ["kind", "key", "id", "at", "run", "lead"]
+
+
+def _runs(text, rows, ids, shift, table_, window, gram):
+    """Runs of a piece of text whose anchors the bit table lets through, step by step: hash of the
+    anchor, id, place in the piece and in the document, windows, windows before the anchor's place,
+    hashes of the first and the last window."""
+    for begin, inner, part, off in _parts(text, rows, window, STEP_BYTES):
+        row, first, last, place, h = anchors(part, off, window, gram)
+        keep = in_filter(table_, FILTER_BITS, h)
+        row, first, last, place, h = row[keep], first[keep], last[keep], place[keep], h[keep]
+        if not len(row):
+            continue
+        whole = gram_hashes(part, window)
+        at = first - off[row] + inner
+        yield (h, ids[begin + row], rows[begin + row] + at, at + shift, last - first + 1, place - first,
+               whole[first], whole[last])
 
 
 def _run_rows(docs: DataFrame, bits: np.ndarray, hot: np.ndarray, window: int, gram: int) -> DataFrame:
@@ -195,32 +255,18 @@ def _run_rows(docs: DataFrame, bits: np.ndarray, hot: np.ndarray, window: int, g
         for batch in batches:
             data, off = string_bytes(batch.column(1))
             ids = _ids(batch.column(0))
-            for begin, shift, text, rows in _parts(data, off, window):
-                row, first, last, place, h = anchors(text, rows, window, gram)
-                keep = in_filter(table, FILTER_BITS, h)
-                row, first, last, place, h = row[keep], first[keep], last[keep], place[keep], h[keep]
-                if not len(row):
+            for begin, shift, text, rows in _parts(data, off, window, SCOPE):
+                found = list(zip(*_runs(text, rows, ids[begin:], shift, table, window, gram), strict=True))
+                if not found:
                     continue
-                base, doc = rows[row] - shift, ids[begin + row]
-                whole = gram_hashes(text, window)
-                again = _known(h, first, last, place, doc, whole)
-                kept = ~again
+                h, doc, first, at, count, lead, head, tail = (np.concatenate(x) for x in found)
+                again = _known(doc, lead, count, head, tail)
                 # an anchor of very many documents: its windows one by one
-                many = kept & np.isin(h, frequent)
-                if many.any():
-                    count = (last - first + 1)[many]
-                    index = np.repeat(np.flatnonzero(many), count)
-                    single = first[index] + np.arange(len(index)) - np.repeat(np.cumsum(count) - count, count)
-                    kept &= ~many
-                    first, last = np.concatenate([first, single]), np.concatenate([last, single])
-                    place = np.concatenate([place, single])
-                    h, base, doc = (np.concatenate([x, y]) for x, y in ((h, whole[single]), (base, base[index]),
-                                                                        (doc, doc[index])))
-                    kept = np.concatenate([kept, np.ones(len(single), bool)])
-                    known = _known(h[-len(single):], single, single, single, doc[-len(single):], whole)
-                    kept[-len(single):] = ~known
-                    again = np.concatenate([again, known])
-                yield _send(text, kept, again, h, doc, first, last, place, base, window)
+                many = ~again & np.isin(h, frequent)
+                new = ~again & ~many
+                yield from _known_rows(doc[again], at[again], count[again])
+                yield from _taken_apart(text, *(x[many] for x in (h, doc, first, at, count)), window)
+                yield from _sorted_rows(text, *(x[new] for x in (h, doc, first, at, count, lead)), window)
 
     return docs.mapInArrow(run, _RUN)
 
@@ -256,26 +302,52 @@ def repeated(key: np.ndarray, doc: np.ndarray, at: np.ndarray, lead: np.ndarray,
     text = np.frombuffer(b"".join([runs[i] for i in rows.tolist()]) + bytes(8), np.uint8)
     count = size - window + 1
     begin = np.cumsum(size) - size
-    run = np.repeat(np.arange(len(rows)), count)
-    offset = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
-    place = begin[run] + offset
-    digits = np.ndarray((len(text) - 7,), ">u8", text.tobytes(), strides=(1,))
-    alive, group, owner = np.arange(len(run)), group[run], doc[run]
-    gone = []
+    digits = np.ndarray((len(text) - 7,), ">u8", text, strides=(1,))
+    run, offset = [], []
+    # equal windows of a key are at the same place before its anchor, so many go place by place
+    ahead = lead[rows]
+    for of, inner in _windows(count, ahead):
+        gone = _later_windows(digits, begin[of] + inner, group[of], doc[of], window)
+        run.append(of[gone])
+        offset.append(inner[gone])
+    run, offset = np.concatenate(run), np.concatenate(offset)
+    if not len(run):
+        return whole
+    order = np.lexsort((offset, run))
+    run, offset = run[order], offset[order]
+    new = np.ones(len(run), bool)
+    new[1:] = (offset[1:] != offset[:-1] + 1) | (run[1:] != run[:-1])
+    cuts = np.flatnonzero(new)
+    parts = np.stack([doc[run[cuts]], at[run[cuts]] + offset[cuts], np.diff(np.append(cuts, len(run)))], 1)
+    return np.concatenate([whole, parts])
+
+
+def _windows(count: np.ndarray, lead: np.ndarray):
+    """(run, window of it) of all windows of runs, at once or, if many, by distance from the anchor."""
+    if count.sum() <= 2 * STEP_WINDOWS:
+        run = np.repeat(np.arange(len(count)), count)
+        yield run, np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+        return
+    for ahead in range(int((lead - count).min()) + 1, int(lead.max()) + 1):
+        run = np.flatnonzero((lead >= ahead) & (lead - count < ahead))
+        if len(run):
+            yield run, lead[run] - ahead
+
+
+def _later_windows(digits: np.ndarray, place: np.ndarray, group: np.ndarray, owner: np.ndarray, window: int) -> np.ndarray:
+    """Indexes of the windows (by their places; groups ascend) that are in a smaller document too."""
+    alive = np.arange(len(place))
     depth = 0
-    while True:
+    while len(alive):
         # leave out the groups that lie within one document
         starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         who = owner[alive]
-        least_, most = np.minimum.reduceat(who, starts), np.maximum.reduceat(who, starts)
+        least, most = np.minimum.reduceat(who, starts), np.maximum.reduceat(who, starts)
         width = np.diff(np.append(starts, len(group)))
-        keep = np.repeat(least_ < most, width)
+        keep = np.repeat(least < most, width)
         if depth >= window:
-            gone = alive[keep & (who > np.repeat(least_, width))]
-            break
+            return alive[keep & (who > np.repeat(least, width))]
         alive, group = alive[keep], group[keep]
-        if not len(alive):
-            break
         digit = digits[place[alive] + depth].astype(np.uint64)
         if window - depth < 8:
             digit >>= np.uint64(8 * (8 - (window - depth)))
@@ -285,15 +357,7 @@ def repeated(key: np.ndarray, doc: np.ndarray, at: np.ndarray, lead: np.ndarray,
         new[1:] = (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])
         group = np.cumsum(new)
         depth += 8
-    if not len(gone):
-        return whole
-    gone = np.sort(gone)
-    new = np.ones(len(gone), bool)
-    new[1:] = (gone[1:] != gone[:-1] + 1) | (run[gone[1:]] != run[gone[:-1]])
-    cuts = np.flatnonzero(new)
-    first = gone[cuts]
-    parts = np.stack([owner[first], at[run[first]] + offset[first], np.diff(np.append(cuts, len(gone)))], 1)
-    return np.concatenate([whole, parts])
+    return alive
 
 
 #: Bytes of runs that one sort takes at least, where keys allow.

@@ -4,10 +4,13 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 
@@ -79,6 +82,84 @@ def test_long_row_in_parts(spark, monkeypatch):
     assert got == {1: 0, 2: 200}
 
 
+class Mapped:
+    """Stands for a table whose map function is run in this process."""
+
+    def __init__(self, spark):
+        self.sparkSession = spark
+
+    def mapInArrow(self, run, schema):  # noqa: N802
+        return run
+
+
+def runs_of(spark, rows, hot=()):
+    """Batches of runs of (doc_id, text) rows with a full bit table, as the second shuffle gets them."""
+    bits = np.full(1 << suffix_dedup.FILTER_BITS - 3, 255, np.uint8)
+    table = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())})
+    run = suffix_dedup._run_rows(Mapped(spark), bits, np.array(hot, np.uint64), 50, 20)
+    return run(iter(table.to_batches()))
+
+
+def anchors_of(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return np.unique(suffix_dedup.anchors(data, np.array([0, len(data)]), 50, 20)[4])
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("scope, step", [(4 << 20, 1 << 19), (4000, 300)])
+def test_runs_in_small_steps(spark, monkeypatch, hot, scope, step):
+    monkeypatch.setattr(suffix_dedup, "SCOPE", scope)
+    monkeypatch.setattr(suffix_dedup, "STEP_BYTES", step)
+    monkeypatch.setattr(suffix_dedup, "STEP_WINDOWS", step)
+    rng = random.Random(3)
+    phrases = ["".join(rng.choice("abc é") for _ in range(90)) for _ in range(8)] + ["z" * 130, "xy" * 70]
+    rows = [(i, "".join(rng.choice([*phrases, "q", "rst"]) for _ in range(rng.randint(0, 9)))) for i in range(120)]
+    rows += [(500, None), (501, "".join(phrases) * 12), (502, phrases[0][:60])]
+    batches = list(runs_of(spark, rows, anchors_of("".join(phrases)) if hot else ()))
+    got = pa.Table.from_batches(batches).sort_by("key")
+    known, got = (got.filter(pc.equal(got.column("kind"), kind)) for kind in (1, 0))
+    spans = suffix_dedup.repeated(*(got.column(c).to_numpy() for c in ("key", "id", "at", "lead")),
+                                  got.column("run").to_pylist(), 50).tolist()
+    spans += zip(*(known.column(c).to_pylist() for c in ("id", "at", "lead")), strict=True)
+    gone = {d: np.zeros(len((t or "").encode()), bool) for d, t in rows}
+    for doc, at, windows in spans:
+        gone[doc][at:at + windows + 49] = True
+    assert {d: int(g.sum()) for d, g in gone.items()} == {d: r[1] for d, r in removed_by_hand(rows).items()}
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_runs_take_bounded_memory(spark, hot):
+    text = np.random.default_rng(1).integers(97, 123, 4 << 20, dtype=np.uint8).tobytes().decode()
+    rows = [(i, text[i * 2048:(i + 1) * 2048]) for i in range(2048)]
+    batches = runs_of(spark, rows, anchors_of(text) if hot else ())
+    tracemalloc.start()
+    try:
+        size = [b.nbytes for b in batches]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(size) > 15 << 20
+    assert max(size) < 2 << 20
+    assert peak < 160 << 20
+
+
+def test_many_runs_of_one_anchor_take_bounded_memory():
+    rng = np.random.default_rng(2)
+    n, anchor = 50_000, b"the same twenty byte"
+    text = rng.integers(97, 123, (n, 60), dtype=np.uint8)
+    text[1::2] = text[::2]  # every second run has equal windows and one other byte at its end
+    text[1::2, 59] ^= 32
+    runs = [t[:30].tobytes() + anchor + t[30:].tobytes() for t in text]
+    tracemalloc.start()
+    try:
+        got = suffix_dedup.repeated(np.zeros(n, np.int64), np.arange(n), np.full(n, 7), np.full(n, 30, np.int32), runs, 50)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorted(got.tolist()) == [[i, 7, 30] for i in range(1, n, 2)]
+    assert peak < 80 << 20
+
+
 # ---------------------------------------------------------------- personal data
 
 
