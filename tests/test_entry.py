@@ -63,3 +63,12 @@ def test_roundtrip_lineitem_reads_all_sheets(spark, tmp, monkeypatch):
                CASE WHEN i >= 110 THEN 0.5 END::DOUBLE AS l_tax, CASE WHEN i % 3 = 0 THEN 'A' END AS l_returnflag,
                'O' AS l_linestatus, CASE WHEN i % 4 <> 0 THEN TIMESTAMP '1995-01-31' + to_days(CAST(i AS INTEGER)) END AS l_shipdate
         FROM range(120) t(i)""")
+
+
+def test_select_columns_reads_all_sheets(spark, tmp, monkeypatch):
+    # keys repeat or are missing, customers begin on the second sheet
+    _check_over_sheets(spark, tmp, monkeypatch, "select_columns", "orders", """
+        SELECT CASE WHEN i % 40 <> 7 THEN i // 3 END AS o_orderkey, CASE WHEN i >= 60 THEN i % 11 END AS o_custkey,
+               CASE WHEN i % 3 = 0 THEN 'F' END AS o_orderstatus, CASE WHEN i >= 110 THEN i + 0.25 ELSE i END::DOUBLE AS o_totalprice,
+               TIMESTAMP '1995-01-31' AS o_orderdate, '5-LOW' AS o_orderpriority
+        FROM range(120) t(i)""")
